@@ -155,14 +155,18 @@ def clean_question(x) -> Column:
 
 
 def parse_score(x) -> Column:
-    """Model text to float; anything Python's float() rejects is 0.0.
+    """Model text to float as Python's ``float()`` reads it; unparsable is 0.0.
 
     A numeric pattern is required first because Spark's cast accepts forms
-    Python rejects (``'1d'``) and the other way round (``'1_0'``).  NaN
-    and infinities map to 0.0.
+    Python rejects (``'1d'``) and the other way round (``'1_0'``).
+    ``inf``/``infinity`` keep their sign; NaN maps to 0.0.
     """
     s = strip(x)
-    ok = s.rlike("^[+-]?(([0-9](_?[0-9])*)?\\.?[0-9](_?[0-9])*([eE][+-]?[0-9](_?[0-9])*)?|[0-9](_?[0-9])*\\.)$")
+    digits = "[0-9](_?[0-9])*"
+    ok = s.rlike(f"^[+-]?({digits}(\\.({digits})?)?|\\.{digits})([eE][+-]?{digits})?$")
     v = F.regexp_replace(s, "_", "").try_cast("double")
-    good = ok & v.isNotNull() & ~F.isnan(v) & (F.abs(v) != F.lit(float("inf")))
-    return F.when(good, v).otherwise(F.lit(0.0))
+    low = F.lower(s)
+    return (F.when(ok & v.isNotNull() & ~F.isnan(v), v)
+            .when(low.isin("inf", "+inf", "infinity", "+infinity"), F.lit(float("inf")))
+            .when(low.isin("-inf", "-infinity"), F.lit(float("-inf")))
+            .otherwise(F.lit(0.0)))

@@ -43,7 +43,7 @@ def benchmark_questions(benchmark: DataFrame) -> DataFrame:
     with ``golds`` (P4) resolved.
     """
     words = F.split(F.col("text"), " ", -1)
-    value = F.array_join(F.slice(words, 11, 4), " ")
+    value = T.clean_question(F.array_join(F.slice(words, 11, 4), " "))
     return benchmark.select(
         "item_id",
         T.clean_question(F.array_join(F.slice(words, 1, 10), " ")).alias("question"),

@@ -313,7 +313,9 @@ def train_centroids(df: DataFrame, vec: str, nlist: int, *, seed: int = 42,
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    data = df.select(array_to_vector(l2_normalize(vec)).alias("features"))
+    # zero vectors have no direction: they cannot train a cosine quantiser
+    # (they are still assigned, to the lowest cell, by assign_cells)
+    data = df.where(l2_norm(vec) > 0).select(array_to_vector(l2_normalize(vec)).alias("features"))
     if sample_fraction < 1.0:
         data = data.sample(fraction=sample_fraction, seed=seed)
     model = KMeans(k=nlist, distanceMeasure="cosine", seed=seed, maxIter=max_iter).fit(data)

@@ -318,3 +318,228 @@ def q_char_lengths(spark, sf_dir):
     out = metrics.char_lengths(d, "text", by=["lang"])
     return out.select("lang", "n", F.col("min_len").cast("bigint"), F.round("avg_len", 6).alias("avg_len"),
                       F.col("max_len").cast("bigint"))
+
+
+# --- I/O round trips (sources and sinks) -------------------------------------------
+
+def q_gold_literal_roundtrip(spark, sf_dir):
+    """K5 + S7 + F10/F13: write the gold file in ``qa`` mode, read it back."""
+    from qaflow import scratch_path
+    from qaflow.sources import readers, writers
+
+    Q = _questions(spark, sf_dir)
+    path = scratch_path(spark, "gold")
+    lines = Q.select("item_id", F.concat_ws("\t", "question", writers.gold_literal("golds")).alias("line"))
+    lines.orderBy("item_id").select(F.col("line").alias("value")).write.mode("overwrite").text(path)
+    gold, _quarantine = readers.read_gold(spark, path, "qa")
+    return gold.select("line_no", F.size("golds").cast("bigint").alias("n"),
+                       F.element_at("golds", 1).alias("first"))
+
+
+def q_jsonl_roundtrip(spark, sf_dir):
+    """K3 + S5: pre-retrieved JSON lines (question, answer, contexts), read back."""
+    from qaflow import scratch_path
+    from qaflow.sources import readers, writers
+
+    P, Q, hits = _hits(spark, sf_dir, 5)
+    rec = writers.preretrieved_records(Q, retrieve.lookup_passages(hits, P, ("text",)))
+    path = scratch_path(spark, "jsonl")
+    writers.write_preretrieved(rec.drop("item_id"), path)
+    back = readers.read_jsonl(spark, path)
+    return back.agg(F.count("*").alias("n"),
+                    F.sum(F.size("contexts")).cast("bigint").alias("n_contexts"),
+                    F.sum(F.aggregate("contexts", F.lit(0), lambda s, c: s + F.length(c))).cast("bigint")
+                    .alias("ctx_chars"),
+                    F.sum(F.length("answer")).cast("bigint").alias("answer_chars"),
+                    F.sum(F.length("question")).cast("bigint").alias("question_chars"))
+
+
+def q_line_files_roundtrip(spark, sf_dir):
+    """D3 + K4 + S6 + P8: split QA pairs, write source/target line files, pair them back."""
+    from qaflow import scratch_path
+    from qaflow.sources import readers, writers
+
+    pairs = retrieve.qa_pairs(table(spark, sf_dir, "conversations")).withColumn(
+        "key", F.concat_ws(":", "conv_id", "turn"))
+    s = split.seeded_split(pairs, "key", 0.8, 42)
+    d = scratch_path(spark, "lines")
+    writers.write_parallel_lines(s.select("split", "key", F.col("question").alias("source"),
+                                          F.col("answer").alias("target")), d, "key")
+    outs = []
+    for name in ("train", "val", "test"):
+        src, tgt = writers.line_file_paths(d, name)
+        got, unmatched = readers.read_parallel_lines(spark, src, tgt)
+        valid, _rej = prep.require_nonempty_pairs(got, "source", "target")
+        outs.append(valid.agg(F.lit(name).alias("split"), F.count("*").alias("n"),
+                              F.sum(F.length("source")).cast("bigint").alias("src_chars"),
+                              F.sum(F.length("target")).cast("bigint").alias("tgt_chars")))
+    return reduce(DataFrame.unionByName, outs)
+
+
+def q_passages_roundtrip(spark, sf_dir):
+    """S1 + C1 + K2 + S8: documents as a headerless KB TSV, split, saved, reloaded."""
+    from qaflow import scratch_path
+    from qaflow.sources import readers, writers
+
+    docs = table(spark, sf_dir, "documents")
+    tsv = scratch_path(spark, "kb")
+    docs.select(F.col("source").alias("title"), "text").write.mode("overwrite").csv(
+        tsv, sep="\t", quote='"', escape='"', header=False)
+    kb = readers.read_kb_tsv(spark, tsv).withColumn("doc_key", F.monotonically_increasing_id())
+    P = chunk.split_passages(kb, 100, key="doc_key")
+    out = scratch_path(spark, "passages")
+    writers.write_passages(P, out)
+    back = readers.read_passages(spark, out)
+    return back.agg(F.count("*").alias("n"), F.countDistinct("title").alias("n_titles"),
+                    F.sum(F.length("text")).cast("bigint").alias("text_chars"),
+                    F.sum("idx").cast("bigint").alias("idx_sum"))
+
+
+def q_vector_shards_roundtrip(spark, sf_dir):
+    """D1 + K1 + S4 + E4 + J2: embeddings written as shards, read back and re-paired."""
+    from qaflow import scratch_path
+    from qaflow.sources import readers, writers
+
+    e = _emb(spark, sf_dir)
+    n = e.count()
+    pos = split.dense_ids(e, ["vec_id"]).withColumn("shard", split.floor_shards("pos", n, 4))
+    emb_path, meta_path = scratch_path(spark, "emb"), scratch_path(spark, "meta")
+    writers.write_vector_shard(pos.select("shard", "pos", "embedding"), emb_path)
+    writers.write_vector_shard(pos.select("shard", "pos", "vec_id", "label"), meta_path)
+    emb = readers.read_vector_shards(spark, emb_path)
+    meta = readers.read_vector_shards(spark, meta_path)
+    paired = emb.join(meta, ["shard", "pos"], "full_outer")
+    return paired.groupBy(F.col("shard").cast("bigint").alias("shard")).agg(
+        F.count("*").alias("n"), F.sum("vec_id").alias("id_sum"),
+        F.round(F.sum(F.element_at("embedding", 1).cast("double")), 6).alias("first_sum"),
+        F.sum(F.when(F.col("vec_id").isNull() | F.col("embedding").isNull(), 1).otherwise(0))
+        .cast("bigint").alias("unpaired"))
+
+
+# --- index refresh: batch swap and stream ------------------------------------------
+
+def _final_state(spark, base):
+    from qaflow.streaming import refresh
+
+    v, postings, _ = refresh.read_live(spark, base)
+    return postings.agg(F.lit(v).cast("bigint").alias("version"), F.count("*").alias("n"),
+                        F.sum("passage_id").cast("bigint").alias("checksum"),
+                        F.countDistinct("doc_id").alias("n_docs"))
+
+
+def q_refresh_swap(spark, sf_dir):
+    """E11 + K7 + K8: build version 1 from the first half of the documents, then
+    fold in the second half plus re-delivered documents of the first (upserts)."""
+    from qaflow import scratch_path
+    from qaflow.streaming import refresh
+
+    docs = table(spark, sf_dir, "documents")
+    mid = docs.agg(F.percentile_approx("doc_id", 0.5)).first()[0]
+    base = scratch_path(spark, "index")
+    refresh.refresh_index(spark, base, docs.where(F.col("doc_id") <= mid))
+    refresh.refresh_index(spark, base, docs.where(F.col("doc_id") > F.lit(mid) * 0.9))
+    return _final_state(spark, base)
+
+
+def q_refresh_stream(spark, sf_dir):
+    """E12 + W1: documents arrive as four range files; each micro-batch publishes a version."""
+    from qaflow import scratch_path
+    from qaflow.streaming import refresh
+
+    docs = table(spark, sf_dir, "documents")
+    inbox, base, ckpt = (scratch_path(spark, n) for n in ("inbox", "sindex", "sckpt"))
+    docs.repartitionByRange(4, "doc_id").write.mode("overwrite").parquet(inbox)
+    refresh.refresh_stream(spark, inbox, base, ckpt, docs.schema,
+                           max_files_per_trigger=1)
+    return _final_state(spark, base)
+
+
+# --- sequence shaping ----------------------------------------------------------------
+
+def q_encode_pad_trim(spark, sf_dir):
+    """C4-C8 + P17 over a word vocabulary built from the benchmark texts."""
+    b = _questions(spark, sf_dir).select("item_id", F.col("answer.value").alias("value")).join(
+        table(spark, sf_dir, "benchmark"), "item_id")
+    t = b.select("item_id", T.tokens(T.norm_a("text")).alias("st"), T.tokens(T.norm_a("value")).alias("tt"))
+    words = t.select(F.explode("st").alias("token")).unionByName(t.select(F.explode("tt").alias("token")))
+    vocab = chunk.build_vocab(words)
+    enc = chunk.encode_tokens(chunk.encode_tokens(t, "item_id", "st", vocab, "sid"), "item_id", "tt", vocab, "tid")
+    src, mask = chunk.encode_fixed(chunk.append_eos("sid"), 64)
+    tgt, _ = chunk.encode_fixed(chunk.append_eos("tid"), 8)
+    e = enc.select("item_id", src.alias("src"), mask.alias("mask"), tgt.alias("tgt"))
+    pos = split.dense_ids(e, ["item_id"]).withColumn("batch", split.micro_batch("pos", 8))
+    trimmed = chunk.trim_batch(pos, "batch", ["src", "mask"])
+    _, _, dec_in = chunk.shift_targets(F.col("tgt"))
+    labels = F.transform("tgt", lambda x: F.when(x == chunk.PAD_ID, F.lit(-100)).otherwise(x))
+    shaped = trimmed.withColumn("dec_in", dec_in).withColumn("labels", chunk.mask_to_pad(labels))
+    per = shaped.groupBy("batch").agg(
+        F.count("*").alias("n"), F.max(F.size("src")).cast("bigint").alias("width"),
+        F.sum(F.aggregate("src", F.lit(0).cast("bigint"), lambda s, x: s + x)).cast("bigint").alias("src_id_sum"),
+        F.sum(F.aggregate("mask", F.lit(0).cast("bigint"), lambda s, x: s + x)).cast("bigint").alias("mask_sum"),
+        F.sum(F.aggregate("dec_in", F.lit(0).cast("bigint"), lambda s, x: s + x)).cast("bigint").alias("dec_sum"),
+        F.sum(F.aggregate("labels", F.lit(0).cast("bigint"), lambda s, x: s + x)).cast("bigint").alias("label_sum"))
+    tok = chunk.tokens_per_batch(shaped, "batch", "src", "tgt")
+    return per.join(tok, "batch").select(F.col("batch").cast("bigint"), "n", "width", "tokens",
+                                         "src_id_sum", "mask_sum", "dec_sum", "label_sum")
+
+
+# --- score parsing, checkpoints, reports ----------------------------------------------
+
+def q_parse_scores(spark, sf_dir):
+    """R3 over strings cut from ``events.props`` and ``documents``."""
+    ev = table(spark, sf_dir, "events").select(
+        F.lit("event_k").alias("src"), F.col("event_id").alias("key"),
+        F.get_json_object("props", "$.k").alias("s"))
+    d = table(spark, sf_dir, "documents")
+    first = F.element_at(F.split("text", " ", -1), 1)
+    docs = d.select(F.lit("doc_word").alias("src"), "doc_id", first.alias("s")).unionByName(
+        d.select(F.lit("doc_us").alias("src"), "doc_id",
+                 F.concat(F.col("n_chars").cast("string"), F.lit("_5")).alias("s"))).unionByName(
+        d.select(F.lit("doc_d").alias("src"), "doc_id",
+                 F.concat(F.col("n_chars").cast("string"), F.lit("d")).alias("s"))).unionByName(
+        d.select(F.lit("doc_frac").alias("src"), "doc_id",
+                 F.concat(F.lit(" ."), F.col("n_chars").cast("string"), F.lit("e-2 ")).alias("s")))
+    allv = ev.unionByName(docs.withColumnRenamed("doc_id", "key"))
+    return allv.select("src", "key", F.round(T.parse_score("s"), 6).alias("score"))
+
+
+def q_best_checkpoint(spark, sf_dir):
+    """Metric histories per step (labels grouped by doc_id range of 25)."""
+    lab = table(spark, sf_dir, "labels")
+    h = lab.groupBy((F.col("doc_id") / 25).cast("bigint").alias("step")).agg(
+        F.avg("quality").alias("quality"), F.avg("toxic").alias("toxic"))
+    long = h.select("step", F.lit("quality").alias("metric"), F.col("quality").alias("v")).unionByName(
+        h.select("step", F.lit("toxic").alias("metric"), F.col("toxic").alias("v")))
+    best_q = metrics.best_checkpoint(long.where(F.col("metric") == "quality"), "v", mode="max",
+                                     patience=3, by=["metric"])
+    best_t = metrics.best_checkpoint(long.where(F.col("metric") == "toxic"), "v", mode="min",
+                                     patience=3, by=["metric"])
+    out = best_q.unionByName(best_t)
+    return out.select("metric", "best_step", F.round("best", 6).alias("best"), "stopped_at").orderBy("metric")
+
+
+def q_counts(spark, sf_dir):
+    """Rows loaded / produced per stage, one row per item."""
+    docs = table(spark, sf_dir, "documents")
+    parts = [
+        docs.agg(F.lit("documents").alias("item"), F.count("*").alias("n")),
+        _passages(spark, sf_dir).agg(F.lit("passages").alias("item"), F.count("*").alias("n")),
+        _questions(spark, sf_dir).agg(F.lit("questions").alias("item"), F.count("*").alias("n")),
+        retrieve.qa_pairs(table(spark, sf_dir, "conversations")).agg(
+            F.lit("qa_pairs").alias("item"), F.count("*").alias("n")),
+        _emb(spark, sf_dir).agg(F.lit("vectors").alias("item"), F.count("*").alias("n")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_token_report(spark, sf_dir):
+    """G9 + T4 + G14: token counts per language and the step count of a 3-epoch run."""
+    docs = table(spark, sf_dir, "documents").where(F.col("text").isNotNull())
+    per_doc = docs.select("lang", T.chunk_words("text", 100).alias("chunks"))
+    flat = per_doc.select("lang", metrics.flatten(F.transform(
+        "chunks", lambda c: chunk.ws_tokens(c))).alias("toks"))
+    rep = flat.groupBy("lang").agg(F.count("*").alias("n_docs"),
+                                   F.round(F.avg(F.size("toks")), 6).alias("mean_tokens"),
+                                   F.sum(F.size("toks")).cast("bigint").alias("total_tokens"))
+    return rep.select("lang", "n_docs", "mean_tokens", "total_tokens",
+                      F.round(metrics.total_steps(F.col("n_docs"), 4, 1, 1, 3), 6).alias("steps"))

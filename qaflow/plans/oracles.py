@@ -209,3 +209,119 @@ ORACLES["char_lengths"] = """
 SELECT lang, count(*) AS n, CAST(min(length(text)) AS BIGINT) AS min_len, round(avg(length(text)), 6) AS avg_len,
        CAST(max(length(text)) AS BIGINT) AS max_len
 FROM documents GROUP BY lang"""
+
+ORACLES["gold_literal_roundtrip"] = f"""WITH {S.QUESTIONS.strip()}
+SELECT CAST(row_number() OVER (ORDER BY item_id) - 1 AS BIGINT) AS line_no, CAST(1 AS BIGINT) AS n, value AS first
+FROM questions"""
+
+ORACLES["jsonl_roundtrip"] = f"""{S.retrieval(5)},
+ctx AS (SELECT h.item_id, list(p.text ORDER BY h.rank) AS contexts
+        FROM hits h JOIN passages p USING (passage_id) GROUP BY h.item_id)
+SELECT count(*) AS n, CAST(sum(len(coalesce(c.contexts, []))) AS BIGINT) AS n_contexts,
+       CAST(sum(coalesce(list_sum(list_transform(c.contexts, lambda x: length(x))), 0)) AS BIGINT) AS ctx_chars,
+       CAST(sum(length(q.golds[1])) AS BIGINT) AS answer_chars,
+       CAST(sum(length(q.question)) AS BIGINT) AS question_chars
+FROM questions q LEFT JOIN ctx c USING (item_id)"""
+
+ORACLES["line_files_roundtrip"] = f"""WITH {S.QA_PAIRS.strip()},
+k AS (SELECT *, CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR) AS key FROM qa_pairs),
+o AS (SELECT *, row_number() OVER (ORDER BY md5('42|' || key), key) - 1 AS pos, count(*) OVER () AS n FROM k),
+s AS (SELECT *, CAST(floor(n * 0.8::DOUBLE) AS BIGINT) AS nt FROM o),
+l AS (SELECT question, answer, CASE WHEN pos < nt THEN 'train' WHEN pos < nt + (n - nt) // 2 THEN 'val'
+                                    ELSE 'test' END AS split FROM s)
+SELECT split, count(*) AS n, CAST(sum(length(question)) AS BIGINT) AS src_chars,
+       CAST(sum(length(answer)) AS BIGINT) AS tgt_chars
+FROM l WHERE length(question) > 0 AND length(answer) > 0 GROUP BY split"""
+
+ORACLES["passages_roundtrip"] = f"""WITH {S.PASSAGES.strip()}
+SELECT count(*) AS n, count(DISTINCT title) AS n_titles, CAST(sum(length(text)) AS BIGINT) AS text_chars,
+       CAST(sum(idx) AS BIGINT) AS idx_sum FROM passages"""
+
+ORACLES["vector_shards_roundtrip"] = """
+WITH p AS (SELECT vec_id, embedding, row_number() OVER (ORDER BY vec_id) - 1 AS pos, count(*) OVER () AS n FROM embeddings),
+s AS (SELECT *, CASE WHEN n // 4 = 0 THEN 3 ELSE least(pos // (n // 4), 3) END AS shard FROM p)
+SELECT CAST(shard AS BIGINT) AS shard, count(*) AS n, CAST(sum(vec_id) AS BIGINT) AS id_sum,
+       round(sum(embedding[1]::DOUBLE), 6) AS first_sum, CAST(0 AS BIGINT) AS unpaired
+FROM s GROUP BY shard"""
+
+_FINAL = f"""WITH {S.PASSAGES.strip()}
+SELECT CAST({{v}} AS BIGINT) AS version, count(*) AS n, CAST(sum(passage_id) AS BIGINT) AS checksum,
+       count(DISTINCT doc_id) AS n_docs FROM passages"""
+ORACLES["refresh_swap"] = _FINAL.format(v=2)
+ORACLES["refresh_stream"] = _FINAL.format(v=4)
+
+_B = f"""WITH {S.QUESTIONS.strip()},
+b AS (SELECT item_id, {S.tok_a("x.text")} AS st, {S.tok_a("q.value")} AS tt
+      FROM benchmark x JOIN questions q USING (item_id)),
+w AS (SELECT DISTINCT t FROM (SELECT unnest(st) AS t FROM b UNION ALL SELECT unnest(tt) AS t FROM b)),
+v AS (SELECT t, dense_rank() OVER (ORDER BY t) + 3 AS id FROM w),
+se AS (SELECT item_id, list(v.id ORDER BY p) AS ids FROM
+        (SELECT item_id, unnest(st) AS t, generate_subscripts(st, 1) AS p FROM b) JOIN v USING (t) GROUP BY item_id),
+te AS (SELECT item_id, list(v.id ORDER BY p) AS ids FROM
+        (SELECT item_id, unnest(tt) AS t, generate_subscripts(tt, 1) AS p FROM b) JOIN v USING (t) GROUP BY item_id),
+e AS (SELECT b.item_id,
+             list_slice(list_concat(coalesce(se.ids, []), [1]), 1, 64) AS s,
+             list_slice(list_concat(coalesce(te.ids, []), [1]), 1, 8) AS t
+      FROM b LEFT JOIN se USING (item_id) LEFT JOIN te USING (item_id)),
+r AS (SELECT (row_number() OVER (ORDER BY item_id) - 1) // 8 AS batch, s, t,
+             list_concat(t, list_transform(range(8 - len(t)), lambda x: 0)) AS tp FROM e)"""
+
+ORACLES["encode_pad_trim"] = _B + """
+SELECT CAST(batch AS BIGINT) AS batch, count(*) AS n, CAST(max(len(s)) AS BIGINT) AS width,
+       CAST(sum(len(s) + len(t)) AS BIGINT) AS tokens,
+       CAST(sum(list_sum(s)) AS BIGINT) AS src_id_sum,
+       CAST(sum(len(s)) AS BIGINT) AS mask_sum,
+       CAST(sum(3 + coalesce(list_sum(list_slice(tp, 1, 7)), 0)) AS BIGINT) AS dec_sum,
+       CAST(sum(list_sum(tp)) AS BIGINT) AS label_sum
+FROM r GROUP BY batch"""
+
+_NUM = r"^[+-]?([0-9](_?[0-9])*(\.([0-9](_?[0-9])*)?)?|\.[0-9](_?[0-9])*)([eE][+-]?[0-9](_?[0-9])*)?$"
+
+
+def _parse(x: str) -> str:
+    s = S.strip(x)
+    return (f"(CASE WHEN regexp_full_match({s}, '{_NUM}') AND NOT isnan(TRY_CAST(replace({s}, '_', '') AS DOUBLE)) "
+            f"THEN TRY_CAST(replace({s}, '_', '') AS DOUBLE) "
+            f"WHEN lower({s}) IN ('inf', '+inf', 'infinity', '+infinity') THEN 'inf'::DOUBLE "
+            f"WHEN lower({s}) IN ('-inf', '-infinity') THEN '-inf'::DOUBLE ELSE 0.0 END)")
+
+
+ORACLES["parse_scores"] = f"""
+WITH v AS (
+  SELECT 'event_k' AS src, event_id AS key, json_extract_string(props, '$.k') AS s FROM events
+  UNION ALL SELECT 'doc_word', doc_id, string_split(text, ' ')[1] FROM documents
+  UNION ALL SELECT 'doc_us', doc_id, CAST(n_chars AS VARCHAR) || '_5' FROM documents
+  UNION ALL SELECT 'doc_d', doc_id, CAST(n_chars AS VARCHAR) || 'd' FROM documents
+  UNION ALL SELECT 'doc_frac', doc_id, ' .' || CAST(n_chars AS VARCHAR) || 'e-2 ' FROM documents)
+SELECT src, key, round({_parse("s")}, 6) AS score FROM v"""
+
+ORACLES["best_checkpoint"] = """
+WITH h AS (SELECT CAST(trunc(doc_id / 25) AS BIGINT) AS step, avg(quality) AS quality, avg(toxic) AS toxic
+           FROM labels GROUP BY 1),
+l AS (SELECT 'quality' AS metric, step, quality AS v, 1.0 AS sg FROM h
+      UNION ALL SELECT 'toxic', step, toxic, -1.0 FROM h),
+x AS (SELECT metric, step, v * sg AS sv,
+             max(v * sg) OVER (PARTITION BY metric ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pb
+      FROM l),
+y AS (SELECT metric, step, sum(CASE WHEN pb IS NULL OR sv > pb THEN 1 ELSE 0 END)
+             OVER (PARTITION BY metric ORDER BY step ROWS UNBOUNDED PRECEDING) AS grp FROM x),
+z AS (SELECT metric, step, row_number() OVER (PARTITION BY metric, grp ORDER BY step) - 1 AS since FROM y),
+stop AS (SELECT metric, min(step) AS stopped_at FROM z WHERE since >= 3 GROUP BY metric),
+best AS (SELECT metric, step AS best_step, sv * (CASE WHEN metric = 'quality' THEN 1.0 ELSE -1.0 END) AS best
+         FROM (SELECT *, row_number() OVER (PARTITION BY metric ORDER BY sv DESC, step) AS r FROM x) WHERE r = 1)
+SELECT b.metric, b.best_step, round(b.best, 6) AS best, s.stopped_at
+FROM best b LEFT JOIN stop s USING (metric)"""
+
+ORACLES["counts"] = f"""WITH {S.PASSAGES.strip()}, {S.QUESTIONS.strip()}, {S.QA_PAIRS.strip()}
+SELECT 'documents' AS item, count(*) AS n FROM documents
+UNION ALL SELECT 'passages', count(*) FROM passages
+UNION ALL SELECT 'questions', count(*) FROM questions
+UNION ALL SELECT 'qa_pairs', count(*) FROM qa_pairs
+UNION ALL SELECT 'vectors', count(*) FROM embeddings"""
+
+ORACLES["token_report"] = f"""WITH {S.PASSAGES.strip()},
+pt AS (SELECT doc_id, sum(len({S.ws_tokens("text")})) AS nt FROM passages GROUP BY doc_id),
+d AS (SELECT d.lang, coalesce(pt.nt, 0) AS nt FROM documents d LEFT JOIN pt USING (doc_id) WHERE d.text IS NOT NULL)
+SELECT lang, count(*) AS n_docs, round(avg(nt), 6) AS mean_tokens, CAST(sum(nt) AS BIGINT) AS total_tokens,
+       round(count(*) / 4.0 * 3, 6) AS steps
+FROM d GROUP BY lang"""

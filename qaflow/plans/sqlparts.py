@@ -81,8 +81,8 @@ QUESTIONS = f"""
 questions AS (
   SELECT item_id,
          {clean("array_to_string(list_slice(string_split(text, ' '), 1, 10), ' ')")} AS question,
-         array_to_string(list_slice(string_split(text, ' '), 11, 14), ' ') AS value,
-         [array_to_string(list_slice(string_split(text, ' '), 11, 14), ' ')] AS golds
+         {clean("array_to_string(list_slice(string_split(text, ' '), 11, 14), ' ')")} AS value,
+         [{clean("array_to_string(list_slice(string_split(text, ' '), 11, 14), ' ')")}] AS golds
   FROM benchmark
 )"""
 

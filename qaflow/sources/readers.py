@@ -65,20 +65,28 @@ def read_jsonl(spark: SparkSession, path: str, schema: str = PRERETRIEVED_SCHEMA
 
 
 def read_lines(spark: SparkSession, path: str, col: str = "value") -> DataFrame:
-    """Text lines with their 0-based position (files in name order, then offset)."""
-    rdd = spark.sparkContext.textFile(path).zipWithIndex()
+    """Text lines with their 0-based position: files in name order, then offset.
+
+    The file list comes from the DataFrame reader (so globs and directories
+    work) and is sorted explicitly; ``zipWithIndex`` then numbers the lines
+    with one distributed counting job.
+    """
+    files = sorted(f for f in spark.read.text(path).inputFiles())
+    if not files:
+        return spark.createDataFrame([], f"line_no long, {col} string")
+    rdd = spark.sparkContext.textFile(",".join(files)).zipWithIndex()
     return spark.createDataFrame(rdd.map(lambda t: (t[1], t[0])), f"line_no long, {col} string")
 
 
-def read_parallel_lines(spark: SparkSession, data_dir: str, split: str,
+def read_parallel_lines(spark: SparkSession, source_path: str, target_path: str,
                         strict: bool = False) -> tuple[DataFrame, DataFrame]:
-    """``{split}.source`` / ``{split}.target`` paired by line number.
+    """A source and a target line file paired by line number.
 
     Returns (pairs, unmatched): the reference's ``zip`` truncates silently;
     here unmatched lines are reported, and ``strict`` fails on any.
     """
-    src = read_lines(spark, f"{data_dir}/{split}.source", "source")
-    tgt = read_lines(spark, f"{data_dir}/{split}.target", "target")
+    src = read_lines(spark, source_path, "source")
+    tgt = read_lines(spark, target_path, "target")
     full = src.join(tgt, "line_no", "full_outer")
     pairs = full.where(F.col("source").isNotNull() & F.col("target").isNotNull())
     unmatched = full.where(F.col("source").isNull() | F.col("target").isNull())

@@ -48,20 +48,28 @@ def write_preretrieved(records: DataFrame, path: str) -> None:
 
 
 def write_parallel_lines(df: DataFrame, data_dir: str, key: str, split: str = "split",
-                         source: str = "source", target: str = "target") -> None:
-    """K4: ``{split}.source`` and ``{split}.target`` directories from one keyed frame.
+                         source: str = "source", target: str = "target",
+                         num_partitions: int | None = None) -> None:
+    """K4: ``split=S/side=source`` and ``split=S/side=target`` line files in one job.
 
-    Both sides come from the same globally sorted frame (range partitioned
-    by split and key), so part file *i* of the source pairs line by line
-    with part file *i* of the target.
+    Each row is written to both sides by the same task, after a range sort
+    by key: part file *i* of the source pairs line by line with part file *i*
+    of the target, and both are committed together.
     """
-    ordered = df.select(split, key, source, target).orderBy(split, key).cache()
-    splits = [r[0] for r in ordered.select(split).distinct().collect()]  # a handful of names
-    for s in splits:
-        part = ordered.where(F.col(split) == s).orderBy(key)
-        part.select(F.col(source).alias("value")).write.mode("overwrite").text(f"{data_dir}/{s}.source")
-        part.select(F.col(target).alias("value")).write.mode("overwrite").text(f"{data_dir}/{s}.target")
-    ordered.unpersist()
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    both = df.select(split, key, F.explode(F.array(
+        F.struct(F.lit("source").alias("side"), F.col(source).alias("value")),
+        F.struct(F.lit("target").alias("side"), F.col(target).alias("value")))).alias("x"))
+    (both.select(split, key, "x.side", "x.value")
+     .repartitionByRange(n, split, key).sortWithinPartitions(split, "side", key)
+     .select(split, "side", "value")
+     .write.mode("overwrite").partitionBy(split, "side").text(data_dir))
+
+
+def line_file_paths(data_dir: str, split: str) -> tuple[str, str]:
+    """Where :func:`write_parallel_lines` put one split's two sides."""
+    return f"{data_dir}/split={split}/side=source", f"{data_dir}/split={split}/side=target"
 
 
 def write_predictions(df: DataFrame, path: str, col: str = "prediction", order: str = "line_no",
