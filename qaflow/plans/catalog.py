@@ -543,3 +543,84 @@ def q_token_report(spark, sf_dir):
                                    F.sum(F.size("toks")).cast("bigint").alias("total_tokens"))
     return rep.select("lang", "n_docs", "mean_tokens", "total_tokens",
                       F.round(metrics.total_steps(F.col("n_docs"), 4, 1, 1, 3), 6).alias("steps"))
+
+
+# --- answering modes, text metrics, streams --------------------------------------------
+
+def q_rouge_l(spark, sf_dir):
+    """F7 over question/answer pairs."""
+    pairs = retrieve.qa_pairs(table(spark, sf_dir, "conversations"))
+    return pairs.select("conv_id", "turn", F.round(T.rouge_l("answer", "question"), 6).alias("rouge_l"))
+
+
+def q_answers_base(spark, sf_dir):
+    """M1: retrieve 15 -> extractive answer -> EM / F1 / hit per question."""
+    from qaflow.plans import modes
+
+    P, Q = _passages(spark, sf_dir), _questions(spark, sf_dir)
+    preds = modes.predictions(Q, P, modes=("base",))
+    scored = metrics.score_answers(preds, "prediction", "golds")
+    return scored.select("item_id", "prediction", F.col("em").cast("bigint"), F.round("f1", 6).alias("f1"),
+                         F.col("hit").cast("bigint"))
+
+
+def q_iterate_2(spark, sf_dir):
+    """Two rounds of answer -> expand query -> retrieve."""
+    P, Q = _passages(spark, sf_dir), _questions(spark, sf_dir)
+    hist, _state = retrieve.iterative_retrieve(Q, retrieve.index_passages(P), P, K, 2)
+    return hist.select("item_id", F.col("round").cast("bigint"), "query", "answer")
+
+
+def q_six_modes(spark, sf_dir):
+    """M1-M6 + G1 + G10: every mode over the same questions, one summary."""
+    from qaflow.plans import modes
+
+    P, Q = _passages(spark, sf_dir), _questions(spark, sf_dir)
+    s = modes.mode_summary(modes.predictions(Q, P))
+    return s.select("mode", "n", F.round("em", 6).alias("em"), F.round("f1", 6).alias("f1"),
+                    F.round("recall", 6).alias("recall"))
+
+
+def q_provenance_precision(spark, sf_dir):
+    """M7 + K5 + S9 + J3 + G3: retrieved titles vs titles of answer-bearing
+    passages, both written as provenance line files and paired back by line."""
+    from qaflow import scratch_path
+    from qaflow.sources import readers, writers
+
+    P, Q, hits = _hits(spark, sf_dir)
+    ht = retrieve.lookup_passages(hits, P, ("title", "text")).join(Q.select("item_id", "golds"), "item_id")
+    contains = F.exists("golds", lambda g: F.contains(F.lower(F.col("text")), T.norm_a(g)))
+    per_q = ht.groupBy("item_id").agg(
+        F.sort_array(F.collect_list(F.struct("rank", T.strip_title("title").alias("t")))).alias("hyp"),
+        F.sort_array(F.collect_list(F.when(contains, F.struct("rank", T.strip_title("title").alias("t")))))
+        .alias("ref"))
+    lines = Q.select("item_id").join(per_q, "item_id", "left").select(
+        "item_id", F.concat_ws("\t", F.col("hyp.t")).alias("hyp"), F.concat_ws("\t", F.col("ref.t")).alias("ref"))
+    hyp_path, ref_path = scratch_path(spark, "prov_hyp"), scratch_path(spark, "prov_ref")
+    writers.write_predictions(lines, hyp_path, col="hyp", order="item_id", recalculate=True)
+    writers.write_predictions(lines, ref_path, col="ref", order="item_id", recalculate=True)
+    hyp = readers.read_provenance(spark, hyp_path).withColumnRenamed("titles", "hyp")
+    ref = readers.read_provenance(spark, ref_path).withColumnRenamed("titles", "ref")
+    paired = hyp.join(ref, "line_no")
+    return paired.agg(F.lit(5).cast("bigint").alias("k"), F.count("*").alias("n"),
+                      F.round(100.0 * F.avg(metrics.precision_at_k("hyp", "ref", 5)), 6).alias("precision"))
+
+
+def q_stream_answers(spark, sf_dir):
+    """Questions arriving as files are answered batch by batch and appended."""
+    from qaflow import scratch_path
+    from qaflow.streaming import refresh
+
+    P, Q = _passages(spark, sf_dir), _questions(spark, sf_dir)
+    index = retrieve.index_passages(P)
+    inbox, out, ckpt = (scratch_path(spark, n) for n in ("qinbox", "answers", "qckpt"))
+    Q.select("item_id", "question").repartitionByRange(2, "item_id").write.mode("overwrite").parquet(inbox)
+
+    def answer_batch(batch):
+        hits = retrieve.lookup_passages(retrieve.similarity_join(batch, index, 5), P, ("text",))
+        ctx = batch.join(retrieve.contexts_by_rank(hits), "item_id", "left")
+        return ctx.select("item_id", models.extractive_generator(F.col("question"), F.col("contexts"))
+                          .alias("prediction"))
+
+    refresh.answer_stream(spark, inbox, out, ckpt, "item_id long, question string", answer_batch)
+    return spark.read.parquet(out).select("item_id", "prediction")

@@ -325,3 +325,28 @@ d AS (SELECT d.lang, coalesce(pt.nt, 0) AS nt FROM documents d LEFT JOIN pt USIN
 SELECT lang, count(*) AS n_docs, round(avg(nt), 6) AS mean_tokens, CAST(sum(nt) AS BIGINT) AS total_tokens,
        round(count(*) / 4.0 * 3, 6) AS steps
 FROM d GROUP BY lang"""
+
+ORACLES["answers_base"] = f"""{S.retrieval(15)},
+ctx AS (SELECT q.item_id, q.question, list(p.text ORDER BY h.rank) AS contexts
+        FROM hits h JOIN passages p USING (passage_id) JOIN questions q USING (item_id)
+        GROUP BY q.item_id, q.question),
+{S.extractive("question", "ctx").strip()},
+hit AS (SELECT h.item_id, max(CASE WHEN list_bool_or(list_transform(q.golds, lambda g: contains(lower(p.text), {S.norm_a("g")}))) THEN 1 ELSE 0 END) AS hit
+        FROM hits h JOIN passages p USING (passage_id) JOIN questions q USING (item_id) GROUP BY h.item_id)
+SELECT a.item_id, a.prediction,
+       CAST(list_bool_or(list_transform(q.golds, lambda g: {S.norm_a("g")} = {S.norm_a("a.prediction")})) AS BIGINT) AS em,
+       round(list_max(list_transform(q.golds, lambda g: {S.f1_set("a.prediction", "g")})), 6) AS f1,
+       CAST(coalesce(hit.hit, 0) AS BIGINT) AS hit
+FROM answers a JOIN questions q USING (item_id) LEFT JOIN hit USING (item_id)"""
+
+ORACLES["provenance_precision"] = f"""{S.retrieval(15)},
+t AS (SELECT h.item_id, h.rank, regexp_replace(p.title, '^"|"$', '', 'g') AS title,
+             list_bool_or(list_transform(q.golds, lambda g: contains(lower(p.text), {S.norm_a("g")}))) AS rel
+      FROM hits h JOIN passages p USING (passage_id) JOIN questions q USING (item_id)),
+per AS (SELECT item_id,
+               list_distinct(list(title ORDER BY rank) FILTER (WHERE rank <= 5)) AS hyp,
+               list_distinct(coalesce(list(title ORDER BY rank) FILTER (WHERE rel), [])) AS ref
+        FROM t GROUP BY item_id)
+SELECT CAST(5 AS BIGINT) AS k, count(*) AS n,
+       round(100.0 * avg(len(list_intersect(hyp, ref)) / 5.0), 6) AS precision
+FROM questions q LEFT JOIN per USING (item_id)"""

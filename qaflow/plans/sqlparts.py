@@ -134,3 +134,30 @@ hits AS (
          passage_id, score
   FROM scored QUALIFY rank <= {k}
 )"""
+
+
+def extractive(question: str, contexts_table: str, key: str = "item_id") -> str:
+    """U2 stand-in in SQL: best-overlap sentence of the ranked contexts, 25 words.
+
+    ``contexts_table`` has (key, question, contexts list in rank order).
+    Sentences end at ``.!?`` followed by whitespace.
+    """
+    return f"""
+sent AS (
+  SELECT {key}, i, generate_subscripts(ss, 1) AS j, unnest(ss) AS s, question
+  FROM (SELECT {key}, question, i,
+               string_split(regexp_replace(c, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)) AS ss
+        FROM (SELECT {key}, question, unnest(contexts) AS c, generate_subscripts(contexts, 1) AS i
+              FROM {contexts_table}))
+),
+best AS (
+  SELECT {key}, s FROM (
+    SELECT {key}, s, row_number() OVER (PARTITION BY {key}
+             ORDER BY len(list_intersect({tok_a("s")}, {tok_a(question)})) DESC, i, j) AS r
+    FROM sent) WHERE r = 1
+),
+answers AS (
+  SELECT t.{key}, coalesce(array_to_string(list_slice(string_split_regex({strip("b.s")}, '\\s+'), 1, 25), ' '), '')
+         AS prediction
+  FROM {contexts_table} t LEFT JOIN best b USING ({key})
+)"""
