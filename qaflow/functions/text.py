@@ -32,6 +32,16 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it in ``body`` (a Catalyst-side ``let``).
+
+    An expression referenced inside a higher-order-function lambda is
+    re-evaluated for every element; binding it as a lambda variable of a
+    one-element ``transform`` evaluates it once per row.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def strip(x) -> Column:
     """F8: Python ``str.strip()``."""
     return F.regexp_replace(_c(x), f"(?U)^{_WS}+|{_WS}+$", "")
@@ -78,8 +88,7 @@ def _regex_quote(s: str) -> str:
 
 def em_a(pred, golds) -> Column:
     """1 if any gold equals the prediction under F1."""
-    p = norm_a(pred)
-    return F.exists(_c(golds), lambda g: norm_a(g) == p).cast("int")
+    return let(norm_a(pred), lambda p: F.exists(_c(golds), lambda g: norm_a(g) == p)).cast("int")
 
 
 def em_b(pred, gold) -> Column:
@@ -102,10 +111,10 @@ def f1_set(pred, gold) -> Column:
 
 def bag_overlap(tp: Column, tg: Column) -> Column:
     """Size of the multiset (Counter) intersection of two token lists."""
-    return F.aggregate(
-        F.array_intersect(tp, tg), F.lit(0),
-        lambda s, w: s + F.least(F.size(F.filter(tp, lambda x: x == w)),
-                                 F.size(F.filter(tg, lambda x: x == w))))
+    return let(F.struct(tp.alias("p"), tg.alias("g")), lambda b: F.aggregate(
+        F.array_intersect(b["p"], b["g"]), F.lit(0),
+        lambda s, w: s + F.least(F.size(F.filter(b["p"], lambda x: x == w)),
+                                 F.size(F.filter(b["g"], lambda x: x == w)))))
 
 
 def f1_bag(pred, gold) -> Column:
@@ -121,7 +130,7 @@ def max_over_golds(metric: Callable[[Column, Column], Column], pred, golds) -> C
     ``metric`` is a Python function returning a Column, so the whole
     computation stays a Catalyst expression.
     """
-    return F.array_max(F.transform(_c(golds), lambda g: metric(_c(pred), g)))
+    return let(_c(pred), lambda p: F.array_max(F.transform(_c(golds), lambda g: metric(p, g))))
 
 
 def rouge_tokens(x) -> Column:
@@ -138,11 +147,9 @@ def chunk_words(text, n: int = 100, sep: str = " ") -> Column:
 
     ``''`` gives one ``''`` passage, as the reference does.
     """
-    words = F.split(_c(text), _regex_quote(sep), -1)
-    n_chunks = F.ceil(F.size(words) / F.lit(float(n))).cast("int")
-    return F.transform(
-        F.sequence(F.lit(0), n_chunks - 1),
-        lambda i: strip(F.array_join(F.slice(words, i * n + 1, n), sep)))
+    return let(F.split(_c(text), _regex_quote(sep), -1), lambda words: F.transform(
+        F.sequence(F.lit(0), F.ceil(F.size(words) / F.lit(float(n))).cast("int") - 1),
+        lambda i: strip(F.array_join(F.slice(words, i * n + 1, n), sep))))
 
 
 def strip_title(x) -> Column:

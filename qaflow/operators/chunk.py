@@ -19,9 +19,8 @@ FIRST_WORD_ID = 4
 
 def ws_tokens(x) -> Column:
     """Whitespace tokens of the stripped text; ``''`` gives an empty list."""
-    s = T.strip(x)
-    return F.when(s == "", F.array().cast("array<string>")).otherwise(
-        F.split(s, "(?U)[\\s\\x1c-\\x1f]+", -1))
+    return T.let(T.strip(x), lambda s: F.when(s == "", F.array().cast("array<string>")).otherwise(
+        F.split(s, "(?U)[\\s\\x1c-\\x1f]+", -1)))
 
 
 def split_passages(df: DataFrame, n: int = 100, *, text: str = "text", title: str = "title",
@@ -48,13 +47,15 @@ def sliding_chunks(df: DataFrame, size: int = 100, stride: int = 0, *, text: str
     """Windows of ``size`` tokens overlapping by ``stride`` (stride < size)."""
     if not 0 <= stride < size:
         raise ValueError("stride must satisfy 0 <= stride < size")
-    toks = ws_tokens(text)
-    starts = F.sequence(F.lit(0), F.greatest(F.size(toks) - stride - 1, F.lit(0)), F.lit(size - stride))
+    # windows are built inside the row (tokens bound once), then exploded:
+    # no exploded row ever carries the whole token array of its document
+    windows = T.let(ws_tokens(text), lambda toks: F.transform(
+        F.sequence(F.lit(0), F.greatest(F.size(toks) - stride - 1, F.lit(0)), F.lit(size - stride)),
+        lambda s: F.slice(toks, s + 1, F.lit(size))))
     return (df.where(F.col(text).isNotNull())
-            .select(key, toks.alias("_t"), F.posexplode(starts).alias("idx", "_s"))
-            .select(key, F.col("idx").cast("int"),
-                    F.slice("_t", F.col("_s") + 1, F.lit(size)).alias("_w"))
-            .select(key, "idx", F.size("_w").alias("n_tokens"), F.array_join("_w", " ").alias("text")))
+            .select(key, F.posexplode(windows).alias("idx", "_w"))
+            .select(key, F.col("idx").cast("int"), F.size("_w").alias("n_tokens"),
+                    F.array_join("_w", " ").alias("text")))
 
 
 # ---------------------------------------------------------------------------

@@ -15,8 +15,6 @@ defaults are deterministic stand-ins that need no weights:
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -26,52 +24,48 @@ from qaflow.functions import text as T
 
 HASH_DIM = 64
 
-# token -> (first 8 hex digits as int, sign); per Python worker, reused across batches
-_TOKEN_CACHE: dict[str, tuple[int, int]] = {}
+def token_codes(normalized, dim: int = HASH_DIM) -> Column:
+    """Per token of an F2-normalised text: ``sign * (bucket + 1)`` from its md5.
 
+    bucket = first 8 hex digits mod ``dim``; the sign is negative when the
+    9th hex digit is >= 8.  Computed JVM-side (built-in ``md5`` / ``conv``).
+    """
+    def code(t):
+        h = F.md5(t)
+        bucket = F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint") % dim + 1
+        neg = F.conv(F.substring(h, 9, 1), 16, 10).cast("int") >= 8
+        return F.when(neg, -bucket).otherwise(bucket).cast("int")
 
-def _token_code(tok: str) -> tuple[int, int]:
-    v = _TOKEN_CACHE.get(tok)
-    if v is None:
-        h = hashlib.md5(tok.encode("utf-8")).hexdigest()
-        v = (int(h[:8], 16), -1 if int(h[8], 16) >= 8 else 1)
-        if len(_TOKEN_CACHE) < 2_000_000:
-            _TOKEN_CACHE[tok] = v
-    return v
+    return F.transform(T.tokens(normalized), code)
 
 
-def hash_vectors(normalized: pd.Series, dim: int = HASH_DIM) -> list:
-    """F14 in numpy: sum of signed md5 buckets of the tokens, L2-normalised."""
-    n = len(normalized)
+def hash_vectors(codes: pd.Series, dim: int = HASH_DIM) -> pd.Series:
+    """F14 scatter: signed bucket codes -> unit vectors, vectorised over the batch."""
+    n = len(codes)
+    lens = codes.map(lambda a: 0 if a is None else len(a)).to_numpy(dtype=np.int64)
     M = np.zeros((n, dim))
-    rows, cols, vals = [], [], []
-    for i, s in enumerate(normalized.to_numpy()):
-        if s is None or s == "":
-            continue
-        for tok in s.split(" "):
-            h, sign = _token_code(tok)
-            rows.append(i)
-            cols.append(h % dim)
-            vals.append(sign)
-    if rows:
-        np.add.at(M, (np.asarray(rows), np.asarray(cols)), np.asarray(vals, dtype=np.float64))
+    if lens.sum() > 0:
+        flat = np.concatenate([np.asarray(a, dtype=np.int64) for a in codes.to_numpy() if a is not None
+                               and len(a)])
+        rows = np.repeat(np.arange(n), lens)
+        np.add.at(M, (rows, np.abs(flat) - 1), np.sign(flat).astype(np.float64))
     norms = np.linalg.norm(M, axis=1, keepdims=True)
     M = np.divide(M, norms, out=np.zeros_like(M), where=norms > 0)
-    return list(M)
+    return pd.Series(list(M))
 
 
 def hash_encoder(dim: int = HASH_DIM):
     """U1 default: ``Column(text) -> Column(array<double>)``, unit norm.
 
-    The text is normalised JVM-side (F2); only the token hashing runs in
-    the Arrow-batched pandas UDF.
+    Normalisation (F2), tokenisation and md5 run JVM-side; only the
+    scatter-add and the norm run in the Arrow-batched pandas UDF.
     """
     @F.pandas_udf("array<double>")
-    def _encode(normalized: pd.Series) -> pd.Series:
-        return pd.Series(hash_vectors(normalized, dim))
+    def _encode(codes: pd.Series) -> pd.Series:
+        return hash_vectors(codes, dim)
 
     def encode(text) -> Column:
-        return _encode(T.norm_b(text))
+        return _encode(token_codes(T.norm_b(text), dim))
 
     return encode
 
@@ -117,16 +111,19 @@ def extractive_generator(question, contexts, max_len: int = 25) -> Column:
     the question (ties: lower context rank, then earlier sentence), cut to
     ``max_len`` words.  No contexts gives ``''``.
     """
-    qt = T.tokens(T.norm_a(question))
-    cands = F.flatten(F.transform(
-        F.coalesce(T._c(contexts), F.array().cast("array<string>")),
-        lambda c, i: F.transform(
-            F.split(c, SENTENCE_SPLIT, -1),
-            lambda s, j: F.struct(
-                F.size(F.array_intersect(T.tokens(T.norm_a(s)), qt)).alias("ov"),
-                (-i).alias("ni"), (-j).alias("nj"), s.alias("s")))))
-    best = F.array_max(cands)
-    return F.when(F.size(cands) > 0, _first_words(best["s"], max_len)).otherwise(F.lit(""))
+    def pick(qt):
+        cands = F.flatten(F.transform(
+            F.coalesce(T._c(contexts), F.array().cast("array<string>")),
+            lambda c, i: F.transform(
+                F.split(c, SENTENCE_SPLIT, -1),
+                lambda s, j: F.struct(
+                    F.size(F.array_intersect(T.tokens(T.norm_a(s)), qt)).alias("ov"),
+                    (-i).alias("ni"), (-j).alias("nj"), s.alias("s")))))
+        return T.let(F.array_max(cands), lambda best: F.coalesce(best["s"], F.lit("")))
+
+    best = T.let(T.tokens(T.norm_a(question)), pick)
+    return F.when(F.coalesce(F.size(T._c(contexts)), F.lit(0)) > 0, _first_words(best, max_len)) \
+        .otherwise(F.lit(""))
 
 
 def lead_generator(question, contexts, max_len: int = 25) -> Column:

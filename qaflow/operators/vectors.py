@@ -60,8 +60,10 @@ def l2_norm(v) -> Column:
 
 def l2_normalize(v) -> Column:
     """Divide by the 2-norm; a zero vector stays zero."""
-    n = l2_norm(v)
-    return F.transform(_c(v), lambda x: F.when(n > 0, x.cast("double") / n).otherwise(F.lit(0.0)))
+    from qaflow.functions.text import let
+
+    return let(F.struct(_c(v).alias("v"), l2_norm(v).alias("n")), lambda b: F.transform(
+        b["v"], lambda x: F.when(b["n"] > 0, x.cast("double") / b["n"]).otherwise(F.lit(0.0))))
 
 
 def cast_vectors(df: DataFrame, col: str, dim: int | None = None, to: str = "float") -> DataFrame:

@@ -21,7 +21,9 @@ K = 15
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    from qaflow.sources.readers import read_table
+
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def _passages(spark, sf_dir):

@@ -18,6 +18,22 @@ QA_SCHEMA = "question string, answer struct<aliases: array<string>, value: strin
 PRERETRIEVED_SCHEMA = "question string, answer string, contexts array<string>"
 
 
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A parquet table, spread over the session's cores when it arrives in too few files.
+
+    A large table comes as many files and row groups and the scan already
+    yields one task per split; a table of a single file (one row group)
+    would put all per-row text work into one task, so it is round-robin
+    repartitioned to ``spark.default.parallelism``.  The check is on the
+    file listing only, so big inputs never pay for the extra exchange.
+    """
+    df = spark.read.parquet(path)
+    want = spark.sparkContext.defaultParallelism
+    if len(df.inputFiles()) < want:
+        df = df.repartition(want)
+    return df
+
+
 def read_kb_tsv(spark: SparkSession, path: str) -> DataFrame:
     """Headerless two-column TSV (``title``, ``text``), quotes as in CSV."""
     return spark.read.csv(path, sep="\t", schema=KB_SCHEMA, quote='"', escape='"',
