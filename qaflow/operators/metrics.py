@@ -113,6 +113,11 @@ def best_checkpoint(history: DataFrame, metric: str, *, mode: str = "max", patie
     new best stops training.  Windows are partitioned by ``by`` (one small
     history per metric), never over a whole table.
     """
+    if not by:
+        # one history: a constant group (bounded by the number of checkpoints)
+        out = best_checkpoint(history.withColumn("_all", F.lit(0)), metric, mode=mode,
+                              patience=patience, step=step, by=["_all"])
+        return out.drop("_all")
     sign = 1.0 if mode == "max" else -1.0
     v = F.col(metric) * F.lit(sign)
     w = Window.partitionBy(*by).orderBy(step)
@@ -125,15 +130,7 @@ def best_checkpoint(history: DataFrame, metric: str, *, mode: str = "max", patie
     best = history.groupBy(*by).agg(
         F.max_by(F.col(step), ordering).alias("best_step"),
         (F.max(F.col(metric) * F.lit(sign)) * F.lit(sign)).alias("best"))
-    if by:
-        return best.join(stop, list(by), "left")
-    return _attach_stop(best, stop)
-
-
-def _attach_stop(best: DataFrame, stop: DataFrame) -> DataFrame:
-    # no grouping columns: both sides hold exactly one row (stop at most one)
-    s = stop.agg(F.min("stopped_at").alias("stopped_at"))
-    return best.withColumn("_k", F.lit(1)).join(s.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    return best.join(stop, list(by), "left")
 
 
 def total_steps(n_rows: Column, batch: int, accumulate: int, devices: int, epochs: int) -> Column:

@@ -52,7 +52,7 @@ def require_nonempty_pairs(df: DataFrame, source: str = "source", target: str =
     ok = (F.coalesce(F.length(source), F.lit(0)) > 0) & (F.coalesce(F.length(target), F.lit(0)) > 0)
     valid = df.where(ok)
     if strict:
-        valid = df.withColumn("_ok", F.assert_true(ok, "empty source or target line")).drop("_ok")
+        valid = df.where(F.assert_true(ok, "empty source or target line").isNull())
     return valid, df.where(~ok)
 
 

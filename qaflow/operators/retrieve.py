@@ -174,3 +174,31 @@ def iterative_retrieve(questions: DataFrame, index: DataFrame, passages: DataFra
     from functools import reduce
     hist = reduce(DataFrame.unionByName, rounds)
     return hist, state
+
+
+# ---------------------------------------------------------------------------
+# Positional pairing made explicit
+# ---------------------------------------------------------------------------
+
+def pair_by_position(left: DataFrame, right: DataFrame, keys=("shard", "pos"),
+                     strict: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Rows paired by an explicit position key; mismatches are reported.
+
+    The reference's ``zip`` silently truncates to the shorter side; a full
+    outer join keeps both sides' orphans visible (``strict`` fails on any).
+    """
+    lm = left.withColumn("_l", F.lit(True))
+    rm = right.withColumn("_r", F.lit(True))
+    full = lm.join(rm, list(keys), "full_outer")
+    both = F.col("_l").isNotNull() & F.col("_r").isNotNull()
+    paired = full.where(both).drop("_l", "_r")
+    if strict:
+        # a filter (not a dropped column) so the optimizer cannot prune the check
+        paired = full.where(F.assert_true(both, "unpaired position").isNull()).drop("_l", "_r")
+    return paired, full.where(~both).drop("_l", "_r")
+
+
+def pair_predictions(preds: DataFrame, golds: DataFrame, strict: bool = True) -> DataFrame:
+    """Prediction i with gold i by ``line_no``; ``strict`` raises on a length mismatch."""
+    paired, _orphans = pair_by_position(preds, golds, ("line_no",), strict=strict)
+    return paired

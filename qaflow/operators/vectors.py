@@ -174,6 +174,7 @@ def _emit(qids, best_s, best_id) -> pd.DataFrame:
 
 def grouped_topk(queries: DataFrame, corpus: DataFrame, k: int, *,
                  broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
+                 broadcast_max_rows: int = 200_000,
                  query_block: int = 4096, corpus_block: int = 20000,
                  dedupe: bool = False, force_blocks: bool = False) -> DataFrame:
     """Top-k corpus rows per query among rows sharing a group.
@@ -181,6 +182,10 @@ def grouped_topk(queries: DataFrame, corpus: DataFrame, k: int, *,
     ``queries``: ``q_id long, q_vec array<double|float>, g long`` (one row per
     (query, group) the query probes).  ``corpus``: ``c_id long, c_vec array,
     g long`` (one row per (row, group)).  Returns ``q_id, rank, c_id, score``.
+
+    The broadcast path fetches at most ``broadcast_max_rows + 1`` query rows
+    (one bounded job) and uses them only if they are all the rows and their
+    matrix fits ``broadcast_max_bytes``; otherwise the block path runs.
     """
     spark = queries.sparkSession
     q = queries.select(F.col("q_id").cast("long"), F.col("q_vec").cast("array<double>"),
@@ -188,15 +193,15 @@ def grouped_topk(queries: DataFrame, corpus: DataFrame, k: int, *,
     c = corpus.select(F.col("c_id").cast("long"), F.col("c_vec").cast("array<double>"),
                       F.col("g").cast("long"))
 
-    use_broadcast = False
+    block = None
     if not force_blocks:
-        # size check before anything is collected: rows x dim x 8 bytes
-        stats = q.agg(F.count("*").alias("n"), F.max(F.size("q_vec")).alias("d")).first()
-        n, d = int(stats["n"] or 0), int(stats["d"] or 0)
-        use_broadcast = n * max(d, 1) * 8 <= broadcast_max_bytes
+        head = q.limit(broadcast_max_rows + 1).toPandas()
+        dim = max((len(v) for v in head["q_vec"] if v is not None), default=0)
+        if len(head) <= broadcast_max_rows and len(head) * max(dim, 1) * 8 <= broadcast_max_bytes:
+            block = head
 
-    if use_broadcast:
-        cand = _broadcast_topk(spark, q, c, k, dedupe)
+    if block is not None:
+        cand = _broadcast_topk(spark, block, c, k, dedupe)
     else:
         cand = _block_topk_join(q, c, k, query_block, corpus_block, dedupe)
     if dedupe:
@@ -204,8 +209,7 @@ def grouped_topk(queries: DataFrame, corpus: DataFrame, k: int, *,
     return topk_per_query(cand, k).select("q_id", "rank", "c_id", "score")
 
 
-def _broadcast_topk(spark, q: DataFrame, c: DataFrame, k: int, dedupe: bool) -> DataFrame:
-    pdf = q.toPandas()
+def _broadcast_topk(spark, pdf: pd.DataFrame, c: DataFrame, k: int, dedupe: bool) -> DataFrame:
     uq = pdf.drop_duplicates("q_id").reset_index(drop=True)
     qids = uq["q_id"].to_numpy(dtype=np.int64)
     Q = _matrix(uq["q_vec"])
@@ -306,9 +310,12 @@ def label_mean_centroids(df: DataFrame, label: str, vec: str) -> DataFrame:
 
 
 def train_centroids(df: DataFrame, vec: str, nlist: int, *, seed: int = 42,
-                    sample_fraction: float = 1.0, max_iter: int = 20) -> DataFrame:
+                    max_points_per_centroid: int = 256, max_iter: int = 20) -> DataFrame:
     """E5: coarse quantiser -- spherical k-means (MLlib, cosine) on a sample.
 
+    Like common IVF trainers, at most ``max_points_per_centroid * nlist``
+    vectors (a seeded Bernoulli sample) train the centroids; the count that
+    sizes the sample prunes the vector column, so it is a cheap scan.
     Returns unit-norm centroids ``cell int, centroid array<double>``; the
     centroid matrix (nlist x dim) is the only thing that reaches the driver.
     """
@@ -318,14 +325,16 @@ def train_centroids(df: DataFrame, vec: str, nlist: int, *, seed: int = 42,
     # zero vectors have no direction: they cannot train a cosine quantiser
     # (they are still assigned, to the lowest cell, by assign_cells)
     data = df.where(l2_norm(vec) > 0).select(array_to_vector(l2_normalize(vec)).alias("features"))
-    if sample_fraction < 1.0:
-        data = data.sample(fraction=sample_fraction, seed=seed)
+    n = df.count()
+    cap = max_points_per_centroid * nlist
+    if n > cap:
+        data = data.sample(fraction=min(1.0, 1.2 * cap / n), seed=seed)
     model = KMeans(k=nlist, distanceMeasure="cosine", seed=seed, maxIter=max_iter).fit(data)
     rows = []
     for i, cvec in enumerate(model.clusterCenters()):
         v = np.asarray(cvec, dtype=np.float64)
-        n = np.linalg.norm(v)
-        rows.append((i, (v / n if n > 0 else v).tolist()))
+        nv = np.linalg.norm(v)
+        rows.append((i, (v / nv if nv > 0 else v).tolist()))
     spark = df.sparkSession
     return spark.createDataFrame(rows, "cell int, centroid array<double>")
 

@@ -626,3 +626,32 @@ def q_stream_answers(spark, sf_dir):
 
     refresh.answer_stream(spark, inbox, out, ckpt, "item_id long, question string", answer_batch)
     return spark.read.parquet(out).select("item_id", "prediction")
+
+
+def q_eval_e2e_pct(spark, sf_dir):
+    """M8 + K5 + S7 + J3 + G2: base answers and golds written as line files,
+    read back, paired by line and scored in percent with normaliser B."""
+    from qaflow import scratch_path
+    from qaflow.plans import modes
+    from qaflow.sources import readers, writers
+
+    P, Q = _passages(spark, sf_dir), _questions(spark, sf_dir)
+    preds = modes.predictions(Q, P, modes=("base",))
+    pred_path, gold_path = scratch_path(spark, "preds"), scratch_path(spark, "golds")
+    writers.write_predictions(preds, pred_path, col="prediction", order="item_id", recalculate=True)
+    writers.write_predictions(Q.withColumn("g", prep.first_gold("golds")), gold_path, col="g",
+                              order="item_id", recalculate=True)
+    hyp = readers.read_predictions(spark, pred_path)
+    gold, _quarantine = readers.read_gold(spark, gold_path, "ans")
+    paired = retrieve.pair_predictions(hyp, gold, strict=True)
+    out = metrics.qa_summary_pct(paired, "prediction", "golds")
+    return out.select(F.round("em", 6).alias("em"), F.round("f1", 6).alias("f1"))
+
+
+def q_throughput_modes(spark, sf_dir):
+    """G8 + K6: answered / seconds / qps per mode (timings vary: rows-only check)."""
+    from qaflow.plans import modes
+
+    P, Q = _passages(spark, sf_dir), _questions(spark, sf_dir)
+    reps = [metrics.throughput_report(modes.predictions(Q, P, modes=(m,)), m) for m in ("base", "gen_only")]
+    return reduce(DataFrame.unionByName, reps)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +38,8 @@ def predictions(questions: DataFrame, passages: DataFrame, *, k: int = 15, n_rer
       by default the generator over the top-5 contexts.  Recall 0 by
       construction, as in the reference.
     """
-    index = retrieve.index_passages(passages)
+    # the index is encoded once and shared by every retrieval of every mode
+    index = retrieve.index_passages(passages).persist(StorageLevel.MEMORY_AND_DISK)
     hits = retrieve.lookup_passages(retrieve.similarity_join(questions, index, k, key=key),
                                     passages, ("text",)).cache()
     q = questions.select(key, "question")

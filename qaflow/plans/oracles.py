@@ -350,3 +350,12 @@ per AS (SELECT item_id,
 SELECT CAST(5 AS BIGINT) AS k, count(*) AS n,
        round(100.0 * avg(len(list_intersect(hyp, ref)) / 5.0), 6) AS precision
 FROM questions q LEFT JOIN per USING (item_id)"""
+
+ORACLES["eval_e2e_pct"] = f"""{S.retrieval(15)},
+ctx AS (SELECT q.item_id, q.question, list(p.text ORDER BY h.rank) AS contexts
+        FROM hits h JOIN passages p USING (passage_id) JOIN questions q USING (item_id)
+        GROUP BY q.item_id, q.question),
+{S.extractive("question", "ctx").strip()}
+SELECT round(100.0 * avg(CASE WHEN {S.norm_b("a.prediction")} = {S.norm_b("q.golds[1]")} THEN 1 ELSE 0 END), 6) AS em,
+       round(100.0 * avg({S.f1_bag("a.prediction", "q.golds[1]")}), 6) AS f1
+FROM answers a JOIN questions q USING (item_id)"""

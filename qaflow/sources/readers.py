@@ -107,8 +107,8 @@ def read_parallel_lines(spark: SparkSession, source_path: str, target_path: str,
     pairs = full.where(F.col("source").isNotNull() & F.col("target").isNotNull())
     unmatched = full.where(F.col("source").isNull() | F.col("target").isNull())
     if strict:
-        pairs = full.withColumn("_ok", F.assert_true(
-            F.col("source").isNotNull() & F.col("target").isNotNull(), "unpaired line")).drop("_ok")
+        pairs = full.where(F.assert_true(
+            F.col("source").isNotNull() & F.col("target").isNotNull(), "unpaired line").isNull())
     return pairs, unmatched
 
 

@@ -16,6 +16,7 @@ never published).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,7 +54,8 @@ def refresh_index(spark: SparkSession, base: str, changed_docs: DataFrame, *, nl
     new_v = version if version is not None else (live_v or 0) + 1
     if live_v is not None and live_v >= new_v:
         return live_v  # already applied (re-run of the same batch)
-    fresh = encode_documents(changed_docs, encoder)
+    # the delta is encoded once and reused by training, assignment and the write
+    fresh = encode_documents(changed_docs, encoder).persist(StorageLevel.MEMORY_AND_DISK)
     if cents is None:
         cents = vectors.train_centroids(fresh, "embedding", nlist, seed=seed)
     fresh = vectors.assign_cells(fresh, cents, "embedding")
@@ -64,6 +66,7 @@ def refresh_index(spark: SparkSession, base: str, changed_docs: DataFrame, *, nl
         merged = fresh.select(*POSTING_COLS, "cell")
     writers.publish_index(merged, cents, base, new_v)
     writers.swap_version(spark, base, new_v)
+    fresh.unpersist()
     return new_v
 
 
