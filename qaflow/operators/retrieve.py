@@ -83,13 +83,26 @@ def similarity_join(questions: DataFrame, index: DataFrame, k: int, *, key: str
     q = questions.select(F.col(key), enc(F.col(text)).alias("q_vec"))
     hits = vectors.exact_topk(q, index, k, q_id=key, q_vec="q_vec", c_id="passage_id",
                               c_vec="embedding", **kw)
-    return hits.select(F.col("q_id").alias(key), F.col("rank").cast("int"),
-                       F.col("c_id").alias("passage_id"), F.round("score", 6).alias("score"))
+    out = hits.select(F.col("q_id").alias(key), F.col("rank").cast("int"),
+                      F.col("c_id").alias("passage_id"), F.round("score", 6).alias("score"))
+    out._qaflow_max_rows = getattr(hits, "_qaflow_max_rows", None)
+    return out
+
+
+LOOKUP_BROADCAST_MAX_ROWS = 2_000_000
 
 
 def lookup_passages(hits: DataFrame, passages: DataFrame, cols=("title", "text")) -> DataFrame:
-    """Neighbour id -> passage record (only the requested columns travel)."""
-    return hits.join(passages.select("passage_id", *cols), "passage_id")
+    """Neighbour id -> passage record (only the requested columns travel).
+
+    When the hits carry a proven row bound (queries x k from a collected
+    query block) under ``LOOKUP_BROADCAST_MAX_ROWS``, they are broadcast and
+    the passage table is streamed through a hash join without a shuffle;
+    otherwise AQE picks the join from runtime sizes (skew splitting on).
+    """
+    bound = getattr(hits, "_qaflow_max_rows", None)
+    side = F.broadcast(hits) if bound is not None and bound <= LOOKUP_BROADCAST_MAX_ROWS else hits
+    return side.join(passages.select("passage_id", *cols), "passage_id")
 
 
 def contexts_by_rank(hits_text: DataFrame, key: str = "item_id", text: str = "text",

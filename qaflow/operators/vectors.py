@@ -206,7 +206,10 @@ def grouped_topk(queries: DataFrame, corpus: DataFrame, k: int, *,
         cand = _block_topk_join(q, c, k, query_block, corpus_block, dedupe)
     if dedupe:
         cand = cand.groupBy("q_id", "c_id").agg(F.max("score").alias("score"))
-    return topk_per_query(cand, k).select("q_id", "rank", "c_id", "score")
+    out = topk_per_query(cand, k).select("q_id", "rank", "c_id", "score")
+    # a proven upper bound on the result rows (distinct queries x k) when known
+    out._qaflow_max_rows = (block["q_id"].nunique() * k) if block is not None else None
+    return out
 
 
 def _broadcast_topk(spark, pdf: pd.DataFrame, c: DataFrame, k: int, dedupe: bool) -> DataFrame:
