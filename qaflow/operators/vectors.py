@@ -342,28 +342,39 @@ def train_centroids(df: DataFrame, vec: str, nlist: int, *, seed: int = 42,
     return spark.createDataFrame(rows, "cell int, centroid array<double>")
 
 
+CENTROID_BROADCAST_MAX_BYTES = 256 << 20
+
+
 def _centroid_block(centroids: DataFrame, max_bytes: int):
+    """The centroid matrix if it fits ``max_bytes`` (checked before collecting), else None."""
     stats = centroids.agg(F.count("*").alias("n"), F.max(F.size("centroid")).alias("d")).first()
     n, d = int(stats["n"] or 0), int(stats["d"] or 0)
     if n * max(d, 1) * 8 > max_bytes:
-        raise ValueError(f"centroid table of {n} x {d} exceeds the broadcast bound {max_bytes} bytes")
+        return None
     pdf = centroids.toPandas().sort_values("cell")
     return pdf["cell"].to_numpy(dtype=np.int64), _matrix(pdf["centroid"])
 
 
 def nearest_cells(df: DataFrame, centroids: DataFrame, vec: str, n: int = 1, *,
                   normalize: bool = True, out: str = "cell", as_list: bool | None = None,
-                  max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
+                  max_bytes: int = CENTROID_BROADCAST_MAX_BYTES, key: str | None = None) -> DataFrame:
     """The ``n`` best cells per row by (round(dot,6) desc, cell asc).
 
     ``n = 1`` is E6 (``out`` is an int column); ``n > 1`` gives the probe list
-    of E7 (``out`` is an ``array<int>`` ordered best first).  The centroid
-    matrix is size-checked and broadcast; rows are scored in ``mapInPandas``.
+    of E7 (``out`` is an ``array<int>`` ordered best first).  A centroid
+    matrix within ``max_bytes`` is broadcast and rows are scored in
+    ``mapInPandas``; a larger one (e.g. 32768 cells x 768 dims) is joined in
+    blocks instead (:func:`grouped_topk`), which needs a unique ``key``.
     """
     spark = df.sparkSession
-    cells, C = _centroid_block(centroids, max_bytes)
-    bc = spark.sparkContext.broadcast((cells, C))
     as_list = (n > 1) if as_list is None else as_list
+    block = _centroid_block(centroids, max_bytes)
+    if block is None:
+        if key is None:
+            raise ValueError("centroids exceed the broadcast bound: pass key= for the block join")
+        return _nearest_cells_blocked(df, centroids, vec, n, normalize, out, as_list, key)
+    cells, C = block
+    bc = spark.sparkContext.broadcast((cells, C))
     out_type = T.ArrayType(T.IntegerType()) if as_list else T.IntegerType()
     schema = T.StructType(df.schema.fields + [T.StructField(out, out_type)])
 
@@ -387,6 +398,18 @@ def nearest_cells(df: DataFrame, centroids: DataFrame, vec: str, n: int = 1, *,
     return df.mapInPandas(assign, schema)
 
 
+def _nearest_cells_blocked(df, centroids, vec, n, normalize, out, as_list, key):
+    v = l2_normalize(vec) if normalize else F.col(vec)
+    q = df.select(F.col(key).alias("q_id"), v.alias("q_vec"), F.lit(0).alias("g"))
+    c = centroids.select(F.col("cell").cast("long").alias("c_id"), F.col("centroid").alias("c_vec"),
+                         F.lit(0).alias("g"))
+    top = grouped_topk(q, c, n, force_blocks=True)
+    best = top.groupBy("q_id").agg(F.sort_array(F.collect_list(F.struct("rank", "c_id"))).alias("_s"))
+    cells = F.transform("_s", lambda x: x["c_id"].cast("int"))
+    picked = best.select(F.col("q_id").alias(key), (cells if as_list else F.element_at(cells, 1)).alias(out))
+    return df.join(picked, key)
+
+
 def assign_cells(df: DataFrame, centroids: DataFrame, vec: str, **kw) -> DataFrame:
     """Each vector to its best cell (cosine; the vector is unit-normalised first)."""
     return nearest_cells(df, centroids, vec, 1, **kw)
@@ -402,7 +425,7 @@ def ivf_topk(queries: DataFrame, postings: DataFrame, centroids: DataFrame, k: i
     at run time (dynamic partition pruning).
     """
     probes = nearest_cells(queries.select(q_id, q_vec), centroids, q_vec, nprobe, normalize=False,
-                           out="probe", as_list=True)
+                           out="probe", as_list=True, key=q_id)
     qx = probes.select(F.col(q_id).alias("q_id"), F.col(q_vec).alias("q_vec"),
                        F.explode("probe").alias("g"))
     probed = qx.select("g").distinct()

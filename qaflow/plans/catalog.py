@@ -203,14 +203,14 @@ def _label_centroids(e):
 
 def q_label_cells(spark, sf_dir):
     e = _emb(spark, sf_dir)
-    cells = vectors.assign_cells(e.select("vec_id", "embedding"), _label_centroids(e), "embedding")
+    cells = vectors.assign_cells(e.select("vec_id", "embedding"), _label_centroids(e), "embedding", key="vec_id")
     return cells.groupBy(F.col("cell").cast("bigint").alias("cell")).agg(F.count("*").alias("n"))
 
 
 def q_ivf_top15_probe3(spark, sf_dir):
     e = _emb(spark, sf_dir)
     cents = _label_centroids(e)
-    postings = vectors.assign_cells(e.select("vec_id", "embedding"), cents, "embedding")
+    postings = vectors.assign_cells(e.select("vec_id", "embedding"), cents, "embedding", key="vec_id")
     hits = vectors.ivf_topk(e, postings, cents, K, 3, q_id="vec_id", q_vec="embedding",
                             c_id="vec_id", c_vec="embedding")
     return hits.select("q_id", F.col("rank").cast("bigint"), "c_id", F.round("score", 6).alias("score"))
@@ -219,7 +219,7 @@ def q_ivf_top15_probe3(spark, sf_dir):
 def q_kmeans_ivf_recall(spark, sf_dir):
     e = _emb(spark, sf_dir)
     cents = vectors.train_centroids(e, "embedding", 16, seed=42)
-    postings = vectors.assign_cells(e.select("vec_id", "embedding"), cents, "embedding").cache()
+    postings = vectors.assign_cells(e.select("vec_id", "embedding"), cents, "embedding", key="vec_id").cache()
     exact = vectors.exact_topk(e, e, K, q_id="vec_id", q_vec="embedding", c_id="vec_id",
                                c_vec="embedding").cache()
     outs = []

@@ -58,7 +58,7 @@ def refresh_index(spark: SparkSession, base: str, changed_docs: DataFrame, *, nl
     fresh = encode_documents(changed_docs, encoder).persist(StorageLevel.MEMORY_AND_DISK)
     if cents is None:
         cents = vectors.train_centroids(fresh, "embedding", nlist, seed=seed)
-    fresh = vectors.assign_cells(fresh, cents, "embedding")
+    fresh = vectors.assign_cells(fresh, cents, "embedding", key="passage_id")
     if live is not None:
         keep = live.join(changed_docs.select("doc_id").distinct(), "doc_id", "left_anti")
         merged = keep.select(*POSTING_COLS, "cell").unionByName(fresh.select(*POSTING_COLS, "cell"))

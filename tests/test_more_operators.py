@@ -95,3 +95,20 @@ def test_micro_batch_last_short(spark):
     df = spark.range(70).withColumnRenamed("id", "pos")
     sizes = [r[1] for r in df.groupBy(split.micro_batch("pos", 32).alias("b")).count().orderBy("b").collect()]
     assert sizes == [32, 32, 6]
+
+
+def test_cell_assignment_block_fallback_matches_broadcast(spark):
+    from qaflow.plans import catalog
+    from tests.conftest import SF_SMALL
+
+    e = catalog.table(spark, SF_SMALL, "embeddings").select("vec_id", "embedding")
+    cents = vectors.label_mean_centroids(catalog.table(spark, SF_SMALL, "embeddings"), "label", "embedding")
+    a = vectors.assign_cells(e, cents, "embedding")
+    b = vectors.assign_cells(e, cents, "embedding", max_bytes=0, key="vec_id")
+    ra = sorted((r.vec_id, r.cell) for r in a.collect())
+    rb = sorted((r.vec_id, r.cell) for r in b.collect())
+    assert ra == rb
+    p1 = vectors.nearest_cells(e, cents, "embedding", 3, normalize=False, out="probe")
+    p2 = vectors.nearest_cells(e, cents, "embedding", 3, normalize=False, out="probe", max_bytes=0, key="vec_id")
+    assert sorted((r.vec_id, tuple(r.probe)) for r in p1.collect()) == \
+        sorted((r.vec_id, tuple(r.probe)) for r in p2.collect())
