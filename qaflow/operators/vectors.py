@@ -416,21 +416,27 @@ def assign_cells(df: DataFrame, centroids: DataFrame, vec: str, **kw) -> DataFra
 
 
 def ivf_topk(queries: DataFrame, postings: DataFrame, centroids: DataFrame, k: int, nprobe: int, *,
-             q_id: str, q_vec: str, c_id: str, c_vec: str, cell: str = "cell", **kw) -> DataFrame:
+             q_id: str, q_vec: str, c_id: str, c_vec: str, cell: str = "cell",
+             max_pruning_cells: int = 100_000, **kw) -> DataFrame:
     """Score only the postings in each query's ``nprobe`` best cells.
 
-    Queries are probed against the centroids, exploded to (query, cell),
-    and joined with the postings on the cell.  With postings written
-    ``partitionBy(cell)`` the probed-cell semi join prunes whole directories
-    at run time (dynamic partition pruning).
+    Queries are probed against the centroids and exploded to (query, cell).
+    The set of probed cells is at most ``nlist`` values: it is collected
+    (bounded) and pushed into the postings scan as ``cell IN (...)``, so with
+    postings written ``partitionBy(cell)`` only the probed directories are
+    read (static partition pruning).  Beyond ``max_pruning_cells`` a semi
+    join on the cell does the same at run time.
     """
     probes = nearest_cells(queries.select(q_id, q_vec), centroids, q_vec, nprobe, normalize=False,
                            out="probe", as_list=True, key=q_id)
     qx = probes.select(F.col(q_id).alias("q_id"), F.col(q_vec).alias("q_vec"),
                        F.explode("probe").alias("g"))
-    probed = qx.select("g").distinct()
-    cx = (postings.select(F.col(c_id).alias("c_id"), F.col(c_vec).alias("c_vec"), F.col(cell).alias("g"))
-          .join(probed, "g", "left_semi"))
+    probed = [r[0] for r in qx.select("g").distinct().limit(max_pruning_cells + 1).collect()]
+    cx = postings.select(F.col(c_id).alias("c_id"), F.col(c_vec).alias("c_vec"), F.col(cell).alias("g"))
+    if len(probed) <= max_pruning_cells:
+        cx = cx.where(F.col("g").isin(probed))
+    else:
+        cx = cx.join(qx.select("g").distinct(), "g", "left_semi")
     return grouped_topk(qx, cx, k, **kw)
 
 

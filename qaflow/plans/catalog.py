@@ -655,3 +655,22 @@ def q_throughput_modes(spark, sf_dir):
     P, Q = _passages(spark, sf_dir), _questions(spark, sf_dir)
     reps = [metrics.throughput_report(modes.predictions(Q, P, modes=(m,)), m) for m in ("base", "gen_only")]
     return reduce(DataFrame.unionByName, reps)
+
+
+def q_ivf_from_index(spark, sf_dir):
+    """E5-E7 + K7/K8 serving path: build a versioned cell index of the document
+    passages, then answer the benchmark questions from the stored version,
+    reading only the probed cell directories (nlist 8, nprobe 3)."""
+    from qaflow import scratch_path
+    from qaflow.operators import models
+    from qaflow.streaming import refresh
+
+    base = scratch_path(spark, "ivf")
+    refresh.refresh_index(spark, base, table(spark, sf_dir, "documents"), nlist=8)
+    _v, postings, cents = refresh.read_live(spark, base)
+    Q = _questions(spark, sf_dir)
+    q = Q.select("item_id", models.hash_encoder()(F.col("question")).alias("q_vec"))
+    hits = vectors.ivf_topk(q, postings, cents, K, 3, q_id="item_id", q_vec="q_vec",
+                            c_id="passage_id", c_vec="embedding")
+    return hits.select(F.col("q_id").alias("item_id"), F.col("rank").cast("bigint"),
+                       F.col("c_id").alias("passage_id"), F.round("score", 6).alias("score"))

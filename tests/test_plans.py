@@ -35,3 +35,23 @@ def test_vector_scan_prunes_label(spark):
     e = catalog.table(spark, SF_SMALL, "embeddings")
     hits = vectors.exact_topk(e, e, 5, q_id="vec_id", q_vec="embedding", c_id="vec_id", c_vec="embedding")
     assert "ReadSchema: struct<vec_id:bigint,embedding:array<float>>" in _plan(hits)
+
+
+def test_ivf_reads_only_probed_cells(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from qaflow.operators import vectors
+
+    e = catalog.table(spark, SF_SMALL, "embeddings")
+    cents = vectors.label_mean_centroids(e, "label", "embedding")
+    post = vectors.assign_cells(e.select("vec_id", "embedding"), cents, "embedding", key="vec_id")
+    path = str(tmp_path / "postings")
+    post.write.partitionBy("cell").parquet(path)
+    stored = spark.read.parquet(path)
+    q = e.where(F.col("label") == 3).select("vec_id", "embedding")
+    hits = vectors.ivf_topk(q, stored, cents, 5, 1, q_id="vec_id", q_vec="embedding",
+                            c_id="vec_id", c_vec="embedding")
+    plan = _plan(hits)
+    import re
+    assert re.search(r"PartitionFilters: \[cell#\d+ IN \(", plan), plan
+    assert hits.count() == q.count() * 5
