@@ -28,7 +28,6 @@ the corpus id asc: a total order, so results are deterministic.
 
 from __future__ import annotations
 
-import math
 
 import numpy as np
 import pandas as pd
