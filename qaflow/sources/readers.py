@@ -29,7 +29,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     """
     df = spark.read.parquet(path)
     want = spark.sparkContext.defaultParallelism
-    if df._jdf.inputFiles().length < want:  # counted JVM-side, the list is not shipped
+    if len(df._jdf.inputFiles()) < want:  # a JVM array proxy: counted JVM-side, not shipped
         df = df.repartition(want)
     return df
 
