@@ -359,3 +359,86 @@ ctx AS (SELECT q.item_id, q.question, list(p.text ORDER BY h.rank) AS contexts
 SELECT round(100.0 * avg(CASE WHEN {S.norm_b("a.prediction")} = {S.norm_b("q.golds[1]")} THEN 1 ELSE 0 END), 6) AS em,
        round(100.0 * avg({S.f1_bag("a.prediction", "q.golds[1]")}), 6) AS f1
 FROM answers a JOIN questions q USING (item_id)"""
+
+# --- answering modes ------------------------------------------------------------
+
+_CTX = """
+{name} AS (SELECT q.item_id, q.question,
+                  (SELECT list(p.text ORDER BY h.rank) FROM hits h JOIN passages p USING (passage_id)
+                   WHERE h.item_id = q.item_id AND h.rank <= {k}) AS contexts
+           FROM questions q)"""
+
+
+def _iter_chain() -> str:
+    """R4 in SQL: round 0 over the base contexts, round 1 over the expanded query."""
+    return f"""{_CTX.format(name="ctx", k=15).strip()},
+{S.extractive("question", "ctx", prefix="r0_").strip()},
+q1 AS (SELECT c.item_id, c.question || ' ' || a.prediction AS query FROM ctx c JOIN r0_answers a USING (item_id)),
+{S.query_hits("h1", "q1", "item_id", "query", 15)},
+{S.extractive("question", "h1_ctx", prefix="r1_").strip()}"""
+
+
+ORACLES["iterate_2"] = f"""{S.retrieval(15)},
+{_iter_chain()}
+SELECT item_id, CAST(0 AS BIGINT) AS round, c.question AS query, a.prediction AS answer
+FROM ctx c JOIN r0_answers a USING (item_id)
+UNION ALL
+SELECT item_id, CAST(1 AS BIGINT), c.question, a.prediction FROM h1_ctx c JOIN r1_answers a USING (item_id)"""
+
+ORACLES["stream_answers"] = f"""{S.retrieval(15)},
+{_CTX.format(name="ctx5", k=5).strip()},
+{S.extractive("question", "ctx5", prefix="g5_").strip()}
+SELECT item_id, prediction FROM g5_answers"""
+
+_EM = f"""CAST(list_bool_or(list_transform(q.golds, lambda g: {S.norm_a("g")} = {S.norm_a("m.prediction")})) AS INTEGER)"""
+_F1 = f"""coalesce(list_max(list_transform(q.golds, lambda g: {S.f1_set("m.prediction", "g")})), 0.0)"""
+
+ORACLES["six_modes"] = f"""{S.retrieval(15)},
+{_iter_chain()},
+q2 AS (SELECT c.item_id, c.question || ' ' || a.prediction AS query FROM h1_ctx c JOIN r1_answers a USING (item_id)),
+{S.query_hits("h2", "q2", "item_id", "query", 15)},
+lead AS (SELECT item_id, coalesce(array_to_string(list_slice(string_split_regex({S.strip("contexts[1]")}, '\\s+'), 1, 25), ' '), '')
+                AS prediction FROM ctx),
+rr_s AS (SELECT h.item_id, h.rank, p.text, round({S.f1_set("q.question", "p.text")}, 6) AS rr_score
+         FROM hits h JOIN passages p USING (passage_id) JOIN questions q USING (item_id)),
+rr AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY rr_score DESC, text DESC, rank) AS rr_rank
+                      FROM rr_s) WHERE rr_rank <= 6),
+rr_ctx AS (SELECT q.item_id, q.question, (SELECT list(text ORDER BY rr_rank) FROM rr WHERE rr.item_id = q.item_id) AS contexts
+           FROM questions q),
+{S.extractive("question", "rr_ctx", prefix="rr_").strip()},
+rr_hit AS (SELECT q.item_id, coalesce(max(CASE WHEN list_bool_or(list_transform(q.golds, lambda g: contains(lower(rr.text), {S.norm_a("g")}))) THEN 1 ELSE 0 END), 0) AS hit
+           FROM questions q LEFT JOIN rr USING (item_id) GROUP BY q.item_id),
+{_CTX.format(name="ctx5", k=5).strip()},
+{S.extractive("question", "ctx5", prefix="g5_").strip()},
+base_hit AS {S.hit_of("hits")},
+iter_hit AS {S.hit_of("h2_hits")},
+preds AS (
+  SELECT 'base' AS mode, a.item_id, a.prediction, h.hit FROM r0_answers a JOIN base_hit h USING (item_id)
+  UNION ALL SELECT 'lora', l.item_id, l.prediction, h.hit FROM lead l JOIN base_hit h USING (item_id)
+  UNION ALL SELECT 'rerank', a.item_id, a.prediction, h.hit FROM rr_answers a JOIN rr_hit h USING (item_id)
+  UNION ALL SELECT 'iter', a.item_id, a.prediction, h.hit FROM r1_answers a JOIN iter_hit h USING (item_id)
+  UNION ALL SELECT 'gen_only', item_id, '', 0 FROM questions
+  UNION ALL SELECT 'rag', a.item_id, a.prediction, 0 FROM g5_answers a)
+SELECT m.mode, count(*) AS n, round(avg({_EM}), 6) AS em, round(avg({_F1}), 6) AS f1,
+       round(sum(m.hit) / count(*), 6) AS recall
+FROM preds m JOIN questions q USING (item_id) GROUP BY m.mode"""
+
+ORACLES["lsh_top15_recall"] = """
+WITH planes AS (
+  SELECT a.p, list(('0x' || substr(md5(CAST(a.p AS VARCHAR) || '|' || CAST(b.j AS VARCHAR)), 1, 8))::BIGINT
+                   / 2147483648.0 - 1.0 ORDER BY b.j) AS w
+  FROM range(32) a(p) CROSS JOIN range(64) b(j) GROUP BY a.p),
+bits AS (SELECT e.vec_id, pl.p, CASE WHEN list_inner_product(e.embedding::DOUBLE[], pl.w) >= 0 THEN 1 ELSE 0 END AS bit
+         FROM embeddings e CROSS JOIN planes pl),
+bands AS (SELECT vec_id, (p // 4) * 16 + sum(bit * (1 << (p % 4))) AS g FROM bits GROUP BY vec_id, p // 4),
+cand AS (SELECT DISTINCT a.vec_id AS q_id, b.vec_id AS c_id FROM bands a JOIN bands b USING (g)),
+sc AS (SELECT c.q_id, c.c_id, round(list_inner_product(q.embedding::DOUBLE[], d.embedding::DOUBLE[]), 6) AS score
+       FROM cand c JOIN embeddings q ON q.vec_id = c.q_id JOIN embeddings d ON d.vec_id = c.c_id),
+approx AS (SELECT q_id, c_id FROM sc QUALIFY row_number() OVER (PARTITION BY q_id ORDER BY score DESC, c_id) <= 15),
+ex AS (SELECT q_id, c_id FROM (
+         SELECT q.vec_id AS q_id, c.vec_id AS c_id,
+                round(list_inner_product(q.embedding::DOUBLE[], c.embedding::DOUBLE[]), 6) AS score
+         FROM embeddings q CROSS JOIN embeddings c)
+       QUALIFY row_number() OVER (PARTITION BY q_id ORDER BY score DESC, c_id) <= 15),
+per AS (SELECT e.q_id, count(a.c_id) AS h FROM ex e LEFT JOIN approx a USING (q_id, c_id) GROUP BY e.q_id)
+SELECT round(sum(h) / (count(*) * 15.0), 6) AS recall, count(*) AS n_queries FROM per"""

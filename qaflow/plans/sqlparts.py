@@ -136,28 +136,59 @@ hits AS (
 )"""
 
 
-def extractive(question: str, contexts_table: str, key: str = "item_id") -> str:
+def extractive(question: str, contexts_table: str, key: str = "item_id", prefix: str = "") -> str:
     """U2 stand-in in SQL: best-overlap sentence of the ranked contexts, 25 words.
 
     ``contexts_table`` has (key, question, contexts list in rank order).
-    Sentences end at ``.!?`` followed by whitespace.
+    Sentences end at ``.!?`` followed by whitespace.  CTE names carry
+    ``prefix`` so several generator runs fit in one statement; the result
+    is ``{prefix}answers(key, prediction)``.
     """
     return f"""
-sent AS (
+{prefix}sent AS (
   SELECT {key}, i, generate_subscripts(ss, 1) AS j, unnest(ss) AS s, question
   FROM (SELECT {key}, question, i,
                string_split(regexp_replace(c, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)) AS ss
-        FROM (SELECT {key}, question, unnest(contexts) AS c, generate_subscripts(contexts, 1) AS i
+        FROM (SELECT {key}, {question} AS question, unnest(contexts) AS c, generate_subscripts(contexts, 1) AS i
               FROM {contexts_table}))
 ),
-best AS (
+{prefix}best AS (
   SELECT {key}, s FROM (
     SELECT {key}, s, row_number() OVER (PARTITION BY {key}
-             ORDER BY len(list_intersect({tok_a("s")}, {tok_a(question)})) DESC, i, j) AS r
-    FROM sent) WHERE r = 1
+             ORDER BY len(list_intersect({tok_a("s")}, {tok_a("question")})) DESC, i, j) AS r
+    FROM {prefix}sent) WHERE r = 1
 ),
-answers AS (
-  SELECT t.{key}, coalesce(array_to_string(list_slice(string_split_regex({strip("b.s")}, '\\s+'), 1, 25), ' '), '')
+{prefix}answers AS (
+  SELECT t.{key}, CASE WHEN len(coalesce(t.contexts, [])) = 0 THEN '' ELSE
+         coalesce(array_to_string(list_slice(string_split_regex({strip("b.s")}, '\\s+'), 1, 25), ' '), '') END
          AS prediction
-  FROM {contexts_table} t LEFT JOIN best b USING ({key})
+  FROM {contexts_table} t LEFT JOIN {prefix}best b USING ({key})
 )"""
+
+
+def query_hits(name: str, src: str, key: str, text: str, k: int) -> str:
+    """Exact top-k over ``p_unit`` for the texts of ``src``: CTE ``{name}_hits``.
+
+    Requires the ``passages`` and ``p_unit`` CTEs of :func:`retrieval`.
+    """
+    return f"""{hash_long(src, key, text, name).strip()},
+{name}_hits AS (
+  SELECT item_id, rank, passage_id, score FROM (
+    SELECT q.k AS item_id, p.k AS passage_id, round(list_inner_product(q.u, p.u), 6) AS score,
+           CAST(row_number() OVER (PARTITION BY q.k ORDER BY round(list_inner_product(q.u, p.u), 6) DESC, p.k) AS BIGINT) AS rank
+    FROM {name}_unit q CROSS JOIN p_unit p) WHERE rank <= {k}
+),
+{name}_ctx AS (
+  SELECT s.{key} AS item_id, s.{text} AS question,
+         (SELECT list(p.text ORDER BY h.rank) FROM {name}_hits h JOIN passages p USING (passage_id)
+          WHERE h.item_id = s.{key}) AS contexts
+  FROM {src} s
+)"""
+
+
+def hit_of(hits: str, key: str = "item_id") -> str:
+    """J5 over a hits CTE: (item_id, hit)."""
+    return f"""(SELECT q.item_id, coalesce(max(CASE WHEN list_bool_or(list_transform(q.golds, lambda g:
+               contains(lower(p.text), {norm_a("g")}))) THEN 1 ELSE 0 END), 0) AS hit
+        FROM questions q LEFT JOIN {hits} h USING (item_id) LEFT JOIN passages p USING (passage_id)
+        GROUP BY q.item_id)"""
