@@ -10,6 +10,17 @@ from pyspark.sql import functions as F
 
 from qaflow.functions import text as T
 
+# ---------------------------------------------------------------------------
+# Fixed values that must equal the reference's for identical prompts, in the
+# order they appear: the answering prompt (question mark, context mark) and
+# the per-context scoring prompt (query, context and score marks).
+# ---------------------------------------------------------------------------
+QA_PROMPT_MARK = "answer_question: "
+QA_CONTEXT_MARK = " context: "
+RERANK_QUERY_MARK = "Query: "
+RERANK_CONTEXT_MARK = "\nContext: "
+RERANK_SCORE_MARK = "\nScore:"
+
 
 def drop_null_text(df: DataFrame, text: str = "text") -> DataFrame:
     """Rows with null text are skipped (pushed down as ``IsNotNull``)."""
@@ -72,13 +83,14 @@ def qa_prompt(question, contexts) -> Column:
     ctx = F.coalesce(T._c(contexts), F.array().cast("array<string>"))
     numbered = F.array_join(F.transform(ctx, lambda c, i: F.concat(
         F.lit("["), (i + 1).cast("string"), F.lit("] "), c)), " ")
-    return F.concat(F.lit("answer_question: "), T._c(question),
-                    F.when(F.size(ctx) > 0, F.concat(F.lit(" context: "), numbered)).otherwise(F.lit("")))
+    return F.concat(F.lit(QA_PROMPT_MARK), T._c(question),
+                    F.when(F.size(ctx) > 0, F.concat(F.lit(QA_CONTEXT_MARK), numbered)).otherwise(F.lit("")))
 
 
 def rerank_prompt(query, context) -> Column:
     """The per-context scoring prompt."""
-    return F.concat(F.lit("Query: "), T._c(query), F.lit("\nContext: "), T._c(context), F.lit("\nScore:"))
+    return F.concat(F.lit(RERANK_QUERY_MARK), T._c(query), F.lit(RERANK_CONTEXT_MARK), T._c(context),
+                    F.lit(RERANK_SCORE_MARK))
 
 
 def expand_query(cur, answer) -> Column:

@@ -16,7 +16,18 @@ from pyspark.sql import functions as F
 
 from qaflow.operators import metrics, models, retrieve
 
+# ---------------------------------------------------------------------------
+# Fixed values that must equal the reference's: the six mode names in its
+# order, then its defaults -- contexts retrieved (k), contexts kept after
+# re-ranking, rounds of iterative retrieval, answer length in words, and the
+# number of documents of the external retriever-generator.
+# ---------------------------------------------------------------------------
 MODES = ("base", "lora", "rerank", "iter", "gen_only", "rag")
+DEFAULT_K = 15
+DEFAULT_N_RERANK = 6
+DEFAULT_ITERATIONS = 2
+DEFAULT_MAX_LEN = 25
+DEFAULT_RAG_DOCS = 5
 
 
 def _answers(q_ctx: DataFrame, mode: str, generator, key: str = "item_id") -> DataFrame:
@@ -24,8 +35,8 @@ def _answers(q_ctx: DataFrame, mode: str, generator, key: str = "item_id") -> Da
                         generator(F.col("question"), F.col("contexts")).alias("prediction"))
 
 
-def predictions(questions: DataFrame, passages: DataFrame, *, k: int = 15, n_rerank: int = 6,
-                iterations: int = 2, modes=MODES, rag_predictions: DataFrame | None = None,
+def predictions(questions: DataFrame, passages: DataFrame, *, k: int = DEFAULT_K,
+                n_rerank: int = DEFAULT_N_RERANK, iterations: int = DEFAULT_ITERATIONS, modes=MODES, rag_predictions: DataFrame | None = None,
                 generator=models.extractive_generator, second_generator=models.lead_generator,
                 key: str = "item_id") -> DataFrame:
     """``mode, item_id, prediction, hit`` for every requested mode.
@@ -71,7 +82,8 @@ def predictions(questions: DataFrame, passages: DataFrame, *, k: int = 15, n_rer
             out.append(_answers(empty, mode, generator, key).join(zero, key))
         elif mode == "rag":
             if rag_predictions is None:
-                top5 = q.join(retrieve.contexts_by_rank(hits.where(F.col("rank") <= 5), key), key, "left")
+                top5 = q.join(retrieve.contexts_by_rank(hits.where(F.col("rank") <= DEFAULT_RAG_DOCS), key),
+                              key, "left")
                 rag = _answers(top5, mode, generator, key)
             else:
                 rag = rag_predictions.select(F.lit(mode).alias("mode"), key, "prediction")
