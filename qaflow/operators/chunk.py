@@ -7,6 +7,8 @@ one task-local expression and no shuffle.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -75,8 +77,22 @@ def build_vocab(tokens_df: DataFrame, token: str = "token") -> DataFrame:
         "token", (F.col("tid") + FIRST_WORD_ID).cast("int").alias("id"))
 
 
-def encode_tokens(df: DataFrame, key: str, toks: str, vocab: DataFrame, out: str = "ids") -> DataFrame:
-    """Map a token array to vocabulary ids, keeping order (unknown -> UNK)."""
+VOCAB_BROADCAST_MAX_ROWS = 2_000_000
+
+
+def encode_tokens(df: DataFrame, key: str, toks: str, vocab: DataFrame, out: str = "ids", *,
+                  broadcast_max_rows: int = VOCAB_BROADCAST_MAX_ROWS) -> DataFrame:
+    """Map a token array to vocabulary ids, keeping order (unknown -> UNK).
+
+    A vocabulary of at most ``broadcast_max_rows`` words (checked with a
+    bounded fetch) is shipped once and applied per Arrow batch: no shuffle,
+    and a very frequent token costs nothing extra.  A larger vocabulary is
+    joined relationally (explode, join on the token with AQE skew splitting,
+    re-collect per row in position order).
+    """
+    head = vocab.select("token", "id").limit(broadcast_max_rows + 1).toPandas()
+    if len(head) <= broadcast_max_rows:
+        return _encode_with_dict(df, toks, head, out)
     long = df.select(key, F.posexplode(toks).alias("p", "token"))
     joined = long.join(vocab, "token", "left").select(
         key, "p", F.coalesce("id", F.lit(UNK_ID)).alias("id"))
@@ -85,6 +101,23 @@ def encode_tokens(df: DataFrame, key: str, toks: str, vocab: DataFrame, out: str
             .withColumn(out, F.coalesce(F.col("_s.id"), F.array().cast("array<int>"))).drop("_s"))
 
 
+def _encode_with_dict(df: DataFrame, toks: str, vocab_pdf, out: str) -> DataFrame:
+    spark = df.sparkSession
+    bc = spark.sparkContext.broadcast(pd.Series(vocab_pdf["id"].to_numpy(dtype=np.int32),
+                                                index=vocab_pdf["token"].to_numpy()))
+
+    @F.pandas_udf("array<int>")
+    def _ids(col: pd.Series) -> pd.Series:
+        lookup = bc.value
+        lens = col.map(lambda a: 0 if a is None else len(a)).to_numpy()
+        flat = [t for a in col.to_numpy() if a is not None for t in a]
+        ids = pd.Series(flat, dtype=object).map(lookup).fillna(UNK_ID).to_numpy(dtype=np.int32) \
+            if flat else np.zeros(0, dtype=np.int32)
+        return pd.Series([a.tolist() for a in np.split(ids, np.cumsum(lens)[:-1])] if len(lens) else [])
+
+    return df.withColumn(out, F.coalesce(_ids(F.col(toks)), F.array().cast("array<int>")))
+
+
 def append_eos(ids) -> Column:
     """End marker appended."""
     return F.concat(T._c(ids), F.array(F.lit(EOS_ID)))

@@ -112,3 +112,13 @@ def test_cell_assignment_block_fallback_matches_broadcast(spark):
     p2 = vectors.nearest_cells(e, cents, "embedding", 3, normalize=False, out="probe", max_bytes=0, key="vec_id")
     assert sorted((r.vec_id, tuple(r.probe)) for r in p1.collect()) == \
         sorted((r.vec_id, tuple(r.probe)) for r in p2.collect())
+
+
+def test_encode_tokens_dict_and_join_paths_agree(spark):
+    df = spark.createDataFrame([(1, ["b", "a", "zz", "a"]), (2, []), (3, None)], "k long, t array<string>")
+    vocab = chunk.build_vocab(spark.createDataFrame([("a",), ("b",), ("c",)], "token string"))
+    d = {r.k: r.ids for r in chunk.encode_tokens(df, "k", "t", vocab).collect()}
+    j = {r.k: r.ids for r in chunk.encode_tokens(df, "k", "t", vocab, broadcast_max_rows=0).collect()}
+    first = chunk.FIRST_WORD_ID
+    assert list(d[1]) == [first + 1, first, chunk.UNK_ID, first] and list(d[2]) == []
+    assert list(j[1]) == list(d[1]) and list(j[2]) == [] and list(d[3]) == list(j[3]) == []
