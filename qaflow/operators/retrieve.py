@@ -161,17 +161,19 @@ def rank_truncate(list_col, k: int) -> Column:
 
 def iterative_retrieve(questions: DataFrame, index: DataFrame, passages: DataFrame, k: int,
                        iterations: int = 2, *, key: str = "item_id", encoder=None,
-                       generator=models.extractive_generator, checkpoint: bool = True) -> DataFrame:
+                       generator=models.extractive_generator, checkpoint: bool = True,
+                       first_hits: DataFrame | None = None) -> DataFrame:
     """Answer from contexts, append the answer to the growing query, retrieve again.
 
     A fixed number of distributed rounds over the whole question frame; the
     frame is checkpointed to the shared checkpoint folder each round so the
     lineage does not grow.  The last retrieval feeds recall only.
     Returns ``key, round, query, answer`` for every round plus the final
-    ``contexts`` used for recall.
+    ``contexts`` used for recall.  ``first_hits`` (``key, rank, text``) reuses
+    a retrieval the caller already has for round 0.
     """
-    hits = lookup_passages(similarity_join(questions, index, k, key=key, encoder=encoder),
-                           passages, ("text",))
+    hits = first_hits if first_hits is not None else lookup_passages(
+        similarity_join(questions, index, k, key=key, encoder=encoder), passages, ("text",))
     state = questions.select(key, F.col("question").alias("query")).join(contexts_by_rank(hits, key), key)
     rounds = []
     for it in range(iterations):

@@ -72,7 +72,7 @@ def predictions(questions: DataFrame, passages: DataFrame, *, k: int = DEFAULT_K
                 retrieve.answer_containment(rr, questions, key), key))
         elif mode == "iter":
             hist, state = retrieve.iterative_retrieve(questions, index, passages, k, iterations,
-                                                      key=key, generator=generator)
+                                                      key=key, generator=generator, first_hits=hits)
             last = hist.where(F.col("round") == iterations - 1).select(
                 F.lit(mode).alias("mode"), key, F.col("answer").alias("prediction"))
             final_hits = state.select(key, F.explode("contexts").alias("text"))
