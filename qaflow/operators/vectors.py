@@ -187,10 +187,11 @@ def grouped_topk(queries: DataFrame, corpus: DataFrame, k: int, *,
     matrix fits ``broadcast_max_bytes``; otherwise the block path runs.
     """
     spark = queries.sparkSession
+    # a null vector cannot be scored: such rows take no part (a zero vector does)
     q = queries.select(F.col("q_id").cast("long"), F.col("q_vec").cast("array<double>"),
-                       F.col("g").cast("long"))
+                       F.col("g").cast("long")).where(F.col("q_vec").isNotNull())
     c = corpus.select(F.col("c_id").cast("long"), F.col("c_vec").cast("array<double>"),
-                      F.col("g").cast("long"))
+                      F.col("g").cast("long")).where(F.col("c_vec").isNotNull())
 
     block = None
     if not force_blocks:

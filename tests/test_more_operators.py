@@ -122,3 +122,12 @@ def test_encode_tokens_dict_and_join_paths_agree(spark):
     first = chunk.FIRST_WORD_ID
     assert list(d[1]) == [first + 1, first, chunk.UNK_ID, first] and list(d[2]) == []
     assert list(j[1]) == list(d[1]) and list(j[2]) == [] and list(d[3]) == list(j[3]) == []
+
+
+def test_null_vectors_take_no_part(spark):
+    q = spark.createDataFrame([(1, [1.0, 0.0]), (2, None)], "q_id long, v array<double>")
+    c = spark.createDataFrame([(10, [1.0, 0.0]), (11, None)], "c_id long, w array<double>")
+    for force in (False, True):
+        rows = vectors.exact_topk(q, c, 5, q_id="q_id", q_vec="v", c_id="c_id", c_vec="w",
+                                  force_blocks=force).collect()
+        assert [(r.q_id, r.c_id) for r in rows] == [(1, 10)]
