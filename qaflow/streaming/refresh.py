@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from qaflow.operators import models, retrieve, vectors
 from qaflow.sources import writers
 
-POSTING_COLS = ["passage_id", "doc_id", "idx", "title", "text", "embedding"]
+POSTING_COLS = ["passage_id", "doc_id", "idx", "title", "text", "embedding"]  # + updated_at, cell
 
 
 def read_live(spark: SparkSession, base: str) -> tuple[int | None, DataFrame | None, DataFrame | None]:
@@ -41,29 +41,52 @@ def encode_documents(docs: DataFrame, encoder=None, n: int = 100) -> DataFrame:
     return retrieve.corpus_passages(docs, n).withColumn("embedding", enc(F.col("text")))
 
 
+def latest_per_doc(docs: DataFrame, event_time: str | None) -> DataFrame:
+    """One row per document: the latest by ``event_time`` (ties: any, deterministic by text)."""
+    if event_time is None:
+        return docs.dropDuplicates(["doc_id"])
+    cols = [c for c in docs.columns if c != "doc_id"]
+    latest = docs.groupBy("doc_id").agg(F.max_by(F.struct(*cols), F.struct(event_time, "text")).alias("_r"))
+    return latest.select("doc_id", *[F.col(f"_r.{c}").alias(c) for c in cols])
+
+
 def refresh_index(spark: SparkSession, base: str, changed_docs: DataFrame, *, nlist: int = 8,
-                  seed: int = 42, encoder=None, version: int | None = None) -> int:
+                  seed: int = 42, encoder=None, version: int | None = None,
+                  event_time: str | None = None) -> int:
     """Fold changed documents into a new index version and publish it.
 
     Every passage of a changed document replaces the old passages of that
-    document (a document that got shorter loses its tail passages).  The
-    first build trains the centroids (E5); later versions keep them so cell
-    ids stay stable.  Returns the published version.
+    document (a document that got shorter loses its tail passages).  With
+    ``event_time``, the latest delivery of a document wins: within the
+    change set, and against the live index (a late, older update is
+    ignored).  The first build trains the centroids (E5); later versions
+    keep them so cell ids stay stable.  Returns the published version.
     """
     live_v, live, cents = read_live(spark, base)
     new_v = version if version is not None else (live_v or 0) + 1
     if live_v is not None and live_v >= new_v:
         return live_v  # already applied (re-run of the same batch)
+    changed = latest_per_doc(changed_docs, event_time)
+    ts = F.col(event_time).cast("timestamp") if event_time else F.lit(None).cast("timestamp")
+    if live is not None and event_time is not None:
+        # only the touched documents' live timestamps: semi join with the (small) change set first
+        touched = live.select("doc_id", "updated_at").join(changed.select("doc_id"), "doc_id", "left_semi")
+        current = touched.groupBy("doc_id").agg(F.max("updated_at").alias("_live_ts"))
+        changed = (changed.join(current, "doc_id", "left")
+                   .where(F.col("_live_ts").isNull() | (ts >= F.col("_live_ts"))).drop("_live_ts"))
     # the delta is encoded once and reused by training, assignment and the write
-    fresh = encode_documents(changed_docs, encoder).persist(StorageLevel.MEMORY_AND_DISK)
+    fresh = (encode_documents(changed, encoder).join(
+        changed.select("doc_id", ts.alias("updated_at")), "doc_id")
+        .persist(StorageLevel.MEMORY_AND_DISK))
     if cents is None:
         cents = vectors.train_centroids(fresh, "embedding", nlist, seed=seed)
     fresh = vectors.assign_cells(fresh, cents, "embedding", key="passage_id")
+    cols = POSTING_COLS + ["updated_at", "cell"]
     if live is not None:
-        keep = live.join(changed_docs.select("doc_id").distinct(), "doc_id", "left_anti")
-        merged = keep.select(*POSTING_COLS, "cell").unionByName(fresh.select(*POSTING_COLS, "cell"))
+        keep = live.join(changed.select("doc_id").distinct(), "doc_id", "left_anti")
+        merged = keep.select(*cols).unionByName(fresh.select(*cols))
     else:
-        merged = fresh.select(*POSTING_COLS, "cell")
+        merged = fresh.select(*cols)
     writers.publish_index(merged, cents, base, new_v)
     writers.swap_version(spark, base, new_v)
     fresh.unpersist()
@@ -71,12 +94,15 @@ def refresh_index(spark: SparkSession, base: str, changed_docs: DataFrame, *, nl
 
 
 def refresh_stream(spark: SparkSession, inbox: str, base: str, checkpoint: str, schema, *,
-                   max_files_per_trigger: int | None = None, nlist: int = 8, encoder=None) -> int:
+                   max_files_per_trigger: int | None = None, nlist: int = 8, encoder=None,
+                   event_time: str | None = None) -> int:
     """KB changes arriving as parquet files, applied micro-batch by micro-batch.
 
     ``Trigger.AvailableNow`` drains what is there and stops; the streaming
     checkpoint plus the version check in :func:`refresh_index` make every
-    micro-batch apply exactly once, even after a restart.
+    micro-batch apply exactly once, even after a restart.  With
+    ``event_time`` the latest delivery of a document wins, even when an
+    older one arrives in a later micro-batch.
     """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
@@ -84,10 +110,10 @@ def refresh_stream(spark: SparkSession, inbox: str, base: str, checkpoint: str,
     stream = reader.parquet(inbox)
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        latest = batch.dropDuplicates(["doc_id"])
-        if latest.limit(1).count() == 0:
+        if batch.limit(1).count() == 0:
             return
-        refresh_index(spark, base, latest, nlist=nlist, encoder=encoder, version=epoch_id + 1)
+        refresh_index(spark, base, batch, nlist=nlist, encoder=encoder, version=epoch_id + 1,
+                      event_time=event_time)
 
     q = (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

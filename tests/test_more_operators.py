@@ -131,3 +131,24 @@ def test_null_vectors_take_no_part(spark):
         rows = vectors.exact_topk(q, c, 5, q_id="q_id", q_vec="v", c_id="c_id", c_vec="w",
                                   force_blocks=force).collect()
         assert [(r.q_id, r.c_id) for r in rows] == [(1, 10)]
+
+
+def test_stream_latest_update_wins_over_late_older_one(spark):
+    import datetime as dt
+
+    from qaflow import scratch_path
+
+    schema = "doc_id long, text string, source string, ts timestamp"
+    t = [dt.datetime(2026, 1, 1, 0, 0, i) for i in range(4)]
+    inbox, base, ckpt = (scratch_path(spark, n) for n in ("t_inbox", "t_base", "t_ckpt"))
+    batches = [
+        [(1, "first text of one", "s", t[0]), (2, "two", "s", t[0]), (1, "newer text of one", "s", t[1])],
+        [(1, "late older text", "s", t[0]), (2, "two updated", "s", t[2])],
+    ]
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(inbox)
+        v = refresh.refresh_stream(spark, inbox, base, ckpt, schema, event_time="ts", nlist=2)
+        assert v == i + 1
+    _, live, _ = refresh.read_live(spark, base)
+    texts = {r.doc_id: r.text for r in live.collect()}
+    assert texts == {1: "newer text of one", 2: "two updated"}
