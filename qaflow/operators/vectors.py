@@ -187,15 +187,18 @@ def grouped_topk(queries: DataFrame, corpus: DataFrame, k: int, *,
     matrix fits ``broadcast_max_bytes``; otherwise the block path runs.
     """
     spark = queries.sparkSession
-    # a null vector cannot be scored: such rows take no part (a zero vector does)
+    # a null vector cannot be scored: such rows take no part (a zero vector does).
+    # They are dropped inside the kernels, not by a DataFrame filter, which the
+    # optimizer would push below the projection and so evaluate an encoder UDF twice.
     q = queries.select(F.col("q_id").cast("long"), F.col("q_vec").cast("array<double>"),
-                       F.col("g").cast("long")).where(F.col("q_vec").isNotNull())
+                       F.col("g").cast("long"))
     c = corpus.select(F.col("c_id").cast("long"), F.col("c_vec").cast("array<double>"),
-                      F.col("g").cast("long")).where(F.col("c_vec").isNotNull())
+                      F.col("g").cast("long"))
 
     block = None
     if not force_blocks:
         head = q.limit(broadcast_max_rows + 1).toPandas()
+        head = head[head["q_vec"].notna()].reset_index(drop=True)
         dim = max((len(v) for v in head["q_vec"] if v is not None), default=0)
         if len(head) <= broadcast_max_rows and len(head) * max(dim, 1) * 8 <= broadcast_max_bytes:
             block = head
@@ -230,6 +233,7 @@ def _broadcast_topk(spark, pdf: pd.DataFrame, c: DataFrame, k: int, dedupe: bool
         for b in batches:
             if len(b) == 0:
                 continue
+            b = b[b["c_vec"].notna()]
             for g, grp in b.groupby("g", sort=False):
                 rows = gmap_.get(int(g))
                 if rows is None or len(rows) == 0:
@@ -263,6 +267,7 @@ def _block_topk_join(q: DataFrame, c: DataFrame, k: int, query_block: int,
           .drop("qs", "cs"))
 
     def score_block(cpdf: pd.DataFrame, qpdf: pd.DataFrame) -> pd.DataFrame:
+        cpdf, qpdf = cpdf[cpdf["c_vec"].notna()], qpdf[qpdf["q_vec"].notna()]
         if len(cpdf) == 0 or len(qpdf) == 0:
             return pd.DataFrame({"q_id": [], "c_id": [], "score": []}).astype(
                 {"q_id": "int64", "c_id": "int64", "score": "float64"})
