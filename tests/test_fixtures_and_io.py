@@ -116,3 +116,40 @@ def test_duplicate_and_zero_vectors_normalize(spark):
 def test_precision_at_k_sets(spark):
     df = spark.createDataFrame([(["a", "a", "b", "c"], ["a", "c", "z"])], "h array<string>, r array<string>")
     assert df.select(metrics.precision_at_k("h", "r", 3)).first()[0] == pytest.approx(1 / 3)
+
+
+def test_read_corpus_subset_and_qa_split(spark):
+    d = _tmp()
+    corpus = spark.createDataFrame([(1, "a", "2022"), (2, "b", "2023")], "doc_id long, text string, subset string")
+    corpus.write.partitionBy("subset").parquet(f"{d}/corpus")
+    got = readers.read_corpus(spark, f"{d}/corpus", "2023")
+    assert [r.doc_id for r in got.collect()] == [2]
+    assert "PartitionFilters: [isnotnull(subset" in got._jdf.queryExecution().executedPlan().toString()
+    qa = spark.createDataFrame([("q2", (["x"], "x"), "train"), ("q1", ([], "y"), "train"), ("q3", (["z"], "z"), "val")],
+                               "question string, answer struct<aliases: array<string>, value: string>, split string")
+    qa.write.json(f"{d}/qa")
+    tr = readers.read_qa(spark, f"{d}/qa", "train", max_samples=1, fmt="json")
+    assert [r.question for r in tr.collect()] == ["q1"]
+    golds = tr.select(prep.gold_list("answer").alias("g")).first().g
+    assert list(golds) == ["y"]
+
+
+def test_read_jsonl_head_and_shard_check(spark):
+    d = _tmp()
+    spark.createDataFrame([("b", "x", ["c1"]), ("a", "y", [])], "question string, answer string, contexts array<string>") \
+        .write.json(f"{d}/j")
+    assert [r.question for r in readers.read_jsonl(spark, f"{d}/j", max_samples=1, order="question").collect()] == ["a"]
+    e = spark.createDataFrame([(0, 1), (1, 2)], "shard int, pos long")
+    m_ok = spark.createDataFrame([(0, 1), (1, 5)], "shard int, pos long")
+    m_bad = spark.createDataFrame([(0, 1), (2, 5)], "shard int, pos long")
+    assert readers.shard_counts_match(e, m_ok) and not readers.shard_counts_match(e, m_bad)
+
+
+def test_preretrieved_with_scores(spark):
+    qs = spark.createDataFrame([(1, "q", ["g1", "g2"])], "item_id long, question string, golds array<string>")
+    hits = spark.createDataFrame([(1, 2, "second", 0.5), (1, 1, "first", 0.9)],
+                                 "item_id long, rank int, text string, score double")
+    plain = writers.preretrieved_records(qs, hits).first()
+    assert plain.answer == "g1" and list(plain.contexts) == ["first", "second"]
+    scored = writers.preretrieved_records(qs, hits, with_scores=True).first()
+    assert [(c.text, c.score) for c in scored.contexts] == [("first", 0.9), ("second", 0.5)]
