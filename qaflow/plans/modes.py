@@ -1,7 +1,7 @@
 """The reference's six answering modes as one keyed predictions frame.
 
 All modes run over the same questions; the base retrieval is computed once
-and cached (the reference re-retrieves per mode).  The result is one frame
+and checkpointed (the reference re-retrieves per mode).  The result is one frame
 ``mode, item_id, prediction, golds, hit`` scored and summarised by a single
 ``groupBy('mode')``.
 """
@@ -36,7 +36,8 @@ def _answers(q_ctx: DataFrame, mode: str, generator, key: str = "item_id") -> Da
 
 
 def predictions(questions: DataFrame, passages: DataFrame, *, k: int = DEFAULT_K,
-                n_rerank: int = DEFAULT_N_RERANK, iterations: int = DEFAULT_ITERATIONS, modes=MODES, rag_predictions: DataFrame | None = None,
+                n_rerank: int = DEFAULT_N_RERANK, iterations: int = DEFAULT_ITERATIONS, modes=MODES,
+                index: DataFrame | None = None, rag_predictions: DataFrame | None = None,
                 generator=models.extractive_generator, second_generator=models.lead_generator,
                 key: str = "item_id") -> DataFrame:
     """``mode, item_id, prediction, hit`` for every requested mode.
@@ -49,10 +50,14 @@ def predictions(questions: DataFrame, passages: DataFrame, *, k: int = DEFAULT_K
       by default the generator over the top-5 contexts.  Recall 0 by
       construction, as in the reference.
     """
-    # the index is encoded once and shared by every retrieval of every mode
-    index = retrieve.index_passages(passages).persist(StorageLevel.MEMORY_AND_DISK)
+    # the index is encoded once and shared by every retrieval of every mode (a
+    # stored index -- passage_id, embedding -- can be passed in instead)
+    if index is None:
+        index = retrieve.index_passages(passages).persist(StorageLevel.MEMORY_AND_DISK)
+    # the base retrieval (questions x k rows) is computed once for all modes and
+    # written to the shared checkpoint folder: bounded, and lineage is cut
     hits = retrieve.lookup_passages(retrieve.similarity_join(questions, index, k, key=key),
-                                    passages, ("text",)).cache()
+                                    passages, ("text",)).checkpoint()
     q = questions.select(key, "question")
     ctx = q.join(retrieve.contexts_by_rank(hits, key), key, "left")
     recall_k = retrieve.answer_containment(hits, questions, key)
