@@ -70,10 +70,16 @@ def qa_pairs(conversations: DataFrame) -> DataFrame:
 # J4 / J1 / J5 / J6
 # ---------------------------------------------------------------------------
 
-def index_passages(passages: DataFrame, encoder=None, text: str = "text") -> DataFrame:
-    """Passage vectors (only the key and the vector are kept for scoring)."""
+def index_passages(passages: DataFrame, encoder=None, text: str = "text",
+                   with_title: bool = False, title: str = "title") -> DataFrame:
+    """Passage vectors (only the key and the vector are kept for scoring).
+
+    ``with_title`` encodes the (title, text) pair, as the knowledge-base path
+    does; the default encodes the text alone, as the corpus path does.
+    """
     enc = encoder or models.hash_encoder()
-    return passages.select("passage_id", enc(F.col(text)).alias("embedding"))
+    src = F.concat_ws(" ", F.coalesce(F.col(title), F.lit("")), F.col(text)) if with_title else F.col(text)
+    return passages.select("passage_id", enc(src).alias("embedding"))
 
 
 def similarity_join(questions: DataFrame, index: DataFrame, k: int, *, key: str = "item_id",

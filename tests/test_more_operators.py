@@ -152,3 +152,11 @@ def test_stream_latest_update_wins_over_late_older_one(spark):
     _, live, _ = refresh.read_live(spark, base)
     texts = {r.doc_id: r.text for r in live.collect()}
     assert texts == {1: "newer text of one", 2: "two updated"}
+
+
+def test_index_passages_title_pair(spark):
+    p = spark.createDataFrame([(1, "Zebra", "stripes here"), (2, None, "stripes here")],
+                              "passage_id long, title string, text string")
+    plain = {r.passage_id: list(r.embedding) for r in retrieve.index_passages(p).collect()}
+    pair = {r.passage_id: list(r.embedding) for r in retrieve.index_passages(p, with_title=True).collect()}
+    assert plain[1] == plain[2] == pair[2] and pair[1] != plain[1]
