@@ -54,6 +54,11 @@ def qa_summary(scored: DataFrame, by=("mode",)) -> DataFrame:
         (F.sum("hit") / F.count("*")).alias("recall"))
 
 
+def checkpoint_sweep(scored: DataFrame, checkpoint: str = "checkpoint", by=("mode",)) -> DataFrame:
+    """Every checkpoint evaluated in one aggregation, the checkpoint a grouping column."""
+    return qa_summary(scored, by=[checkpoint, *by])
+
+
 def qa_summary_pct(df: DataFrame, pred: str = "prediction", golds: str = "golds", by=()) -> DataFrame:
     """EM and F1 in percent, max over golds, normaliser B.
 

@@ -160,3 +160,10 @@ def test_index_passages_title_pair(spark):
     plain = {r.passage_id: list(r.embedding) for r in retrieve.index_passages(p).collect()}
     pair = {r.passage_id: list(r.embedding) for r in retrieve.index_passages(p, with_title=True).collect()}
     assert plain[1] == plain[2] == pair[2] and pair[1] != plain[1]
+
+
+def test_checkpoint_sweep_groups(spark):
+    df = spark.createDataFrame([("c1", "base", 1, 1.0, 1), ("c1", "base", 0, 0.5, 0), ("c2", "base", 1, 1.0, 1)],
+                               "checkpoint string, mode string, em int, f1 double, hit int")
+    rows = {(r.checkpoint, r.mode): (r.n, r.em, r.f1, r.recall) for r in metrics.checkpoint_sweep(df).collect()}
+    assert rows == {("c1", "base"): (2, 0.5, 0.75, 0.5), ("c2", "base"): (1, 1.0, 1.0, 1.0)}
