@@ -50,18 +50,21 @@ def predictions(questions: DataFrame, passages: DataFrame, *, k: int = DEFAULT_K
       by default the generator over the top-5 contexts.  Recall 0 by
       construction, as in the reference.
     """
-    # the index is encoded once and shared by every retrieval of every mode (a
-    # stored index -- passage_id, embedding -- can be passed in instead)
-    if index is None:
-        index = retrieve.index_passages(passages).persist(StorageLevel.MEMORY_AND_DISK)
-    # the base retrieval (questions x k rows) is computed once for all modes and
-    # written to the shared checkpoint folder: bounded, and lineage is cut
-    hits = retrieve.lookup_passages(retrieve.similarity_join(questions, index, k, key=key),
-                                    passages, ("text",)).checkpoint()
     q = questions.select(key, "question")
-    ctx = q.join(retrieve.contexts_by_rank(hits, key), key, "left")
-    recall_k = retrieve.answer_containment(hits, questions, key)
     zero = q.select(key, F.lit(0).alias("hit"))
+    needs_retrieval = any(m != "gen_only" for m in modes) and not (
+        set(modes) == {"rag"} and rag_predictions is not None)
+    if needs_retrieval:
+        # the index is encoded once and shared by every retrieval of every mode (a
+        # stored index -- passage_id, embedding -- can be passed in instead)
+        if index is None:
+            index = retrieve.index_passages(passages).persist(StorageLevel.MEMORY_AND_DISK)
+        # the base retrieval (questions x k rows) is computed once for all modes and
+        # written to the shared checkpoint folder: bounded, and lineage is cut
+        hits = retrieve.lookup_passages(retrieve.similarity_join(questions, index, k, key=key),
+                                        passages, ("text",)).checkpoint()
+        ctx = q.join(retrieve.contexts_by_rank(hits, key), key, "left")
+        recall_k = retrieve.answer_containment(hits, questions, key)
     out = []
     for mode in modes:
         if mode == "base":
