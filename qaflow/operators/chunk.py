@@ -81,20 +81,25 @@ VOCAB_BROADCAST_MAX_ROWS = 2_000_000
 
 
 def encode_tokens(df: DataFrame, key: str, toks: str, vocab: DataFrame, out: str = "ids", *,
-                  broadcast_max_rows: int = VOCAB_BROADCAST_MAX_ROWS) -> DataFrame:
+                  broadcast_max_rows: int = VOCAB_BROADCAST_MAX_ROWS, salts: int = 16) -> DataFrame:
     """Map a token array to vocabulary ids, keeping order (unknown -> UNK).
 
     A vocabulary of at most ``broadcast_max_rows`` words (checked with a
     bounded fetch) is shipped once and applied per Arrow batch: no shuffle,
     and a very frequent token costs nothing extra.  A larger vocabulary is
-    joined relationally (explode, join on the token with AQE skew splitting,
-    re-collect per row in position order).
+    joined relationally: occurrences are exploded with a salt in
+    ``[0, salts)`` taken from (row, position), and every vocabulary row is
+    replicated once per salt, so a token holding a third of all occurrences
+    is spread over ``salts`` join tasks.  Ids are re-collected per row in
+    position order (a row's own tokens only).
     """
     head = vocab.select("token", "id").limit(broadcast_max_rows + 1).toPandas()
     if len(head) <= broadcast_max_rows:
         return _encode_with_dict(df, toks, head, out)
-    long = df.select(key, F.posexplode(toks).alias("p", "token"))
-    joined = long.join(vocab, "token", "left").select(
+    long = df.select(key, F.posexplode(toks).alias("p", "token")).withColumn(
+        "_salt", F.pmod(F.xxhash64(key, "p"), F.lit(salts)).cast("int"))
+    salted_vocab = vocab.select("token", "id", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    joined = long.join(salted_vocab, ["token", "_salt"], "left").select(
         key, "p", F.coalesce("id", F.lit(UNK_ID)).alias("id"))
     enc = joined.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("p", "id"))).alias("_s"))
     return (df.join(enc, key, "left")
