@@ -103,3 +103,19 @@ def test_seeded_split_sizes(spark):
 def test_entry_runs(spark):
     out = E.entry(spark).collect()
     assert len(out) == 1 and out[0]["n"] > 0
+
+
+def test_ivf_and_lsh_block_paths_split_hot_groups(spark):
+    e = catalog.table(spark, SF_SMALL, "embeddings")
+    kw = dict(q_id="vec_id", q_vec="embedding", c_id="vec_id", c_vec="embedding")
+    cents = vectors.label_mean_centroids(e, "label", "embedding")
+    postings = vectors.assign_cells(e.select("vec_id", "embedding"), cents, "embedding", key="vec_id")
+    a = vectors.ivf_topk(e, postings, cents, 10, 2, **kw)
+    # tiny blocks: every cell is "hot" and split into many (query, corpus) sub-blocks
+    b = vectors.ivf_topk(e, postings, cents, 10, 2, force_blocks=True, query_block=16, corpus_block=8, **kw)
+    assert sorted((r.q_id, r.rank, r.c_id) for r in a.collect()) == \
+        sorted((r.q_id, r.rank, r.c_id) for r in b.collect())
+    la = vectors.lsh_topk(e, e, 10, tables=4, bits=3, **kw)
+    lb = vectors.lsh_topk(e, e, 10, tables=4, bits=3, force_blocks=True, query_block=32, corpus_block=16, **kw)
+    assert sorted((r.q_id, r.rank, r.c_id) for r in la.collect()) == \
+        sorted((r.q_id, r.rank, r.c_id) for r in lb.collect())
