@@ -95,7 +95,7 @@ def refresh_index(spark: SparkSession, base: str, changed_docs: DataFrame, *, nl
 
 def refresh_stream(spark: SparkSession, inbox: str, base: str, checkpoint: str, schema, *,
                    max_files_per_trigger: int | None = None, nlist: int = 8, encoder=None,
-                   event_time: str | None = None) -> int:
+                   event_time: str | None = None, processing_time: str | None = None):
     """KB changes arriving as parquet files, applied micro-batch by micro-batch.
 
     ``Trigger.AvailableNow`` drains what is there and stops; the streaming
@@ -103,6 +103,10 @@ def refresh_stream(spark: SparkSession, inbox: str, base: str, checkpoint: str,
     micro-batch apply exactly once, even after a restart.  With
     ``event_time`` the latest delivery of a document wins, even when an
     older one arrives in a later micro-batch.
+
+    ``processing_time`` (e.g. ``"10 minutes"``) runs the refresh periodically
+    instead (W1's step-count trigger as a processing-time trigger) and returns
+    the running ``StreamingQuery``; otherwise the published version is returned.
     """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
@@ -115,8 +119,10 @@ def refresh_stream(spark: SparkSession, inbox: str, base: str, checkpoint: str,
         refresh_index(spark, base, batch, nlist=nlist, encoder=encoder, version=epoch_id + 1,
                       event_time=event_time)
 
-    q = (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
+    w = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    if processing_time:
+        return w.trigger(processingTime=processing_time).start()
+    q = w.trigger(availableNow=True).start()
     q.awaitTermination()
     return writers.current_version(spark, base) or 0
 

@@ -167,3 +167,18 @@ def test_checkpoint_sweep_groups(spark):
                                "checkpoint string, mode string, em int, f1 double, hit int")
     rows = {(r.checkpoint, r.mode): (r.n, r.em, r.f1, r.recall) for r in metrics.checkpoint_sweep(df).collect()}
     assert rows == {("c1", "base"): (2, 0.5, 0.75, 0.5), ("c2", "base"): (1, 1.0, 1.0, 1.0)}
+
+
+def test_periodic_refresh_stream(spark):
+    from qaflow import scratch_path
+
+    schema = "doc_id long, text string, source string"
+    inbox, base, ckpt = (scratch_path(spark, n) for n in ("p_inbox", "p_base", "p_ckpt"))
+    spark.createDataFrame([(1, "alpha beta", "s"), (2, "gamma delta", "s")], schema).write.parquet(inbox)
+    q = refresh.refresh_stream(spark, inbox, base, ckpt, schema, nlist=2, processing_time="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    _, live, _ = refresh.read_live(spark, base)
+    assert live.count() == 2
