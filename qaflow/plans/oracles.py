@@ -289,7 +289,8 @@ def _parse(x: str) -> str:
 ORACLES["parse_scores"] = f"""
 WITH v AS (
   SELECT 'event_k' AS src, event_id AS key, json_extract_string(props, '$.k') AS s FROM events
-  UNION ALL SELECT 'doc_word', doc_id, string_split(text, ' ')[1] FROM documents
+  UNION ALL SELECT 'doc_word', doc_id * 1000000 + generate_subscripts(string_split(text, ' '), 1) - 1,
+                   unnest(string_split(text, ' ')) FROM documents
   UNION ALL SELECT 'doc_us', doc_id, CAST(n_chars AS VARCHAR) || '_5' FROM documents
   UNION ALL SELECT 'doc_d', doc_id, CAST(n_chars AS VARCHAR) || 'd' FROM documents
   UNION ALL SELECT 'doc_frac', doc_id, ' .' || CAST(n_chars AS VARCHAR) || 'e-2 ' FROM documents)
