@@ -443,3 +443,28 @@ ex AS (SELECT q_id, c_id FROM (
        QUALIFY row_number() OVER (PARTITION BY q_id ORDER BY score DESC, c_id) <= 15),
 per AS (SELECT e.q_id, count(a.c_id) AS h FROM ex e LEFT JOIN approx a USING (q_id, c_id) GROUP BY e.q_id)
 SELECT round(sum(h) / (count(*) * 15.0), 6) AS recall, count(*) AS n_queries FROM per"""
+
+# LCS by dynamic programming over the longer token list; each DP row is the
+# prefix maximum of the per-position candidates (match: diagonal + 1, else above).
+ORACLES["rouge_l"] = f"""WITH RECURSIVE {S.QA_PAIRS.strip()},
+tk AS (SELECT conv_id, turn, regexp_extract_all(lower(answer), '[a-z0-9]+') AS tp,
+              regexp_extract_all(lower(question), '[a-z0-9]+') AS tr FROM qa_pairs),
+pr AS (SELECT conv_id, turn, tp, tr,
+              CASE WHEN len(tp) <= len(tr) THEN tp ELSE tr END AS a,
+              CASE WHEN len(tp) <= len(tr) THEN tr ELSE tp END AS b FROM tk),
+dp AS (
+  SELECT conv_id, turn, 0 AS j, list_transform(range(len(a) + 1), lambda x: 0) AS r FROM pr
+  UNION ALL
+  SELECT d.conv_id, d.turn, d.j + 1,
+         list_prepend(0, list_transform(range(1, len(p.a) + 1), lambda i:
+             list_max(list_transform(range(1, i + 1), lambda t:
+                 CASE WHEN p.a[t] = p.b[d.j + 1] THEN d.r[t] + 1 ELSE d.r[t + 1] END))))
+  FROM dp d JOIN pr p ON p.conv_id = d.conv_id AND p.turn = d.turn
+  WHERE d.j < len(p.b)
+),
+lcs AS (SELECT p.conv_id, p.turn, p.tp, p.tr, coalesce(d.r[-1], 0) AS l
+        FROM pr p LEFT JOIN dp d ON d.conv_id = p.conv_id AND d.turn = p.turn AND d.j = len(p.b))
+SELECT conv_id, turn,
+       round(CASE WHEN l = 0 THEN 0.0
+                  ELSE 2 * (l / len(tp)) * (l / len(tr)) / ((l / len(tp)) + (l / len(tr))) END, 6) AS rouge_l
+FROM lcs"""
