@@ -119,3 +119,10 @@ def test_ivf_and_lsh_block_paths_split_hot_groups(spark):
     lb = vectors.lsh_topk(e, e, 10, tables=4, bits=3, force_blocks=True, query_block=32, corpus_block=16, **kw)
     assert sorted((r.q_id, r.rank, r.c_id) for r in la.collect()) == \
         sorted((r.q_id, r.rank, r.c_id) for r in lb.collect())
+
+
+def test_kmeans_ivf_recall_full_probe_is_exact(spark):
+    rows = {r.nprobe: r.recall for r in E.queries()["kmeans_ivf_recall"](spark, SF_SMALL).collect()}
+    assert set(rows) == {1, 4, 16}
+    assert rows[16] == pytest.approx(1.0)
+    assert 0 <= rows[1] <= rows[4] <= rows[16]
