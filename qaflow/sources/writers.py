@@ -102,10 +102,24 @@ def publish_index(postings: DataFrame, centroids: DataFrame, base: str, version:
     return root
 
 
-def swap_version(spark: SparkSession, base: str, version: int) -> None:
-    """K8: point readers at ``version`` (a one-row table; data paths are never overwritten)."""
-    spark.createDataFrame([(version,)], "version int").coalesce(1) \
-        .write.mode("overwrite").parquet(f"{base}/_current")
+def swap_version(spark: SparkSession, base: str, version: int, encoder: str = "hash64",
+                 n_docs: int | None = None) -> None:
+    """K8: point readers at ``version`` (a one-row table; data paths are never overwritten).
+
+    The pointer also records the encoder that built the version and its
+    document count, which is what a refresh trigger compares against.
+    """
+    spark.createDataFrame([(version, encoder, n_docs)], "version int, encoder string, n_docs long") \
+        .coalesce(1).write.mode("overwrite").parquet(f"{base}/_current")
+
+
+def current_pointer(spark: SparkSession, base: str) -> dict | None:
+    """The live pointer row as a dict, or None before the first publish."""
+    try:
+        row = spark.read.parquet(f"{base}/_current").first()
+    except Exception:  # no pointer yet
+        return None
+    return row.asDict() if row else None
 
 
 def current_version(spark: SparkSession, base: str) -> int | None:

@@ -50,9 +50,21 @@ def latest_per_doc(docs: DataFrame, event_time: str | None) -> DataFrame:
     return latest.select("doc_id", *[F.col(f"_r.{c}").alias(c) for c in cols])
 
 
+def should_refresh(spark: SparkSession, base: str, docs: DataFrame, *, encoder_version: str = "hash64",
+                   min_change: float = 0.05) -> bool:
+    """E11 trigger: refresh when there is no index yet, the encoder changed, or
+    the document count moved by more than ``min_change`` (a fraction)."""
+    ptr = writers.current_pointer(spark, base)
+    if ptr is None or ptr.get("encoder") != encoder_version:
+        return True
+    n = docs.count()
+    old = ptr.get("n_docs") or 0
+    return old == 0 or abs(n - old) / old > min_change
+
+
 def refresh_index(spark: SparkSession, base: str, changed_docs: DataFrame, *, nlist: int = 8,
                   seed: int = 42, encoder=None, version: int | None = None,
-                  event_time: str | None = None) -> int:
+                  event_time: str | None = None, encoder_version: str = "hash64") -> int:
     """Fold changed documents into a new index version and publish it.
 
     Every passage of a changed document replaces the old passages of that
@@ -88,7 +100,8 @@ def refresh_index(spark: SparkSession, base: str, changed_docs: DataFrame, *, nl
     else:
         merged = fresh.select(*cols)
     writers.publish_index(merged, cents, base, new_v)
-    writers.swap_version(spark, base, new_v)
+    n_docs = spark.read.parquet(f"{base}/version={new_v}/postings").select("doc_id").distinct().count()
+    writers.swap_version(spark, base, new_v, encoder_version, n_docs)
     fresh.unpersist()
     return new_v
 

@@ -182,3 +182,16 @@ def test_periodic_refresh_stream(spark):
         q.stop()
     _, live, _ = refresh.read_live(spark, base)
     assert live.count() == 2
+
+
+def test_should_refresh_trigger(spark):
+    base = tempfile.mkdtemp(prefix="qaflow-trig-")
+    docs = spark.createDataFrame([(i, f"text number {i}", "s") for i in range(20)],
+                                 "doc_id long, text string, source string")
+    assert refresh.should_refresh(spark, base, docs)
+    refresh.refresh_index(spark, base, docs, nlist=2)
+    assert not refresh.should_refresh(spark, base, docs)
+    assert refresh.should_refresh(spark, base, docs, encoder_version="other")
+    more = docs.unionByName(spark.createDataFrame([(100 + i, "new", "s") for i in range(5)],
+                                                  "doc_id long, text string, source string"))
+    assert refresh.should_refresh(spark, base, more)
