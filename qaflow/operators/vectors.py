@@ -249,14 +249,24 @@ def _broadcast_topk(spark, pdf: pd.DataFrame, c: DataFrame, k: int, dedupe: bool
     return c.mapInPandas(score_partition, _OUT_SCHEMA)
 
 
-def _block_topk_join(q: DataFrame, c: DataFrame, k: int, query_block: int,
-                     corpus_block: int, dedupe: bool) -> DataFrame:
+def block_plan(q: DataFrame, c: DataFrame, query_block: int, corpus_block: int) -> DataFrame:
+    """Sub-block counts per group: ``g, qs, cs`` (one row per group with both sides).
+
+    A group with ``nc`` corpus rows is cut into ``cs = ceil(nc / corpus_block)``
+    sub-blocks and its ``nq`` queries into ``qs = ceil(nq / query_block)``; a
+    hot group (say a third of the corpus) becomes ``qs x cs`` bounded tasks.
+    """
     nq = q.groupBy("g").agg(F.count("*").alias("nq"))
     nc = c.groupBy("g").agg(F.count("*").alias("nc"))
-    # one row per group: bounded by the number of groups, not by the data
-    sizes = nq.join(nc, "g").select(
+    return nq.join(nc, "g").select(
         "g", F.ceil(F.col("nq") / query_block).cast("int").alias("qs"),
         F.ceil(F.col("nc") / corpus_block).cast("int").alias("cs"))
+
+
+def _block_topk_join(q: DataFrame, c: DataFrame, k: int, query_block: int,
+                     corpus_block: int, dedupe: bool) -> DataFrame:
+    # one row per group: bounded by the number of groups, not by the data
+    sizes = block_plan(q, c, query_block, corpus_block)
     qx = (q.join(sizes, "g")
           .withColumn("qsub", F.pmod(F.xxhash64("q_id"), F.col("qs")).cast("int"))
           .withColumn("csub", F.explode(F.sequence(F.lit(0), F.col("cs") - 1)))

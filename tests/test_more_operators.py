@@ -195,3 +195,29 @@ def test_should_refresh_trigger(spark):
     more = docs.unionByName(spark.createDataFrame([(100 + i, "new", "s") for i in range(5)],
                                                   "doc_id long, text string, source string"))
     assert refresh.should_refresh(spark, base, more)
+
+
+def test_hot_group_is_split_and_exact(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    n = 600
+    X = rng.normal(size=(n, 8))
+    # half of the corpus sits in cell 0 (a hot cell); the rest spread over cells 1..9
+    cells = np.where(np.arange(n) < n // 2, 0, 1 + np.arange(n) % 9)
+    corpus = spark.createDataFrame([(int(i), X[i].tolist(), int(cells[i])) for i in range(n)],
+                                   "c_id long, c_vec array<double>, g long")
+    Qv = rng.normal(size=(40, 8))
+    queries = spark.createDataFrame([(int(j), Qv[j].tolist(), int(j % 3)) for j in range(40)],
+                                    "q_id long, q_vec array<double>, g long")
+    plan = {r.g: (r.qs, r.cs) for r in vectors.block_plan(queries, corpus, 8, 50).collect()}
+    assert plan[0][1] == 6 and plan[0][0] == 2  # 300 rows / 50 and 14 queries / 8
+    got = vectors.grouped_topk(queries, corpus, 5, force_blocks=True, query_block=8, corpus_block=50)
+    got = sorted((r.q_id, r.rank, r.c_id) for r in got.collect())
+    want = []
+    for j in range(40):
+        idx = np.nonzero(cells == j % 3)[0]
+        sc = np.round(X[idx] @ Qv[j], 6)
+        order = sorted(range(len(idx)), key=lambda t: (-sc[t], idx[t]))[:5]
+        want += [(j, r + 1, int(idx[t])) for r, t in enumerate(order)]
+    assert got == sorted(want)
