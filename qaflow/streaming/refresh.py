@@ -2,20 +2,26 @@
 
 Layout under ``base``::
 
-    base/version=N/postings/cell=C/part-*.parquet   (passage_id, doc_id, idx, title, text, embedding)
+    base/version=N/postings/cell=C/part-*.parquet   cells rewritten by version N
+    base/version=N/manifest/part-*.parquet           (cell, version): where each live cell is
     base/version=N/centroids/part-*.parquet
-    base/_current/part-*.parquet                     (one row: the live version)
-
-A refresh never writes into the live version: it reads version N, applies
-the changes (anti join on the passage key + union: latest wins), writes
-N+1 and only then moves the pointer.  A reader that resolved version N keeps
-a consistent snapshot; a job lost mid-write leaves the pointer untouched,
-so the rerun simply writes N+1 again (``overwrite`` of a version that was
-never published).
+    base/_current/part-*.parquet                     one row: live version, encoder, n_docs
+
+A refresh never writes into a published version.  It finds the cells the
+change touches (cells of the changed documents' old passages and of their
+new ones; at most nlist ids), rewrites only those cells into version N+1,
+writes a manifest that keeps every untouched cell pointing at the version
+that holds it, and only then moves the pointer.  A small delta therefore
+writes a few cells, not the whole index; ``compact=True`` rewrites every
+cell into the new version.  A reader that resolved version N keeps a
+consistent snapshot; a job lost mid-write leaves the pointer untouched, so
+the rerun writes N+1 again (``overwrite`` of a version never published).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,15 +30,38 @@ from qaflow.operators import models, retrieve, vectors
 from qaflow.sources import writers
 
 POSTING_COLS = ["passage_id", "doc_id", "idx", "title", "text", "embedding"]  # + updated_at, cell
+POSTINGS_SCHEMA = ("passage_id long, doc_id long, idx int, title string, text string, "
+                   "embedding array<double>, updated_at timestamp, cell int")
 
 
 def read_live(spark: SparkSession, base: str) -> tuple[int | None, DataFrame | None, DataFrame | None]:
-    """Resolve the pointer: (version, postings, centroids) or Nones before the first build."""
+    """Resolve the pointer: (version, postings, centroids) or Nones before the first build.
+
+    The postings are one partition-pruned read per version named in the
+    manifest (``cell IN (...)`` on each), unioned; the manifest has at most
+    nlist rows.
+    """
     v = writers.current_version(spark, base)
     if v is None:
         return None, None, None
     root = f"{base}/version={v}"
-    return v, spark.read.parquet(f"{root}/postings"), spark.read.parquet(f"{root}/centroids")
+    return v, _live_postings(spark, base, v), spark.read.parquet(f"{root}/centroids")
+
+
+def _manifest(spark: SparkSession, base: str, v: int):
+    return spark.read.parquet(f"{base}/version={v}/manifest").toPandas()  # <= nlist rows
+
+
+def _live_postings(spark: SparkSession, base: str, v: int) -> DataFrame:
+    man = _manifest(spark, base, v)
+    parts = []
+    for ver, grp in man.groupby("version"):
+        cells = sorted(int(c) for c in grp["cell"])
+        parts.append(spark.read.parquet(f"{base}/version={int(ver)}/postings")
+                     .where(F.col("cell").isin(cells)))
+    if not parts:  # every passage was deleted
+        return spark.createDataFrame([], POSTINGS_SCHEMA)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def encode_documents(docs: DataFrame, encoder=None, n: int = 100) -> DataFrame:
@@ -64,7 +93,8 @@ def should_refresh(spark: SparkSession, base: str, docs: DataFrame, *, encoder_v
 
 def refresh_index(spark: SparkSession, base: str, changed_docs: DataFrame, *, nlist: int = 8,
                   seed: int = 42, encoder=None, version: int | None = None,
-                  event_time: str | None = None, encoder_version: str = "hash64") -> int:
+                  event_time: str | None = None, encoder_version: str = "hash64",
+                  compact: bool = False) -> int:
     """Fold changed documents into a new index version and publish it.
 
     Every passage of a changed document replaces the old passages of that
@@ -72,7 +102,8 @@ def refresh_index(spark: SparkSession, base: str, changed_docs: DataFrame, *, nl
     ``event_time``, the latest delivery of a document wins: within the
     change set, and against the live index (a late, older update is
     ignored).  The first build trains the centroids (E5); later versions
-    keep them so cell ids stay stable.  Returns the published version.
+    keep them so cell ids stay stable.  Only touched cells are rewritten
+    unless ``compact``.  Returns the published version.
     """
     live_v, live, cents = read_live(spark, base)
     new_v = version if version is not None else (live_v or 0) + 1
@@ -82,8 +113,8 @@ def refresh_index(spark: SparkSession, base: str, changed_docs: DataFrame, *, nl
     ts = F.col(event_time).cast("timestamp") if event_time else F.lit(None).cast("timestamp")
     if live is not None and event_time is not None:
         # only the touched documents' live timestamps: semi join with the (small) change set first
-        touched = live.select("doc_id", "updated_at").join(changed.select("doc_id"), "doc_id", "left_semi")
-        current = touched.groupBy("doc_id").agg(F.max("updated_at").alias("_live_ts"))
+        touched_docs = live.select("doc_id", "updated_at").join(changed.select("doc_id"), "doc_id", "left_semi")
+        current = touched_docs.groupBy("doc_id").agg(F.max("updated_at").alias("_live_ts"))
         changed = (changed.join(current, "doc_id", "left")
                    .where(F.col("_live_ts").isNull() | (ts >= F.col("_live_ts"))).drop("_live_ts"))
     # the delta is encoded once and reused by training, assignment and the write
@@ -94,13 +125,28 @@ def refresh_index(spark: SparkSession, base: str, changed_docs: DataFrame, *, nl
         cents = vectors.train_centroids(fresh, "embedding", nlist, seed=seed)
     fresh = vectors.assign_cells(fresh, cents, "embedding", key="passage_id")
     cols = POSTING_COLS + ["updated_at", "cell"]
+    ids = changed.select("doc_id").distinct()
+    touched = None  # None: every cell is rewritten
+    if live is not None and not compact:
+        old_cells = live.join(ids, "doc_id", "left_semi").select("cell").distinct()
+        new_cells = fresh.select("cell").distinct()
+        touched = sorted({int(r[0]) for r in old_cells.unionByName(new_cells).distinct().collect()})
+        live = live.where(F.col("cell").isin(touched))
     if live is not None:
-        keep = live.join(changed.select("doc_id").distinct(), "doc_id", "left_anti")
+        keep = live.join(ids, "doc_id", "left_anti")
         merged = keep.select(*cols).unionByName(fresh.select(*cols))
     else:
         merged = fresh.select(*cols)
-    writers.publish_index(merged, cents, base, new_v)
-    n_docs = spark.read.parquet(f"{base}/version={new_v}/postings").select("doc_id").distinct().count()
+    root = writers.publish_index(merged, cents, base, new_v)
+    written = spark.read.parquet(f"{root}/postings").select("cell").distinct() \
+        if merged.limit(1).count() else None
+    rows = [] if written is None else [(int(r[0]), new_v) for r in written.collect()]  # <= nlist
+    if touched is not None:
+        old_man = _manifest(spark, base, live_v)
+        rows += [(int(c), int(v)) for c, v in zip(old_man["cell"], old_man["version"]) if int(c) not in touched]
+    spark.createDataFrame(rows, "cell int, version int").coalesce(1) \
+        .write.mode("overwrite").parquet(f"{root}/manifest")
+    n_docs = _live_postings(spark, base, new_v).select("doc_id").distinct().count()
     writers.swap_version(spark, base, new_v, encoder_version, n_docs)
     fresh.unpersist()
     return new_v

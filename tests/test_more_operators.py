@@ -221,3 +221,25 @@ def test_hot_group_is_split_and_exact(spark):
         order = sorted(range(len(idx)), key=lambda t: (-sc[t], idx[t]))[:5]
         want += [(j, r + 1, int(idx[t])) for r, t in enumerate(order)]
     assert got == sorted(want)
+
+
+def test_small_delta_rewrites_only_touched_cells(spark):
+    import glob
+
+    base = tempfile.mkdtemp(prefix="qaflow-cells-")
+    words = ["alpha", "beta", "gamma", "delta", "omega", "sigma", "kappa", "theta"]
+    docs = spark.createDataFrame([(i, " ".join(words[(i + j) % 8] for j in range(5)) + f" w{i}", "s")
+                                  for i in range(40)], "doc_id long, text string, source string")
+    refresh.refresh_index(spark, base, docs, nlist=6)
+    all_cells = {p.split("cell=")[1] for p in glob.glob(f"{base}/version=1/postings/cell=*")}
+    upd = spark.createDataFrame([(3, "completely new words here", "s")], "doc_id long, text string, source string")
+    refresh.refresh_index(spark, base, upd, nlist=6)
+    v2_cells = {p.split("cell=")[1] for p in glob.glob(f"{base}/version=2/postings/cell=*")}
+    assert 1 <= len(v2_cells) <= 2 < len(all_cells)
+    _, live, _ = refresh.read_live(spark, base)
+    rows = {r.doc_id: r.text for r in live.collect()}
+    assert len(rows) == 40 and rows[3] == "completely new words here"
+    refresh.refresh_index(spark, base, upd.limit(0), nlist=6, compact=True)
+    v3_cells = {p.split("cell=")[1] for p in glob.glob(f"{base}/version=3/postings/cell=*")}
+    _, live3, _ = refresh.read_live(spark, base)
+    assert v3_cells == {str(c) for c in {r.cell for r in live3.collect()}} and live3.count() == live.count()
