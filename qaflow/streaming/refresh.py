@@ -190,13 +190,15 @@ def answer_stream(spark: SparkSession, inbox: str, out: str, checkpoint: str, sc
                   answer_batch) -> None:
     """Questions arriving as files are answered and appended, batch by batch.
 
-    ``answer_batch(df) -> df`` is any batch plan (retrieve + generate); the
-    file sink with a checkpoint gives exactly-once appends.
+    ``answer_batch(df) -> df`` is any batch plan (retrieve + generate).  Each
+    micro-batch writes its own ``epoch=N`` directory in overwrite mode, so a
+    batch replayed after a failure replaces its own output instead of
+    duplicating it (``foreachBatch`` itself is at-least-once).
     """
     stream = spark.readStream.schema(schema).parquet(inbox)
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        answer_batch(batch).withColumn("epoch", F.lit(epoch_id)).write.mode("append").parquet(out)
+        answer_batch(batch).write.mode("overwrite").parquet(f"{out}/epoch={epoch_id}")
 
     q = (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
