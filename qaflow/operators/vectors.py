@@ -360,13 +360,20 @@ def train_centroids(df: DataFrame, vec: str, nlist: int, *, seed: int = 42,
 CENTROID_BROADCAST_MAX_BYTES = 256 << 20
 
 
+CENTROID_MAX_ROWS = 1 << 20
+
+
 def _centroid_block(centroids: DataFrame, max_bytes: int):
-    """The centroid matrix if it fits ``max_bytes`` (checked before collecting), else None."""
-    stats = centroids.agg(F.count("*").alias("n"), F.max(F.size("centroid")).alias("d")).first()
-    n, d = int(stats["n"] or 0), int(stats["d"] or 0)
-    if n * max(d, 1) * 8 > max_bytes:
+    """The centroid matrix if it fits ``max_bytes``, else None.
+
+    One bounded fetch: at most ``CENTROID_MAX_ROWS + 1`` rows reach the driver,
+    and the matrix is used only if it is complete and within ``max_bytes``.
+    """
+    pdf = centroids.select("cell", "centroid").limit(CENTROID_MAX_ROWS + 1).toPandas()
+    d = max((len(v) for v in pdf["centroid"] if v is not None), default=0)
+    if len(pdf) > CENTROID_MAX_ROWS or len(pdf) * max(d, 1) * 8 > max_bytes:
         return None
-    pdf = centroids.toPandas().sort_values("cell")
+    pdf = pdf.sort_values("cell")
     return pdf["cell"].to_numpy(dtype=np.int64), _matrix(pdf["centroid"])
 
 

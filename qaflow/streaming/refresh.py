@@ -48,6 +48,15 @@ def read_live(spark: SparkSession, base: str) -> tuple[int | None, DataFrame | N
     return v, _live_postings(spark, base, v), spark.read.parquet(f"{root}/centroids")
 
 
+def _written_cells(spark: SparkSession, path: str) -> list[int]:
+    """Cells present in a ``partitionBy(cell)`` output, from the directory listing."""
+    try:
+        df = spark.read.parquet(path)
+    except Exception:  # no data file written (every touched cell became empty)
+        return []
+    return sorted(int(r[0]) for r in df.select("cell").distinct().collect())
+
+
 def _manifest(spark: SparkSession, base: str, v: int):
     return spark.read.parquet(f"{base}/version={v}/manifest").toPandas()  # <= nlist rows
 
@@ -117,16 +126,20 @@ def refresh_index(spark: SparkSession, base: str, changed_docs: DataFrame, *, nl
         current = touched_docs.groupBy("doc_id").agg(F.max("updated_at").alias("_live_ts"))
         changed = (changed.join(current, "doc_id", "left")
                    .where(F.col("_live_ts").isNull() | (ts >= F.col("_live_ts"))).drop("_live_ts"))
-    # the delta is encoded once and reused by training, assignment and the write
-    fresh = (encode_documents(changed, encoder).join(
+    # the delta (bounded by the change set, not by the index) is materialised once:
+    # the change set, its encoded passages (training) and their cells (every use after)
+    changed = changed.persist(StorageLevel.MEMORY_AND_DISK)
+    encoded = (encode_documents(changed, encoder).join(
         changed.select("doc_id", ts.alias("updated_at")), "doc_id")
         .persist(StorageLevel.MEMORY_AND_DISK))
     if cents is None:
-        cents = vectors.train_centroids(fresh, "embedding", nlist, seed=seed)
-    fresh = vectors.assign_cells(fresh, cents, "embedding", key="passage_id")
+        cents = vectors.train_centroids(encoded, "embedding", nlist, seed=seed)
+    fresh = vectors.assign_cells(encoded, cents, "embedding", key="passage_id") \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     cols = POSTING_COLS + ["updated_at", "cell"]
     ids = changed.select("doc_id").distinct()
     touched = None  # None: every cell is rewritten
+    live_all = live
     if live is not None and not compact:
         old_cells = live.join(ids, "doc_id", "left_semi").select("cell").distinct()
         new_cells = fresh.select("cell").distinct()
@@ -138,17 +151,23 @@ def refresh_index(spark: SparkSession, base: str, changed_docs: DataFrame, *, nl
     else:
         merged = fresh.select(*cols)
     root = writers.publish_index(merged, cents, base, new_v)
-    written = spark.read.parquet(f"{root}/postings").select("cell").distinct() \
-        if merged.limit(1).count() else None
-    rows = [] if written is None else [(int(r[0]), new_v) for r in written.collect()]  # <= nlist
+    rows = [(c, new_v) for c in _written_cells(spark, f"{root}/postings")]  # <= nlist
     if touched is not None:
         old_man = _manifest(spark, base, live_v)
         rows += [(int(c), int(v)) for c, v in zip(old_man["cell"], old_man["version"]) if int(c) not in touched]
     spark.createDataFrame(rows, "cell int, version int").coalesce(1) \
         .write.mode("overwrite").parquet(f"{root}/manifest")
-    n_docs = _live_postings(spark, base, new_v).select("doc_id").distinct().count()
+    # document count kept incrementally: previous count - replaced docs + docs written now
+    ptr = writers.current_pointer(spark, base) if live_v is not None else None
+    n_fresh = fresh.select("doc_id").distinct().count()
+    if ptr is not None and ptr.get("n_docs") is not None:
+        replaced = live_all.join(ids, "doc_id", "left_semi").select("doc_id").distinct().count()
+        n_docs = int(ptr["n_docs"]) - replaced + n_fresh
+    else:
+        n_docs = n_fresh
     writers.swap_version(spark, base, new_v, encoder_version, n_docs)
-    fresh.unpersist()
+    for df in (fresh, encoded, changed):
+        df.unpersist()
     return new_v
 
 
