@@ -103,12 +103,20 @@ def lookup_passages(hits: DataFrame, passages: DataFrame, cols=("title", "text")
 
     When the hits carry a proven row bound (queries x k from a collected
     query block) under ``LOOKUP_BROADCAST_MAX_ROWS``, they are broadcast and
-    the passage table is streamed through a hash join without a shuffle;
-    otherwise AQE picks the join from runtime sizes (skew splitting on).
+    the passage table is streamed through a hash join without a shuffle.
+    Otherwise the distinct hit ids are semi-joined with the passages first
+    (unique keys on both sides), and the hits join the needed records (AQE
+    picks broadcast or sort-merge from runtime sizes, skew splitting on).
     """
     bound = getattr(hits, "_qaflow_max_rows", None)
-    side = F.broadcast(hits) if bound is not None and bound <= LOOKUP_BROADCAST_MAX_ROWS else hits
-    return side.join(passages.select("passage_id", *cols), "passage_id")
+    recs = passages.select("passage_id", *cols)
+    if bound is not None and bound <= LOOKUP_BROADCAST_MAX_ROWS:
+        return F.broadcast(hits).join(recs, "passage_id")
+    # unbounded hits: pre-aggregate to the distinct ids first, so the big passage
+    # table meets unique keys only (a hub passage in many questions' top-k is one
+    # row here); the hits then join that much smaller record set
+    needed = recs.join(hits.select("passage_id").distinct(), "passage_id", "left_semi")
+    return hits.join(needed, "passage_id")
 
 
 def contexts_by_rank(hits_text: DataFrame, key: str = "item_id", text: str = "text",

@@ -243,3 +243,12 @@ def test_small_delta_rewrites_only_touched_cells(spark):
     v3_cells = {p.split("cell=")[1] for p in glob.glob(f"{base}/version=3/postings/cell=*")}
     _, live3, _ = refresh.read_live(spark, base)
     assert v3_cells == {str(c) for c in {r.cell for r in live3.collect()}} and live3.count() == live.count()
+
+
+def test_lookup_without_bound_matches(spark):
+    hits = spark.createDataFrame([(1, 1, 10, 0.9), (2, 1, 10, 0.8), (2, 2, 11, 0.5), (3, 1, 99, 0.1)],
+                                 "item_id long, rank int, passage_id long, score double")
+    passages = spark.createDataFrame([(10, "t", "ten"), (11, "t", "eleven"), (12, "t", "twelve")],
+                                     "passage_id long, title string, text string")
+    got = sorted((r.item_id, r.passage_id, r.text) for r in retrieve.lookup_passages(hits, passages).collect())
+    assert got == [(1, 10, "ten"), (2, 10, "ten"), (2, 11, "eleven")]
