@@ -55,3 +55,14 @@ def test_ivf_reads_only_probed_cells(spark, tmp_path):
     import re
     assert re.search(r"PartitionFilters: \[cell#\d+ IN \(", plan), plan
     assert hits.count() == q.count() * 5
+
+
+def test_lookup_broadcasts_bounded_hits(spark):
+    P, Q, hits = catalog._hits(spark, SF_SMALL)
+    assert hits._qaflow_max_rows == Q.count() * 15
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = _plan(retrieve.lookup_passages(hits, P, ("text",)))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "BroadcastHashJoin" in p and "BuildLeft" in p
