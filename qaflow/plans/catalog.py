@@ -36,9 +36,8 @@ def _questions(spark, sf_dir):
 
 def _hits(spark, sf_dir, k=K):
     """Exact top-k of the benchmark questions over all document passages."""
-    P = _passages(spark, sf_dir)
-    return P, _questions(spark, sf_dir), retrieve.similarity_join(
-        _questions(spark, sf_dir), retrieve.index_passages(P), k)
+    P, Q = _passages(spark, sf_dir), _questions(spark, sf_dir)
+    return P, Q, retrieve.similarity_join(Q, retrieve.index_passages(P), k)
 
 
 # --- chunking -----------------------------------------------------------------
