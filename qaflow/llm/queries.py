@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from qaflow.llm import secret_scan, warc
+from qaflow.llm import packing, secret_scan, warc
 
 QUERIES = {
     "op2_warc": warc.query,
+    "op4_best_fit_packing": packing.query,
     "op6_secret_scan": secret_scan.query,
 }
 ORACLES = {"op2_warc": warc.SQL}
