@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from qaflow.llm import packing, secret_scan, warc
+from qaflow.llm import packing, quality, secret_scan, warc
 
 QUERIES = {
+    "op1_quality": quality.query,
     "op2_warc": warc.query,
     "op4_best_fit_packing": packing.query,
     "op6_secret_scan": secret_scan.query,
