@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from qaflow.llm import decontam, jaccard_join, packing, quality, secret_scan, warc
+from qaflow.llm import decontam, jaccard_join, linededup, packing, quality, secret_scan, warc
 
 QUERIES = {
     "op1_quality": quality.query,
     "op2_warc": warc.query,
     "op3_decontamination": decontam.query,
     "op4_best_fit_packing": packing.query,
+    "op5_line_dedup": linededup.query,
     "op6_secret_scan": secret_scan.query,
     "op7_ngram_jaccard_join": jaccard_join.query,
 }
-ORACLES = {"op2_warc": warc.SQL}
+ORACLES = {"op2_warc": warc.SQL, "op5_line_dedup": linededup.SQL}
