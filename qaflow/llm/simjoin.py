@@ -6,12 +6,12 @@ the task that makes them, and only one entry a run (its smallest vertex, its siz
 arrays in binary rows. So a key that a third of all rows hold costs a task at most one entry a run, and
 no group is ever expanded into pairs: a run gives a star of edges to its smallest vertex.
 
-Verification: the stars' components hold every true link. A component's vertices are dealt into tiles:
-small components are one tile; a large one is cut into size bands (a band is one similarity step wide, so
-links stay within a band or its neighbour) and by a hash into blocks of at most about ``block`` vertices,
-and each pair of blocks is a tile. In a tile, hashed parity bitmaps bound the overlap of two sets from
-above, and what passes is intersected exactly as sorted arrays; vertices that are already joined in the
-tile are not compared again, so a tile returns a spanning forest of its links and loses none.
+Verification: the stars' components hold every true link. A component's vertices are dealt into tiles in
+two rounds: blocks of about ``block`` vertices with a few leaders in each, which joins up a group of
+copies while every set moves once; then, only for what is still apart in a large component, pairs of
+blocks of size bands. In a tile, hashed parity bitmaps bound the overlap of two sets from above, and what
+passes is intersected exactly as sorted arrays; vertices that are already joined are not compared again,
+so a tile returns a spanning forest of its links and loses none.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from qaflow.llm.common import connected_components, materialise, mix, partitions
 FLUSH = 1_500_000
 BITMAP_WORDS = 16
 BLOCK = 128
+LEADERS = 6
 ENTRY = np.dtype([("key", "<u8"), ("vertex", "<i8"), ("lo", "<i4"), ("hi", "<i4")])
 EDGE = np.dtype([("a", "<i8"), ("b", "<i8")])
 _ROW = "part int, edges boolean, data binary"
@@ -117,8 +118,9 @@ def bitmap(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.uint64)
 
 
-def tile_links(sets: list[np.ndarray], side: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links between a tile's sets (of both sides, if there are two).
+def tile_links(sets: list[np.ndarray], side: np.ndarray, num: int, den: int, part: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """A spanning forest of the links between a tile's sets (of both sides, if there are two), on top of
+    the ``part`` that each is already known to be in.
 
     A link: ``den * overlap >= num * union``. Differing bits of two parity bitmaps never outnumber the
     symmetric difference, so (sizes - differing bits) / 2 bounds the overlap from above.
@@ -127,7 +129,8 @@ def tile_links(sets: list[np.ndarray], side: np.ndarray, num: int, den: int) ->
     order = np.argsort(size, kind="stable")
     size, side = size[order], side[order]
     maps = np.stack([bitmap(sets[i]) for i in order])
-    group, links, two = np.arange(len(order)), [], len(set(side.tolist())) > 1
+    group = np.unique(part[order], return_inverse=True)[1] if part is not None else np.arange(len(order))
+    links, two = [], len(set(side.tolist())) > 1
     for i in range(len(order) - 1):
         if not size[i]:
             continue
@@ -149,37 +152,56 @@ def tile_links(sets: list[np.ndarray], side: np.ndarray, num: int, den: int) ->
     return links
 
 
-def _tiles(members: DataFrame, num: int, den: int, block: int) -> DataFrame:
-    """``members(vertex, component, size, ...)`` dealt to ``tile, side``; see the module's text."""
-    band = F.floor(F.log(F.greatest(F.col("size"), F.lit(1)).cast("double")) / F.lit(math.log(den / num))).cast("int") if num else F.lit(0)
-    whole = members.groupBy("component").agg(F.count("*").alias("n"))
-    m = members.join(whole, "component").withColumn("band", F.when(F.col("n") <= 2 * block, F.lit(0)).otherwise(band))
-    count = m.where(F.col("n") > 2 * block).groupBy("component", "band").agg(F.count("*").alias("c"))
-    count = count.select(F.col("component"), F.col("band"), F.ceil(F.col("c") / block).cast("int").alias("blocks"))
-    per = count.groupBy("component").agg(F.map_from_entries(F.collect_list(F.struct("band", "blocks"))).alias("bands"))
-    m = m.join(per, "component", "left")
-    blocks = lambda b: F.coalesce(F.element_at("bands", b), F.lit(0))
-    own = F.greatest(blocks(F.col("band")), F.lit(1))
-    block_no = F.pmod(F.xxhash64("vertex"), own).cast("int")
-    m = m.withColumn("block_no", block_no)
-    tile = lambda b, lo, hi, side: F.struct(F.xxhash64("component", b, lo, hi).alias("tile"), side.alias("side"))
+def _block_tiles(members: DataFrame, block: int) -> DataFrame:
+    """First round: a component's vertices in blocks by hash, each block with the component's leaders (the
+    least vertices under LEADERS hashes). A component of up to two blocks' size is one tile, and done."""
+    whole = members.groupBy("component").agg(F.count("*").alias("n"), F.array(*[F.min_by("vertex", F.xxhash64("vertex", F.lit(i))) for i in range(LEADERS)]).alias("leaders"))
+    m = members.join(whole, "component").withColumn("blocks", F.when(F.col("n") <= 2 * block, 1).otherwise(F.ceil(F.col("n") / block)).cast("int"))
+    own = F.array(F.pmod(F.xxhash64("vertex"), F.col("blocks")).cast("int"))
+    blocks = F.when(F.array_contains("leaders", F.col("vertex")), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(own)
+    return m.withColumn("b", F.explode(blocks)).select(*members.columns, F.xxhash64("component", "b").alias("tile"), F.lit(0).alias("side"), F.col("vertex").alias("part"))
+
+
+def _pair_tiles(members: DataFrame, parts: DataFrame, num: int, den: int, block: int) -> DataFrame:
+    """Second round, for components of more than one block that the first left in several ``parts(v, part)``:
+    size bands (a band is one similarity step wide, so links stay within a band or its neighbour) are cut
+    into blocks, and tiles are the pairs of blocks with one at least outside the component's largest part."""
+    large = members.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n") > 2 * block).select("component")
+    m = members.join(large, "component").join(parts, F.col("vertex") == F.col("v"), "left").withColumn("part", F.coalesce("part", "vertex")).drop("v")
+    sizes = m.groupBy("component", "part").agg(F.count("*").alias("n")).groupBy("component").agg(F.max(F.struct("n", "part"))["part"].alias("main"), F.count("*").alias("parts"))
+    band = F.floor(F.log(F.greatest(F.col("size"), F.lit(1)).cast("double")) / F.lit(math.log(den / num))).cast("int")
+    m = m.join(sizes.where("parts > 1").drop("parts"), "component").withColumn("band", band).withColumn("rest", (F.col("part") != F.col("main")).cast("int"))
+    key = lambda b, rest: b * 2 + rest
+    count = m.groupBy("component", key(F.col("band"), F.col("rest")).alias("key")).agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    per = count.groupBy("component").agg(F.map_from_entries(F.collect_list(F.struct("key", "blocks"))).alias("bands"))
+    m = m.join(per, "component")
+    blocks = lambda b, rest: F.coalesce(F.element_at("bands", key(b, F.lit(rest))), F.lit(0))
     up_to = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    same = F.transform(up_to(own), lambda t: tile(F.col("band") * 2, F.least("block_no", t), F.greatest("block_no", t),
-                                                  F.when(F.col("block_no") <= t, 0).otherwise(1)))
-    above = F.transform(up_to(blocks(F.col("band") + 1)), lambda t: tile(F.col("band") * 2 + 1, F.col("block_no"), t, F.lit(0)))
-    below = F.transform(up_to(blocks(F.col("band") - 1)), lambda t: tile(F.col("band") * 2 - 1, t, F.col("block_no"), F.lit(1)))
-    return m.withColumn("t", F.explode(F.concat(same, above, below))).select(*members.columns, "t.tile", "t.side")
-
-
-def verified_links(members: DataFrame, docs: DataFrame, extract: Callable, num: int, den: int, name: str, block: int = BLOCK) -> DataFrame:
-    """Links ``(a, b)`` that span the true components of ``members(vertex, component, size, doc_id, spot)``.
+    tile = lambda side, *by: F.struct(F.xxhash64("component", *by).alias("tile"), side.alias("side"))
+    band, zero, one = F.col("band"), F.lit(0), F.lit(1)
+    m = m.withColumn("no", F.pmod(F.xxhash64("vertex"), F.element_at("bands", key(band, F.col("rest")))).cast("int"))
+    no = F.col("no")
+    inner = [F.transform(up_to(blocks(band, 1)), lambda t: tile(F.when(no <= t, 0).otherwise(1), F.lit("same"), band, F.least(no, t), F.greatest(no, t))),
+             F.transform(up_to(blocks(band + 1, 1)), lambda t: tile(zero, F.lit("next"), band, no, t)),
+             F.transform(up_to(blocks(band - 1, 1)), lambda t: tile(one, F.lit("next"), band - 1, t, no))]
+    to_main = lambda d: F.transform(up_to(blocks(band + d, 0)), lambda t: tile(zero, F.lit("main"), band, no, band + d, t))
+    to_rest = lambda d: F.transform(up_to(blocks(band + d, 1)), lambda t: tile(one, F.lit("main"), band + d, t, band, no))
+    outer, main = [to_main(d) for d in (-1, 0, 1)], [to_rest(d) for d in (-1, 0, 1)]
+    t = F.when(F.col("rest") == 1, F.concat(*inner, *outer)).otherwise(F.concat(*main))
+    return m.withColumn("t", F.explode(t)).select(*members.columns, "t.tile", "t.side", "part")
+
+
+def verified_links(dealt: DataFrame, docs: DataFrame, extract: Callable, num: int, den: int, name: str) -> DataFrame:
+    """Links ``(a, b)`` that span the links within the tiles of ``dealt(vertex, doc_id, spot, tile, side, part)``
+    between vertices of different parts.
 
     ``docs(doc_id, text)`` gives the texts; ``extract(texts, spots)`` maps a batch of texts and, for each,
     the spots asked for, to sorted hash arrays. Only documents with candidates leave their task."""
-    dealt = _tiles(members, num, den, block)
-    asked = dealt.groupBy("doc_id").agg(F.collect_list(F.struct("tile", "side", "vertex", "spot")).alias("asked"))
+    asked = dealt.groupBy("doc_id").agg(F.collect_list(F.struct("tile", "side", "vertex", "part", "spot")).alias("asked"))
     rows = docs.where("doc_id is not null").select("doc_id", "text").join(asked, "doc_id").select("text", "asked")
 
+    names = ["tile", "side", "vertex", "part", "data"]
+
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
@@ -187,35 +209,36 @@ def verified_links(members: DataFrame, docs: DataFrame, extract: Callable, num:
                 asked = part.column(1).to_pylist()
                 out = []
                 for want, got in zip(asked, extract(part.column(0), [sorted({w["spot"] for w in a}) for a in asked])):
-                    out += [(w["tile"], w["side"], w["vertex"], got[w["spot"]].tobytes()) for w in want if w["spot"] in got]
-                cols = list(zip(*out)) or [()] * 4
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.binary()))], names=["tile", "side", "vertex", "data"])
+                    out += [(w["tile"], w["side"], w["vertex"], w["part"], got[w["spot"]].tobytes()) for w in want if w["spot"] in got]
+                cols = list(zip(*out)) or [()] * 5
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))], names=names)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def close():
-            got: dict[int, tuple[int, np.ndarray]] = {}
-            for v, s, d in held:
-                got.setdefault(v, (s, d))
+            got: dict[int, tuple] = {}
+            for v, *rest in held:
+                got.setdefault(v, rest)
             ids = list(got)
             if len(ids) < 2:
                 return []
-            links = tile_links([got[v][1] for v in ids], np.array([got[v][0] for v in ids]), num, den)
+            side, part = (np.array([got[v][k] for v in ids], np.int64) for k in (0, 1))
+            links = tile_links([got[v][2] for v in ids], side, num, den, part)
             return [(ids[a], ids[b]) for a, b in links]
 
         held, at, out = [], None, []
         for batch in batches:
-            for tile, side, vertex, data in zip(*(batch.column(c).to_pylist() for c in ("tile", "side", "vertex", "data"))):
+            for tile, side, vertex, part, data in zip(*(batch.column(c).to_pylist() for c in names)):
                 if tile != at:
                     out += close()
                     held, at = [], tile
-                held.append((vertex, side, np.frombuffer(data, "<u8")))
+                held.append((vertex, side, part, np.frombuffer(data, "<u8")))
             if len(out) > 50_000:
                 yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
                 out = []
         out += close()
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    made = rows.mapInArrow(sets, "tile long, side int, vertex long, data binary")
+    made = rows.mapInArrow(sets, "tile long, side int, vertex long, part long, data binary")
     made = made.repartition("tile").sortWithinPartitions("tile", "side", "vertex")
     return materialise(made.mapInArrow(verify, "a long, b long"), name)
 
@@ -224,4 +247,9 @@ def linked_components(edges: DataFrame, vertices: DataFrame, docs: DataFrame, ex
     """``(v, component)`` of the true links; ``vertices(vertex, size, doc_id, spot)`` says where each set is read."""
     coarse = connected_components(edges, f"{name}-coarse")
     members = materialise(vertices.join(coarse, F.col("vertex") == F.col("v")).drop("v"), f"{name}-members")
-    return connected_components(verified_links(members, docs, extract, num, den, f"{name}-links", block), f"{name}-fine")
+    first = materialise(connected_components(verified_links(_block_tiles(members, block), docs, extract, num, den, f"{name}-links"), f"{name}-parts"), f"{name}-first")
+    dealt = materialise(_pair_tiles(members, first.select("v", F.col("component").alias("part")), num, den, block), f"{name}-tiles")
+    if dealt.isEmpty():
+        return first
+    second = verified_links(dealt, docs, extract, num, den, f"{name}-links-2")
+    return connected_components(first.where("v <> component").select(F.col("v").alias("a"), F.col("component").alias("b")).union(second), f"{name}-fine")
