@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from qaflow.llm import ann_tree, decontam, jaccard_join, linededup, packing, quality, secret_scan, substring_dedup, warc
+from qaflow.llm import ann_tree, decontam, jaccard_join, linededup, packing, quality, secret_scan, substring_dedup, warc, wrapper_html
 
 QUERIES = {
     "op1_quality": quality.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_line_dedup": linededup.query,
     "op6_secret_scan": secret_scan.query,
     "op7_ngram_jaccard_join": jaccard_join.query,
+    "op8_wrapper_html": wrapper_html.query,
     "op9_ann_tree": ann_tree.query,
     "op10_substring_dedup": substring_dedup.query,
 }
