@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from qaflow.session import scratch_path
+
 _LOW_BITS = 33  # monotonically_increasing_id: partition id << 33 | row number
 
 
@@ -19,8 +21,10 @@ def dense_ids(df: DataFrame, order: list, out: str = "pos", num_partitions: int
     """0..n-1 following ``order`` (which must be a total order on the rows).
 
     ``repartitionByRange`` + ``sortWithinPartitions`` orders the data across
-    tasks; ``monotonically_increasing_id`` numbers rows inside each task and
-    a small per-partition count table (one row per partition) gives the
+    tasks; ``monotonically_increasing_id`` numbers rows inside each task.
+    The numbered rows are written once to the shared folder: range boundaries
+    are sampled per exchange, so counts and rows must come from the same one.
+    A per-partition count table (one row per partition) then gives the
     offsets, joined back by broadcast.
     """
     spark = df.sparkSession
@@ -29,6 +33,9 @@ def dense_ids(df: DataFrame, order: list, out: str = "pos", num_partitions: int
     ranged = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
     mid = F.monotonically_increasing_id()
     tagged = ranged.withColumn("_mid", mid).withColumn("_part", F.shiftright("_mid", _LOW_BITS))
+    path = scratch_path(spark, "dense-ids")
+    tagged.write.parquet(path)
+    tagged = spark.read.schema(tagged.schema).parquet(path)
     counts = tagged.groupBy("_part").agg(F.count("*").alias("_n"))
     w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))

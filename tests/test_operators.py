@@ -92,6 +92,15 @@ def test_shards_partition_input(spark):
     assert [r[0] for r in pos.orderBy("pos").select("pos").collect()] == list(range(n))
 
 
+def test_dense_ids_beyond_the_range_sample(spark):
+    rows = spark.range(400_000).select(F.pmod(F.xxhash64("id"), F.lit(10**12)).alias("k"), "id", F.concat(F.lit("payload "), "id").alias("text"))
+    for parts in (3, 64):
+        pos = split.dense_ids(rows, ["k", "id"], num_partitions=parts)
+        got = pos.agg(F.count_distinct("pos").alias("n"), F.min("pos").alias("lo"), F.max("pos").alias("hi")).first()
+        assert tuple(got) == (400_000, 0, 399_999)
+        assert pos.alias("a").join(pos.alias("b"), F.expr("b.pos = a.pos + 1")).where("struct(b.k, b.id) < struct(a.k, a.id)").isEmpty()
+
+
 def test_seeded_split_sizes(spark):
     b = catalog.table(spark, SF_SMALL, "benchmark").select("item_id")
     n = b.count()
