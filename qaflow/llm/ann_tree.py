@@ -244,7 +244,8 @@ def nearest(rows: DataFrame, asks: Column, k: int = 5, key: str = "vec_id", vect
     n = distinct.count()
     head = distinct.select(F.size("v")).first()
     most = min(FIT_ROWS, FIT_BYTES // (8 * head[0])) if head else 1
-    sample = _matrix(_hashed(distinct, n, most, 3).select("v").toArrow()["v"]) if n else np.ones((1, 1))
+    # in order of rep, so that the tree doesn't depend on the order in which tasks end
+    sample = _matrix(_hashed(distinct, n, most, 3).select("rep", "v").toArrow().sort_by("rep")["v"]) if n else np.ones((1, 1))
     tree = fit_tree(_unit(sample))
     indexed = build_index(distinct, tree)
     asked = materialise(rows.where(asks).join(distinct.select("rep", "v"), "v").select(F.col("id").alias("query_id"), "rep"), "ann-queries")
