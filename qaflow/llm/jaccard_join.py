@@ -23,11 +23,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qaflow.llm.common import materialise, read, set_id, shingle_hashes, text_bytes, word_hashes
-from qaflow.llm.simjoin import ENTRY, linked_components, candidate_edges
+from qaflow.llm.simjoin import ENTRY, bitmap, candidate_edges, linked_components
 
 CELL_BITS = 20
 CELL_BLOCK = 1 << 16
-_SETS = "doc_id long, n_shingles long, vertex long, block int, counts binary"
+_SETS = "doc_id long, n_shingles long, vertex long, sketch binary, block int, counts binary"
 
 
 def shingle_sets(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
@@ -41,10 +41,10 @@ def shingle_sets(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
 
 
 def document_sets(docs: DataFrame, k: int) -> DataFrame:
-    """One pass: ``doc_id, n_shingles, vertex`` of every row (vertex null for an empty set), and on rows
+    """One pass: ``doc_id, n_shingles, vertex, sketch`` of every row (the last two null for an empty set), and on rows
     with a ``block`` each task's counts of the shingle cells."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "n_shingles", "vertex", "block", "counts"]
+        names = ["doc_id", "n_shingles", "vertex", "sketch", "block", "counts"]
         cells = np.zeros(1 << CELL_BITS, np.int64)
         held, n = [], 0
 
@@ -55,36 +55,48 @@ def document_sets(docs: DataFrame, k: int) -> DataFrame:
             held, n = [], 0
 
         for batch in batches:
-            sizes, ids = [], []
+            sizes, ids, maps = [], [], []
             for s in shingle_sets(batch.column(1), k):
                 sizes.append(len(s))
                 ids.append(set_id(s) if len(s) else None)
+                maps.append(bitmap(s).tobytes() if len(s) else None)
                 held.append(s)
                 n += len(s)
                 if n > 2_000_000:
                     drain()
             m = len(sizes)
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(maps, pa.binary()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names=names)
         drain()
         if cells.any():
             small = np.minimum(cells, 0xFFFFFFFF).astype("<u4")
             blocks = range(0, len(cells), CELL_BLOCK)
             null = pa.nulls(len(blocks), pa.int64())
-            yield pa.RecordBatch.from_arrays([null, null, null, pa.array(range(len(blocks)), pa.int32()), pa.array([small[b:b + CELL_BLOCK].tobytes() for b in blocks], pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([null, null, null, pa.nulls(len(blocks), pa.binary()), pa.array(range(len(blocks)), pa.int32()), pa.array([small[b:b + CELL_BLOCK].tobytes() for b in blocks], pa.binary())], names=names)
 
     return materialise(docs.select("doc_id", "text").mapInArrow(rows, _SETS), "jaccard-sets")
 
 
 def cell_ranks(sets: DataFrame) -> np.ndarray:
     """A rank in 0..255 of every cell by its count over all documents; the table's size is fixed (1 MB)."""
-    def add(key: tuple, table: pa.Table) -> pa.Table:
-        total = np.zeros(CELL_BLOCK, np.int64)
+    def total(table: pa.Table, kind: str) -> np.ndarray:
+        out = np.zeros(CELL_BLOCK, np.int64)
         for c in table.column("counts"):
-            total += np.frombuffer(c.as_buffer(), "<u4")
-        rank = np.minimum(255, np.log2(1 + total) * 6).astype(np.uint8)
-        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "ranks": pa.array([rank.tobytes()], pa.binary())})
+            out += np.frombuffer(c.as_buffer(), kind)
+        return out
 
-    got = sets.where("block is not null").select("block", "counts").groupBy("block").applyInArrow(add, "block int, ranks binary").collect()
+    def add(key: tuple, table: pa.Table) -> pa.Table:
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([total(table, "<u4").tobytes()], pa.binary())})
+
+    def rank(key: tuple, table: pa.Table) -> pa.Table:
+        ranks = np.minimum(255, np.log2(1 + total(table, "<i8")) * 6).astype(np.uint8)
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "ranks": pa.array([ranks.tobytes()], pa.binary())})
+
+    # two levels: a group adds up about the square root of the number of tasks
+    parts = sets.where("block is not null")
+    salts = max(1, int((parts.count() * CELL_BLOCK / (1 << CELL_BITS)) ** 0.5))
+    salted = parts.select("block", "counts", F.pmod(F.xxhash64("counts"), F.lit(salts)).alias("salt"))
+    part = salted.groupBy("block", "salt").applyInArrow(add, "block int, counts binary")
+    got = part.groupBy("block").applyInArrow(rank, "block int, ranks binary").collect()
     out = np.zeros(1 << CELL_BITS, np.uint8)
     for r in got:
         out[r["block"] * CELL_BLOCK:(r["block"] + 1) * CELL_BLOCK] = np.frombuffer(r["ranks"], np.uint8)
@@ -98,6 +110,7 @@ def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 10
     made = document_sets(docs, k)
     ranks = spark.sparkContext.broadcast(cell_ranks(made))
     sets = made.where("block is null").select("doc_id", "n_shingles", "vertex")
+    maps = made.where("vertex is not null").groupBy("vertex").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch"))
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         rank, seen = ranks.value, set()
@@ -119,8 +132,8 @@ def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 10
             yield {v: s} if v in want else {}
 
     edges = candidate_edges(docs.where("doc_id is not null").select("text"), prefixes, num, den, "jaccard-edges")
-    where = sets.where("vertex is not null").groupBy("vertex").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("size"))
-    coarse_spots = where.where("doc_id is not null").select("vertex", "size", "doc_id", F.col("vertex").alias("spot"))
+    where = materialise(maps, "jaccard-where")
+    coarse_spots = where.where("doc_id is not null").select("vertex", "size", "doc_id", F.col("vertex").alias("spot"), "sketch")
     linked = linked_components(edges, coarse_spots, docs, extract, num, den, "jaccard")
     rep = materialise(where.select("vertex", F.col("doc_id").alias("first")).join(linked, F.col("vertex") == F.col("v"), "left")
                       .select("vertex", "first", F.coalesce("component", "vertex").alias("component")), "jaccard-vertices")

@@ -6,7 +6,8 @@ the task that makes them, and only one entry a run (its smallest vertex, its siz
 arrays in binary rows. So a key that a third of all rows hold costs a task at most one entry a run, and
 no group is ever expanded into pairs: a run gives a star of edges to its smallest vertex.
 
-Verification: the stars' components hold every true link. A component's vertices are dealt into tiles in
+Verification: the stars' components hold every true link. Where bitmaps of the sets are at hand, the same
+tiles as below first split the components by the bitmaps' bound alone. A component's vertices are dealt into tiles in
 two rounds: blocks of about ``block`` vertices with a few leaders in each, which joins up a group of
 copies while every set moves once; then, only for what is still apart in a large component, pairs of
 blocks of size bands. In a tile, hashed parity bitmaps bound the overlap of two sets from above, and what
@@ -17,18 +18,23 @@ so a tile returns a spanning forest of its links and loses none.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qaflow.llm.common import connected_components, materialise, mix, partitions
 
-FLUSH = 1_500_000
+FLUSH = 500_000
+SENT_BYTES = 4 << 20
 BITMAP_WORDS = 16
 BLOCK = 128
+SKETCH_BLOCK = 1024
+PAIR_SIZE = 1 << 19
+LEAST_SIZE = 128
 LEADERS = 6
 ENTRY = np.dtype([("key", "<u8"), ("vertex", "<i8"), ("lo", "<i4"), ("hi", "<i4")])
 EDGE = np.dtype([("a", "<i8"), ("b", "<i8")])
@@ -71,6 +77,19 @@ def _pack(rows: list[tuple[int, bool, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.bool_()), pa.array(cols[2], pa.binary())], names=["part", "edges", "data"])
 
 
+def _packed(rows: Iterable[tuple[int, bool, bytes]]) -> Iterator[pa.RecordBatch]:
+    """Record batches of about SENT_BYTES."""
+    held, n = [], 0
+    for r in rows:
+        held.append(r)
+        n += len(r[2])
+        if n >= SENT_BYTES:
+            yield _pack(held)
+            held, n = [], 0
+    if held:
+        yield _pack(held)
+
+
 def candidate_edges(df: DataFrame, entries: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]], num: int, den: int, name: str) -> DataFrame:
     """``edges(a, b)`` whose components hold every pair of vertices that shares a key of ``entries`` and
     has sizes within ``num / den``. ``entries`` maps the batches of ``df`` to ENTRY arrays."""
@@ -80,20 +99,19 @@ def candidate_edges(df: DataFrame, entries: Callable[[Iterator[pa.RecordBatch]],
         def flush(held):
             got, edges = runs(np.concatenate(held), num, den)
             part = (mix(got["key"]) % np.uint64(n_parts)).astype(np.int64)
-            rows = [(p, False, b) for p, b in _blobs(part, got, n_parts)]
-            for k, a in enumerate(range(0, len(edges), 1 << 16)):
-                rows.append((int((int(got["key"][0]) + k) % n_parts), True, edges[a:a + (1 << 16)].tobytes()))
-            return _pack(rows)
+            rows = ((p, False, b) for p, b in _blobs(part, got, n_parts))
+            more = ((int((int(got["key"][0]) + k) % n_parts), True, edges[a:a + (1 << 14)].tobytes()) for k, a in enumerate(range(0, len(edges), 1 << 14)))
+            yield from _packed(chain(rows, more))
 
         held, n = [], 0
         for e in entries(batches):
             held.append(e)
             n += len(e)
             if n >= FLUSH:
-                yield flush(held)
+                yield from flush(held)
                 held, n = [], 0
         if n:
-            yield flush(held)
+            yield from flush(held)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = lambda e: pa.RecordBatch.from_arrays([pa.array(e["a"]), pa.array(e["b"])], names=["a", "b"])
@@ -162,17 +180,18 @@ def _block_tiles(members: DataFrame, block: int) -> DataFrame:
     return m.withColumn("b", F.explode(blocks)).select(*members.columns, F.xxhash64("component", "b").alias("tile"), F.lit(0).alias("side"), F.col("vertex").alias("part"))
 
 
-def _pair_tiles(members: DataFrame, parts: DataFrame, num: int, den: int, block: int) -> DataFrame:
+def _pair_tiles(members: DataFrame, parts: DataFrame, num: int, den: int, block: int, weight: Column, most: int) -> DataFrame:
     """Second round, for components of more than one block that the first left in several ``parts(v, part)``:
     size bands (a band is one similarity step wide, so links stay within a band or its neighbour) are cut
-    into blocks, and tiles are the pairs of blocks with one at least outside the component's largest part."""
+    into blocks of about ``most`` in ``weight``, and tiles are the pairs of blocks with one at least outside the
+    component's largest part."""
     large = members.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n") > 2 * block).select("component")
     m = members.join(large, "component").join(parts, F.col("vertex") == F.col("v"), "left").withColumn("part", F.coalesce("part", "vertex")).drop("v")
     sizes = m.groupBy("component", "part").agg(F.count("*").alias("n")).groupBy("component").agg(F.max(F.struct("n", "part"))["part"].alias("main"), F.count("*").alias("parts"))
     band = F.floor(F.log(F.greatest(F.col("size"), F.lit(1)).cast("double")) / F.lit(math.log(den / num))).cast("int")
     m = m.join(sizes.where("parts > 1").drop("parts"), "component").withColumn("band", band).withColumn("rest", (F.col("part") != F.col("main")).cast("int"))
     key = lambda b, rest: b * 2 + rest
-    count = m.groupBy("component", key(F.col("band"), F.col("rest")).alias("key")).agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    count = m.groupBy("component", key(F.col("band"), F.col("rest")).alias("key")).agg(F.ceil(F.sum(weight) / most).cast("int").alias("blocks"))
     per = count.groupBy("component").agg(F.map_from_entries(F.collect_list(F.struct("key", "blocks"))).alias("bands"))
     m = m.join(per, "component")
     blocks = lambda b, rest: F.coalesce(F.element_at("bands", key(b, F.lit(rest))), F.lit(0))
@@ -243,13 +262,62 @@ def verified_links(dealt: DataFrame, docs: DataFrame, extract: Callable, num: in
     return materialise(made.mapInArrow(verify, "a long, b long"), name)
 
 
-def linked_components(edges: DataFrame, vertices: DataFrame, docs: DataFrame, extract: Callable, num: int, den: int, name: str, block: int = BLOCK) -> DataFrame:
-    """``(v, component)`` of the true links; ``vertices(vertex, size, doc_id, spot)`` says where each set is read."""
-    coarse = connected_components(edges, f"{name}-coarse")
-    members = materialise(vertices.join(coarse, F.col("vertex") == F.col("v")).drop("v"), f"{name}-members")
-    first = materialise(connected_components(verified_links(_block_tiles(members, block), docs, extract, num, den, f"{name}-links"), f"{name}-parts"), f"{name}-first")
-    dealt = materialise(_pair_tiles(members, first.select("v", F.col("component").alias("part")), num, den, block), f"{name}-tiles")
+def sketch_links(dealt: DataFrame, num: int, den: int, name: str) -> DataFrame:
+    """Pairs ``(a, b)`` that span, within the tiles of ``dealt(vertex, size, sketch, tile, side, part)``, the
+    pairs whose bitmaps leave the similarity possible; no set is read for it."""
+    names = ["tile", "side", "vertex", "part", "size", "sketch"]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def close():
+            if len(held) < 2:
+                return []
+            held.sort(key=lambda r: r[3])
+            side, vertex, part, size = (np.array([r[k] for r in held], np.int64) for k in range(4))
+            maps = np.frombuffer(b"".join(r[4] for r in held), np.uint64).reshape(len(held), -1)
+            group, two, links = np.unique(part, return_inverse=True)[1], len(set(side.tolist())) > 1, []
+            for i in range(len(held) - 1):
+                j = np.arange(i + 1, int(np.searchsorted(size, den * size[i] // num, "right")))
+                j = j[(group[j] != group[i]) & ((side[j] != side[i]) if two else True)]
+                most = (size[j] + size[i] - np.bitwise_count(maps[j] ^ maps[i]).sum(1).astype(np.int64)) // 2
+                for x in j[den * most >= num * (size[j] + size[i] - most)].tolist():
+                    if group[x] != group[i]:
+                        links.append((int(vertex[i]), int(vertex[x])))
+                        group[group == group[x]] = group[i]
+            return links
+
+        held, at, out = [], None, []
+        for batch in batches:
+            for tile, side, vertex, part, size, sketch in zip(*(batch.column(c).to_pylist() for c in names)):
+                if tile != at:
+                    out += close()
+                    held, at = [], tile
+                held.append((side, vertex, part, size, sketch))
+            if len(out) > 50_000:
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+                out = []
+        out += close()
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    sent = dealt.select(*names).repartition("tile").sortWithinPartitions("tile", "side", "vertex")
+    return materialise(sent.mapInArrow(compare, "a long, b long"), name)
+
+
+def _two_rounds(members: DataFrame, links: Callable[[DataFrame, str], DataFrame], num: int, den: int, name: str, block: int, weight: Column, most: int) -> DataFrame:
+    """``(v, component)`` of what ``links`` finds in the tiles of both rounds."""
+    first = materialise(connected_components(links(_block_tiles(members, block), f"{name}-links"), f"{name}-parts"), f"{name}-first")
+    dealt = materialise(_pair_tiles(members, first.select("v", F.col("component").alias("part")), num, den, block, weight, most), f"{name}-tiles")
     if dealt.isEmpty():
         return first
-    second = verified_links(dealt, docs, extract, num, den, f"{name}-links-2")
-    return connected_components(first.where("v <> component").select(F.col("v").alias("a"), F.col("component").alias("b")).union(second), f"{name}-fine")
+    return connected_components(first.where("v <> component").select(F.col("v").alias("a"), F.col("component").alias("b")).union(links(dealt, f"{name}-links-2")), f"{name}-fine")
+
+
+def linked_components(edges: DataFrame, vertices: DataFrame, docs: DataFrame, extract: Callable, num: int, den: int, name: str, block: int = BLOCK) -> DataFrame:
+    """``(v, component)`` of the true links; ``vertices(vertex, size, doc_id, spot)`` says where each set is
+    read. With a column ``sketch`` (:func:`bitmap` as bytes) the candidates' components are first split
+    by the bitmaps' bound, so that only sets which pass it are read and moved."""
+    found = connected_components(edges, f"{name}-coarse")
+    if "sketch" in vertices.columns:
+        coarse = materialise(vertices.select("vertex", "size", "sketch").join(found, F.col("vertex") == F.col("v")).drop("v"), f"{name}-coarse-members")
+        found = _two_rounds(coarse, lambda dealt, at: sketch_links(dealt, num, den, at), num, den, f"{name}-sketch", SKETCH_BLOCK, F.lit(1), SKETCH_BLOCK)
+    members = materialise(vertices.drop("sketch").join(found, F.col("vertex") == F.col("v")).drop("v"), f"{name}-members")
+    return _two_rounds(members, lambda dealt, at: verified_links(dealt, docs, extract, num, den, at), num, den, name, block, F.greatest("size", F.lit(LEAST_SIZE)), PAIR_SIZE)

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from qaflow.llm.common import _ODD, materialise, mix, partitions, read, shingle_hashes, text_bytes, word_hashes
-from qaflow.llm.simjoin import ENTRY, _blobs, _pack, candidate_edges, linked_components
+from qaflow.llm.simjoin import ENTRY, _blobs, _packed, candidate_edges, linked_components
 
 MIN_WORDS = 20
 SHINGLE = 5
@@ -42,7 +42,7 @@ MAX_PIECE, STEP = 24, 16
 NUM, DEN = 80, 100
 _INV = np.uint64(pow(int(_ODD), -1, 1 << 64))
 SPOT = np.dtype([("key", "<u8"), ("doc", "<i8"), ("start", "<i4"), ("words", "<i4"), ("known", "<i4")])
-FLUSH = 1_500_000
+FLUSH = 500_000
 
 
 def _batches(texts: pa.Array, size: int = 1024):
@@ -195,8 +195,8 @@ def repeated_pieces(docs: DataFrame) -> DataFrame:
             go = np.concatenate([known, e[~many]])
             rows = [(p, False, b) for p, b in _blobs((mix(go["key"]) % np.uint64(n_parts)).astype(np.int64), go, n_parts)]
             found = e[many]
-            rows += [(int(found["start"][k]) % n_parts, True, found[k:k + (1 << 15)].tobytes()) for k in range(0, len(found), 1 << 15)]
-            return _pack(rows)
+            rows += [(int(found["start"][k]) % n_parts, True, found[k:k + (1 << 14)].tobytes()) for k in range(0, len(found), 1 << 14)]
+            yield from _packed(rows)
 
         held, n = [], 0
         for batch in batches:
@@ -208,10 +208,10 @@ def repeated_pieces(docs: DataFrame) -> DataFrame:
                 held.append(e)
                 n += len(e)
             if n >= FLUSH:
-                yield flush(held)
+                yield from flush(held)
                 held, n = [], 0
         if n:
-            yield flush(held)
+            yield from flush(held)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.zeros(0, SPOT)]

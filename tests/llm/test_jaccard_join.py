@@ -84,6 +84,8 @@ def test_components_equal_brute_force(spark, monkeypatch, block):
         rows.append((1000 + i, " ".join(base[:i] + [f"x{i}"] + base[i + 1:])))
     rows += [(2000 + i, " ".join(base[: 60 + i])) for i in range(60)] + [(3000, "one two"), (3001, "ONE\ttwo "), (3002, " "), (3003, None), (3004, ""), (3005, "word " * 300_000), (3006, "word " * 200_000)]
     monkeypatch.setattr(simjoin.linked_components, "__defaults__", (block,))
+    monkeypatch.setattr(simjoin, "SKETCH_BLOCK", 8 * block)
+    monkeypatch.setattr(simjoin, "PAIR_SIZE", 200 * block)
     got = j.jaccard_components(spark.createDataFrame([(*r, "c", 1) for r in rows], SCHEMA))
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == brute(rows, 4, 85, 100)
 
