@@ -361,6 +361,7 @@ CENTROID_BROADCAST_MAX_BYTES = 256 << 20
 
 
 CENTROID_MAX_ROWS = 1 << 20
+SCORE_CELLS = 1 << 22  # scores a kernel call holds at once (32 MB)
 
 
 def _centroid_block(centroids: DataFrame, max_bytes: int):
@@ -402,19 +403,28 @@ def nearest_cells(df: DataFrame, centroids: DataFrame, vec: str, n: int = 1, *,
 
     def assign(batches):
         cells_, C_ = bc.value
+        step = max(1, SCORE_CELLS // len(cells_)) if len(cells_) else 1
         for b in batches:
-            X = _matrix(b[vec], C_.shape[1])
-            if normalize and len(X):
-                nr = np.linalg.norm(X, axis=1, keepdims=True)
-                X = np.divide(X, nr, out=np.zeros_like(X), where=nr > 0)
-            R = np.round(X @ C_.T, 6) if len(X) else np.zeros((0, len(cells_)))
-            order = np.lexsort((np.broadcast_to(cells_, R.shape), -R), axis=1)[:, :n]
-            best = cells_[order]
+            found = np.full(len(b), None, dtype=object)  # a null vector has no cell
+            scored = np.flatnonzero(b[vec].notna().to_numpy()) if len(cells_) else []
+            for lo in range(0, len(scored), step):
+                rows = scored[lo:lo + step]
+                X = _matrix(b[vec].iloc[rows], C_.shape[1])
+                if normalize:
+                    nr = np.linalg.norm(X, axis=1, keepdims=True)
+                    X = np.divide(X, nr, out=np.zeros_like(X), where=nr > 0)
+                S = X @ C_.T
+                if not as_list:  # cells ascend, so the first of equal scores is the lowest cell
+                    found[rows] = cells_[np.round(S, 6).argmax(axis=1)].tolist()
+                    continue
+                r, c = _block_topk(S, cells_, n)
+                c = c.reshape(len(rows), -1)
+                best = np.round(S[np.arange(len(rows))[:, None], c], 6)
+                c = np.take_along_axis(c, np.argsort(-best, axis=1, kind="stable"), axis=1)
+                for row, ids in zip(rows, cells_[c].tolist()):
+                    found[row] = ids
             b = b.copy()
-            if not as_list:
-                b[out] = best[:, 0].astype(np.int32) if len(b) else pd.Series([], dtype=np.int32)
-            else:
-                b[out] = [row.astype(np.int32).tolist() for row in best]
+            b[out] = found if as_list else pd.array(found, dtype="Int32")
             yield b
 
     return df.mapInPandas(assign, schema)
@@ -493,12 +503,12 @@ def band_keys(df: DataFrame, vec: str, planes: np.ndarray, tables: int, bits: in
     def sign_bits(batches):
         P = bc.value
         for b in batches:
+            b = b[b[vec].notna()].copy()  # a null vector is in no bucket
             X = _matrix(b[vec], P.shape[1])
             sig = (X @ P.T >= 0).reshape(len(X), tables, bits).astype(np.int64) if len(X) else \
                 np.zeros((0, tables, bits), dtype=np.int64)
             keys = sig @ weights + (np.arange(tables, dtype=np.int64) << bits)[None, :]
-            b = b.copy()
-            b[out] = [row.tolist() for row in keys]
+            b[out] = pd.Series([row.tolist() for row in keys], index=b.index, dtype=object)
             yield b
 
     return df.mapInPandas(sign_bits, schema)
@@ -512,7 +522,7 @@ def lsh_topk(queries: DataFrame, corpus: DataFrame, k: int, *, q_id: str, q_vec:
     any table; candidates are scored exactly, so every returned score equals
     the exact one and only recall can be lower.
     """
-    dim = len(queries.select(q_vec).first()[0])
+    dim = queries.agg(F.max(F.size(q_vec))).first()[0] or 0
     planes = hyperplanes(dim, tables, bits)
     qb = band_keys(queries.select(q_id, q_vec), q_vec, planes, tables, bits)
     cb = band_keys(corpus.select(c_id, c_vec), c_vec, planes, tables, bits)

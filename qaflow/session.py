@@ -44,8 +44,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    Uses the cluster's ``spark.checkpoint.dir`` when it is configured; only
-    when it is unset (local tests) a private folder is created.
+    Uses the cluster's ``spark.checkpoint.dir``; where it is unset, a private
+    folder is created on a local master (tests) and any other master raises.
     """
     sc = spark.sparkContext
     cur = sc.getCheckpointDir()
@@ -53,6 +53,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return cur
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf = tempfile.mkdtemp(prefix="qaflow-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf

@@ -102,32 +102,55 @@ def publish_index(postings: DataFrame, centroids: DataFrame, base: str, version:
     return root
 
 
+POINTER_SCHEMA = "version int, encoder string, n_docs long, stream string, epoch long"
+
+
 def swap_version(spark: SparkSession, base: str, version: int, encoder: str = "hash64",
-                 n_docs: int | None = None) -> None:
-    """K8: point readers at ``version`` (a one-row table; data paths are never overwritten).
+                 n_docs: int | None = None, stream: str | None = None, epoch: int | None = None) -> None:
+    """K8: point readers at ``version``: one immutable row per version, appended.
+
+    The append is one committed file, so a reader sees the version before or
+    after it and never a missing pointer; the live version is the highest.
+    The row also records the encoder that built the version and its document
+    count (what a refresh trigger compares against), and the stream and epoch
+    it came from (what a replayed micro-batch compares against).
+    """
+    spark.createDataFrame([(version, encoder, n_docs, stream, epoch)], POINTER_SCHEMA) \
+        .coalesce(1).write.mode("append").parquet(f"{base}/_current")
+
 
-    The pointer also records the encoder that built the version and its
-    document count, which is what a refresh trigger compares against.
+def _pointers(spark: SparkSession, base: str) -> DataFrame | None:
+    """The pointer rows (one per version), or None before the first publish.
+
+    Only a path that does not exist reads as "no index"; any other read error
+    is raised, so a refresh never rebuilds over an index it cannot read.
     """
-    spark.createDataFrame([(version, encoder, n_docs)], "version int, encoder string, n_docs long") \
-        .coalesce(1).write.mode("overwrite").parquet(f"{base}/_current")
+    from pyspark.errors import AnalysisException
+
+    try:
+        return spark.read.schema(POINTER_SCHEMA).parquet(f"{base}/_current")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def current_pointer(spark: SparkSession, base: str) -> dict | None:
     """The live pointer row as a dict, or None before the first publish."""
-    try:
-        row = spark.read.parquet(f"{base}/_current").first()
-    except Exception:  # no pointer yet
-        return None
+    rows = _pointers(spark, base)
+    row = rows.orderBy(F.col("version").desc()).limit(1).first() if rows is not None else None
     return row.asDict() if row else None
 
 
 def current_version(spark: SparkSession, base: str) -> int | None:
-    try:
-        row = spark.read.parquet(f"{base}/_current").first()
-    except Exception:  # no pointer yet
-        return None
-    return int(row[0]) if row else None
+    ptr = current_pointer(spark, base)
+    return int(ptr["version"]) if ptr else None
+
+
+def last_epoch(spark: SparkSession, base: str, stream: str) -> int | None:
+    """The highest epoch of ``stream`` that a published version holds."""
+    rows = _pointers(spark, base)
+    return rows.where(F.col("stream") == stream).agg(F.max("epoch")).first()[0] if rows is not None else None
 
 
 def metrics_json(summary_rows: list[dict]) -> str:

@@ -5,7 +5,7 @@ Layout under ``base``::
     base/version=N/postings/cell=C/part-*.parquet   cells rewritten by version N
     base/version=N/manifest/part-*.parquet           (cell, version): where each live cell is
     base/version=N/centroids/part-*.parquet
-    base/_current/part-*.parquet                     one row: live version, encoder, n_docs
+    base/_current/part-*.parquet                     a row per version: encoder, n_docs, stream, epoch
 
 A refresh never writes into a published version.  It finds the cells the
 change touches (cells of the changed documents' old passages and of their
@@ -49,11 +49,9 @@ def read_live(spark: SparkSession, base: str) -> tuple[int | None, DataFrame | N
 
 
 def _written_cells(spark: SparkSession, path: str) -> list[int]:
-    """Cells present in a ``partitionBy(cell)`` output, from the directory listing."""
-    try:
-        df = spark.read.parquet(path)
-    except Exception:  # no data file written (every touched cell became empty)
-        return []
+    """Cells present in a ``partitionBy(cell)`` output, from the directory listing
+    (with the schema given, an output without files reads as no cell)."""
+    df = spark.read.schema(POSTINGS_SCHEMA).parquet(path)
     return sorted(int(r[0]) for r in df.select("cell").distinct().collect())
 
 
@@ -80,11 +78,10 @@ def encode_documents(docs: DataFrame, encoder=None, n: int = 100) -> DataFrame:
 
 
 def latest_per_doc(docs: DataFrame, event_time: str | None) -> DataFrame:
-    """One row per document: the latest by ``event_time`` (ties: any, deterministic by text)."""
-    if event_time is None:
-        return docs.dropDuplicates(["doc_id"])
+    """One row per document: the latest by ``event_time`` if given; ties go to the greatest text."""
     cols = [c for c in docs.columns if c != "doc_id"]
-    latest = docs.groupBy("doc_id").agg(F.max_by(F.struct(*cols), F.struct(event_time, "text")).alias("_r"))
+    order = F.struct(*([event_time] if event_time else []), "text")
+    latest = docs.groupBy("doc_id").agg(F.max_by(F.struct(*cols), order).alias("_r"))
     return latest.select("doc_id", *[F.col(f"_r.{c}").alias(c) for c in cols])
 
 
@@ -103,7 +100,7 @@ def should_refresh(spark: SparkSession, base: str, docs: DataFrame, *, encoder_v
 def refresh_index(spark: SparkSession, base: str, changed_docs: DataFrame, *, nlist: int = 8,
                   seed: int = 42, encoder=None, version: int | None = None,
                   event_time: str | None = None, encoder_version: str = "hash64",
-                  compact: bool = False) -> int:
+                  compact: bool = False, stream: str | None = None, epoch: int | None = None) -> int:
     """Fold changed documents into a new index version and publish it.
 
     Every passage of a changed document replaces the old passages of that
@@ -113,11 +110,27 @@ def refresh_index(spark: SparkSession, base: str, changed_docs: DataFrame, *, nl
     ignored).  The first build trains the centroids (E5); later versions
     keep them so cell ids stay stable.  Only touched cells are rewritten
     unless ``compact``.  Returns the published version.
+
+    When ``encoder_version`` differs from the live index's, every live passage
+    is encoded anew, the centroids are trained again and a full version is
+    written, so one version never mixes encoders.
+
+    ``version`` names the version of a job that may be run again: it is not
+    applied twice.  A micro-batch gives ``stream`` and ``epoch`` instead; only
+    an epoch that the index already holds *of that stream* is skipped, so a
+    stream that starts on an existing index, or with a new checkpoint, loses
+    no batch.
     """
     live_v, live, cents = read_live(spark, base)
     new_v = version if version is not None else (live_v or 0) + 1
     if live_v is not None and live_v >= new_v:
-        return live_v  # already applied (re-run of the same batch)
+        return live_v  # already applied (re-run of the same job)
+    if stream is not None and live_v is not None:
+        done = writers.last_epoch(spark, base, stream)
+        if done is not None and done >= epoch:
+            return live_v  # a replayed micro-batch
+    live_ptr = writers.current_pointer(spark, base) if live_v is not None else None
+    reencode = live_ptr is not None and live_ptr["encoder"] != encoder_version
     changed = latest_per_doc(changed_docs, event_time)
     ts = F.col(event_time).cast("timestamp") if event_time else F.lit(None).cast("timestamp")
     if live is not None and event_time is not None:
@@ -132,12 +145,17 @@ def refresh_index(spark: SparkSession, base: str, changed_docs: DataFrame, *, nl
     encoded = (encode_documents(changed, encoder).join(
         changed.select("doc_id", ts.alias("updated_at")), "doc_id")
         .persist(StorageLevel.MEMORY_AND_DISK))
+    ids = changed.select("doc_id")  # one row per document
+    if reencode:
+        enc = encoder or models.hash_encoder()
+        kept = live.join(ids, "doc_id", "left_anti").drop("cell").withColumn("embedding", enc(F.col("text")))
+        encoded = encoded.unionByName(kept.select(*encoded.columns)).persist(StorageLevel.MEMORY_AND_DISK)
+        live = cents = None
     if cents is None:
         cents = vectors.train_centroids(encoded, "embedding", nlist, seed=seed)
     fresh = vectors.assign_cells(encoded, cents, "embedding", key="passage_id") \
         .persist(StorageLevel.MEMORY_AND_DISK)
     cols = POSTING_COLS + ["updated_at", "cell"]
-    ids = changed.select("doc_id").distinct()
     touched = None  # None: every cell is rewritten
     live_all = live
     if live is not None and not compact:
@@ -158,14 +176,13 @@ def refresh_index(spark: SparkSession, base: str, changed_docs: DataFrame, *, nl
     spark.createDataFrame(rows, "cell int, version int").coalesce(1) \
         .write.mode("overwrite").parquet(f"{root}/manifest")
     # document count kept incrementally: previous count - replaced docs + docs written now
-    ptr = writers.current_pointer(spark, base) if live_v is not None else None
     n_fresh = fresh.select("doc_id").distinct().count()
-    if ptr is not None and ptr.get("n_docs") is not None:
+    if live_all is not None and live_ptr.get("n_docs") is not None:
         replaced = live_all.join(ids, "doc_id", "left_semi").select("doc_id").distinct().count()
-        n_docs = int(ptr["n_docs"]) - replaced + n_fresh
+        n_docs = int(live_ptr["n_docs"]) - replaced + n_fresh
     else:
         n_docs = n_fresh
-    writers.swap_version(spark, base, new_v, encoder_version, n_docs)
+    writers.swap_version(spark, base, new_v, encoder_version, n_docs, stream, epoch)
     for df in (fresh, encoded, changed):
         df.unpersist()
     return new_v
@@ -173,12 +190,14 @@ def refresh_index(spark: SparkSession, base: str, changed_docs: DataFrame, *, nl
 
 def refresh_stream(spark: SparkSession, inbox: str, base: str, checkpoint: str, schema, *,
                    max_files_per_trigger: int | None = None, nlist: int = 8, encoder=None,
-                   event_time: str | None = None, processing_time: str | None = None):
+                   event_time: str | None = None, processing_time: str | None = None,
+                   encoder_version: str = "hash64"):
     """KB changes arriving as parquet files, applied micro-batch by micro-batch.
 
     ``Trigger.AvailableNow`` drains what is there and stops; the streaming
-    checkpoint plus the version check in :func:`refresh_index` make every
-    micro-batch apply exactly once, even after a restart.  With
+    checkpoint (which names the stream) plus the epoch check in
+    :func:`refresh_index` make every micro-batch apply exactly once, even
+    after a restart.  With
     ``event_time`` the latest delivery of a document wins, even when an
     older one arrives in a later micro-batch.
 
@@ -194,8 +213,8 @@ def refresh_stream(spark: SparkSession, inbox: str, base: str, checkpoint: str,
     def apply(batch: DataFrame, epoch_id: int) -> None:
         if batch.limit(1).count() == 0:
             return
-        refresh_index(spark, base, batch, nlist=nlist, encoder=encoder, version=epoch_id + 1,
-                      event_time=event_time)
+        refresh_index(spark, base, batch, nlist=nlist, encoder=encoder, event_time=event_time,
+                      encoder_version=encoder_version, stream=checkpoint, epoch=epoch_id)
 
     w = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     if processing_time:

@@ -20,20 +20,72 @@ def test_pair_by_position_strict(spark):
         retrieve.pair_predictions(a, b, strict=True).collect()
 
 
-def test_udtf_matches_builtin_split(spark):
-    text = " ".join(f"w{i}" for i in range(250)) + "  tail"
-    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
-    split_udtf = models.passage_splitter_udtf(100)
-    got = [(r.idx, r.passage) for r in df.lateralJoin(split_udtf(F.col("text").outer())).orderBy("idx").collect()] \
-        if hasattr(df, "lateralJoin") else None
-    builtin = [(r.idx, r.text) for r in chunk.split_passages(df.withColumn("title", F.lit("")), 100)
-               .orderBy("idx").collect()]
-    if got is None:  # older API: SQL lateral call
-        df.createOrReplaceTempView("u5_docs")
-        spark.udtf.register("split_passages_u5", split_udtf)
-        got = [(r.idx, r.passage) for r in spark.sql(
-            "SELECT s.idx, s.passage FROM u5_docs, LATERAL split_passages_u5(text) s ORDER BY s.idx").collect()]
-    assert got == builtin
+def test_user_code_may_return_more_rows(spark):
+    import pyarrow as pa
+
+    def letters(batch):
+        rows = [(d, c) for d, t in zip(*(batch.column(i).to_pylist() for i in (0, 1))) for c in t or ""]
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string())], names=["doc_id", "letter"])
+
+    df = spark.createDataFrame([(1, "ab"), (2, ""), (3, None), (4, "c")], "doc_id long, text string")
+    got = models.explode_batches(df, letters, "doc_id long, letter string").collect()
+    assert sorted((r.doc_id, r.letter) for r in got) == [(1, "a"), (1, "b"), (4, "c")]
+
+
+def test_stream_on_a_built_index_loses_no_batch(spark):
+    from qaflow import scratch_path
+    from qaflow.streaming import refresh
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("doc_id < 60")
+    base, inbox = scratch_path(spark, "t_built"), scratch_path(spark, "t_built_in")
+    assert refresh.refresh_index(spark, base, docs.where("doc_id < 40"), nlist=2) == 1
+    docs.where("doc_id >= 40").coalesce(1).write.parquet(inbox)
+    first = scratch_path(spark, "t_built_c1")
+    assert refresh.refresh_stream(spark, inbox, base, first, docs.schema, nlist=2) == 2
+    _, live, _ = refresh.read_live(spark, base)
+    assert live.select("doc_id").distinct().count() == docs.where("text is not null").count()
+    batch = docs.where("doc_id >= 40")
+    assert refresh.refresh_index(spark, base, batch, nlist=2, stream=first, epoch=0) == 2  # replayed
+    assert refresh.refresh_index(spark, base, batch, nlist=2, stream="other", epoch=0) == 3
+
+
+def test_encoder_change_encodes_every_passage_anew(spark):
+    from qaflow import scratch_path
+    from qaflow.sources import writers
+    from qaflow.streaming import refresh
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("doc_id < 40")
+    base = scratch_path(spark, "t_encoder")
+    refresh.refresh_index(spark, base, docs, nlist=2)
+    small = models.hash_encoder(8)
+    refresh.refresh_index(spark, base, docs.where("doc_id < 3"), nlist=2, encoder=small, encoder_version="v2")
+    _, live, cents = refresh.read_live(spark, base)
+    assert [r[0] for r in live.select(F.size("embedding")).distinct().collect()] == [8]
+    assert [r[0] for r in cents.select(F.size("centroid")).distinct().collect()] == [8]
+    ptr = writers.current_pointer(spark, base)
+    n = docs.where("text is not null").count()
+    assert (ptr["version"], ptr["encoder"], ptr["n_docs"]) == (2, "v2", n) and live.select("doc_id").distinct().count() == n
+
+
+def test_unreadable_pointer_raises(spark):
+    from qaflow import scratch_path
+    from qaflow.sources import writers
+
+    base = scratch_path(spark, "t_pointer")
+    assert writers.current_version(spark, base) is None
+    spark.range(1).selectExpr("'x' AS value").write.text(f"{base}/_current")
+    with pytest.raises(Exception):
+        writers.current_version(spark, base)
+
+
+def test_null_vectors_have_no_cell_and_no_bucket(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [0.0, 2.0])], "id long, v array<double>")
+    cents = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [0.0, 1.0])], "cell int, centroid array<double>")
+    assert {r.id: r.cell for r in vectors.assign_cells(df, cents, "v").collect()} == {1: 0, 2: None, 3: 1}
+    two = vectors.nearest_cells(df, cents, "v", 2, out="probe", as_list=True)
+    assert {r.id: r.probe for r in two.collect()} == {1: [0, 1], 2: None, 3: [1, 2]}
+    hits = vectors.lsh_topk(df, df, 1, q_id="id", q_vec="v", c_id="id", c_vec="v").collect()
+    assert sorted((r.q_id, r.c_id) for r in hits) == [(1, 1), (3, 3)]
 
 
 def test_mode_comparison_pivot(spark):
