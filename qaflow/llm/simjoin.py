@@ -30,7 +30,7 @@ from qaflow.llm.common import connected_components, materialise, mix, partitions
 
 FLUSH = 500_000
 SENT_BYTES = 4 << 20
-BITMAP_WORDS = 16
+BITMAP_WORDS = 128
 BLOCK = 128
 SKETCH_BLOCK = 1024
 PAIR_SIZE = 1 << 19
