@@ -5,7 +5,9 @@ overlap within a kind. Structural kinds are added only when the decoded bytes pa
 
 * ``key``: base64 or hex that decodes to an ASN.1 private or public key (nested lengths that fill the
   outer one exactly, an object identifier or version where the encoding has one) or to an OpenSSH key
-  (nested 32-bit lengths), inside a ``BEGIN ... KEY`` frame or bare;
+  (nested 32-bit lengths), inside a ``BEGIN ... KEY`` frame or bare, with the standard or the URL-safe
+  base64 alphabet; base64 may be cut into lines, whose ends may be written as a backslash and ``n``
+  (keys in JSON). Bare lines are joined as far as the length in the key's own header says;
 * ``token``: a signed token ``header.payload.signature`` in base64url whose header is a JSON object with
   a string ``alg`` and whose payload is a JSON object.
 
@@ -34,8 +36,15 @@ KINDS = ("assign", "access", "hex", "key", "token")
 ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
-B64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/]{40,}|[A-Za-z0-9_-]{40,})={0,2}")
-FRAME = re.compile(r"-----BEGIN ([A-Z0-9 ]*KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
+_CHAR = "[A-Za-z0-9+/_-]"
+_START = rf"(?<!{_CHAR})(?:(?<=\\)[nrt])?+"  # the letter of an escaped white space is no part of a run
+_EOL = r"(?:\r\n?|\n|(?:\\+r)?\\+n)[\x20\t]*"
+B64 = re.compile(rf"{_START}({_CHAR}{{40,}}={{0,2}})")
+ONE_ALPHABET = (re.compile(r"[A-Za-z0-9+/]{40,}={0,2}"), re.compile(r"[A-Za-z0-9_-]{40,}={0,2}"))
+INNER_KEY = re.compile(r"(?<=[+/_-])(?=M[A-P]|AAAA|b3Bl)")
+WRAPPED = re.compile(rf"{_START}((?:M[A-P]|AAAA|b3Bl){_CHAR}{{6,}}+(?:{_EOL}{_CHAR}++)++)")
+LINE = re.compile(rf"\\+[nr]|({_CHAR}++)")
+FRAME = re.compile(r"-----BEGIN ([A-Z0-9 ]*KEY)-----((?:[A-Za-z0-9+/=\s_]++|\\++[nr/]|-(?!----(?:BEGIN|END)))++)-----END \1-----")
 TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])(e[wy][A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
 FINDINGS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()),
                                      T.StructField("end", T.LongType()), T.StructField("detail", T.StringType())]))
@@ -130,6 +139,79 @@ def _key(data: bytes | None) -> str | None:
     return data and (_asn1_key(data) or _ssh_key(data)) or None
 
 
+def _key_sizes(text: str, at: int) -> Iterator[int]:
+    """The sizes in bytes that the header of a key whose base64 begins at ``at`` allows."""
+    def take(start: int, n: int) -> bytes:
+        data = _decode(text[at + start // 3 * 4:at + -(-(start + n) // 3) * 4]) or b""
+        return data[start % 3:start % 3 + n]
+
+    def after(start: int) -> int | None:
+        size = take(start, 4)
+        return start + 4 + int.from_bytes(size, "big") if len(size) == 4 else None
+
+    if text[at] == "M":
+        if got := _length(take(0, 6), 1):
+            yield got[0] + got[1]
+        return
+    magic = b"openssh-key-v1\0"
+    openssh = take(0, len(magic)) == magic
+    end, todo, n = len(magic) if openssh else 0, 3 if openssh else 64, 0
+    while n < todo and (end := after(end)) is not None:
+        n += 1
+        if not openssh and n > 1:
+            yield end
+    if openssh and end is not None and len(keys := take(end, 4)) == 4 and 1 <= int.from_bytes(keys, "big") <= 64:
+        end, n = end + 4, int.from_bytes(keys, "big") + 1
+        while n and (end := after(end)) is not None:
+            n -= 1
+        if end is not None:
+            yield end
+
+
+def _run_keys(run: str) -> Iterator[tuple[int, int, str]]:
+    """The keys in a maximal run of base64 characters: all of it, else behind a prefix, else in one alphabet."""
+    kind = _key(bytes.fromhex(run)) if len(run) % 2 == 0 and re.fullmatch(r"(?i)[0-9a-f]+", run) else None
+    if kind := kind or _key(_decode(run)):
+        yield 0, len(run), kind
+        return
+    size = len(run.rstrip("="))
+    for m in INNER_KEY.finditer(run):
+        if any(m.start() + -(-4 * n // 3) == size for n in _key_sizes(run, m.start())) and (kind := _key(_decode(run[m.start():]))):
+            yield m.start(), len(run), kind
+            return
+    seen = set()
+    for alphabet in ONE_ALPHABET:
+        for m in alphabet.finditer(run):
+            if m.span() in seen or m[0] == run:
+                continue
+            seen.add(m.span())
+            kind = _key(bytes.fromhex(m[0])) if len(m[0]) % 2 == 0 and re.fullmatch(r"(?i)[0-9a-f]+", m[0]) else None
+            if kind := kind or _key(_decode(m[0])):
+                yield m.start(), m.end(), kind
+
+
+def _wrapped_keys(text: str, start: int, end: int) -> Iterator[tuple[int, int, str]]:
+    """The keys in base64 lines without a frame: each ends with the line in which its header says it does."""
+    spans = [m.span(1) for m in LINE.finditer(text, start, end) if m[1]]
+    joined = "".join(text[a:b] for a, b in spans)
+    begin, ends, at = [], {}, 0
+    for i, (a, b) in enumerate(spans):
+        begin.append(at)
+        at += b - a
+        ends[at] = i
+    i = 0
+    while i < len(spans):
+        last = i
+        if joined.startswith(("M", "AAAA", "b3Bl"), begin[i]):
+            for n in _key_sizes(joined, begin[i]):
+                stop = begin[i] + -(-4 * n // 3)
+                if ends.get(stop, i) > i and (kind := _key(_decode(joined[begin[i]:stop]))):
+                    last = ends[stop]
+                    yield spans[i][0], re.compile("={0,2}").match(text, spans[last][1]).end(), kind
+                    break
+        i = last + 1
+
+
 def _json_object(text: str) -> dict | None:
     data = _decode(text)
     try:
@@ -147,19 +229,21 @@ def base_findings(text: str) -> list[tuple[str, int, int, str]]:
 
 
 def confirmed_findings(text: str) -> list[tuple[str, int, int, str]]:
-    out, framed = [], []
+    out, done = [], []
     if "-----BEGIN " in text:
         for m in FRAME.finditer(text):
-            if kind := _key(_decode(re.sub(r"\s+", "", m[2]))):
+            if kind := _key(_decode(re.sub(r"\\+[nr]|\\+(?=/)|\s", "", m[2]))):
                 out.append(("key", m.start(), m.end(), kind))
-                framed.append((m.start(), m.end()))
+                done.append((m.start(), m.end()))
+    for m in WRAPPED.finditer(text):
+        for a, b, kind in _wrapped_keys(text, m.start(1), m.end(1)):
+            if not any(x <= a < y for x, y in done):
+                out.append(("key", a, b, kind))
+                done.append((a, b))
     for m in B64.finditer(text):
-        if any(a <= m.start() < b for a, b in framed):
+        if any(a <= m.start(1) < b for a, b in done):
             continue
-        found = m[0]
-        kind = _key(bytes.fromhex(found)) if len(found) % 2 == 0 and re.fullmatch(r"(?i)[0-9a-f]+", found) else None
-        if kind := kind or _key(_decode(found)):
-            out.append(("key", m.start(), m.end(), kind))
+        out += [("key", m.start(1) + a, m.start(1) + b, kind) for a, b, kind in _run_keys(m[1])]
     if ".e" in text or "ey" in text or "ew" in text:
         for m in TOKEN.finditer(text):
             head = _json_object(m[1])

@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import json
+import random
 import re
 import struct
 
@@ -45,6 +46,57 @@ def test_keys_are_confirmed_by_structure():
         assert (k, d) == ("key", name) and framed[a:b].startswith("-----BEGIN") and framed[a:b].endswith("KEY-----")
 
 
+def noisy(n, seed):
+    return random.Random(seed).randbytes(n)
+
+
+def every_kind(seed):
+    rsa = der(0x30, der(2, b"\0") + der(2, b"\1" + noisy(128, seed)) + integer(3) + b"".join(der(2, b"\1" + noisy(64, seed + i)) for i in range(6)))
+    yield "pkcs1-private", rsa
+    yield "pkcs8-private", der(0x30, der(2, b"\0") + der(0x30, der(6, b"\x2a\x86\x48") + der(5, b"")) + der(4, rsa))
+    yield "pkcs8-encrypted", der(0x30, der(0x30, der(6, b"\x2a\x86\x48") + der(4, noisy(8, seed))) + der(4, noisy(160, seed)))
+    yield "ec-private", der(0x30, der(2, b"\1") + der(4, noisy(32, seed)) + der(0xA0, der(6, b"\x2a\x86\x48\xce")))
+    yield "public", der(0x30, der(0x30, der(6, b"\x2a\x86\x48") + der(5, b"")) + der(3, b"\0" + noisy(65, seed)))
+    yield "openssh-private", b"openssh-key-v1\0" + field(b"none") + field(b"none") + field(b"") + struct.pack(">I", 1) + field(noisy(51, seed)) + field(noisy(120, seed))
+    yield "ssh-public", field(b"ssh-ed25519") + field(noisy(32, seed))
+
+
+def test_keys_of_every_kind_in_both_alphabets_and_over_lines():
+    for seed in range(60):
+        for name, data in every_kind(seed):
+            for coded in (b64(data), base64.urlsafe_b64encode(data).decode()):
+                for run in (coded, coded.rstrip("=")):
+                    lines = re.findall(".{1,64}", run)
+                    for end in ("\n", "\r\n", "\\n", "\\r\\n", "\n  "):
+                        frame = end.join(["-----BEGIN X KEY-----", *lines, "-----END X KEY-----"])
+                        for key in (run, end.join(lines), frame):
+                            text = f"é see: {key}{end}end of it"
+                            assert s.confirmed_findings(text) == [("key", 7, 7 + len(key), name)], (name, seed, text)
+                text = json.dumps({"k": f"id-{coded}", "n": "word\n" + "\n".join(re.findall(".{1,76}", coded))})
+                assert kinds(text) == [("key", name)] * 2, (name, seed, text)
+
+
+def test_a_key_before_other_characters_of_the_other_alphabet_is_still_found():
+    for data, name in ((RSA, "pkcs1-private"), (PKCS8, "pkcs8-private")):
+        coded = b64(data).rstrip("=")
+        assert kinds(coded + "_x") == [("key", name)] and kinds(coded + "-" + "y" * 60) == [("key", name)]
+
+
+def test_json_with_escaped_slashes():
+    key = next(d for n, d in every_kind(3) if n == "pkcs1-private")
+    assert "/" in b64(key)
+    body = "\\n".join(re.findall(".{1,64}", b64(key))).replace("/", "\\/")
+    assert kinds(f'"-----BEGIN RSA PRIVATE KEY-----\\n{body}\\n-----END RSA PRIVATE KEY-----\\n"') == [("key", "pkcs1-private")]
+
+
+def test_near_misses_over_lines_are_not_reported():
+    for _, data in every_kind(1):
+        if data[0] == 0x30:
+            for bad in (data[:-3], data + b"\0\0\0"):
+                assert kinds("\n".join(re.findall(".{1,64}", b64(bad)))) == []
+    assert kinds("\n".join(["MANAGEMENT", "MIIBOgIBAAJBAK", "AAAAB3NzaC1yc2E"] * 2000)) == []
+
+
 def test_near_misses_are_not_reported():
     for data in (RSA[:-1], RSA + b"\0", b"\x30" + RSA[1:2] + b"\0" + RSA[3:], b"x" * 90, SSH[:-1], SSH + b"z", b""):
         assert kinds(b64(data)) == [] and kinds(data.hex()) == []
