@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -327,34 +328,55 @@ def label_mean_centroids(df: DataFrame, label: str, vec: str) -> DataFrame:
             .select(F.col("cell").cast("int"), F.col("s.m").alias("centroid")))
 
 
-def train_centroids(df: DataFrame, vec: str, nlist: int, *, seed: int = 42,
-                    max_points_per_centroid: int = 256, max_iter: int = 20) -> DataFrame:
-    """E5: coarse quantiser -- spherical k-means (MLlib, cosine) on a sample.
+UNIT = 1 << 25  # whole steps of a unit vector's coordinates: products and their sums stay exact in a double
 
-    Like common IVF trainers, at most ``max_points_per_centroid * nlist``
-    vectors (a seeded Bernoulli sample) train the centroids; the count that
-    sizes the sample prunes the vector column, so it is a cheap scan.
-    Returns unit-norm centroids ``cell int, centroid array<double>``; the
-    centroid matrix (nlist x dim) is the only thing that reaches the driver.
-    """
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
 
+def train_centroids(df: DataFrame, vec: str, nlist: int, *, seed: int = 42, max_iter: int = 20) -> DataFrame:
+    """E5: coarse quantiser -- spherical k-means over every vector with a direction.
+
+    The result depends on the vectors alone, not on their order or partitions: the
+    start is the ``nlist`` different vectors with the least seeded hash, and scores
+    and sums are of coordinates rounded to ``1 / UNIT``, whole numbers that add up
+    exactly in any order.  A cell that loses its vectors keeps its centroid.
+    Returns unit-norm centroids ``cell int, centroid array<double>``, fewer than
+    ``nlist`` if there are fewer different vectors; the centroid matrix and its sums
+    (nlist x dim) are the only things that reach the driver.
+    """
+    spark = df.sparkSession
     # zero vectors have no direction: they cannot train a cosine quantiser
     # (they are still assigned, to the lowest cell, by assign_cells)
-    data = df.where(l2_norm(vec) > 0).select(array_to_vector(l2_normalize(vec)).alias("features"))
-    n = df.count()
-    cap = max_points_per_centroid * nlist
-    if n > cap:
-        data = data.sample(fraction=min(1.0, 1.2 * cap / n), seed=seed)
-    model = KMeans(k=nlist, distanceMeasure="cosine", seed=seed, maxIter=max_iter).fit(data)
-    rows = []
-    for i, cvec in enumerate(model.clusterCenters()):
-        v = np.asarray(cvec, dtype=np.float64)
-        nv = np.linalg.norm(v)
-        rows.append((i, (v / nv if nv > 0 else v).tolist()))
-    spark = df.sparkSession
-    return spark.createDataFrame(rows, "cell int, centroid array<double>")
+    norm = l2_norm(vec)
+    data = df.where((norm > 0) & (norm < float("inf"))).select(l2_normalize(vec).alias("v")).persist(StorageLevel.MEMORY_AND_DISK)
+    start = data.distinct().orderBy(F.xxhash64(F.lit(seed), "v"), "v").limit(nlist).collect()
+    C = np.array([r["v"] for r in start], dtype=np.float64)
+
+    def sums(batches):
+        C_ = bc.value
+        total = np.zeros(C_.shape, dtype=np.int64)
+        step = max(1, SCORE_CELLS // len(C_))
+        for b in batches:
+            for lo in range(0, len(b), step):
+                X = np.rint(_matrix(b["v"].iloc[lo:lo + step], C_.shape[1]) * UNIT)
+                cell = (X @ C_.T).argmax(axis=1)
+                order = np.argsort(cell, kind="stable")
+                found, at = np.unique(cell[order], return_index=True)
+                total[found] += np.add.reduceat(X[order], at, axis=0).astype(np.int64)
+        cell, pos = np.nonzero(total)
+        yield pd.DataFrame({"cell": cell, "pos": pos, "s": total[cell, pos]})
+
+    for _ in range(max_iter if len(C) else 0):
+        bc = spark.sparkContext.broadcast(np.rint(C * UNIT))
+        got = data.mapInPandas(sums, "cell int, pos int, s long").groupBy("cell", "pos").agg(F.sum("s").alias("s")).toPandas()
+        bc.unpersist()
+        S = np.zeros(C.shape)
+        S[got["cell"].to_numpy(), got["pos"].to_numpy()] = got["s"].to_numpy()
+        n = np.linalg.norm(S, axis=1, keepdims=True)
+        new = np.where(n > 0, np.divide(S, n, out=np.zeros_like(S), where=n > 0), C)
+        if np.array_equal(new, C):
+            break
+        C = new
+    data.unpersist()
+    return spark.createDataFrame([(i, c) for i, c in enumerate(C.tolist())], "cell int, centroid array<double>")
 
 
 CENTROID_BROADCAST_MAX_BYTES = 256 << 20

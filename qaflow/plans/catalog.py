@@ -655,7 +655,7 @@ def q_throughput_modes(spark, sf_dir):
     from qaflow.plans import modes
 
     P, Q = _passages(spark, sf_dir), _questions(spark, sf_dir)
-    reps = [metrics.throughput_report(modes.predictions(Q, P, modes=(m,)), m) for m in ("base", "gen_only")]
+    reps = [metrics.throughput_report(modes.predictions(Q, P, modes=(m,)), m) for m in modes.MODES]
     return reduce(DataFrame.unionByName, reps)
 
 

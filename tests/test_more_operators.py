@@ -304,3 +304,27 @@ def test_lookup_without_bound_matches(spark):
                                      "passage_id long, title string, text string")
     got = sorted((r.item_id, r.passage_id, r.text) for r in retrieve.lookup_passages(hits, passages).collect())
     assert got == [(1, 10, "ten"), (2, 10, "ten"), (2, 11, "eleven")]
+
+
+def test_centroids_depend_on_the_vectors_alone(spark):
+    import random
+
+    rng = random.Random(3)
+    rows = [([rng.gauss(c == i % 3, 0.2) for c in range(6)],) for i in range(1500)] + [([0.0] * 6,), (None,)]
+    first = None
+    for parts in (1, 3, 7):
+        rng.shuffle(rows)
+        df = spark.createDataFrame(rows, "v array<double>").repartition(parts)
+        got = [tuple(r) for r in vectors.train_centroids(df, "v", 3).orderBy("cell").collect()]
+        first = first or got
+        assert got == first and len(got) == 3
+    assert all(max(c) > 0.9 for _, c in first) and len({c.index(max(c)) for _, c in first}) == 3
+    assert vectors.train_centroids(df.limit(0), "v", 3).count() == 0
+    assert vectors.train_centroids(spark.createDataFrame([([1.0, 2.0],)] * 4, "v array<double>"), "v", 3).count() == 1
+
+
+def test_throughput_reports_every_mode(spark):
+    from qaflow.plans import catalog, modes
+
+    got = catalog.q_throughput_modes(spark, "/root/testdata/sf0.001").collect()
+    assert [r["mode"] for r in got] == list(modes.MODES) and len({r["answered"] for r in got}) == 1
