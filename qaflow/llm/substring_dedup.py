@@ -3,18 +3,20 @@
 Paragraphs come in two sizes. A *line* of at least ``MIN_WORDS`` words is compared with others by MinHash
 over its five-word shingles: ``BANDS`` bands of ``ROWS`` hashes find a pair of similarity 0.8 with a
 probability of 1 - (1 - 0.8**3)**10 = 0.9992; lines that collide are candidates, exact Jaccard decides
-(see :mod:`qaflow.llm.simjoin`), and linked lines form a component. A *piece* is a stretch of a
-document's words between content-defined cuts (a word triple whose hash is least among its neighbours;
-about 11 words long; one without a cut for MAX_PIECE words is cut every STEP), so a passage that repeats inside longer lines, at any place or across line breaks,
-gives the same pieces in every document; pieces are compared by the hash of their words.
-
-A cluster is a component of lines, or a piece, that stands in at least two documents; its occurrence in
+(see :mod:`qaflow.llm.simjoin`), and linked lines form a component. A *anchor* is ``GRAM``
+words whose hash is the least of ``WINDOW`` successive ones (winnowing), so any GRAM + WINDOW - 1 = 32 words
+that repeat, at any place in longer lines or across line breaks, hold the same anchor in every document for
+certain. A repeated anchor is extended to the anchors next to it where all its occurrences have the same words
+up to there; elsewhere every ``GRAM`` words that begin less than WINDOW words from it are compared too, so
+that a repeated passage is covered word by word to its true ends.
+
+A cluster is a component of lines, an anchor, or GRAM words beside one, that stands in at least two documents; its occurrence in
 the smallest ``(doc_id, start)`` stays, the others are removals. Neighbouring and overlapping spans of a
 document are merged.
 
-Data movement: lines and pieces travel as hashes and places, never as text; a task first looks for
+Data movement: lines and anchors travel as hashes and places, never as text; a task first looks for
 repeats among its own rows and sends one entry a repeated key, so a passage that a third of all documents
-hold costs a reducer one entry a task. Only documents with candidate lines are read again for verifying.
+hold costs a reducer one entry a task. Texts are read again for verifying lines and shuffled once to meet the open ends of anchors.
 
 Defined cases: null and empty texts hold no paragraph; a row with a null ``doc_id`` takes no part;
 repeated rows with one ``doc_id`` are one document; other columns are ignored; an empty table gives none.
@@ -22,7 +24,7 @@ repeated rows with one ``doc_id`` are one document; other columns are ignored; a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,15 +35,16 @@ from pyspark.sql.window import Window as W
 from qaflow.llm.common import _ODD, materialise, mix, partitions, read, shingle_hashes, text_bytes, word_hashes
 from qaflow.llm.simjoin import ENTRY, _blobs, _packed, candidate_edges, linked_components
 
-MIN_WORDS = 20
+MIN_WORDS = 8
 SHINGLE = 5
 BANDS, ROWS = 10, 3
-REACH = 5
-MIN_PIECE = 8
-MAX_PIECE, STEP = 24, 16
+GRAM = 8
+WINDOW = 25
 NUM, DEN = 80, 100
 _INV = np.uint64(pow(int(_ODD), -1, 1 << 64))
-SPOT = np.dtype([("key", "<u8"), ("doc", "<i8"), ("start", "<i4"), ("words", "<i4"), ("known", "<i4")])
+SPOT = np.dtype([("key", "<u8"), ("doc", "<i8"), ("start", "<i4"), ("words", "<i4"), ("known", "<i4"),
+                 ("before", "<u8"), ("after", "<u8"), ("n_before", "<i4"), ("n_after", "<i4")])
+SENT = ("start", "words", "before", "after", "n_before", "n_after")
 FLUSH = 500_000
 
 
@@ -81,33 +84,58 @@ def line_spans(data: np.ndarray, rows: np.ndarray, starts: np.ndarray) -> tuple[
     return row[a[ok]], a[ok], b[ok]
 
 
-def piece_spans(words: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, first word and end of the pieces of at least MIN_PIECE words."""
-    n, n_rows = len(words), len(rows) - 1
-    if n < 3:
-        return (np.zeros(0, np.int64),) * 3
+def _grams(words: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The row of every word and the hash of the GRAM words that begin there; 0 where the row ends before."""
+    n = len(words)
     row = np.searchsorted(rows, np.arange(n), "right") - 1
-    triple = np.full(n, 0xFFFFFFFFFFFFFFFF, np.uint64)
-    triple[:n - 2] = shingle_hashes(words, 3)
-    triple[np.arange(n) + 3 > rows[row + 1]] = 0xFFFFFFFFFFFFFFFF
-    gap = 2 * REACH
-    wide = np.full(n + gap * (n_rows + 1), 0xFFFFFFFFFFFFFFFF, np.uint64)
-    at = np.arange(n) + gap * (row + 1)
-    wide[at] = triple
-    cut = triple < 0xFFFFFFFFFFFFFFFF
-    for d in range(1, REACH + 1):
-        after = np.full(len(wide), 0xFFFFFFFFFFFFFFFF, np.uint64)
-        after[:-d] = wide[d:]
-        cut &= (triple < wide[at - d]) & (triple <= after[at])
-    cut[rows[:-1][rows[:-1] < n]] = True
-    a = np.flatnonzero(cut)
-    b = np.append(a[1:], n)
-    parts = np.where(b - a > MAX_PIECE, -(-(b - a) // STEP), 1)
-    of = np.repeat(np.arange(len(a)), parts)
-    nth = np.arange(len(of)) - np.repeat(np.cumsum(parts) - parts, parts)
-    a, b = a[of] + STEP * nth, np.where(parts[of] > 1, np.minimum(b[of], a[of] + STEP * (nth + 1)), b[of])
-    ok = b - a >= MIN_PIECE
-    return row[a[ok]], a[ok], b[ok]
+    gram = np.zeros(n, np.uint64)
+    if n >= GRAM:
+        gram[:n - GRAM + 1] = shingle_hashes(words, GRAM) | np.uint64(1)
+    gram[np.arange(n) + GRAM > rows[row + 1]] = 0
+    return row, gram
+
+
+def anchor_spots(words: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The row of every anchor and its SPOT, with the words from the anchor before and to the end of the next."""
+    row, gram = _grams(words, rows)
+    wide = np.concatenate([np.zeros(WINDOW, np.uint64), gram, np.zeros(WINDOW, np.uint64)])
+    left, right = gram > 0, gram > 0
+    clear = left.astype(np.int32)
+    for d in range(1, WINDOW):
+        left = left & (wide[WINDOW - d:WINDOW - d + len(gram)] > gram)
+        right = right & (wide[WINDOW + d:WINDOW + d + len(gram)] >= gram)
+        clear += left
+        clear += right
+    a = np.flatnonzero((gram > 0) & (clear >= np.minimum(WINDOW, (rows[1:] - rows[:-1] - GRAM + 1)[row])))
+    e = np.zeros(len(a), SPOT)
+    if len(a):
+        row = row[a]
+        new = np.append(True, row[1:] != row[:-1])
+        lo = np.where(new, rows[row], np.append(0, a[:-1]))
+        hi = np.where(np.append(new[1:], True), rows[row + 1], np.append(a[1:], 0) + GRAM)
+        e["key"], e["start"], e["words"] = _span_hash(words, a, a + GRAM), a - rows[row], GRAM
+        e["before"], e["after"], e["n_before"], e["n_after"] = _span_hash(words, lo, a), _span_hash(words, a, hi), a - lo, hi - a - GRAM
+        return row, e
+    return np.zeros(0, np.int64), e
+
+
+def edge_spots(words: np.ndarray, rows: np.ndarray, asked: list) -> tuple[np.ndarray, np.ndarray]:
+    """The row and SPOT of all GRAM words that begin less than WINDOW words before or after an anchor (``4 * start
+    + 2 * before + after``)."""
+    _, gram = _grams(words, rows)
+    want = np.zeros(len(words) + 1, np.int64)
+    for i, spots in enumerate(asked):
+        spot = np.array(spots, np.int64)
+        at, first, last = rows[i] + (spot >> 2), rows[i], rows[i + 1]
+        for lo, hi, on in ((at - WINDOW + 1, at, spot & 2), (at + 1, at + WINDOW, spot & 1)):
+            lo, hi = np.clip(lo[on > 0], first, last), np.clip(hi[on > 0], first, last)
+            np.add.at(want, lo, 1)
+            np.add.at(want, hi, -1)
+    a = np.flatnonzero((np.cumsum(want)[:-1] > 0) & (gram > 0))
+    row = np.searchsorted(rows, a, "right") - 1
+    e = np.zeros(len(a), SPOT)
+    e["key"], e["start"], e["words"] = _span_hash(words, a, a + GRAM), a - rows[row], GRAM
+    return row, e
 
 
 def band_keys(words: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -171,8 +199,9 @@ def similar_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
     return linked_components(edges, spots, docs, extract, NUM, DEN, "substring")
 
 
-def repeated_pieces(docs: DataFrame) -> DataFrame:
-    """``cluster, doc_id, start, words`` of every piece that stands in at least two documents."""
+def repeated(docs: DataFrame, spots: Callable[..., tuple[np.ndarray, np.ndarray]], name: str) -> DataFrame:
+    """The fields of every one of ``spots`` (of words, row offsets and a third column of ``docs``, if any) whose
+    key stands in at least two documents; ``cluster`` is its key."""
     n_parts = 2 * partitions(docs.sparkSession)
 
     def by_key(e: np.ndarray):
@@ -183,7 +212,7 @@ def repeated_pieces(docs: DataFrame) -> DataFrame:
         return e, at, np.repeat(many, size)
 
     def out(e: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(e["key"].view(np.int64)), pa.array(e["doc"]), pa.array(e["start"]), pa.array(e["words"])], names=["cluster", "doc_id", "start", "words"])
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(e["key"]).view(np.int64)), pa.array(e["doc"]), *(pa.array(np.ascontiguousarray(e[c]).view(np.int64) if e[c].dtype == np.uint64 else e[c]) for c in SENT)], names=["cluster", "doc_id", *SENT])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(held):
@@ -202,9 +231,8 @@ def repeated_pieces(docs: DataFrame) -> DataFrame:
         for batch in batches:
             ids = np.array(batch.column(0))
             for lo, _, words, where, _ in _batches(batch.column(1)):
-                row, a, b = piece_spans(words, where)
-                e = np.zeros(len(a), SPOT)
-                e["key"], e["doc"], e["start"], e["words"] = _span_hash(words, a, b), ids[lo + row], a - where[row], b - a
+                row, e = spots(words, where, *(c.slice(lo, len(where) - 1).to_pylist() for c in batch.columns[2:]))
+                e["doc"] = ids[lo + row]
                 held.append(e)
                 n += len(e)
             if n >= FLUSH:
@@ -226,7 +254,21 @@ def repeated_pieces(docs: DataFrame) -> DataFrame:
         yield out(e[many & (e["known"] == 0)])
 
     sent = docs.mapInArrow(send, "part int, edges boolean, data binary").repartition(n_parts, "part")
-    return materialise(sent.mapInArrow(meet, "cluster long, doc_id long, start int, words int"), "substring-pieces")
+    schema = "cluster long, doc_id long, start int, words int, before long, after long, n_before int, n_after int"
+    return materialise(sent.mapInArrow(meet, schema), name)
+
+
+def repeated_passages(docs: DataFrame) -> DataFrame:
+    """``cluster, doc_id, start, words, kind`` of the repeated anchors, extended, and of what repeats beside them."""
+    anchors = repeated(docs, anchor_spots, "substring-anchors").distinct()
+    ends = anchors.groupBy("cluster").agg((F.min("before") != F.max("before")).alias("left"), (F.min("after") != F.max("after")).alias("right"))
+    anchors = materialise(anchors.join(ends, "cluster"), "substring-ends")
+    n_before, n_after = F.when(~F.col("left"), F.col("n_before")).otherwise(0), F.when(~F.col("right"), F.col("n_after")).otherwise(0)
+    spans = anchors.select("cluster", "doc_id", (F.col("start") - n_before).alias("start"), (F.col("words") + n_before + n_after).alias("words"), F.lit("anchor").alias("kind"))
+    spot = F.col("start").cast("long") * 4 + F.col("left").cast("long") * 2 + F.col("right").cast("long")
+    asked = anchors.where("left or right").groupBy("doc_id").agg(F.collect_set(spot).alias("asked"))
+    edges = repeated(docs.join(asked, "doc_id").select("doc_id", "text", "asked"), edge_spots, "substring-beside")
+    return spans.union(edges.select("cluster", "doc_id", "start", "words", F.lit("beside").alias("kind")))
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -235,7 +277,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     lines = line_table(docs)
     linked = similar_lines(docs, lines)
     of_line = lines.join(linked, F.col("vertex") == F.col("v"), "left").select(F.coalesce("component", "vertex").alias("cluster"), "doc_id", "start", "words", F.lit("line").alias("kind"))
-    spots = of_line.union(repeated_pieces(docs).withColumn("kind", F.lit("piece"))).distinct()
+    spots = of_line.union(repeated_passages(docs)).distinct()
     spots = materialise(spots, "substring-spots")
     place = F.struct("doc_id", "start")
     many = spots.groupBy("cluster", "kind").agg(F.min(place).alias("first"), F.max("doc_id").alias("last")).where("first.doc_id < last").select("cluster", "kind", "first")

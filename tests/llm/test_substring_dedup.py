@@ -40,3 +40,38 @@ def test_defined_cases(spark):
     long = prose(8, 30_000)
     got = run(spark, [(1, None), (2, ""), (None, long), (4, long), (5, long), (6, "few words")])
     assert set(got) == {4, 5} and got[4].removed_words == 0 and got[5].removed_words == 30_000
+
+
+def test_any_passage_of_32_words_holds_an_anchor():
+    import pyarrow as pa
+
+    for seed in range(300):
+        passage = prose(seed, 32)
+        texts = [f"{prose(1000 + seed, 40)} {passage} {prose(2000 + seed, 37)}", f"{passage} {prose(3000 + seed, 9)}", f"{prose(4000 + seed, 3)} {passage}"]
+        [(_, _, words, rows, _)] = s._batches(pa.array(texts))
+        row, e = s.anchor_spots(words, rows)
+        assert set(e["key"][row == 0]) & set(e["key"][row == 1]) & set(e["key"][row == 2])
+
+
+def test_exactly_the_planted_passages_go(spark):
+    rows, want = [], {}
+    for p, n in enumerate((32, 51, 64, 100, 200)):
+        for k in range(6):
+            passage, before = prose(50 * p + k, n), 20 + 7 * k
+            part = " ".join(passage.split()[:n - 5])
+            at = 100 * p + 10 * k
+            rows += [(at, f"{prose(10_000 + at, 30)} {passage} {prose(20_000 + at, 44)}"), (at + 1, f"{prose(30_000 + at, before)} {passage} {prose(40_000 + at, 33)}"),
+                     (at + 2, f"{prose(50_000 + at, 61)}\n{part} {prose(60_000 + at, 50)}"), (at + 3, f"{passage}\n{prose(70_000 + at, 50)}")]
+            want |= {at: (0, 30, 30 + n), at + 1: (n, before, before + n), at + 2: (n - 5 if n > 36 else None, 61, 61 + n - 5), at + 3: (n, 0, n)}
+    got = run(spark, rows)
+    for d, (removed, a, b) in want.items():
+        if removed is not None:
+            assert got[d].removed_words == removed and all(a <= x.start < x.end <= b for x in got[d].spans), (d, got[d])
+            assert [(x.start, x.end) for x in got[d].spans if x.removed == (removed > 0)] == [(a, b)], (d, got[d])
+
+
+def test_near_copies_of_a_short_line(spark):
+    words = prose(11, 19).split()
+    lines = [" ".join(words), " ".join([*words[:-1], "other"])]
+    got = run(spark, [(i, f"{prose(20 + i, 40)}\n{x}\n{prose(30 + i, 40)}") for i, x in enumerate(lines)])
+    assert got[0].removed_words == 0 and got[1].removed_words == 19
