@@ -31,6 +31,7 @@ from qaflow.llm.common import _BYTE, _ODD, _powers, mix, read, text_bytes, word_
 
 BITS = 18
 MAX_ROWS = 12_000
+LEAST_ROWS = 1000
 L2 = 2e-5
 KEEP_AT = 0.5
 _MARK = int(mix(np.array([77], np.uint64))[0] >> np.uint64(64 - BITS))
@@ -169,7 +170,8 @@ def fit_arrays(buckets: np.ndarray, rows: np.ndarray, grade: np.ndarray, n_grade
 
 
 def fit(docs: DataFrame, ratings: DataFrame, key: str = "doc_id", text: str = "text", grade: str = "grade", max_rows: int = MAX_ROWS) -> Model | None:
-    """Fit on at most about ``max_rows`` rated rows; None without two different grades."""
+    """Fit on at most about ``max_rows`` rated rows, of which a grade that is rare there has up to ``LEAST_ROWS`` more;
+    None without two different grades among the rated documents."""
     rated = ratings.select(F.col(key).alias("__k"), F.col(grade).cast("int").alias("__g")).dropna()
     counts = {r["__g"]: r["count"] for r in rated.groupBy("__g").count().collect()}
     levels = sorted(counts)
@@ -177,7 +179,10 @@ def fit(docs: DataFrame, ratings: DataFrame, key: str = "doc_id", text: str = "t
         return None
     slots = 1 << 20
     share = min(slots, max(1, int(slots * max_rows / sum(counts.values()))))
-    sample = rated.where(F.pmod(F.xxhash64("__k"), F.lit(slots)) < share)
+    least = min(LEAST_ROWS, max(1, max_rows // len(levels)))
+    shares = [(g, min(slots, max(share, -(-slots * least // n)))) for g, n in counts.items()]
+    shares = F.broadcast(docs.sparkSession.createDataFrame(shares, "__g int, share long"))
+    sample = rated.join(shares, "__g").where(F.pmod(F.xxhash64("__k"), F.lit(slots)) < F.col("share")).select("__k", "__g")
     rows = docs.select(F.col(key).alias("__k"), F.col(text).alias("__t")).join(F.broadcast(sample), "__k").select("__k", "__g", "__t")
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,13 +196,14 @@ def fit(docs: DataFrame, ratings: DataFrame, key: str = "doc_id", text: str = "t
         if found and sum(map(len, grades)):
             n = np.concatenate(sizes)
             at = np.concatenate([[0], np.cumsum(n)])
-            g = np.searchsorted(levels, np.concatenate(grades))
-            if len(set(g.tolist())) == len(levels):
-                w, cut = fit_arrays(np.concatenate(found, axis=1), at, g, len(levels))
-                yield pa.RecordBatch.from_arrays([pa.array([w.astype("<f4").tobytes()], pa.binary()), pa.array([cut.tolist()], pa.list_(pa.float64()))], names=["w", "cut"])
-
-    got = rows.repartition(1).sortWithinPartitions("__k", "__g", "__t").mapInArrow(train, "w binary, cut array<double>").collect()
-    return Model(np.frombuffer(got[0]["w"], "<f4").astype(np.float64), np.array(got[0]["cut"]), levels) if got else None
+            held, g = np.unique(np.concatenate(grades), return_inverse=True)
+            if len(held) > 1:
+                w, cut = fit_arrays(np.concatenate(found, axis=1), at, g, len(held))
+                yield pa.RecordBatch.from_arrays([pa.array([w.astype("<f4").tobytes()], pa.binary()), pa.array([cut.tolist()], pa.list_(pa.float64())), pa.array([held.tolist()], pa.list_(pa.int64()))],
+                                                 names=["w", "cut", "levels"])
+
+    got = rows.repartition(1).sortWithinPartitions("__k", "__g", "__t").mapInArrow(train, "w binary, cut array<double>, levels array<long>").collect()
+    return Model(np.frombuffer(got[0]["w"], "<f4").astype(np.float64), np.array(got[0]["cut"]), got[0]["levels"]) if got else None
 
 
 def score(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:

@@ -56,3 +56,17 @@ def test_defined_cases(spark):
     none = q.select(q.score(docs, None))
     assert none.count() == 7 and none.schema["expected_grade"].dataType.simpleString() == "double"
     assert q.score(docs.limit(0), model).count() == 0
+
+
+def test_a_rare_or_absent_grade_does_not_switch_the_filter_off(spark):
+    words = ("bad awful poor", "plain middling so", "fine good great")
+    rows = [(i, f"{words[2 if i % 2 else 1]} text {i}", 2 if i % 2 else 1) for i in range(4000)] + [(4000 + i, f"{words[0]} text {i}", 0) for i in range(2)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    ratings = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, grade int")
+    model = q.fit(docs, ratings, max_rows=200)
+    assert list(model.levels) == [0, 1, 2]
+    model = q.fit(docs.where("doc_id < 4000"), ratings)
+    assert list(model.levels) == [1, 2]
+    got = {r.doc_id: r.tail_probability for r in q.score(docs, model).collect()}
+    assert got[1] > 0.5 > got[0]
+    assert q.fit(docs.where("doc_id >= 4000"), ratings) is None
