@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from qaflow.llm import ann_tree, decontam, jaccard_join, language_id, linededup, packing, prefix_trie, quality, secret_scan, substring_dedup, warc, wrapper_html
+from qaflow.llm import ann_tree, decontam, jaccard_join, language_id, linededup, packing, prefix_trie, quality, secret_scan, spelling_variants, substring_dedup, warc, wrapper_html
 
 QUERIES = {
     "op1_quality": quality.query,
@@ -15,7 +15,8 @@ QUERIES = {
     "op8_wrapper_html": wrapper_html.query,
     "op9_ann_tree": ann_tree.query,
     "op10_substring_dedup": substring_dedup.query,
+    "op11_spelling_variants": spelling_variants.query,
     "op12_language_id": language_id.query,
     "op13_prefix_trie": prefix_trie.query,
 }
-ORACLES = {"op2_warc": warc.SQL, "op5_line_dedup": linededup.SQL, "op13_prefix_trie": prefix_trie.SQL}
+ORACLES = {"op2_warc": warc.SQL, "op5_line_dedup": linededup.SQL, "op11_spelling_variants": spelling_variants.SQL, "op13_prefix_trie": prefix_trie.SQL}
