@@ -37,18 +37,24 @@ def corpus_passages(documents: DataFrame, n: int = 100) -> DataFrame:
 
 
 def benchmark_questions(benchmark: DataFrame) -> DataFrame:
-    """QA records from ``benchmark``: words 1-10 ask, words 11-14 answer.
+    """QA records from ``benchmark``: the first half of a text's words asks (the longer
+    half, if they differ), the second half answers, so no word is lost.
 
     Shape of the reference QA record: ``question``, ``answer{aliases,value}``
-    with ``golds`` (P4) resolved.
+    with ``golds`` (P4) resolved.  ``value`` is the second half; each whole sentence
+    of the text is an alias after it, since an answer that quotes the item is right.
     """
-    words = F.split(F.col("text"), " ", -1)
-    value = T.clean_question(F.array_join(F.slice(words, 11, 4), " "))
-    return benchmark.select(
-        "item_id",
-        T.clean_question(F.array_join(F.slice(words, 1, 10), " ")).alias("question"),
-        F.struct(F.array(value).alias("aliases"), value.alias("value")).alias("answer"),
-    ).withColumn("golds", prep.gold_list("answer"))
+    def record(words):
+        ask = F.ceil(F.size(words) / 2).cast("int")
+        value = T.clean_question(F.array_join(F.slice(words, ask + 1, F.size(words) - ask), " "))
+        sentences = F.transform(F.split(F.col("text"), models.SENTENCE_SPLIT, -1), lambda x: T.clean_question(x))
+        return F.struct(
+            T.clean_question(F.array_join(F.slice(words, 1, ask), " ")).alias("question"),
+            F.struct(F.array_distinct(F.filter(F.concat(F.array(value), sentences), lambda x: x != "")).alias("aliases"),
+                     value.alias("value")).alias("answer"))
+
+    return benchmark.select("item_id", T.let(F.split(F.col("text"), " ", -1), record).alias("r")) \
+        .select("item_id", "r.question", "r.answer").withColumn("golds", prep.gold_list("answer"))
 
 
 def qa_pairs(conversations: DataFrame) -> DataFrame:

@@ -211,7 +211,7 @@ SELECT lang, count(*) AS n, CAST(min(length(text)) AS BIGINT) AS min_len, round(
 FROM documents GROUP BY lang"""
 
 ORACLES["gold_literal_roundtrip"] = f"""WITH {S.QUESTIONS.strip()}
-SELECT CAST(row_number() OVER (ORDER BY item_id) - 1 AS BIGINT) AS line_no, CAST(1 AS BIGINT) AS n, value AS first
+SELECT CAST(row_number() OVER (ORDER BY item_id) - 1 AS BIGINT) AS line_no, CAST(len(golds) AS BIGINT) AS n, golds[1] AS first
 FROM questions"""
 
 ORACLES["jsonl_roundtrip"] = f"""{S.retrieval(5)},

@@ -79,11 +79,16 @@ passages AS (
 
 QUESTIONS = f"""
 questions AS (
-  SELECT item_id,
-         {clean("array_to_string(list_slice(string_split(text, ' '), 1, 10), ' ')")} AS question,
-         {clean("array_to_string(list_slice(string_split(text, ' '), 11, 14), ' ')")} AS value,
-         [{clean("array_to_string(list_slice(string_split(text, ' '), 11, 14), ' ')")}] AS golds
-  FROM benchmark
+  SELECT item_id, question, value, golds FROM (
+    SELECT item_id, question, value,
+           CASE WHEN len(found) = 0 THEN [value] ELSE list_filter(found, lambda x, i: list_position(found, x) = i) END AS golds
+    FROM (
+      SELECT item_id, {clean("array_to_string(w[1:(len(w) + 1) // 2], ' ')")} AS question,
+             {clean("array_to_string(w[(len(w) + 1) // 2 + 1:], ' ')")} AS value,
+             list_filter(list_prepend({clean("array_to_string(w[(len(w) + 1) // 2 + 1:], ' ')")},
+               list_transform(string_split(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)),
+                              lambda x: {clean("x")})), lambda x: x <> '') AS found
+      FROM (SELECT item_id, text, string_split(text, ' ') AS w FROM benchmark)))
 )"""
 
 QA_PAIRS = f"""

@@ -5,8 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from qaflow.operators import split, vectors
+from qaflow.operators import retrieve, split, vectors
 from qaflow.plans import catalog
+from qaflow.plans.oracles import ORACLES
 from tests.conftest import SF_SMALL
 
 FAST = ["passages_100w", "sliding_chunks_100_20", "dense_passage_ids", "shards_floor_7", "shards_balanced_7",
@@ -46,7 +47,9 @@ def test_against_duckdb(spark, con, name):
 def test_every_query_has_callable_and_most_have_oracles():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert len(o) >= len(q) - 8
+    core = {k[2:] for k, f in vars(catalog).items() if k.startswith("q_") and callable(f)}
+    assert core <= set(q) and set(ORACLES) <= core
+    assert len(ORACLES) >= len(core) - 8
 
 
 def test_ivf_full_probe_equals_exact(spark):
@@ -135,3 +138,18 @@ def test_kmeans_ivf_recall_full_probe_is_exact(spark):
     assert set(rows) == {1, 4, 16}
     assert rows[16] == pytest.approx(1.0)
     assert 0 <= rows[1] <= rows[4] <= rows[16]
+
+
+def test_benchmark_questions_lose_no_word(spark):
+    b = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet")
+    odd = spark.createDataFrame([(900, "one"), (901, ""), (902, None), (903, "a b. c  d\ne"), (904, " lead and trail ")], b.schema)
+    rows = retrieve.benchmark_questions(b.union(odd)).join(b.union(odd), "item_id").collect()
+    for r in rows:
+        if r["text"] is not None:
+            assert (r["question"] + " " + r["answer"]["value"]).split() == r["text"].split()
+            assert r["golds"][0] == r["answer"]["value"] or not r["answer"]["value"]
+
+
+def test_quoted_items_are_right_answers(spark):
+    got = catalog.q_answers_base(spark, SF_SMALL).agg(F.sum("em").alias("em"), F.sum("hit").alias("hit")).first()
+    assert got["em"] > 0 and got["hit"] > 0
