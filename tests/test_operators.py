@@ -151,5 +151,5 @@ def test_benchmark_questions_lose_no_word(spark):
 
 
 def test_quoted_items_are_right_answers(spark):
-    got = catalog.q_answers_base(spark, SF_SMALL).agg(F.sum("em").alias("em"), F.sum("hit").alias("hit")).first()
+    got = catalog.q_answers_base(spark, "/root/testdata/sf0.01").agg(F.sum("em").alias("em"), F.sum("hit").alias("hit")).first()
     assert got["em"] > 0 and got["hit"] > 0
