@@ -176,16 +176,16 @@ def grouped_topk(queries: DataFrame, corpus: DataFrame, k: int, *,
                  broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
                  broadcast_max_rows: int = 200_000,
                  query_block: int = 4096, corpus_block: int = 20000,
-                 dedupe: bool = False, force_blocks: bool = False) -> DataFrame:
+                 dedupe: bool = False, force_blocks: bool = False, one_group: bool = False) -> DataFrame:
     """Top-k corpus rows per query among rows sharing a group.
 
     ``queries``: ``q_id long, q_vec array<double|float>, g long`` (one row per
     (query, group) the query probes).  ``corpus``: ``c_id long, c_vec array,
     g long`` (one row per (row, group)).  Returns ``q_id, rank, c_id, score``.
 
-    The broadcast path fetches at most ``broadcast_max_rows + 1`` query rows
-    (one bounded job) and uses them only if they are all the rows and their
-    matrix fits ``broadcast_max_bytes``; otherwise the block path runs.
+    The broadcast path runs if all query rows fit ``broadcast_max_rows`` and
+    ``broadcast_max_bytes`` (checked before they are fetched); otherwise the
+    block path runs.
     """
     spark = queries.sparkSession
     # a null vector cannot be scored: such rows take no part (a zero vector does).
@@ -196,16 +196,16 @@ def grouped_topk(queries: DataFrame, corpus: DataFrame, k: int, *,
     c = corpus.select(F.col("c_id").cast("long"), F.col("c_vec").cast("array<double>"),
                       F.col("g").cast("long"))
 
-    block = None
-    if not force_blocks:
-        head = q.limit(broadcast_max_rows + 1).toPandas()
-        head = head[head["q_vec"].notna()].reset_index(drop=True)
-        dim = max((len(v) for v in head["q_vec"] if v is not None), default=0)
-        if len(head) <= broadcast_max_rows and len(head) * max(dim, 1) * 8 <= broadcast_max_bytes:
-            block = head
+    block = None if force_blocks else bounded_fetch(q, "q_vec", broadcast_max_rows, broadcast_max_bytes)
 
     if block is not None:
         cand = _broadcast_topk(spark, block, c, k, dedupe)
+    elif one_group:
+        from qaflow.operators import bounds
+
+        return bounds.bounded_topk(q, c, k, q_id="q_id", q_vec="q_vec", c_id="c_id", c_vec="c_vec", block_rows=min(corpus_block, bounds.BLOCK_ROWS),
+                                   query_block=query_block, corpus_block=corpus_block,
+                                   broadcast_max_rows=broadcast_max_rows, broadcast_max_bytes=broadcast_max_bytes)
     else:
         cand = _block_topk_join(q, c, k, query_block, corpus_block, dedupe)
     if dedupe:
@@ -216,6 +216,23 @@ def grouped_topk(queries: DataFrame, corpus: DataFrame, k: int, *,
     return out
 
 
+def bounded_fetch(df: DataFrame, vec: str, max_rows: int, max_bytes: int) -> pd.DataFrame | None:
+    """All rows of ``df`` that have a vector, if they fit ``max_rows`` and ``max_bytes``; else None.
+
+    The length of one vector turns the byte bound into a row bound before anything is
+    fetched, so at most that many rows (and one) ever reach the driver.
+    """
+    one = df.select(F.size(vec).alias("d")).where("d > 0").limit(1).collect()
+    dim = one[0]["d"] if one else 1
+    most = min(max_rows, max_bytes // (8 * dim))
+    head = df.limit(most + 1).toPandas()
+    if len(head) > most:
+        return None
+    head = head[head[vec].notna()].reset_index(drop=True)
+    longest = max((len(v) for v in head[vec]), default=0)
+    return head if len(head) * max(longest, 1) * 8 <= max_bytes else None
+
+
 def _broadcast_topk(spark, pdf: pd.DataFrame, c: DataFrame, k: int, dedupe: bool) -> DataFrame:
     uq = pdf.drop_duplicates("q_id").reset_index(drop=True)
     qids = uq["q_id"].to_numpy(dtype=np.int64)
@@ -305,10 +322,15 @@ def _block_topk_join(q: DataFrame, c: DataFrame, k: int, query_block: int,
 
 def exact_topk(queries: DataFrame, corpus: DataFrame, k: int, *, q_id: str, q_vec: str,
                c_id: str, c_vec: str, **kw) -> DataFrame:
-    """Exact maximum inner product; returns ``q_id, rank, c_id, score``."""
+    """Exact maximum inner product; returns ``q_id, rank, c_id, score``.
+
+    Queries that fit the broadcast bound meet the corpus in one scan.  For more queries than that,
+    :func:`qaflow.operators.bounds.bounded_topk` gives the same rows and skips the blocks of the
+    corpus whose upper bound is below a query's k-th best score.
+    """
     q = queries.select(F.col(q_id).alias("q_id"), F.col(q_vec).alias("q_vec"), F.lit(0).alias("g"))
     c = corpus.select(F.col(c_id).alias("c_id"), F.col(c_vec).alias("c_vec"), F.lit(0).alias("g"))
-    return grouped_topk(q, c, k, **kw)
+    return grouped_topk(q, c, k, one_group=True, **kw)
 
 
 # ---------------------------------------------------------------------------
@@ -389,12 +411,10 @@ SCORE_CELLS = 1 << 22  # scores a kernel call holds at once (32 MB)
 def _centroid_block(centroids: DataFrame, max_bytes: int):
     """The centroid matrix if it fits ``max_bytes``, else None.
 
-    One bounded fetch: at most ``CENTROID_MAX_ROWS + 1`` rows reach the driver,
-    and the matrix is used only if it is complete and within ``max_bytes``.
+    One bounded fetch: rows and bytes are checked before they reach the driver.
     """
-    pdf = centroids.select("cell", "centroid").limit(CENTROID_MAX_ROWS + 1).toPandas()
-    d = max((len(v) for v in pdf["centroid"] if v is not None), default=0)
-    if len(pdf) > CENTROID_MAX_ROWS or len(pdf) * max(d, 1) * 8 > max_bytes:
+    pdf = bounded_fetch(centroids.select("cell", "centroid"), "centroid", CENTROID_MAX_ROWS, max_bytes)
+    if pdf is None:
         return None
     pdf = pdf.sort_values("cell")
     return pdf["cell"].to_numpy(dtype=np.int64), _matrix(pdf["centroid"])

@@ -230,6 +230,27 @@ def q_kmeans_ivf_recall(spark, sf_dir):
     return reduce(DataFrame.unionByName, outs)
 
 
+def q_skewed_norm_top15(spark, sf_dir):
+    """E9 by block bounds: the vectors get norms that fall like 1 / rank, and blocks that cannot
+    reach a query's k-th best score are not scored."""
+    from qaflow.operators import bounds
+
+    e = _emb(spark, sf_dir)
+    scale = 100.0 / (1 + F.pmod("vec_id", F.lit(211)))
+    s = e.select("vec_id", F.transform("embedding", lambda x: x.cast("double") * scale).alias("embedding"))
+    hits = bounds.bounded_topk(e, s, K, q_id="vec_id", q_vec="embedding", c_id="vec_id", c_vec="embedding", block_rows=64)
+    return hits.select("q_id", F.col("rank").cast("bigint"), "c_id", F.round("score", 6).alias("score"))
+
+
+def q_cell_bounds_top15(spark, sf_dir):
+    """E9 by block bounds inside cells: every vector against every vector, blocks cut within label cells."""
+    from qaflow.operators import bounds
+
+    e = _emb(spark, sf_dir)
+    hits = bounds.bounded_topk(e, e, K, q_id="vec_id", q_vec="embedding", c_id="vec_id", c_vec="embedding", cell="label", block_rows=64)
+    return hits.select("q_id", F.col("rank").cast("bigint"), "c_id", F.round("score", 6).alias("score"))
+
+
 def q_lsh_top15_recall(spark, sf_dir):
     e = _emb(spark, sf_dir)
     exact = vectors.exact_topk(e, e, K, q_id="vec_id", q_vec="embedding", c_id="vec_id", c_vec="embedding")

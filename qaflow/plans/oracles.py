@@ -121,6 +121,15 @@ WITH s AS (SELECT q.vec_id AS q_id, c.vec_id AS c_id,
 SELECT q_id, CAST(row_number() OVER (PARTITION BY q_id ORDER BY score DESC, c_id) AS BIGINT) AS rank, c_id, score
 FROM s QUALIFY rank <= 15"""
 
+ORACLES["cell_bounds_top15"] = ORACLES["exact_top15"]
+
+ORACLES["skewed_norm_top15"] = """
+WITH scaled AS (SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: x * (100.0::DOUBLE / (1 + vec_id % 211))) AS e FROM embeddings),
+s AS (SELECT q.vec_id AS q_id, c.vec_id AS c_id, round(list_inner_product(q.embedding::DOUBLE[], c.e), 6) AS score
+      FROM embeddings q CROSS JOIN scaled c)
+SELECT q_id, CAST(row_number() OVER (PARTITION BY q_id ORDER BY score DESC, c_id) AS BIGINT) AS rank, c_id, score
+FROM s QUALIFY rank <= 15"""
+
 _CENTROIDS = """
 long AS (SELECT label AS cell, unnest(generate_series(1, len(embedding))) AS pos,
                 unnest(embedding)::DOUBLE AS x FROM embeddings),
