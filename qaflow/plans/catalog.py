@@ -259,6 +259,22 @@ def q_lsh_top15_recall(spark, sf_dir):
     return vectors.ann_recall(approx, exact, K).select(F.round("recall", 6).alias("recall"), "n_queries")
 
 
+def q_graph_top15_recall(spark, sf_dir):
+    """E8 + E10: build the neighbour graph of all vectors, search it for every vector, compare with exact search.
+
+    ``scored_share`` is the share of all (query, row) pairs that the search scored."""
+    from qaflow.operators import graph
+
+    e = _emb(spark, sf_dir).select("vec_id", "embedding")
+    rows, near, _built = graph.build_graph(e, "vec_id", "embedding")
+    approx = graph.graph_topk(e, rows, near, K, q_id="vec_id", q_vec="embedding")
+    exact = vectors.exact_topk(e, e, K, q_id="vec_id", q_vec="embedding", c_id="vec_id", c_vec="embedding")
+    n = rows.count()
+    return vectors.ann_recall(approx, exact, K).select(
+        F.round("recall", 6).alias("recall"), "n_queries",
+        F.round(F.lit(approx._qaflow_scored) / (F.col("n_queries") * F.lit(n)), 6).alias("scored_share"))
+
+
 def q_precision_at_5(spark, sf_dir):
     e = _emb(spark, sf_dir)
     hits = vectors.exact_topk(e, e, 5, q_id="vec_id", q_vec="embedding", c_id="vec_id", c_vec="embedding")
