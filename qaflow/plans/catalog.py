@@ -251,6 +251,19 @@ def q_cell_bounds_top15(spark, sf_dir):
     return hits.select("q_id", F.col("rank").cast("bigint"), "c_id", F.round("score", 6).alias("score"))
 
 
+def q_tree_cells_agreement(spark, sf_dir):
+    """E5 + E6 in two levels: 64 leaves trained over all vectors; the share of vectors that get the leaf of a flat search."""
+    from qaflow.operators import quantiser
+
+    e = _emb(spark, sf_dir).select("vec_id", "embedding")
+    first, leaves = quantiser.train_tree(e, "embedding", 64)
+    tree = quantiser.assign_tree(e, first, leaves, "vec_id", "embedding")
+    flat = vectors.assign_cells(e, leaves.select("cell", "centroid"), "embedding", out="flat", key="vec_id").select("vec_id", "flat")
+    same = tree.join(flat, "vec_id")
+    return same.agg(F.count("*").alias("n"), F.countDistinct("cell").alias("cells"),
+                    F.round(F.avg((F.col("cell") == F.col("flat")).cast("double")), 6).alias("agreement"))
+
+
 def q_lsh_top15_recall(spark, sf_dir):
     e = _emb(spark, sf_dir)
     exact = vectors.exact_topk(e, e, K, q_id="vec_id", q_vec="embedding", c_id="vec_id", c_vec="embedding")
