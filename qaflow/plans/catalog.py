@@ -374,17 +374,35 @@ def q_char_lengths(spark, sf_dir):
 # --- I/O round trips (sources and sinks) -------------------------------------------
 
 def q_gold_literal_roundtrip(spark, sf_dir):
-    """K5 + S7 + F10/F13: write the gold file in ``qa`` mode, read it back."""
+    """K5 + S7 + F10/F13: write the gold file in ``qa`` mode, read it back; two golds more hold both
+    quotes, a backslash and line breaks."""
     from qaflow import scratch_path
     from qaflow.sources import readers, writers
 
-    Q = _questions(spark, sf_dir)
+    first = F.element_at("golds", 1)
+    odd = F.array(F.concat(F.lit("it's \""), first, F.lit("\"")), F.concat(F.lit("a\\n"), first, F.lit("\n\t'end'")))
+    Q = _questions(spark, sf_dir).withColumn("golds", F.concat("golds", odd))
     path = scratch_path(spark, "gold")
     lines = Q.select("item_id", F.concat_ws("\t", "question", writers.gold_literal("golds")).alias("line"))
-    lines.orderBy("item_id").select(F.col("line").alias("value")).write.mode("overwrite").text(path)
-    gold, _quarantine = readers.read_gold(spark, path, "qa")
-    return gold.select("line_no", F.size("golds").cast("bigint").alias("n"),
-                       F.element_at("golds", 1).alias("first"))
+    writers.write_predictions(lines, path, col="line", order="item_id", recalculate=True)
+    gold, _quarantine = readers.read_gold(spark, path, "qa", escaped=True)
+    return gold.select("line_no", F.size("golds").cast("bigint").alias("n"), F.element_at("golds", 1).alias("first"),
+                       F.element_at("golds", -2).alias("quotes"), F.element_at("golds", -1).alias("breaks"))
+
+
+def q_line_breaks_roundtrip(spark, sf_dir):
+    """K4 + S6: whole turns, line breaks included, written as parallel line files and paired back."""
+    from qaflow import scratch_path
+    from qaflow.sources import readers, writers
+
+    c = table(spark, sf_dir, "conversations").select(
+        F.lit("all").alias("split"), F.struct("conv_id", "turn").alias("key"),
+        F.concat_ws("\r", "role", F.col("conv_id").cast("string")).alias("source"), F.col("text").alias("target"))
+    d = scratch_path(spark, "breaks")
+    writers.write_parallel_lines(c, d, "key")
+    got, _unmatched = readers.read_parallel_lines(spark, *writers.line_file_paths(d, "all"), escaped=True)
+    parts = F.split("source", "\r")
+    return got.select("line_no", parts[0].alias("role"), parts[1].cast("bigint").alias("conv_id"), F.md5("target").alias("text_md5"))
 
 
 def q_jsonl_roundtrip(spark, sf_dir):
@@ -419,7 +437,7 @@ def q_line_files_roundtrip(spark, sf_dir):
     outs = []
     for name in ("train", "val", "test"):
         src, tgt = writers.line_file_paths(d, name)
-        got, unmatched = readers.read_parallel_lines(spark, src, tgt)
+        got, unmatched = readers.read_parallel_lines(spark, src, tgt, escaped=True)
         valid, _rej = prep.require_nonempty_pairs(got, "source", "target")
         outs.append(valid.agg(F.lit(name).alias("split"), F.count("*").alias("n"),
                               F.sum(F.length("source")).cast("bigint").alias("src_chars"),
@@ -653,8 +671,8 @@ def q_provenance_precision(spark, sf_dir):
     hyp_path, ref_path = scratch_path(spark, "prov_hyp"), scratch_path(spark, "prov_ref")
     writers.write_predictions(lines, hyp_path, col="hyp", order="item_id", recalculate=True)
     writers.write_predictions(lines, ref_path, col="ref", order="item_id", recalculate=True)
-    hyp = readers.read_provenance(spark, hyp_path).withColumnRenamed("titles", "hyp")
-    ref = readers.read_provenance(spark, ref_path).withColumnRenamed("titles", "ref")
+    hyp = readers.read_provenance(spark, hyp_path, escaped=True).withColumnRenamed("titles", "hyp")
+    ref = readers.read_provenance(spark, ref_path, escaped=True).withColumnRenamed("titles", "ref")
     paired = hyp.join(ref, "line_no")
     return paired.agg(F.lit(5).cast("bigint").alias("k"), F.count("*").alias("n"),
                       F.round(100.0 * F.avg(metrics.precision_at_k("hyp", "ref", 5)), 6).alias("precision"))
@@ -693,8 +711,8 @@ def q_eval_e2e_pct(spark, sf_dir):
     writers.write_predictions(preds, pred_path, col="prediction", order="item_id", recalculate=True)
     writers.write_predictions(Q.withColumn("g", prep.first_gold("golds")), gold_path, col="g",
                               order="item_id", recalculate=True)
-    hyp = readers.read_predictions(spark, pred_path)
-    gold, _quarantine = readers.read_gold(spark, gold_path, "ans")
+    hyp = readers.read_predictions(spark, pred_path, escaped=True)
+    gold, _quarantine = readers.read_gold(spark, gold_path, "ans", escaped=True)
     paired = retrieve.pair_predictions(hyp, gold, strict=True)
     out = metrics.qa_summary_pct(paired, "prediction", "golds")
     return out.select(F.round("em", 6).alias("em"), F.round("f1", 6).alias("f1"))

@@ -220,9 +220,14 @@ SELECT lang, count(*) AS n, CAST(min(length(text)) AS BIGINT) AS min_len, round(
 FROM documents GROUP BY lang"""
 
 ORACLES["gold_literal_roundtrip"] = f"""WITH {S.QUESTIONS.strip()}
-SELECT CAST(row_number() OVER (ORDER BY item_id) - 1 AS BIGINT) AS line_no, CAST(len(golds) AS BIGINT) AS n, golds[1] AS first
+SELECT CAST(row_number() OVER (ORDER BY item_id) - 1 AS BIGINT) AS line_no, CAST(len(golds) + 2 AS BIGINT) AS n, golds[1] AS first,
+       'it' || chr(39) || 's "' || golds[1] || '"' AS quotes,
+       'a\\n' || golds[1] || chr(10) || chr(9) || chr(39) || 'end' || chr(39) AS breaks
 FROM questions"""
 
+ORACLES["line_breaks_roundtrip"] = """
+SELECT CAST(row_number() OVER (ORDER BY conv_id, turn) - 1 AS BIGINT) AS line_no, role, conv_id, md5(text) AS text_md5 FROM conversations"""
+
 ORACLES["jsonl_roundtrip"] = f"""{S.retrieval(5)},
 ctx AS (SELECT h.item_id, list(p.text ORDER BY h.rank) AS contexts
         FROM hits h JOIN passages p USING (passage_id) GROUP BY h.item_id)

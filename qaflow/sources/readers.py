@@ -1,17 +1,18 @@
 """Sources.
 
-Positional files (line files, predictions, gold) get an explicit
-``line_no``: ``zipWithIndex`` numbers lines in (file name, offset) order
-with one counting job, distributed.  That is the one place the RDD API is
-used, because a DataFrame text scan has no line position.
+Positional files (line files, predictions, gold) get an explicit ``line_no``
+in (file name, offset) order.  A text scan cuts large files into byte ranges
+and tells each row's range; one pass counts the lines of every range, a
+running sum turns the counts into offsets, and the second pass numbers the
+lines.  No file is read by a single task because of its position.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from qaflow.functions import text as T
+from qaflow.functions import literals, text as T
 
 KB_SCHEMA = "title string, text string"
 QA_SCHEMA = "question string, answer struct<aliases: array<string>, value: string>"
@@ -79,29 +80,46 @@ def read_jsonl(spark: SparkSession, path: str, schema: str = PRERETRIEVED_SCHEMA
     return df
 
 
-def read_lines(spark: SparkSession, path: str, col: str = "value") -> DataFrame:
+def line_offsets(raw: DataFrame) -> DataFrame:
+    """``file, start, first_id, first_line, n`` of every byte range of a scan (one row a range).
+
+    The running sum is over this small table, in order of file name and offset.
+    """
+    ranges = raw.groupBy("file", "start").agg(F.count("*").alias("n"), F.min("id").alias("first_id"))
+    before = Window.orderBy("file", "start").rowsBetween(Window.unboundedPreceding, -1)
+    return ranges.select("file", "start", "first_id", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first_line"), "n")
+
+
+def read_lines(spark: SparkSession, path: str, col: str = "value", escaped: bool = False) -> DataFrame:
     """Text lines with their 0-based position: files in name order, then offset.
 
-    The file list comes from the DataFrame reader (so globs and directories
-    work) and is sorted explicitly; ``zipWithIndex`` then numbers the lines
-    with one distributed counting job.
+    A line ends at a line feed, a carriage return or both (as Python's text mode reads it); a last
+    line without an end counts, an end without a further line doesn't.  With ``escaped``, lines
+    are those of the sinks of this package and get their line breaks back.
+
+    Both passes read the same listing, so their ranges and the order of rows in them agree; a row
+    whose place falls outside its range fails the query rather than getting a wrong number.
     """
-    files = sorted(f for f in spark.read.text(path).inputFiles())
-    if not files:
-        return spark.createDataFrame([], f"line_no long, {col} string")
-    rdd = spark.sparkContext.textFile(",".join(files)).zipWithIndex()
-    return spark.createDataFrame(rdd.map(lambda t: (t[1], t[0])), f"line_no long, {col} string")
+    raw = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("id"))
+    offsets = F.broadcast(line_offsets(raw))  # one row a byte range of at least a block
+    place = F.col("id") - F.col("first_id")
+    right = F.assert_true((place >= 0) & (place < F.col("n")), "the line files changed while they were read").isNull()
+    value = literals.unescape_line("value") if escaped else F.col("value")
+    return raw.join(offsets, ["file", "start"]).select(
+        F.when(right, F.col("first_line") + place).cast("bigint").alias("line_no"), value.alias(col))
 
 
 def read_parallel_lines(spark: SparkSession, source_path: str, target_path: str,
-                        strict: bool = False) -> tuple[DataFrame, DataFrame]:
+                        strict: bool = False, escaped: bool = False) -> tuple[DataFrame, DataFrame]:
     """A source and a target line file paired by line number.
 
     Returns (pairs, unmatched): the reference's ``zip`` truncates silently;
     here unmatched lines are reported, and ``strict`` fails on any.
     """
-    src = read_lines(spark, source_path, "source")
-    tgt = read_lines(spark, target_path, "target")
+    src = read_lines(spark, source_path, "source", escaped)
+    tgt = read_lines(spark, target_path, "target", escaped)
     full = src.join(tgt, "line_no", "full_outer")
     pairs = full.where(F.col("source").isNotNull() & F.col("target").isNotNull())
     unmatched = full.where(F.col("source").isNull() | F.col("target").isNull())
@@ -111,22 +129,23 @@ def read_parallel_lines(spark: SparkSession, source_path: str, target_path: str,
     return pairs, unmatched
 
 
-def read_predictions(spark: SparkSession, path: str) -> DataFrame:
+def read_predictions(spark: SparkSession, path: str, escaped: bool = False) -> DataFrame:
     """S7 hypotheses: one per line, stripped."""
-    return read_lines(spark, path, "raw").select("line_no", T.strip("raw").alias("prediction"))
+    return read_lines(spark, path, "raw", escaped).select("line_no", T.strip("raw").alias("prediction"))
 
 
-def read_gold(spark: SparkSession, path: str, mode: str = "qa") -> tuple[DataFrame, DataFrame]:
+def read_gold(spark: SparkSession, path: str, mode: str = "qa", escaped: bool = False) -> tuple[DataFrame, DataFrame]:
     """S7 gold.  ``qa``: ``question<TAB>python-list-literal``; ``ans``: one answer per line.
 
-    Returns (gold, quarantine): literals the JSON reader cannot parse go to
-    the quarantine frame instead of being dropped.
+    A field of a ``qa`` line may be quoted as in CSV.  Returns (gold, quarantine): lines whose second
+    field is no list of strings go to the quarantine frame instead of being dropped.
     """
-    lines = read_lines(spark, path, "raw")
+    lines = read_lines(spark, path, "raw", escaped)
     if mode == "qa":
-        lit = F.element_at(F.split("raw", "\t", -1), 2)
-        parsed = lines.withColumn("golds", F.from_json(lit, "array<string>",
-                                                       {"allowSingleQuotes": "true"}))
+        fields = F.from_csv("raw", "question string, golds string", {"sep": "\t", "quote": '"', "escape": '"', "maxCharsPerColumn": "-1"})
+        plain = F.try_element_at(F.split("raw", "\t", -1), F.lit(2))
+        quoted = F.col("raw").startswith('"') | F.coalesce(plain, F.lit("")).startswith('"')
+        parsed = lines.withColumn("golds", literals.parse_list(F.when(quoted, fields["golds"]).otherwise(plain)))
         good = parsed.where(F.col("golds").isNotNull()).select("line_no", "golds")
         bad = parsed.where(F.col("golds").isNull()).select("line_no", "raw")
         return good, bad
@@ -139,6 +158,6 @@ def read_passages(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
-def read_provenance(spark: SparkSession, path: str) -> DataFrame:
+def read_provenance(spark: SparkSession, path: str, escaped: bool = False) -> DataFrame:
     """Tab-separated titles per line."""
-    return read_lines(spark, path, "raw").select("line_no", T.split_join("raw", "\t").alias("titles"))
+    return read_lines(spark, path, "raw", escaped).select("line_no", T.split_join("raw", "\t").alias("titles"))

@@ -13,7 +13,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qaflow.functions import text as T
+from qaflow.functions import literals
 
 
 def write_vector_shard(df: DataFrame, path: str, shard: str = "shard") -> None:
@@ -47,6 +47,11 @@ def write_preretrieved(records: DataFrame, path: str) -> None:
     records.write.mode("overwrite").json(path)
 
 
+def one_line(col) -> Column:
+    """What a line sink writes for a value."""
+    return F.coalesce(literals.escape_line(col), F.lit(""))
+
+
 def write_parallel_lines(df: DataFrame, data_dir: str, key: str, split: str = "split",
                          source: str = "source", target: str = "target",
                          num_partitions: int | None = None) -> None:
@@ -54,17 +59,20 @@ def write_parallel_lines(df: DataFrame, data_dir: str, key: str, split: str = "s
 
     Each row is written to both sides by the same task, after a range sort
     by key: part file *i* of the source pairs line by line with part file *i*
-    of the target, and both are committed together.
+    of the target, and both are committed together.  Values are escaped
+    (:func:`qaflow.functions.literals.escape_line`), so a line break inside one shifts no line;
+    a null value is an empty line.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    both = df.select(split, key, F.explode(F.array(
-        F.struct(F.lit("source").alias("side"), F.col(source).alias("value")),
-        F.struct(F.lit("target").alias("side"), F.col(target).alias("value")))).alias("x"))
-    (both.select(split, key, "x.side", "x.value")
-     .repartitionByRange(n, split, key).sortWithinPartitions(split, "side", key)
-     .select(split, "side", "value")
-     .write.mode("overwrite").partitionBy(split, "side").text(data_dir))
+    # the split goes through the explode as well: a constant one would be folded out of the sort, and the
+    # writer would sort anew by (split, side) alone and lose the order of the keys
+    side = lambda name, col: F.struct(F.col(split).alias("split"), F.lit(name).alias("side"), one_line(col).alias("value"))
+    both = df.select(key, F.explode(F.array(side("source", source), side("target", target))).alias("x"))
+    (both.select(F.col("x.split").alias("split"), key, "x.side", "x.value")
+     .repartitionByRange(n, "split", key).sortWithinPartitions("split", "side", key)
+     .select("split", "side", "value")
+     .write.mode("overwrite").partitionBy("split", "side").text(data_dir))
 
 
 def line_file_paths(data_dir: str, split: str) -> tuple[str, str]:
@@ -74,18 +82,13 @@ def line_file_paths(data_dir: str, split: str) -> tuple[str, str]:
 
 def write_predictions(df: DataFrame, path: str, col: str = "prediction", order: str = "line_no",
                       recalculate: bool = False) -> None:
-    """K5: one prediction per line in ``order``; an existing result is kept unless
-    ``recalculate`` (key the path by checkpoint to avoid the reference's reuse)."""
+    """K5: one prediction per line in ``order``, escaped (null: an empty line); an existing result is kept
+    unless ``recalculate`` (key the path by checkpoint to avoid the reference's reuse)."""
     mode = "overwrite" if recalculate else "ignore"
-    df.orderBy(order).select(F.col(col).alias("value")).write.mode(mode).text(path)
+    df.orderBy(order).select(one_line(col).alias("value")).write.mode(mode).text(path)
 
 
-def gold_literal(golds) -> Column:
-    """Python list literal of a string list (single quotes unless the value has one)."""
-    def one(x):
-        return F.when(F.instr(x, "'") > 0, F.concat(F.lit('"'), x, F.lit('"'))) \
-            .otherwise(F.concat(F.lit("'"), x, F.lit("'")))
-    return F.concat(F.lit("["), F.array_join(F.transform(T._c(golds), one), ", "), F.lit("]"))
+gold_literal = literals.list_literal  # the inverse of the gold parser
 
 
 def write_metrics(metrics: DataFrame, path: str, partition_by=("mode",)) -> None:
