@@ -523,6 +523,24 @@ def q_refresh_stream(spark, sf_dir):
     return _final_state(spark, base)
 
 
+def q_stream_upserts(spark, sf_dir):
+    """E12 / W1 by keyed state: every document arrives three times, its newest version first in half of the
+    cases, in four files; the accepted updates reduced to the latest a document."""
+    from qaflow import scratch_path
+    from qaflow.streaming import upsert
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    at = lambda n: F.timestamp_seconds(F.lit(1_700_000_000) + F.lit(n))
+    versions = F.array(*[F.struct(at(n).alias("updated_at"), F.concat(F.lit(f"v{n} "), F.col("text")).alias("text"), F.lit(n).alias("n")) for n in (1, 2, 2)])
+    sent = docs.select("doc_id", "source", F.posexplode(versions).alias("copy", "x")).select(
+        "doc_id", "source", "x.text", "x.updated_at", F.pmod(F.col("doc_id") * 7 + F.col("copy") * 3, F.lit(4)).alias("file"))
+    inbox, out, ckpt = (scratch_path(spark, n) for n in ("uinbox", "updates", "uckpt"))
+    sent.repartitionByRange(4, "file").drop("file").write.parquet(inbox)
+    upsert.upsert_stream(spark, inbox, out, ckpt, "doc_id long, source string, text string, updated_at timestamp", "updated_at", max_files_per_trigger=1)
+    now = upsert.current_documents(spark.read.parquet(out), "updated_at")
+    return now.select("doc_id", "source", F.unix_seconds("updated_at").alias("at"), F.md5("text").alias("text_md5"))
+
+
 # --- sequence shaping ----------------------------------------------------------------
 
 def q_encode_pad_trim(spark, sf_dir):

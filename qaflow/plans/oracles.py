@@ -264,6 +264,9 @@ SELECT CAST({{v}} AS BIGINT) AS version, count(*) AS n, CAST(sum(passage_id) AS
 ORACLES["refresh_swap"] = _FINAL.format(v=2)
 ORACLES["refresh_stream"] = _FINAL.format(v=4)
 
+ORACLES["stream_upserts"] = """
+SELECT doc_id, source, CAST(1700000002 AS BIGINT) AS at, md5('v2 ' || text) AS text_md5 FROM documents WHERE text IS NOT NULL"""
+
 _B = f"""WITH {S.QUESTIONS.strip()},
 b AS (SELECT item_id, {S.tok_a("x.text")} AS st, {S.tok_a("q.value")} AS tt
       FROM benchmark x JOIN questions q USING (item_id)),

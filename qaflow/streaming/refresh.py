@@ -20,6 +20,7 @@ the rerun writes N+1 again (``overwrite`` of a version never published).
 
 from __future__ import annotations
 
+from contextlib import nullcontext
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 
 from qaflow.operators import models, retrieve, vectors
 from qaflow.sources import writers
+from qaflow.streaming import upsert
 
 POSTING_COLS = ["passage_id", "doc_id", "idx", "title", "text", "embedding"]  # + updated_at, cell
 POSTINGS_SCHEMA = ("passage_id long, doc_id long, idx int, title string, text string, "
@@ -191,7 +193,7 @@ def refresh_index(spark: SparkSession, base: str, changed_docs: DataFrame, *, nl
 def refresh_stream(spark: SparkSession, inbox: str, base: str, checkpoint: str, schema, *,
                    max_files_per_trigger: int | None = None, nlist: int = 8, encoder=None,
                    event_time: str | None = None, processing_time: str | None = None,
-                   encoder_version: str = "hash64"):
+                   encoder_version: str = "hash64", keyed_state: bool = False):
     """KB changes arriving as parquet files, applied micro-batch by micro-batch.
 
     ``Trigger.AvailableNow`` drains what is there and stops; the streaming
@@ -201,6 +203,9 @@ def refresh_stream(spark: SparkSession, inbox: str, base: str, checkpoint: str,
     ``event_time`` the latest delivery of a document wins, even when an
     older one arrives in a later micro-batch.
 
+    With ``keyed_state`` (needs ``event_time``), only a document's newest delivery so far reaches a
+    refresh (:mod:`qaflow.streaming.upsert`): late and repeated ones are dropped by its state.
+
     ``processing_time`` (e.g. ``"10 minutes"``) runs the refresh periodically
     instead (W1's step-count trigger as a processing-time trigger) and returns
     the running ``StreamingQuery``; otherwise the published version is returned.
@@ -216,11 +221,15 @@ def refresh_stream(spark: SparkSession, inbox: str, base: str, checkpoint: str,
         refresh_index(spark, base, batch, nlist=nlist, encoder=encoder, event_time=event_time,
                       encoder_version=encoder_version, stream=checkpoint, epoch=epoch_id)
 
-    w = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
-    if processing_time:
-        return w.trigger(processingTime=processing_time).start()
-    q = w.trigger(availableNow=True).start()
-    q.awaitTermination()
+    if keyed_state:
+        stream = upsert.latest_updates(stream, event_time)
+    with upsert.state_store(spark) if keyed_state else nullcontext():
+        w = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+        w = w.outputMode("update") if keyed_state else w
+        if processing_time:
+            return w.trigger(processingTime=processing_time).start()
+        q = w.trigger(availableNow=True).start()
+        q.awaitTermination()
     return writers.current_version(spark, base) or 0
 
 
