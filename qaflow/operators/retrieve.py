@@ -194,7 +194,7 @@ def iterative_retrieve(questions: DataFrame, index: DataFrame, passages: DataFra
     """
     hits = first_hits if first_hits is not None else lookup_passages(
         similarity_join(questions, index, k, key=key, encoder=encoder), passages, ("text",))
-    state = questions.select(key, F.col("question").alias("query")).join(contexts_by_rank(hits, key), key)
+    state = questions.select(key, F.col("question").alias("query")).join(contexts_by_rank(hits, key), key, "left")
     rounds = []
     for it in range(iterations):
         ans = state.withColumn("answer", generator(F.col("query"), F.col("contexts")))

@@ -30,6 +30,13 @@ def _passages(spark, sf_dir):
     return retrieve.corpus_passages(table(spark, sf_dir, "documents"))
 
 
+def _stored_passages(spark, sf_dir):
+    """The passages from a table bucketed by id: cut once for the index and every lookup."""
+    from qaflow.sources import store
+
+    return store.store_passages(_passages(spark, sf_dir))
+
+
 def _questions(spark, sf_dir):
     return retrieve.benchmark_questions(table(spark, sf_dir, "benchmark"))
 
@@ -349,6 +356,14 @@ def q_qa_prompt(spark, sf_dir):
                     prep.expand_query("question", prep.first_gold("golds")).alias("expanded"))
 
 
+def q_bucketed_lookup(spark, sf_dir):
+    """J1 + K2: the hits of all questions, without a known bound, meet passages stored in buckets by id."""
+    P, Q = _stored_passages(spark, sf_dir), _questions(spark, sf_dir)
+    hits = retrieve.similarity_join(Q, retrieve.index_passages(P), K).select("item_id", "rank", "passage_id")
+    return retrieve.lookup_passages(hits, P, ("title", "text")).select(
+        "item_id", F.col("rank").cast("bigint"), "passage_id", "title", F.md5("text").alias("text_md5"))
+
+
 def q_rerank_6(spark, sf_dir):
     P, Q, hits = _hits(spark, sf_dir)
     rr = retrieve.rerank(retrieve.lookup_passages(hits, P, ("text",)), Q, 6)
@@ -665,7 +680,7 @@ def q_six_modes(spark, sf_dir):
     """M1-M6 + G1 + G10: every mode over the same questions, one summary."""
     from qaflow.plans import modes
 
-    P, Q = _passages(spark, sf_dir), _questions(spark, sf_dir)
+    P, Q = _stored_passages(spark, sf_dir), _questions(spark, sf_dir)
     s = modes.mode_summary(modes.predictions(Q, P))
     return s.select("mode", "n", F.round("em", 6).alias("em"), F.round("f1", 6).alias("f1"),
                     F.round("recall", 6).alias("recall"))
@@ -740,7 +755,7 @@ def q_throughput_modes(spark, sf_dir):
     """G8 + K6: answered / seconds / qps per mode (timings vary: rows-only check)."""
     from qaflow.plans import modes
 
-    P, Q = _passages(spark, sf_dir), _questions(spark, sf_dir)
+    P, Q = _stored_passages(spark, sf_dir), _questions(spark, sf_dir)
     reps = [metrics.throughput_report(modes.predictions(Q, P, modes=(m,)), m) for m in modes.MODES]
     return reduce(DataFrame.unionByName, reps)
 

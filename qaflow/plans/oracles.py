@@ -201,6 +201,9 @@ SELECT q.item_id,
        q.question || ' ' || q.golds[1] AS expanded
 FROM questions q LEFT JOIN ctx c USING (item_id)"""
 
+ORACLES["bucketed_lookup"] = f"""{S.retrieval(15)}
+SELECT h.item_id, h.rank, h.passage_id, p.title, md5(p.text) AS text_md5 FROM hits h JOIN passages p USING (passage_id)"""
+
 ORACLES["rerank_6"] = f"""{S.retrieval(15)},
 s AS (SELECT h.item_id, h.rank, h.passage_id, p.text,
              round({S.f1_set("q.question", "p.text")}, 6) AS rr_score

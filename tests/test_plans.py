@@ -66,3 +66,20 @@ def test_lookup_broadcasts_bounded_hits(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert "BroadcastHashJoin" in p and "BuildLeft" in p
+
+
+def test_lookup_moves_hits_to_the_buckets_not_passages(spark):
+    from pyspark.sql import functions as F
+
+    from qaflow.sources import store
+
+    P = store.store_passages(retrieve.corpus_passages(catalog.table(spark, SF_SMALL, "documents")), buckets=4)
+    hits = retrieve.corpus_passages(catalog.table(spark, SF_SMALL, "documents")).select("passage_id", F.lit(1).alias("rank"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = hits.join(P.select("passage_id", "text"), "passage_id")
+        plan = _plan(joined)
+        assert joined.count() == P.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan, plan  # only the hits move
