@@ -556,6 +556,16 @@ def q_stream_upserts(spark, sf_dir):
     return now.select("doc_id", "source", F.unix_seconds("updated_at").alias("at"), F.md5("text").alias("text_md5"))
 
 
+def q_shuffle_epoch(spark, sf_dir):
+    """D6 by a keyed permutation: two epochs of shuffled batches of 32 over all documents, placed without a sort."""
+    from qaflow.operators import permute
+
+    d = table(spark, sf_dir, "documents").select("doc_id")
+    n = d.agg(F.max("doc_id")).first()[0] + 1  # the ids are positions 0..n-1
+    parts = [permute.shuffle_batches(d, "doc_id", n, 32, seed=42, epoch=e).withColumn("epoch", F.lit(e).cast("bigint")) for e in (0, 1)]
+    return reduce(DataFrame.unionByName, parts).select("epoch", "doc_id", "batch", "slot")
+
+
 # --- sequence shaping ----------------------------------------------------------------
 
 def q_encode_pad_trim(spark, sf_dir):

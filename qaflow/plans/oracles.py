@@ -270,6 +270,25 @@ ORACLES["refresh_stream"] = _FINAL.format(v=4)
 ORACLES["stream_upserts"] = """
 SELECT doc_id, source, CAST(1700000002 AS BIGINT) AS at, md5('v2 ' || text) AS text_md5 FROM documents WHERE text IS NOT NULL"""
 
+def _feistel(x: str, key: str) -> str:
+    """Four rounds over the digits of ``x``: even ones add a hash of the right digit to the left, odd ones the other way."""
+    return f"""list_reduce([0, 1, 2, 3], lambda p, i: CASE WHEN i % 2 = 0
+        THEN ((p // b + ('0x' || substr(md5({key} || '|' || i || '|' || (p % b)), 1, 8))::BIGINT % a) % a) * b + p % b
+        ELSE (p // b) * b + (p % b + ('0x' || substr(md5({key} || '|' || i || '|' || (p // b)), 1, 8))::BIGINT % b) % b END, {x})"""
+
+
+ORACLES["shuffle_epoch"] = f"""
+WITH RECURSIVE m AS (SELECT max(doc_id) + 1 AS n FROM documents),
+r AS (SELECT n, a, -(-n // a) AS b FROM (SELECT n, CAST(ceil(sqrt(n::DOUBLE)) AS BIGINT) AS a FROM m)),
+w AS (
+  SELECT epoch, doc_id, n, a, CAST(ceil(n / a::DOUBLE) AS BIGINT) AS b, doc_id AS x, 0 AS step
+  FROM documents, r, (SELECT unnest([0, 1])::BIGINT AS epoch)
+  UNION ALL
+  SELECT epoch, doc_id, n, a, b, {_feistel("x", "(42 * 1000003 + epoch)")}, step + 1
+  FROM w WHERE step = 0 OR x >= n
+)
+SELECT epoch, doc_id, x // 32 AS batch, x % 32 AS slot FROM w WHERE step > 0 AND x < n"""
+
 _B = f"""WITH {S.QUESTIONS.strip()},
 b AS (SELECT item_id, {S.tok_a("x.text")} AS st, {S.tok_a("q.value")} AS tt
       FROM benchmark x JOIN questions q USING (item_id)),
