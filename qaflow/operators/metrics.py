@@ -109,33 +109,48 @@ def mode_comparison(summary: DataFrame, metrics=("em", "f1", "recall")) -> DataF
     return stacked.groupBy("metric").pivot("mode").agg(F.first("v")).orderBy("metric")
 
 
+SEGMENT = 4096  # steps a segment of a history
+
+
+def _through_segments(rows: DataFrame, by: list[str], partial: Column, merged, name: str) -> DataFrame:
+    """``rows`` with what all earlier segments of their history come to: ``partial`` aggregates one segment, ``merged`` a
+    running window of those."""
+    segments = rows.groupBy(*by, "_seg").agg(partial.alias("_p"))  # one row a segment
+    before = Window.partitionBy(*by).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    return rows.join(segments.select(*by, "_seg", merged("_p").over(before).alias(name)), [*by, "_seg"])
+
+
 def best_checkpoint(history: DataFrame, metric: str, *, mode: str = "max", patience: int = 3,
-                    step: str = "step", by=()) -> DataFrame:
+                    step: str = "step", by=(), segment: int = SEGMENT) -> DataFrame:
     """Best checkpoint per metric history and the early-stop step.
 
     ``mode='min'`` for losses (the reference always maximises).  Patience:
     the first step that is the ``patience``-th consecutive check without a
-    new best stops training.  Windows are partitioned by ``by`` (one small
-    history per metric), never over a whole table.
+    new best stops training.  Steps are unique in a history.
+
+    A history is cut into segments of ``segment`` steps.  Each is summed up by itself (its best value, its
+    rows, its last improvement), the summaries are merged in order, and each segment is then
+    read once more with what came before it.  No window runs over more rows than a segment has, or
+    than a history has segments, so one long history is many tasks.
     """
     if not by:
-        # one history: a constant group (bounded by the number of checkpoints)
         out = best_checkpoint(history.withColumn("_all", F.lit(0)), metric, mode=mode,
-                              patience=patience, step=step, by=["_all"])
+                              patience=patience, step=step, by=["_all"], segment=segment)
         return out.drop("_all")
-    sign = 1.0 if mode == "max" else -1.0
-    v = F.col(metric) * F.lit(sign)
-    w = Window.partitionBy(*by).orderBy(step)
-    prev_best = F.max(v).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    h = history.withColumn("_improved", (prev_best.isNull() | (v > prev_best)).cast("int"))
-    h = h.withColumn("_grp", F.sum("_improved").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    h = h.withColumn("_since", F.row_number().over(Window.partitionBy(*by, "_grp").orderBy(step)) - 1)
-    stop = h.where(F.col("_since") >= patience).groupBy(*by).agg(F.min(step).alias("stopped_at"))
-    ordering = F.struct(F.col(metric) * F.lit(sign), -F.col(step))
-    best = history.groupBy(*by).agg(
-        F.max_by(F.col(step), ordering).alias("best_step"),
-        (F.max(F.col(metric) * F.lit(sign)) * F.lit(sign)).alias("best"))
-    return best.join(stop, list(by), "left")
+    by, sign = list(by), 1.0 if mode == "max" else -1.0
+    h = history.select(*by, F.col(step).alias("_step"), (F.col(metric) * F.lit(sign)).alias("_v"),
+                       F.floor(F.col(step) / segment).alias("_seg"))
+    h = _through_segments(h, by, F.max("_v"), F.max, "_best_in")
+    own = Window.partitionBy(*by, "_seg").orderBy("_step")
+    before = F.greatest("_best_in", F.max("_v").over(own.rowsBetween(Window.unboundedPreceding, -1)))
+    h = h.withColumn("_new", before.isNull() | F.coalesce(F.col("_v") > before, F.lit(False)))
+    h = _through_segments(h, by, F.count("*"), F.sum, "_rows_in")
+    h = h.withColumn("_at", F.coalesce("_rows_in", F.lit(0)) + F.row_number().over(own)).withColumn("_hit", F.when(F.col("_new"), F.col("_at")))
+    h = _through_segments(h, by, F.max("_hit"), F.max, "_hit_in")
+    last = F.greatest("_hit_in", F.max("_hit").over(own.rowsBetween(Window.unboundedPreceding, 0)))
+    stop = h.withColumn("_since", F.col("_at") - last).where(F.col("_since") >= patience).groupBy(*by).agg(F.min("_step").alias("stopped_at"))
+    best = h.groupBy(*by).agg(F.max_by("_step", F.struct("_v", -F.col("_step"))).alias("best_step"), (F.max("_v") * F.lit(sign)).alias("best"))
+    return best.join(stop, by, "left")
 
 
 def total_steps(n_rows: Column, batch: int, accumulate: int, devices: int, epochs: int) -> Column:
