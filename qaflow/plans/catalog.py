@@ -162,13 +162,11 @@ def q_batch_mean_of_means(spark, sf_dir):
     s = pos.withColumn("batch", split.micro_batch("pos", 8)).withColumn(
         "f1", T.max_over_golds(T.f1_set, "question", "golds")).withColumn(
         "em", T.em_a("question", "golds").cast("double"))
-    per = s.groupBy("batch").agg(F.sum("em").alias("em_s"), F.sum("f1").alias("f1_s"),
-                                 F.count("*").alias("n"))
-    # G6 (flat mean) and G7 (mean of per-batch means) from the same per-batch sums
-    one = per.agg((F.sum("em_s") / F.sum("n")).alias("em_mean"),
-                  F.avg(F.col("em_s") / F.col("n")).alias("em_mean_of_means"),
-                  (F.sum("f1_s") / F.sum("n")).alias("f1_mean"),
-                  F.avg(F.col("f1_s") / F.col("n")).alias("f1_mean_of_means"))
+    flat = metrics.exact_match_rate(s, "em").withColumnRenamed("em", "em_mean")
+    f1 = metrics.exact_match_rate(s, "f1").withColumnRenamed("f1", "em").withColumnRenamed("em", "f1_mean")
+    means = metrics.batch_mean_of_means(s, "batch", ["em", "f1"]).select(
+        F.col("em").alias("em_mean_of_means"), F.col("f1").alias("f1_mean_of_means"))
+    one = reduce(lambda a, b: a.withColumn("_k", F.lit(0)).join(b.withColumn("_k", F.lit(0)), "_k").drop("_k"), [flat, f1, means])  # a row each
     return one.select(*[F.round(F.coalesce(c, F.lit(0.0)), 6).alias(c) for c in one.columns])
 
 
@@ -634,17 +632,27 @@ def q_best_checkpoint(spark, sf_dir):
 
 
 def q_counts(spark, sf_dir):
-    """Rows loaded / produced per stage, one row per item."""
-    docs = table(spark, sf_dir, "documents")
-    parts = [
-        docs.agg(F.lit("documents").alias("item"), F.count("*").alias("n")),
-        _passages(spark, sf_dir).agg(F.lit("passages").alias("item"), F.count("*").alias("n")),
-        _questions(spark, sf_dir).agg(F.lit("questions").alias("item"), F.count("*").alias("n")),
-        retrieve.qa_pairs(table(spark, sf_dir, "conversations")).agg(
-            F.lit("qa_pairs").alias("item"), F.count("*").alias("n")),
-        _emb(spark, sf_dir).agg(F.lit("vectors").alias("item"), F.count("*").alias("n")),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    """G13 + K6: rows loaded and produced per stage, counted by the jobs that write the products; the counts are
+    kept as a metrics history and read back, one row per item."""
+    from qaflow import scratch_path
+    from qaflow.sources import writers
+
+    def keep(df, name):
+        df.write.parquet(scratch_path(spark, name))
+
+    docs, n_docs = metrics.observed(table(spark, sf_dir, "documents"), "documents")
+    passages, n_passages = metrics.observed(retrieve.corpus_passages(docs), "passages")
+    keep(passages, "counted-passages")
+    questions, n_questions = metrics.observed(_questions(spark, sf_dir), "questions")
+    keep(questions, "counted-questions")
+    pairs, n_pairs = metrics.observed(retrieve.qa_pairs(table(spark, sf_dir, "conversations")), "qa_pairs")
+    keep(pairs, "counted-pairs")
+    vecs, n_vectors = metrics.observed(_emb(spark, sf_dir), "vectors")
+    keep(vecs, "counted-vectors")
+    seen = {"documents": n_docs, "passages": n_passages, "questions": n_questions, "qa_pairs": n_pairs, "vectors": n_vectors}
+    path = scratch_path(spark, "counts")
+    writers.write_metrics(spark.createDataFrame([("counts", k, o.get["n"]) for k, o in seen.items()], "mode string, item string, n long"), path)
+    return spark.read.schema("item string, n long, mode string").json(path).select("item", "n")
 
 
 def q_token_report(spark, sf_dir):
@@ -737,8 +745,10 @@ def q_stream_answers(spark, sf_dir):
         return ctx.select("item_id", models.extractive_generator(F.col("question"), F.col("contexts"))
                           .alias("prediction"))
 
-    refresh.answer_stream(spark, inbox, out, ckpt, "item_id long, question string", answer_batch)
-    return spark.read.parquet(out).select("item_id", "prediction")
+    seen = scratch_path(spark, "qmetrics")
+    refresh.answer_stream(spark, inbox, out, ckpt, "item_id long, question string", answer_batch, metrics=seen)
+    kept = spark.read.schema("answered long, empty long, epoch int").json(seen).agg(F.sum("answered").alias("all_answered"))
+    return spark.read.parquet(out).select("item_id", "prediction").withColumn("all_answered", F.lit(kept.first()[0]))
 
 
 def q_eval_e2e_pct(spark, sf_dir):
@@ -762,12 +772,20 @@ def q_eval_e2e_pct(spark, sf_dir):
 
 
 def q_throughput_modes(spark, sf_dir):
-    """G8 + K6: answered / seconds / qps per mode (timings vary: rows-only check)."""
+    """G8 + K5 + K6: answered / seconds / qps per mode, counted by the write of its predictions and kept as
+    a metrics history (timings vary: rows-only check)."""
+    from qaflow import scratch_path
     from qaflow.plans import modes
+    from qaflow.sources import writers
 
     P, Q = _stored_passages(spark, sf_dir), _questions(spark, sf_dir)
-    reps = [metrics.throughput_report(modes.predictions(Q, P, modes=(m,)), m) for m in modes.MODES]
-    return reduce(DataFrame.unionByName, reps)
+    index = retrieve.index_passages(P)
+    path = scratch_path(spark, "throughput")
+    for m in modes.MODES:
+        preds = modes.predictions(Q, P, modes=(m,), index=index)
+        writers.write_metrics(metrics.throughput_report(preds, m, scratch_path(spark, f"preds-{m}")), path)
+    out = spark.read.schema("mode string, answered bigint, seconds double, qps double").json(path)
+    return out.orderBy(F.array_position(F.array(*[F.lit(m) for m in modes.MODES]), F.col("mode")))  # a row a mode
 
 
 def q_ivf_from_index(spark, sf_dir):
@@ -787,3 +805,114 @@ def q_ivf_from_index(spark, sf_dir):
                             c_id="passage_id", c_vec="embedding")
     return hits.select(F.col("q_id").alias("item_id"), F.col("rank").cast("bigint"),
                        F.col("c_id").alias("passage_id"), F.round("score", 6).alias("score"))
+
+
+# --- inputs, limits and conversions ------------------------------------------------------
+
+def q_corpus_subsets(spark, sf_dir):
+    """S2 + R6 + T1 + C1: documents stored by language, two snapshots read with partition pruning, their union cut
+    into passages; the files behind each subset are counted by name."""
+    from qaflow import scratch_path
+    from qaflow.sources import readers
+
+    path = scratch_path(spark, "corpus")
+    table(spark, sf_dir, "documents").withColumnRenamed("lang", "subset").write.partitionBy("subset").parquet(path)
+    both = metrics.union_shards(*[split.sort_files(readers.read_corpus(spark, path, s)) for s in ("de", "fr")])
+    P = chunk.split_passages(both.select("doc_id", F.col("source").alias("title"), "text", "subset"), 100)
+    docs = both.groupBy("subset").agg(F.count("*").alias("n"), (F.countDistinct("file_name") > 0).alias("in_files"))
+    cut = P.join(both.select("doc_id", "subset"), "doc_id").groupBy("subset").agg(
+        F.count("*").alias("n_passages"), F.sum(F.length("text")).cast("bigint").alias("chars"))
+    return docs.join(cut, "subset").select("subset", "n", "in_files", "n_passages", "chars")
+
+
+def q_qa_head(spark, sf_dir):
+    """S3 + P6: a stored QA set, one split, the first 20 questions in order; then the first 5 of those backwards."""
+    from qaflow import scratch_path
+    from qaflow.sources import readers
+
+    path = scratch_path(spark, "qa")
+    Q = _questions(spark, sf_dir).withColumn("split", F.when(F.col("item_id") % 2 == 0, "train").otherwise("validation"))
+    Q.select("item_id", "question", "answer", "split").write.parquet(path)
+    head = readers.read_qa(spark, path, "validation", max_samples=20)
+    last = prep.head_limit(head, 5, [F.desc("question")]).select("item_id", F.lit(True).alias("last"))
+    return head.join(last, "item_id", "left").select("item_id", "question", F.coalesce("last", F.lit(False)).alias("last"))
+
+
+def q_vectors_as_double(spark, sf_dir):
+    """Vectors checked for their length and widened."""
+    e = vectors.cast_vectors(_emb(spark, sf_dir), "embedding", dim=64, to="double")
+    total = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x)
+    return e.select("vec_id", F.size("embedding").cast("bigint").alias("dim"), F.round(total, 6).alias("squares"))
+
+
+def q_decoded_answers(spark, sf_dir):
+    """P16 + P9 + R5 + G9: padded lines of turns decoded to clean texts, prefixed, the first three lines kept."""
+    c = table(spark, sf_dir, "conversations")
+    padded = F.transform(F.split("text", "\n", -1), lambda x: F.concat(F.lit(" \t"), x, F.lit("\n ")))
+    t = c.select("conv_id", "turn", F.transform(padded, lambda x: prep.ids_to_clean_text(x)).alias("lines"))
+    one = t.select("conv_id", "turn", prep.add_prefix(F.array_join(retrieve.rank_truncate("lines", 3), " | "), "answer: ").alias("text"), "lines")
+    mean = metrics.mean_output_length(one, "lines").first()["gen_len"]
+    return one.select("conv_id", "turn", "text", F.round(F.lit(mean), 6).alias("mean_lines"))
+
+
+def q_exploded_words(spark, sf_dir):
+    """User code on Arrow batches that returns other rows than it gets -- one row a word of every item."""
+    import pyarrow as pa
+
+    def words(batch):
+        ids, out = [], []
+        for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for w in (text or "").split():
+                ids.append(item)
+                out.append(w)
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.string())], names=["item_id", "word"])
+
+    b = table(spark, sf_dir, "benchmark").select("item_id", "text")
+    return models.explode_batches(b, words, "item_id long, word string").groupBy("item_id", "word").agg(F.count("*").alias("n"))
+
+
+# --- evaluation of several checkpoints and of supplied predictions --------------------------
+
+def q_checkpoint_sweep(spark, sf_dir):
+    """G12 + G1 + R7: answers of five checkpoints (the first 5, 10, ... words of the gold's first line) scored in one aggregation."""
+    r = _gold_records(spark, sf_dir).select(F.posexplode(F.array(*[F.lit(5 * i) for i in range(1, 6)])).alias("checkpoint", "words"), "golds")
+    first = F.split(prep.first_gold("golds"), " ", -1)
+    p = r.select(F.col("checkpoint").cast("bigint"), F.lit("lead").alias("mode"), "golds",
+                 F.array_join(F.slice(first, F.lit(1), F.col("words")), " ").alias("prediction"))
+    s = metrics.score_answers(p).withColumn("hit", F.col("em"))
+    out = metrics.checkpoint_sweep(s)
+    return out.select("checkpoint", "mode", "n", *[F.round(c, 6).alias(c) for c in ("em", "f1", "recall")]).orderBy("checkpoint")
+
+
+def q_rag_supplied(spark, sf_dir):
+    """M6: predictions of another system (here every item's first sentence) scored as the mode ``rag`` without retrieval."""
+    from qaflow.plans import modes
+
+    Q = _questions(spark, sf_dir)
+    given = Q.select("item_id", F.element_at("golds", -1).alias("prediction"))
+    s = modes.mode_summary(modes.predictions(Q, None, modes=("gen_only", "rag"), rag_predictions=given))
+    return s.select("mode", "n", *[F.round(c, 6).alias(c) for c in ("em", "f1", "recall")])
+
+
+def q_metrics_history(spark, sf_dir):
+    """W3 + K6: two evaluations appended to one history, which is never rewritten."""
+    from qaflow import scratch_path
+    from qaflow.streaming import refresh
+
+    path = scratch_path(spark, "history")
+    r = _gold_records(spark, sf_dir)
+    for step, answer in enumerate(("question", "answer")):
+        em = F.max(T.em_a(answer, "golds")).cast("bigint").alias("best_em")
+        refresh.append_metrics_history(r.agg(F.count("*").alias("n"), em), path, step)
+    return spark.read.schema("n long, best_em long, step long").json(path).select("step", "n", "best_em")
+
+
+def q_trained_cells(spark, sf_dir):
+    """E5 + E6: cells trained over all vectors; every vector is in its nearest cell, and each centroid is its members' direction
+    within the last round's change (counted as 1 where the cosine is at least 0.95)."""
+    e = _emb(spark, sf_dir).select("vec_id", "embedding")
+    cents = vectors.train_centroids(e, "embedding", 8)
+    cells = vectors.assign_cells(e, cents, "embedding", key="vec_id").withColumn("u", vectors.l2_normalize("embedding"))
+    means = vectors.label_mean_centroids(cells, "cell", "u").withColumnRenamed("centroid", "mean")
+    close = vectors.dot(vectors.l2_normalize("mean"), "centroid") >= 0.95
+    return means.join(cents, "cell").agg(F.count("*").alias("cells"), F.sum(close.cast("bigint")).alias("close"))

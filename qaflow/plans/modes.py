@@ -52,8 +52,8 @@ def predictions(questions: DataFrame, passages: DataFrame, *, k: int = DEFAULT_K
     """
     q = questions.select(key, "question")
     zero = q.select(key, F.lit(0).alias("hit"))
-    needs_retrieval = any(m != "gen_only" for m in modes) and not (
-        set(modes) == {"rag"} and rag_predictions is not None)
+    given = ("gen_only",) if rag_predictions is None else ("gen_only", "rag")
+    needs_retrieval = any(m not in given for m in modes)
     if needs_retrieval:
         # the index is encoded once and shared by every retrieval of every mode (a
         # stored index -- passage_id, embedding -- can be passed in instead)

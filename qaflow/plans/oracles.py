@@ -428,7 +428,7 @@ SELECT item_id, CAST(1 AS BIGINT), c.question, a.prediction FROM h1_ctx c JOIN r
 ORACLES["stream_answers"] = f"""{S.retrieval(15)},
 {_CTX.format(name="ctx5", k=5).strip()},
 {S.extractive("question", "ctx5", prefix="g5_").strip()}
-SELECT item_id, prediction FROM g5_answers"""
+SELECT item_id, prediction, (SELECT count(*) FROM benchmark) AS all_answered FROM g5_answers"""
 
 _EM = f"""CAST(list_bool_or(list_transform(q.golds, lambda g: {S.norm_a("g")} = {S.norm_a("m.prediction")})) AS INTEGER)"""
 _F1 = f"""coalesce(list_max(list_transform(q.golds, lambda g: {S.f1_set("m.prediction", "g")})), 0.0)"""
@@ -507,3 +507,50 @@ SELECT conv_id, turn,
        round(CASE WHEN l = 0 THEN 0.0
                   ELSE 2 * (l / len(tp)) * (l / len(tr)) / ((l / len(tp)) + (l / len(tr))) END, 6) AS rouge_l
 FROM lcs"""
+
+# --- inputs, limits and conversions; several checkpoints; supplied predictions ---------------
+
+ORACLES["corpus_subsets"] = f"""WITH {S.PASSAGES.strip()}
+SELECT d.lang AS subset, count(DISTINCT d.doc_id) AS n, true AS in_files,
+       count(p.doc_id) AS n_passages, CAST(sum(length(p.text)) AS BIGINT) AS chars
+FROM documents d LEFT JOIN passages p USING (doc_id) WHERE d.lang IN ('de', 'fr') GROUP BY d.lang"""
+
+ORACLES["qa_head"] = f"""WITH {S.QUESTIONS.strip()},
+head AS (SELECT item_id, question FROM questions WHERE item_id % 2 <> 0 ORDER BY question LIMIT 20),
+last AS (SELECT item_id FROM head ORDER BY question DESC LIMIT 5)
+SELECT item_id, question, item_id IN (SELECT item_id FROM last) AS last FROM head"""
+
+ORACLES["vectors_as_double"] = """
+SELECT vec_id, CAST(len(embedding) AS BIGINT) AS dim,
+       round(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x)), 6) AS squares FROM embeddings"""
+
+ORACLES["decoded_answers"] = f"""
+WITH t AS (SELECT conv_id, turn, list_transform(string_split(text, chr(10)), lambda x: {S.strip("x")}) AS lines FROM conversations)
+SELECT conv_id, turn, 'answer: ' || array_to_string(lines[1:3], ' | ') AS text,
+       round((SELECT avg(len(lines)) FROM t), 6) AS mean_lines FROM t"""
+
+ORACLES["exploded_words"] = r"""
+SELECT item_id, word, count(*) AS n FROM (SELECT item_id, unnest(string_split_regex(text, '\s+')) AS word FROM benchmark)
+WHERE word <> '' GROUP BY item_id, word"""
+
+ORACLES["checkpoint_sweep"] = f"""WITH {_GOLD},
+p AS (SELECT CAST(i - 1 AS BIGINT) AS checkpoint, golds, array_to_string(list_slice(string_split(golds[1], ' '), 1, 5 * i), ' ') AS prediction
+      FROM gold, (SELECT unnest([1, 2, 3, 4, 5]) AS i)),
+s AS (SELECT checkpoint, CAST(list_bool_or(list_transform(golds, lambda g: {S.norm_a("g")} = {S.norm_a("prediction")})) AS INTEGER) AS em,
+             coalesce(list_max(list_transform(golds, lambda g: {S.f1_set("prediction", "g")})), 0.0) AS f1 FROM p)
+SELECT checkpoint, 'lead' AS mode, count(*) AS n, round(avg(em), 6) AS em, round(avg(f1), 6) AS f1, round(sum(em) / count(*), 6) AS recall
+FROM s GROUP BY checkpoint"""
+
+ORACLES["rag_supplied"] = f"""WITH {S.QUESTIONS.strip()},
+m AS (SELECT 'rag' AS mode, item_id, golds[-1] AS prediction FROM questions UNION ALL SELECT 'gen_only', item_id, '' FROM questions)
+SELECT m.mode, count(*) AS n, round(avg({_EM}), 6) AS em, round(avg({_F1}), 6) AS f1, CAST(0 AS DOUBLE) AS recall
+FROM m JOIN questions q USING (item_id) GROUP BY m.mode"""
+
+ORACLES["metrics_history"] = f"""WITH {_GOLD},
+e AS (SELECT 0 AS step, golds, question AS prediction FROM gold UNION ALL SELECT 1, golds, answer FROM gold)
+SELECT CAST(step AS BIGINT) AS step, count(*) AS n,
+       CAST(max(CAST(list_bool_or(list_transform(golds, lambda g: {S.norm_a("g")} = {S.norm_a("prediction")})) AS INTEGER)) AS BIGINT) AS best_em
+FROM e GROUP BY step"""
+
+ORACLES["trained_cells"] = """
+SELECT least(8, count(DISTINCT embedding)) AS cells, least(8, count(DISTINCT embedding)) AS close FROM embeddings"""

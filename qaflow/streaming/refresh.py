@@ -234,18 +234,28 @@ def refresh_stream(spark: SparkSession, inbox: str, base: str, checkpoint: str,
 
 
 def answer_stream(spark: SparkSession, inbox: str, out: str, checkpoint: str, schema: str,
-                  answer_batch) -> None:
+                  answer_batch, metrics: str | None = None) -> None:
     """Questions arriving as files are answered and appended, batch by batch.
 
     ``answer_batch(df) -> df`` is any batch plan (retrieve + generate).  Each
     micro-batch writes its own ``epoch=N`` directory in overwrite mode, so a
     batch replayed after a failure replaces its own output instead of
-    duplicating it (``foreachBatch`` itself is at-least-once).
+    duplicating it (``foreachBatch`` itself is at-least-once).  With ``metrics``, what the
+    write of each batch counted (rows, rows without an answer) is kept beside it, one
+    replaced ``epoch=N`` directory a batch (K6 / W3).
     """
+    from qaflow.operators.metrics import observed
+
     stream = spark.readStream.schema(schema).parquet(inbox)
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        answer_batch(batch).write.mode("overwrite").parquet(f"{out}/epoch={epoch_id}")
+        answers, seen = observed(answer_batch(batch), f"answers-{epoch_id}", answered=F.count(F.lit(1)),
+                                 empty=F.count_if(F.coalesce(F.col("prediction"), F.lit("")) == ""))
+        answers.write.mode("overwrite").parquet(f"{out}/epoch={epoch_id}")
+        if metrics:
+            got = seen.get
+            spark.createDataFrame([(got["answered"], got["empty"])], "answered long, empty long") \
+                .write.mode("overwrite").json(f"{metrics}/epoch={epoch_id}")
 
     q = (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
