@@ -17,12 +17,14 @@ from qaflow.functions import text as T
 from qaflow.operators import chunk, models, prep, vectors
 
 # Passage key = doc_id * PASSAGE_STRIDE + idx: a total order equal to
-# (doc_id, idx) without a global numbering job (requires idx < 10**6).
+# (doc_id, idx) without a global numbering job.  A document of more passages
+# fails the query, so keys never collide silently.
 PASSAGE_STRIDE = 1_000_000
 
 
 def passage_key(doc_id="doc_id", idx="idx") -> Column:
-    return (T._c(doc_id).cast("bigint") * PASSAGE_STRIDE + T._c(idx)).cast("bigint")
+    fits = F.assert_true(F.coalesce(T._c(idx) < PASSAGE_STRIDE, F.lit(True)), f"a document has more than {PASSAGE_STRIDE} parts")
+    return F.when(fits.isNull(), (T._c(doc_id).cast("bigint") * PASSAGE_STRIDE + T._c(idx)).cast("bigint"))
 
 
 # ---------------------------------------------------------------------------

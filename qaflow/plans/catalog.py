@@ -604,7 +604,7 @@ def q_parse_scores(spark, sf_dir):
     # every space-separated token of every document (key = doc_id * 10**6 + position)
     words = d.select(F.lit("doc_word").alias("src"), "doc_id",
                      F.posexplode(F.split("text", " ", -1)).alias("p", "s")).select(
-        "src", (F.col("doc_id") * 1_000_000 + F.col("p")).alias("doc_id"), "s")
+        "src", retrieve.passage_key("doc_id", "p").alias("doc_id"), "s")
     docs = words.unionByName(
         d.select(F.lit("doc_us").alias("src"), "doc_id",
                  F.concat(F.col("n_chars").cast("string"), F.lit("_5")).alias("s"))).unionByName(

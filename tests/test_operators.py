@@ -153,3 +153,10 @@ def test_benchmark_questions_lose_no_word(spark):
 def test_quoted_items_are_right_answers(spark):
     got = catalog.q_answers_base(spark, "/root/testdata/sf0.01").agg(F.sum("em").alias("em"), F.sum("hit").alias("hit")).first()
     assert got["em"] > 0 and got["hit"] > 0
+
+
+def test_passage_keys_never_collide_silently(spark):
+    ok = spark.createDataFrame([(1, 999_999), (2, 0), (None, 3)], "doc_id long, idx int")
+    assert [r["k"] for r in ok.select(retrieve.passage_key().alias("k")).collect()] == [1_999_999, 2_000_000, None]
+    with pytest.raises(Exception, match="more than 1000000 parts"):
+        spark.createDataFrame([(1, 1_000_000)], "doc_id long, idx int").select(retrieve.passage_key().alias("k")).collect()
