@@ -9,6 +9,9 @@ or only a mark where it repeats the word before; a document's value in a bucket
 the square root of its number of words. The model is fitted on a bounded sample of the rated rows
 (``max_rows``, the documented bound, taken by a hash of the key so that it is the same at every layout),
 in one task by limited-memory BFGS; scoring is a map over whole texts with the model (1 MB) broadcast.
+Features are made for about a megabyte of text at a time and, for the fit, folded at once to the different
+buckets of each document with their counts; loss and slope go through these in blocks. So the fitting
+task holds 8 bytes a different feature of the sample, and no step holds the words of a whole batch.
 
 Defined cases: a null text is empty and an empty text scores 0; rows with a null key or rating are not
 fitted on; a key with several ratings counts once per rating; without two different grades there is no
@@ -27,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from qaflow.llm.common import _BYTE, _ODD, _powers, mix, read, text_bytes, word_hashes
+from qaflow.llm.common import _BYTE, _ODD, _powers, mix, read, text_bytes, unused, word_hashes
 
 BITS = 18
 MAX_ROWS = 12_000
@@ -87,6 +90,70 @@ def _last(data: np.ndarray, start: np.ndarray, ends: np.ndarray, j: int) -> np.n
     return np.where(last >= start, last, -1)
 
 
+def slices(texts: pa.Array, size: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of about ``size`` bytes of text (one row at least)."""
+    _, offsets = text_bytes(texts)
+    lo, n = 0, len(offsets) - 1
+    while lo < n:
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + size, "right")) - 1)
+        yield lo, hi
+        lo = hi
+
+
+@dataclass
+class Rows:
+    """Documents as their different buckets: those of document ``i`` are ``bucket[start[i]:start[i + 1]]``, each with its
+    count divided by the square root of the document's words."""
+
+    bucket: np.ndarray
+    value: np.ndarray
+    start: np.ndarray
+
+    def blocks(self, size: int = 1 << 20) -> Iterator[tuple[int, int]]:
+        lo, n = 0, len(self.start) - 1
+        while lo < n:
+            hi = max(lo + 1, int(np.searchsorted(self.start, self.start[lo] + size, "right")) - 1)
+            yield lo, hi
+            lo = hi
+
+    def scores(self, weights: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(self.start) - 1)
+        for lo, hi in self.blocks():
+            at = slice(self.start[lo], self.start[hi])
+            each = np.concatenate([[0.0], np.cumsum(weights[self.bucket[at]] * self.value[at])])
+            place = self.start[lo:hi + 1] - self.start[lo]
+            out[lo:hi] = each[place[1:]] - each[place[:-1]]
+        return out
+
+    def slope(self, by_score: np.ndarray, size: int) -> np.ndarray:
+        out = np.zeros(size)
+        for lo, hi in self.blocks():
+            at = slice(self.start[lo], self.start[hi])
+            each = np.repeat(by_score[lo:hi], np.diff(self.start[lo:hi + 1])) * self.value[at]
+            out += np.bincount(self.bucket[at], weights=each, minlength=size)
+        return out
+
+
+def folded(buckets: np.ndarray, rows: np.ndarray) -> Rows:
+    """The documents of :func:`features` as :class:`Rows`."""
+    n = np.diff(rows)
+    doc = np.repeat(np.arange(len(n)), n)
+    keys = [(doc[ok] << BITS) | b[ok] for b in buckets for ok in (b >= 0,)]
+    key, count = np.unique(np.concatenate(keys), return_counts=True) if keys else (np.zeros(0, np.int64), np.zeros(0))
+    of = key >> BITS
+    value = (count / np.sqrt(np.maximum(n, 1))[of]).astype(np.float32)
+    return Rows((key & ((1 << BITS) - 1)).astype(np.int32), value, np.searchsorted(of, np.arange(len(n) + 1)))
+
+
+def joined(parts: list[Rows]) -> Rows:
+    """The documents of all ``parts``, which it empties."""
+    sizes = np.concatenate([np.diff(p.start) for p in parts])
+    bucket = np.concatenate([p.bucket for p in parts])
+    value = np.concatenate([p.value for p in parts])
+    parts.clear()
+    return Rows(bucket, value, np.concatenate([[0], np.cumsum(sizes)]))
+
+
 def _scores(buckets: np.ndarray, rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
     padded = np.append(weights, 0.0)
     each = np.concatenate([[0.0], np.cumsum(sum(padded[b] for b in buckets))])
@@ -118,22 +185,14 @@ def ordinal_loss(score: np.ndarray, grade: np.ndarray, free: np.ndarray) -> tupl
     return float(-np.log(p).mean()), (d_high - d_low) / n, np.concatenate([[tails[0]], tails[1:] * steps])
 
 
-def fit_arrays(buckets: np.ndarray, rows: np.ndarray, grade: np.ndarray, n_grades: int, l2: float = L2, rounds: int = 80) -> tuple[np.ndarray, np.ndarray]:
+def fit_arrays(docs: Rows, grade: np.ndarray, n_grades: int, l2: float = L2, rounds: int = 80) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds by limited-memory BFGS with backtracking."""
     size = 1 << BITS
-    n_words = np.diff(rows)
-    scale = 1 / np.sqrt(np.maximum(n_words, 1))
 
     def loss(x):
         w, free = x[:size], x[size:]
-        score = _scores(buckets, rows, w)
-        value, by_score, by_free = ordinal_loss(score, grade, free)
-        each = np.repeat(by_score * scale, n_words)
-        slope = l2 * w
-        for b in buckets:
-            ok = b >= 0
-            slope = slope + np.bincount(b[ok], weights=each[ok], minlength=size)
-        return value + l2 / 2 * float(w @ w), np.concatenate([slope, by_free])
+        value, by_score, by_free = ordinal_loss(docs.scores(w), grade, free)
+        return value + l2 / 2 * float(w @ w), np.concatenate([l2 * w + docs.slope(by_score, size), by_free])
 
     share = np.cumsum(np.bincount(grade, minlength=n_grades))[:-1] / len(grade)
     cut = np.log(share / (1 - share))
@@ -186,19 +245,15 @@ def fit(docs: DataFrame, ratings: DataFrame, key: str = "doc_id", text: str = "t
     rows = docs.select(F.col(key).alias("__k"), F.col(text).alias("__t")).join(F.broadcast(sample), "__k").select("__k", "__g", "__t")
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, sizes, grades, keys = [], [], [], []
+        parts, grades = [], []
         for b in batches:
-            buckets, where = features(b.column(2))
-            found.append(buckets)
-            sizes.append(np.diff(where))
+            for lo, hi in slices(b.column(2)):
+                parts.append(folded(*features(b.column(2).slice(lo, hi - lo))))
             grades.append(np.array(b.column(1).to_pylist(), np.int64))
-            keys.append(np.array(b.column(0).cast(pa.int64()).to_pylist(), np.int64))
-        if found and sum(map(len, grades)):
-            n = np.concatenate(sizes)
-            at = np.concatenate([[0], np.cumsum(n)])
+        if parts:
             held, g = np.unique(np.concatenate(grades), return_inverse=True)
             if len(held) > 1:
-                w, cut = fit_arrays(np.concatenate(found, axis=1), at, g, len(held))
+                w, cut = fit_arrays(joined(parts), g, len(held))
                 yield pa.RecordBatch.from_arrays([pa.array([w.astype("<f4").tobytes()], pa.binary()), pa.array([cut.tolist()], pa.list_(pa.float64())), pa.array([held.tolist()], pa.list_(pa.int64()))],
                                                  names=["w", "cut", "levels"])
 
@@ -219,8 +274,9 @@ def score(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame
         weights, gaps = weights.astype(np.float64), np.diff(levels)
         for b in batches:
             got = []
-            for lo in range(0, b.num_rows, 2048):
-                buckets, where = features(b.column(b.num_columns - 1).slice(lo, 2048))
+            texts = b.column(b.num_columns - 1)
+            for lo, hi in slices(texts):
+                buckets, where = features(texts.slice(lo, hi - lo))
                 got.append(_scores(buckets, where, weights))
             s = np.concatenate(got) if got else np.zeros(0)
             above = 0.5 * (1 + np.tanh((s[:, None] - cut[None, :]) / 2))
@@ -228,7 +284,7 @@ def score(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame
             yield pa.RecordBatch.from_arrays([*cols, pa.array(levels[0] + above @ gaps), pa.array(above[:, -1])], names=[*b.schema.names[:-1], *names])
 
     schema = T.StructType([*kept.schema.fields, *(T.StructField(n, T.DoubleType()) for n in names)])
-    return kept.withColumn("__scored", kept[text]).mapInArrow(rows, schema)
+    return kept.select("*", kept[text].alias(unused(kept, "scored"))).mapInArrow(rows, schema)
 
 
 def select(scored: DataFrame, keep_at: float = KEEP_AT) -> DataFrame:

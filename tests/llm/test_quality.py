@@ -70,3 +70,24 @@ def test_a_rare_or_absent_grade_does_not_switch_the_filter_off(spark):
     got = {r.doc_id: r.tail_probability for r in q.score(docs, model).collect()}
     assert got[1] > 0.5 > got[0]
     assert q.fit(docs.where("doc_id >= 4000"), ratings) is None
+
+
+def test_columns_of_the_names_used_inside(spark):
+    df = spark.createDataFrame([(1, "some words", 5, 6)], "doc_id long, text string, scored int, SCORED_ int")
+    model = q.Model(np.zeros(1 << q.BITS), np.array([0.0]), [0, 1])
+    got = q.score(df, model).first().asDict()
+    assert got == {"doc_id": 1, "text": "some words", "scored": 5, "SCORED_": 6, "expected_grade": 0.5, "tail_probability": 0.5}
+
+
+def test_folded_rows_score_like_whole_features():
+    rng = np.random.default_rng(2)
+    texts = pa.array([" ".join(rng.choice(["aa", "bb", "ccc", "dd"], rng.integers(0, 40))) for _ in range(30)] + ["", None])
+    weights = rng.normal(size=1 << q.BITS)
+    whole = q._scores(*q.features(texts), weights)
+    parts = [q.folded(*q.features(texts.slice(lo, hi - lo))) for lo, hi in q.slices(texts, 100)]
+    assert len(parts) > 5
+    docs = q.joined(parts)
+    np.testing.assert_allclose(docs.scores(weights), whole, rtol=1e-5, atol=1e-6)
+    by = rng.normal(size=len(texts))
+    step = 1e-3 * rng.normal(size=1 << q.BITS)
+    np.testing.assert_allclose(docs.slope(by, 1 << q.BITS) @ step, by @ (docs.scores(weights + step) - docs.scores(weights)), rtol=1e-4, atol=1e-7)
