@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from qaflow.llm.common import read
+from qaflow.llm.common import read, unused
 
 ERROR_RATE = 0.08
 BLOCK_ITEMS = 5_000
@@ -175,7 +175,7 @@ def _search(docs: DataFrame, block: list[tuple[int, str]], error_rate: float, te
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(b.num_columns - 2)), pa.array(found, kind)], names=b.schema.names[:-1])
 
     schema = T.StructType([*docs.schema.fields[:-1], T.StructField(to, LEAKS)])
-    return docs.withColumn("__searched", docs[text]).mapInArrow(rows, schema)
+    return docs.select("*", docs[text].alias(unused(docs, "searched"))).mapInArrow(rows, schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

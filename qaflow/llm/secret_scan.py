@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from qaflow.llm.common import read
+from qaflow.llm.common import read, unused
 
 KINDS = ("assign", "access", "hex", "key", "token")
 ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -270,7 +270,7 @@ def scan(df: DataFrame, text: str = "text", to: str = "findings") -> DataFrame:
 
     kept = df.drop(to)
     schema = T.StructType([*kept.schema.fields, T.StructField(to, FINDINGS)])
-    return kept.withColumn("__scanned", kept[text]).mapInArrow(rows, schema)
+    return kept.select("*", kept[text].alias(unused(kept, "scanned"))).mapInArrow(rows, schema)
 
 
 def digest(found: list) -> str:

@@ -57,3 +57,11 @@ def test_planted_items_and_defined_cases(spark):
     assert {x[0] for x in by["None"]} == {long[0][0], 902} and by["100"] == by["101"] == by["102"] == ()
     df = spark.createDataFrame(docs, DOCS)
     assert d.find_leaks(df, bench.limit(0)).where("size(leaks) > 0").count() == 0 and d.find_leaks(df.limit(0), bench).count() == 0
+
+
+def test_columns_of_the_names_used_inside(spark):
+    from qaflow.llm import decontam
+
+    docs = spark.createDataFrame([(1, "nothing here", 5)], "doc_id long, text string, searched int")
+    items = spark.createDataFrame([(1, "an item that no document holds at all, whatever its length")], "item_id long, text string")
+    assert decontam.find_leaks(docs, items).first()["searched"] == 5

@@ -144,3 +144,11 @@ def test_query_columns_and_defined_cases(spark, tmp_path):
 
 def test_empty_table(spark):
     assert s.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_columns_of_the_names_used_inside(spark):
+    from qaflow.llm import secret_scan
+
+    df = spark.createDataFrame([(1, "password = hunter2hunter2", 5)], "doc_id long, text string, scanned int")
+    got = secret_scan.scan(df).first()
+    assert got["scanned"] == 5 and got["text"].startswith("password")
