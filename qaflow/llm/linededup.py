@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qaflow.llm.common import materialise, read
+from qaflow.llm.common import materialise, read, unused
 
 DEPTH = 3
 MIN_DOCS = 5
@@ -77,11 +77,12 @@ def drop_templates(docs: DataFrame, text: str = "text", min_docs: int = MIN_DOCS
                                           F.sum(F.when(F.col("gone"), F.col("n"))).alias("dropped"))
     per_copy = per_copy.where(F.col("dropped") * 2 <= F.col("tokens")).select("copy", "drop")
     kept = docs.drop("n_lines", "n_dropped")
+    copy, drop = unused(kept, "copy"), unused(kept, "drop")
     split = F.split(text, "\n")
-    out = kept.withColumn("copy", F.xxhash64(text)).join(per_copy, "copy", "left")
-    shorter = F.array_join(F.filter(split, lambda x, i: ~F.array_contains("drop", i)), "\n")
-    new = {text: F.when(F.col("drop").isNull(), F.col(text)).otherwise(shorter),
-           "n_lines": F.coalesce(F.size(split), F.lit(0)).cast("long"), "n_dropped": F.coalesce(F.size("drop"), F.lit(0)).cast("long")}
+    out = kept.withColumn(copy, F.xxhash64(text)).join(per_copy.select(F.col("copy").alias(copy), F.col("drop").alias(drop)), copy, "left")
+    shorter = F.array_join(F.filter(split, lambda x, i: ~F.array_contains(drop, i)), "\n")
+    new = {text: F.when(F.col(drop).isNull(), F.col(text)).otherwise(shorter),
+           "n_lines": F.coalesce(F.size(split), F.lit(0)).cast("long"), "n_dropped": F.coalesce(F.size(drop), F.lit(0)).cast("long")}
     return out.select(*[new.pop(c).alias(c) if c == text else F.col(c) for c in kept.columns], *[v.alias(k) for k, v in new.items()])
 
 

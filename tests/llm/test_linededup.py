@@ -41,3 +41,9 @@ def test_no_python_in_the_plans(spark):
     lines = l._lines(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), "text")
     plan = l.drop_templates(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))._jdf.queryExecution().toString()
     assert not any(w in plan + lines._jdf.queryExecution().toString() for w in ("Python", "Arrow", "Pandas"))
+
+
+def test_columns_of_the_names_used_inside(spark):
+    df = spark.createDataFrame([(i, f"{own(i)}\nRead more here", i, "x", 2) for i in range(6)], "doc_id long, text string, copy int, drop string, Copy_ int")
+    got = sorted(tuple(r) for r in l.drop_templates(df).collect())
+    assert got == [(i, own(i), i, "x", 2, 5, 1) for i in range(6)]
