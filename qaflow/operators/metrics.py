@@ -125,12 +125,12 @@ def mode_comparison(summary: DataFrame, metrics=("em", "f1", "recall")) -> DataF
 SEGMENT = 4096  # steps a segment of a history
 
 
-def _through_segments(rows: DataFrame, by: list[str], partial: Column, merged, name: str) -> DataFrame:
-    """``rows`` with what all earlier segments of their history come to: ``partial`` aggregates one segment, ``merged`` a
-    running window of those."""
-    segments = rows.groupBy(*by, "_seg").agg(partial.alias("_p"))  # one row a segment
+def _through_segments(rows: DataFrame, by: list[str], **parts) -> DataFrame:
+    """``rows`` with what all earlier segments of their history come to: of each of ``parts`` the first aggregates one
+    segment, the second is a running window over those."""
+    segments = rows.groupBy(*by, "_seg").agg(*[partial.alias(name) for name, (partial, _) in parts.items()])  # one row a segment
     before = Window.partitionBy(*by).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
-    return rows.join(segments.select(*by, "_seg", merged("_p").over(before).alias(name)), [*by, "_seg"])
+    return rows.join(segments.select(*by, "_seg", *[merged(name).over(before).alias(name) for name, (_, merged) in parts.items()]), [*by, "_seg"])
 
 
 def best_checkpoint(history: DataFrame, metric: str, *, mode: str = "max", patience: int = 3,
@@ -153,13 +153,12 @@ def best_checkpoint(history: DataFrame, metric: str, *, mode: str = "max", patie
     by, sign = list(by), 1.0 if mode == "max" else -1.0
     h = history.select(*by, F.col(step).alias("_step"), (F.col(metric) * F.lit(sign)).alias("_v"),
                        F.floor(F.col(step) / segment).alias("_seg"))
-    h = _through_segments(h, by, F.max("_v"), F.max, "_best_in")
+    h = _through_segments(h, by, _best_in=(F.max("_v"), F.max), _rows_in=(F.count("*"), F.sum))
     own = Window.partitionBy(*by, "_seg").orderBy("_step")
     before = F.greatest("_best_in", F.max("_v").over(own.rowsBetween(Window.unboundedPreceding, -1)))
     h = h.withColumn("_new", before.isNull() | F.coalesce(F.col("_v") > before, F.lit(False)))
-    h = _through_segments(h, by, F.count("*"), F.sum, "_rows_in")
     h = h.withColumn("_at", F.coalesce("_rows_in", F.lit(0)) + F.row_number().over(own)).withColumn("_hit", F.when(F.col("_new"), F.col("_at")))
-    h = _through_segments(h, by, F.max("_hit"), F.max, "_hit_in")
+    h = _through_segments(h, by, _hit_in=(F.max("_hit"), F.max))
     last = F.greatest("_hit_in", F.max("_hit").over(own.rowsBetween(Window.unboundedPreceding, 0)))
     stop = h.withColumn("_since", F.col("_at") - last).where(F.col("_since") >= patience).groupBy(*by).agg(F.min("_step").alias("stopped_at"))
     best = h.groupBy(*by).agg(F.max_by("_step", F.struct("_v", -F.col("_step"))).alias("best_step"), (F.max("_v") * F.lit(sign)).alias("best"))
