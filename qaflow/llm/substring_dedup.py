@@ -12,7 +12,8 @@ that a repeated passage is covered word by word to its true ends.
 
 A cluster is a component of lines, an anchor, or GRAM words beside one, that stands in at least two documents; its occurrence in
 the smallest ``(doc_id, start)`` stays, the others are removals. Neighbouring and overlapping spans of a
-document are merged.
+document are merged. With ``least``, only what merges to that many words counts: an occurrence in a shorter stretch of
+repeated words is a chance repeat, neither kept as the first nor removed. The registered query takes ``LEAST`` words.
 
 Data movement: lines and anchors travel as hashes and places, never as text; a task first looks for
 repeats among its own rows and sends one entry a repeated key, so a passage that a third of all documents
@@ -45,6 +46,7 @@ _INV = np.uint64(pow(int(_ODD), -1, 1 << 64))
 SPOT = np.dtype([("key", "<u8"), ("doc", "<i8"), ("start", "<i4"), ("words", "<i4"), ("known", "<i4"),
                  ("before", "<u8"), ("after", "<u8"), ("n_before", "<i4"), ("n_after", "<i4")])
 SENT = ("start", "words", "before", "after", "n_before", "n_after")
+LEAST = 50
 FLUSH = 500_000
 
 
@@ -139,7 +141,7 @@ def edge_spots(words: np.ndarray, rows: np.ndarray, asked: list) -> tuple[np.nda
 
 
 def band_keys(words: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """``(BANDS, spans)`` keys: equal for two spans whose shingles agree in a band's least hashes."""
+    """``(BANDS, spans)`` keys: equal for two spans whose shingles agree in a band's least hashes. The spans follow each other."""
     every = shingle_hashes(words, SHINGLE)
     cuts = np.stack([a, np.maximum(b - SHINGLE + 1, a + 1)], 1).ravel()
     cuts = np.minimum(cuts, len(every))
@@ -178,7 +180,9 @@ def similar_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
                 _, a, b = line_spans(data, where, starts)
                 if not len(a):
                     continue
-                vertex, first = np.unique(_span_hash(words, a, b).view(np.int64), return_index=True)
+                vertex = _span_hash(words, a, b).view(np.int64)
+                first = np.sort(np.unique(vertex, return_index=True)[1])  # in order of place: the minima of a span are of the span alone
+                vertex = vertex[first]
                 e = np.zeros(BANDS * len(first), ENTRY)
                 e["key"], e["vertex"] = band_keys(words, a[first], b[first]).ravel(), np.tile(vertex, BANDS)
                 e["lo"] = e["hi"] = 1
@@ -271,33 +275,44 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     return spans.union(edges.select("cluster", "doc_id", "start", "words", F.lit("beside").alias("kind")))
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
+def in_long_stretches(spots: DataFrame, least: int) -> DataFrame:
+    """Those of ``spots(doc_id, start, words, ...)`` that, merged with what they touch, cover ``least`` words."""
+    in_order = W.partitionBy("doc_id").orderBy("start", "end")
+    s = spots.withColumn("end", F.col("start") + F.col("words"))
+    s = s.withColumn("new", F.when(F.col("start") <= F.max("end").over(in_order.rowsBetween(W.unboundedPreceding, -1)), 0).otherwise(1))
+    s = s.withColumn("no", F.sum("new").over(in_order.rowsBetween(W.unboundedPreceding, 0)))
+    whole = W.partitionBy("doc_id", "no")
+    return s.withColumn("covered", F.max("end").over(whole) - F.min("start").over(whole)).where(F.col("covered") >= least).select(*spots.columns)
+
+
+def repeated_spans(docs: DataFrame, least: int = 1) -> DataFrame:
     """``doc_id, start, words, cluster, kind, removed`` of every occurrence in a cluster."""
     docs = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     lines = line_table(docs)
     linked = similar_lines(docs, lines)
     of_line = lines.join(linked, F.col("vertex") == F.col("v"), "left").select(F.coalesce("component", "vertex").alias("cluster"), "doc_id", "start", "words", F.lit("line").alias("kind"))
-    spots = of_line.union(repeated_passages(docs)).distinct()
-    spots = materialise(spots, "substring-spots")
+    again = of_line.groupBy("cluster").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("cluster")
+    spots = of_line.join(again, "cluster", "left_semi").union(repeated_passages(docs))
+    spots = materialise((in_long_stretches(spots, least) if least > 1 else spots).distinct(), "substring-spots")
     place = F.struct("doc_id", "start")
     many = spots.groupBy("cluster", "kind").agg(F.min(place).alias("first"), F.max("doc_id").alias("last")).where("first.doc_id < last").select("cluster", "kind", "first")
     return spots.join(many, ["cluster", "kind"]).select("doc_id", "start", "words", "cluster", "kind", (place > F.col("first")).alias("removed"))
 
 
-def document_removals(spans: DataFrame) -> DataFrame:
-    """Per document: its smallest cluster id, its merged repeated spans (word ordinals) and which of them go."""
+def document_removals(spans: DataFrame, least: int = 1) -> DataFrame:
+    """Per document: its smallest cluster id, its merged repeated spans of ``least`` words (word ordinals) and which of them go."""
     w = W.partitionBy("doc_id", "removed").orderBy("start", "end").rowsBetween(W.unboundedPreceding, -1)
     s = spans.select("doc_id", "removed", "start", (F.col("start") + F.col("words")).alias("end"), "cluster").distinct()
     s = s.withColumn("new", F.when(F.col("start") <= F.max("end").over(w), 0).otherwise(1))
     s = s.withColumn("no", F.sum("new").over(W.partitionBy("doc_id", "removed").orderBy("start", "end").rowsBetween(W.unboundedPreceding, 0)))
     merged = s.groupBy("doc_id", "removed", "no").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("cluster").alias("cluster"))
-    return merged.groupBy("doc_id").agg(
+    return merged.where(F.col("end") - F.col("start") >= least).groupBy("doc_id").agg(
         F.min("cluster").alias("cluster"), F.sort_array(F.collect_list(F.struct("start", "end", "removed"))).alias("spans"),
         F.coalesce(F.sum(F.when(F.col("removed"), F.col("end") - F.col("start"))), F.lit(0)).cast("long").alias("removed_words"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents that hold a passage which repeats in another one."""
-    got = document_removals(repeated_spans(read(spark, sf_dir, "documents")))
+    """The documents that hold a passage of at least ``LEAST`` words which repeats in another one."""
+    got = document_removals(repeated_spans(read(spark, sf_dir, "documents"), LEAST), LEAST)
     text = F.array_join(F.transform("spans", lambda x: F.concat_ws(":", x["start"], x["end"], x["removed"].cast("int"))), ",")
     return got.select("doc_id", "cluster", "removed_words", text.alias("spans"))

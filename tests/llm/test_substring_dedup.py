@@ -75,3 +75,16 @@ def test_near_copies_of_a_short_line(spark):
     lines = [" ".join(words), " ".join([*words[:-1], "other"])]
     got = run(spark, [(i, f"{prose(20 + i, 40)}\n{x}\n{prose(30 + i, 40)}") for i, x in enumerate(lines)])
     assert got[0].removed_words == 0 and got[1].removed_words == 19
+
+
+def test_short_chance_repeats_stay_where_a_least_length_is_asked(spark):
+    rows = []
+    for i in range(12):
+        short = prose(1, 33) if i % 3 == 0 else prose(500 + i, 33)
+        long = prose(2, 51) if i % 2 == 0 else prose(600 + i, 51)
+        rows.append((i, f"{prose(700 + i, 40)} {short} {prose(800 + i, 40)}\n{long}\n{prose(900 + i, 30)}"))
+    df = spark.createDataFrame([(*r, 1, "x", 2) for r in rows], SCHEMA)
+    got = {r.doc_id: r for r in s.document_removals(s.repeated_spans(df, 50), 50).collect()}
+    assert set(got) == {0, 2, 4, 6, 8, 10}
+    assert all([(x.start, x.end) for x in r.spans] == [(113, 164)] and r.removed_words == (51 if d else 0) for d, r in got.items())
+    assert set(run(spark, rows)) == {0, 2, 3, 4, 6, 8, 9, 10}
