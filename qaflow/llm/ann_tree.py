@@ -7,11 +7,14 @@ sample reaches the driver; the tree is smaller than the sample and is broadcast.
 *Traversal.* A query holds a priority queue of nodes, nearest centre first; popping an inner node pushes its
 children, popping a leaf visits it. How many leaves are visited is calibrated: up to ``CALIBRATION`` queries
 are compared with all vectors in double precision, and visits widen leaf by leaf until the share of their
-true neighbours that stand in a visited leaf reaches ``TARGET``.
+true neighbours that stand in a visited leaf reaches ``TARGET``. A query whose leaves hold fewer than ``k + 1``
+entries goes on until they do, or no leaf is left. The recall reached in calibration is a column of the result.
 
 *Search.* Equal vectors are one entry with its ``k + 1`` smallest ids (no more can be among ``k`` results),
-so a vector that a third of all rows hold is scored once. Leaves and the queries that visit them are cut into
-blocks; a task scores one block of each at a time and keeps the best ``k + 1`` a query.
+so a vector that a third of all rows hold is scored once. Leaves travel in groups of ``GROUP`` that follow each
+other in the tree. A query sends one row to each group in which it visits a leaf, with a bit for each leaf
+that it visits. Groups and their queries are cut into blocks; a task scores one block of each at a time, leaves
+out the entries of leaves that a query does not visit, and keeps the best ``k + 1`` a query.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components take no part, nor do
 those of another length than the commonest (the longer of two as common), nor rows without an id. Of rows
@@ -38,6 +41,7 @@ CALIBRATION = 256
 TARGET = 0.97
 BLOCK = 4096
 QUERY_BLOCK = 512
+GROUP = 63  # leaves that one row's bits can name
 
 
 class Tree:
@@ -59,20 +63,37 @@ class Tree:
             todo = todo[self.count[at[todo]] > 0]
         return at
 
-    def visits(self, unit: np.ndarray, most: int | None = None) -> list[int]:
-        """Leaves in best-bin-first order, at most ``most``."""
+    def visits(self, unit: np.ndarray, most: int | None = None, held: np.ndarray | None = None, least: int = 0) -> list[int]:
+        """Leaves in best-bin-first order: ``most`` of them, or more until they hold ``least`` entries (``held`` of each)."""
         near = self.centres @ unit
-        queue, out = [(0.0, 0)], []
-        while queue and (most is None or len(out) < most):
+        queue, out, entries = [(0.0, 0)], [], 0
+        while queue and (most is None or len(out) < most or entries < least):
             _, node = heapq.heappop(queue)
             lo, n = int(self.first[node]), int(self.count[node])
             if not n:
                 out.append(node)
+                entries += int(held[node]) if held is not None else 0
             for child in range(lo, lo + n):
                 heapq.heappush(queue, (-float(near[child]), child))
         return out
 
 
+    def groups(self, most: int = GROUP) -> tuple[np.ndarray, np.ndarray]:
+        """Of every leaf its group and its place there (-1 for inner nodes): leaves in depth-first order, so that near ones
+        are together, ``most`` a group."""
+        group, place = np.full(len(self.count), -1), np.full(len(self.count), -1)
+        stack, seen = [0], 0
+        while stack:
+            node = stack.pop()
+            lo, n = int(self.first[node]), int(self.count[node])
+            if n:
+                stack += range(lo, lo + n)
+            else:
+                group[node], place[node] = divmod(seen, most)
+                seen += 1
+        return group, place
+
+
 def _kmeans(units: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) -> tuple[np.ndarray, np.ndarray]:
     centres = units[rng.choice(len(units), k, replace=False)]
     for _ in range(rounds):
@@ -114,14 +135,18 @@ def _unit(m: np.ndarray) -> np.ndarray:
     return m / np.linalg.norm(m, axis=1, keepdims=True)
 
 
-def best(q: np.ndarray, c: np.ndarray, least: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def best(q: np.ndarray, c: np.ndarray, least: np.ndarray, k: int, allowed: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The ``k`` candidates of largest cosine for every query (ties: smaller ``least``), as query index,
     candidate index, score. A product of matrices finds them; scores are summed pair by pair, so they don't
-    depend on the block."""
+    depend on the block. ``allowed`` says which candidates a query may take."""
     near = _unit(q) @ _unit(c).T
+    if allowed is not None:
+        near[~allowed] = -np.inf
     k = min(k, len(c))
     bound = np.partition(near, len(c) - k, axis=1)[:, len(c) - k] - 1e-9
-    i, j = np.nonzero(near >= bound[:, None])
+    i, j = np.nonzero((near >= bound[:, None]) & (near > -np.inf))
+    if not len(i):
+        return i, j, np.zeros(0)
     score = np.concatenate([(q[i[s:s + 65536]] * c[j[s:s + 65536]]).sum(1) for s in range(0, len(i), 65536)])
     score /= np.linalg.norm(q, axis=1)[i] * np.linalg.norm(c, axis=1)[j]
     order = np.lexsort((least[j], -score, i))
@@ -204,41 +229,62 @@ def build_index(distinct: DataFrame, tree: Tree) -> DataFrame:
 
 
 def search(indexed: DataFrame, queries: DataFrame, tree: Tree, visits: int, k: int) -> DataFrame:
-    """``q, ids, score``: the best ``k`` vectors that each of ``queries(rep, v)`` meets in its ``visits`` leaves."""
-    sent = indexed.sparkSession.sparkContext.broadcast(tree)
+    """``q, ids, score``: the best ``k`` vectors that each of ``queries(rep, v)`` meets in its ``visits`` leaves, or in more
+    until they hold ``k``."""
+    spark = indexed.sparkSession
+    group, place = tree.groups()
+    held = np.zeros(len(tree.count), np.int64)
+    for r in indexed.groupBy("leaf").count().collect():  # one row a leaf: fewer than the bounded sample has rows
+        held[r["leaf"]] = r["count"]
+    sent = spark.sparkContext.broadcast((tree, group, place, held))
 
     def walk(batches):
+        tree, group, place, held = sent.value
         for batch in batches:
             rep, units = np.array(batch.column(0)), _unit(_matrix(batch.column(1)))
             for lo in range(0, len(rep), 256):
-                went = [sent.value.visits(u, visits) for u in units[lo:lo + 256]]
-                of = np.repeat(np.arange(lo, lo + len(went)), [len(w) for w in went])
-                yield pa.RecordBatch.from_arrays([pa.array(rep[of]), batch.column(1).take(pa.array(of)), pa.array(np.concatenate(went).astype(np.int64))], names=["q", "v", "leaf"])
-
-    asked = materialise(queries.select("rep", "v").mapInArrow(walk, "q long, v array<double>, leaf long"), "ann-visits")
+                of, where, bits = [], [], []
+                for i, unit in enumerate(units[lo:lo + 256], lo):
+                    went = np.array(tree.visits(unit, visits, held, k), np.int64)
+                    went = went[held[went] > 0]
+                    own = group[went]
+                    found = np.unique(own)
+                    of.append(np.full(len(found), i))
+                    where.append(found)
+                    bits.append([int(np.bitwise_or.reduce(np.int64(1) << place[went[own == g]])) for g in found])
+                of = np.concatenate(of)
+                yield pa.RecordBatch.from_arrays([pa.array(rep[of]), batch.column(1).take(pa.array(of)), pa.array(np.concatenate(where).astype(np.int64)), pa.array(np.concatenate(bits).astype(np.int64))],
+                                                 names=["q", "v", "grp", "bits"])
+
+    asked = materialise(queries.select("rep", "v").mapInArrow(walk, "q long, v array<double>, grp long, bits long"), "ann-visits")
+    leaves = np.flatnonzero(tree.count == 0)
+    places = F.broadcast(spark.createDataFrame([(int(x), int(group[x]), int(place[x])) for x in leaves], "leaf long, grp long, place int"))
+    entries = indexed.join(places, "leaf").select("rep", "ids", "v", "grp", "place")
     cut = lambda n, size: F.greatest(F.ceil(n / size), F.lit(1)).cast("int")
-    # one row a leaf, and the tree has fewer nodes than its bounded sample has rows
-    sizes = indexed.groupBy("leaf").agg(cut(F.count("*"), BLOCK).alias("cs")).join(asked.groupBy("leaf").agg(cut(F.count("*"), QUERY_BLOCK).alias("qs")), "leaf")
-    sizes = F.broadcast(materialise(sizes, "ann-leaves"))
+    # one row a group, and the tree has fewer nodes than its bounded sample has rows
+    sizes = entries.groupBy("grp").agg(cut(F.count("*"), BLOCK).alias("cs")).join(asked.groupBy("grp").agg(cut(F.count("*"), QUERY_BLOCK).alias("qs")), "grp")
+    sizes = F.broadcast(materialise(sizes, "ann-groups"))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     block = lambda key, n: F.pmod(F.xxhash64(key), F.col(n)).cast("int")
-    left = asked.join(sizes, "leaf").select("q", "v", "leaf", block("q", "qs").alias("qb"), every("cs").alias("cb"))
-    right = indexed.join(sizes, "leaf").select("rep", "ids", "v", "leaf", every("qs").alias("qb"), block("rep", "cs").alias("cb"))
+    left = asked.join(sizes, "grp").select("q", "v", "bits", "grp", block("q", "qs").alias("qb"), every("cs").alias("cb"))
+    right = entries.join(sizes, "grp").select("rep", "ids", "v", "place", "grp", every("qs").alias("qb"), block("rep", "cs").alias("cb"))
 
     def tile(a: pa.Table, b: pa.Table) -> pa.Table:
         if not (a.num_rows and b.num_rows):
             return pa.table({"q": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(pa.int64())), "score": pa.array([], pa.float64())})
-        i, j, s = best(_matrix(a["v"]), _matrix(b["v"]), np.array(b["rep"]), k)
+        allowed = (np.array(a["bits"])[:, None] >> np.array(b["place"])[None, :].astype(np.int64) & 1).astype(bool)
+        i, j, s = best(_matrix(a["v"]), _matrix(b["v"]), np.array(b["rep"]), k, allowed)
         return pa.table({"q": np.array(a["q"])[i], "ids": b["ids"].combine_chunks().take(pa.array(j)), "score": s})
 
-    key = ["leaf", "qb", "cb"]
+    key = ["grp", "qb", "cb"]
     hits = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(tile, "q long, ids array<long>, score double")
-    place = W.partitionBy("q").orderBy(F.desc("score"), F.col("ids")[0])
-    return hits.withColumn("no", F.row_number().over(place)).where(F.col("no") <= k).drop("no")
+    nearest_first = W.partitionBy("q").orderBy(F.desc("score"), F.col("ids")[0])
+    return hits.withColumn("no", F.row_number().over(nearest_first)).where(F.col("no") <= k).drop("no")
 
 
 def nearest(rows: DataFrame, asks: Column, k: int = 5, key: str = "vec_id", vector: str = "embedding", target: float = TARGET) -> DataFrame:
-    """``query_id, rank, vec_id, score``: for every row whose id (column ``id``) fulfils ``asks``, the ``k`` nearest found."""
+    """``query_id, rank, vec_id, score``: for every row whose id (column ``id``) fulfils ``asks``, the ``k`` nearest found; and
+    ``calibrated_recall``, the share of true neighbours found in calibration."""
     rows = valid_vectors(rows, key, vector)
     distinct = materialise(distinct_vectors(rows, k), "ann-distinct")
     n = distinct.count()
@@ -250,11 +296,11 @@ def nearest(rows: DataFrame, asks: Column, k: int = 5, key: str = "vec_id", vect
     indexed = build_index(distinct, tree)
     asked = materialise(rows.where(asks).join(distinct.select("rep", "v"), "v").select(F.col("id").alias("query_id"), "rep"), "ann-queries")
     queries = distinct.join(asked.select("rep").distinct(), "rep", "left_semi").select("rep", "v")
-    visits, _ = calibrate(indexed, queries, tree, k, target)
+    visits, recall = calibrate(indexed, queries, tree, k, target)
     hits = search(indexed, queries, tree, visits, k + 1)
     pairs = asked.join(hits, asked["rep"] == hits["q"]).select("query_id", F.explode("ids").alias("vec_id"), "score").where("query_id <> vec_id")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return pairs.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return pairs.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score", F.lit(recall).alias("calibrated_recall"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

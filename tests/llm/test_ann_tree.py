@@ -64,3 +64,23 @@ def test_visits_reach_every_leaf_once():
     assert sorted(order) == np.flatnonzero(tree.count == 0).tolist()
     assert set(tree.leaf_of(units).tolist()) <= set(order)
     assert tree.visits(units[0], 3) == order[:3]
+
+
+def test_groups_hold_every_leaf_once():
+    units = a._unit(np.random.default_rng(3).normal(size=(900, 6)))
+    tree = a.fit_tree(units, leaf=4)
+    for most in (1, 7, 63):
+        group, place = tree.groups(most)
+        leaves = np.flatnonzero(tree.count == 0)
+        assert (place[leaves] >= 0).all() and place.max() < most and (place[tree.count > 0] == -1).all()
+        assert len({(group[x], place[x]) for x in leaves}) == len(leaves)
+
+
+def test_an_outlier_in_a_leaf_of_its_own_finds_all_its_neighbours(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    X = rng.normal(size=(80, 4)) * 0.01 + np.array([1.0, 0, 0, 0])
+    X[0] = [-1.0, 0.1, 0, 0]
+    df = spark.createDataFrame([(i, x.tolist(), "", 0, 0) for i, x in enumerate(X)], SCHEMA)
+    monkeypatch.setattr(a, "calibrate", lambda *args: (1, 0.5))
+    have = got(a.nearest(df, F.col("id") % 20 == 0, 5))
+    assert [x[:2] for x in have] == [(q, r) for q in (0, 20, 40, 60) for r in range(1, 6)]
