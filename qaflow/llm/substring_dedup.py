@@ -239,9 +239,9 @@ def repeated(docs: DataFrame, spots: Callable[..., tuple[np.ndarray, np.ndarray]
                 e["doc"] = ids[lo + row]
                 held.append(e)
                 n += len(e)
-            if n >= FLUSH:
-                yield from flush(held)
-                held, n = [], 0
+                if n >= FLUSH:
+                    yield from flush(held)
+                    held, n = [], 0
         if n:
             yield from flush(held)
 
