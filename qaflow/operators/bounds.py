@@ -6,15 +6,15 @@ vector of a block can score more against a query ``q`` than
 
     min(|q| * largest norm,  q . centre + |q| * radius)
 
-A query visits blocks in falling order of that bound, a few in the first round and up to four times
-as many in every further one.  After a round its k-th best score is known; blocks whose bound is below
-it can hold no better row and are never read for that query, so the result is exact.
-
-Data movement: the corpus is sorted and written once; summaries are broadcast, and blocks are made
-large enough that all summaries fit ``SUMMARY_BYTES`` however large the corpus is.  A round ships
-one row per (query, block still open) and scores it with the grouped kernel of
-:mod:`qaflow.operators.vectors`, which splits a block that many queries want.  Rounds are at most
-the logarithm of the number of blocks.
+A block whose bound is below the k-th best score that a query has so far can hold no better row and is
+not scored for it, so the result is exact.
+
+Data movement: the corpus is sorted and written once, its blocks dealt to slices of at most
+``BLOCK_ROWS`` rows and the queries to parts of as many.  Every part of the queries meets every slice in one
+task, which holds both, keeps a running top-k a query and scores a query against a block only if
+the block's bound reaches that query's k-th best.  So vectors are shipped once a part or slice of the other
+side (rows of a side x rows of the other / ``BLOCK_ROWS``), never once a pair, and a task's memory does not
+grow with the tables.
 """
 
 from __future__ import annotations
@@ -30,7 +30,6 @@ from qaflow.session import scratch_path
 
 BLOCK_ROWS = 4096
 SUMMARY_BYTES = 64 << 20
-GROWTH = 4
 MARGIN = 1e-6  # scores rank on six digits, so a block that may tie with the k-th best is still read
 
 _BLOCKS = "c_id long, c_vec array<double>, block long, rows long, max_norm double, centre array<double>, radius double"
@@ -101,13 +100,6 @@ def norm_blocks(corpus: DataFrame, *, block_rows: int = BLOCK_ROWS, summary_byte
     return _written(ranged.mapInPandas(cut, _BLOCKS), "bound-blocks")
 
 
-def _summaries(blocks: DataFrame):
-    s = blocks.where("rows is not null").select("block", "rows", "max_norm", "centre", "radius").toPandas()
-    s = s.sort_values("block")
-    return (s["block"].to_numpy(np.int64), s["rows"].to_numpy(np.int64), s["max_norm"].to_numpy(np.float64),
-            vectors._matrix(s["centre"]), s["radius"].to_numpy(np.float64))
-
-
 def upper_bounds(Q: np.ndarray, max_norm: np.ndarray, centre: np.ndarray, radius: np.ndarray) -> np.ndarray:
     """What no vector of a block can exceed, for every query and block."""
     size = np.linalg.norm(Q, axis=1)[:, None]
@@ -117,55 +109,96 @@ def upper_bounds(Q: np.ndarray, max_norm: np.ndarray, centre: np.ndarray, radius
     return bound + 1e-9 * np.abs(np.where(np.isfinite(bound), bound, 0.0))
 
 
-def _plan(sent, k: int):
-    """For every query row ``q_id, q_vec, tau, seen``: the blocks to visit next, in falling order of bound."""
-    def plan(batches):
-        block, rows, max_norm, centre, radius = sent.value
-        step = max(1, (1 << 21) // max(1, len(block)))
-        for b in batches:
-            b = b[b["q_vec"].notna()]
-            for lo in range(0, len(b) if len(block) else 0, step):
-                part = b.iloc[lo:lo + step]
-                bound = upper_bounds(vectors._matrix(part["q_vec"], centre.shape[1]), max_norm, centre, radius)
-                order = np.argsort(-bound, axis=1, kind="stable")
-                place = np.empty_like(order)
-                np.put_along_axis(place, order, np.broadcast_to(np.arange(len(block)), order.shape), axis=1)
-                seen = part["seen"].to_numpy(np.int64)[:, None]
-                enough = (np.cumsum(rows[order], axis=1) < k).sum(axis=1)[:, None] + 1
-                until = np.where(seen == 0, enough, seen * GROWTH)
-                q, c = np.nonzero((place >= seen) & (place < until) & (bound + MARGIN >= part["tau"].to_numpy(np.float64)[:, None]))
-                yield pd.DataFrame({"q_id": part["q_id"].to_numpy(np.int64)[q], "q_vec": part["q_vec"].to_numpy()[q],
-                                    "g": block[c], "rows": rows[c], "until": until[q, 0]})
-    return plan
-
-
-def bounded_candidates(queries: DataFrame, blocks: DataFrame, k: int, **kw) -> tuple[DataFrame, int]:
+def _score_slice(Q: np.ndarray, X: np.ndarray, cids: np.ndarray, starts: np.ndarray, summary, k: int):
+    """The ``k`` best rows of a slice of whole blocks for every query: ``(scores, ids, pairs scored)``.
+
+    Every query first meets the blocks of its highest bounds until it has ``k`` rows; then all blocks
+    come in falling order of their mean bound, some at a time, and meet only the queries they may still help.
+    """
+    best_s, best_id = np.full((len(Q), k), -np.inf), np.full((len(Q), k), vectors._SENTINEL, dtype=np.int64)
+    ends, n_blocks, scored = np.append(starts[1:], len(X)), len(starts), 0
+    size = ends - starts
+    together = -(-n_blocks // 64)
+    step = max(1, min(vectors.SCORE_CELLS // n_blocks, 8192))
+    for lo in range(0, len(Q), step):
+        Qc, s, i = Q[lo:lo + step], best_s[lo:lo + step], best_id[lo:lo + step]
+        bound = upper_bounds(Qc, *summary)
+        first = np.zeros(bound.shape, dtype=bool)
+        most = min(n_blocks, int((np.cumsum(np.sort(size)) < k).sum()) + 1)
+        order = np.argsort(-bound, axis=1, kind="stable")[:, :most]
+        enough = np.cumsum(size[order], axis=1) - size[order] < k
+        np.put_along_axis(first, order, enough, axis=1)
+
+        def score(blocks, q):
+            at = np.concatenate([np.arange(starts[b], ends[b]) for b in blocks])
+            at = at[np.argsort(cids[at], kind="stable")]
+            vectors._score_into_state(Qc, X[at], cids[at], q, s, i, k, False)
+            return len(q) * len(at)
+
+        for b in np.flatnonzero(first.any(axis=0)):
+            scored += score([b], np.flatnonzero(first[:, b]))
+        falling = np.argsort(-np.where(np.isfinite(bound), bound, np.finfo(np.float64).max / len(Qc)).mean(axis=0), kind="stable")
+        for at in range(0, n_blocks, together):
+            blocks = falling[at:at + together]
+            reach = (bound[:, blocks] + MARGIN >= np.round(s[:, -1:], 6)) & ~first[:, blocks]
+            # queries that met some of these blocks before meet the others one by one
+            before = first[:, blocks].any(axis=1)
+            q = np.flatnonzero(reach.any(axis=1) & ~before)
+            if len(q):
+                scored += score(blocks, q)
+            for j, b in enumerate(blocks):
+                q = np.flatnonzero(reach[:, j] & before)
+                if len(q):
+                    scored += score([b], q)
+    return best_s, best_id, scored
+
+
+def _pieces(n_q: int, n_c: int, query_block: int, corpus_block: int, parallelism: int) -> tuple[int, int]:
+    """Into how many parts to cut the queries and the corpus: parts within the blocks, and some for every core."""
+    qs, cs = max(1, -(-n_q // query_block)), max(1, -(-n_c // corpus_block))
+    while qs * cs < 2 * parallelism and max(n_q // qs, n_c // cs) > 4096:
+        if n_q // qs >= n_c // cs:
+            qs += 1
+        else:
+            cs += 1
+    return qs, cs
+
+
+def bounded_candidates(queries: DataFrame, blocks: DataFrame, k: int, *, query_block: int = vectors.BLOCK_ROWS,
+                       corpus_block: int = vectors.BLOCK_ROWS) -> tuple[DataFrame, int]:
     """``(q_id, c_id, score candidates, pairs scored)``: for every query at least its k best rows of ``blocks``."""
     spark = queries.sparkSession
-    sent = spark.sparkContext.broadcast(_summaries(blocks))
-    ids = _written(queries.select(F.col("q_id").cast("long"), F.col("q_vec").cast("array<double>")), "bound-queries")
-    ids = ids.dropDuplicates(["q_id"])
-    state = ids.select("q_id", "q_vec", F.lit(float("-inf")).alias("tau"), F.lit(0).cast("long").alias("seen"))
-    rows = blocks.select("c_id", "c_vec", F.col("block").alias("g"))
-    best, scored = None, 0
-    while True:
-        pairs = _written(state.mapInPandas(_plan(sent, k), "q_id long, q_vec array<double>, g long, rows long, until long"), "bound-pairs")
-        more = pairs.agg(F.sum("rows")).first()[0]
-        if not more:
-            break
-        scored += more
-        open_blocks = pairs.select("g").distinct()
-        hits = vectors.grouped_topk(pairs.select("q_id", "q_vec", "g"), rows.join(open_blocks, "g", "left_semi"), k, **kw)
-        hits = hits.select("q_id", "c_id", "score")
-        best = _written(vectors.topk_per_query(hits if best is None else best.union(hits), k).select("q_id", "c_id", "score"), "bound-best")
-        tau = best.groupBy("q_id").agg(F.when(F.count("*") >= k, F.min("score")).otherwise(F.lit(float("-inf"))).alias("tau"))
-        # a query that opened no block in this round is finished: the next in order has a lower bound
-        state = (pairs.groupBy("q_id").agg(F.max("until").alias("seen"), F.first("q_vec").alias("q_vec")).join(tau, "q_id", "left")
-                 .select("q_id", "q_vec", F.coalesce("tau", F.lit(float("-inf"))).alias("tau"), "seen"))
-    sent.unpersist()
-    if best is None:
-        best = spark.createDataFrame([], "q_id long, c_id long, score double")
-    return best, scored
+    ids = _written(queries.select(F.col("q_id").cast("long"), F.col("q_vec").cast("array<double>")).dropDuplicates(["q_id"]), "bound-queries")
+    qs, cs = _pieces(ids.count(), blocks.count(), query_block, corpus_block, spark.sparkContext.defaultParallelism)
+    q = ids.withColumn("qsub", F.pmod(F.xxhash64("q_id"), F.lit(qs)).cast("int")) \
+        .withColumn("csub", F.explode(F.sequence(F.lit(0), F.lit(cs - 1))))
+    c = blocks.withColumn("csub", F.pmod(F.xxhash64("block"), F.lit(cs)).cast("int")) \
+        .withColumn("qsub", F.explode(F.sequence(F.lit(0), F.lit(qs - 1))))
+
+    def score(cpdf: pd.DataFrame, qpdf: pd.DataFrame) -> pd.DataFrame:
+        qpdf = qpdf[qpdf["q_vec"].notna()]
+        if not len(cpdf) or not len(qpdf):
+            return vectors.no_hits().assign(pairs=0)
+        cpdf = cpdf.sort_values(["block", "c_id"], kind="stable")
+        X, cids = vectors._matrix(cpdf["c_vec"]), cpdf["c_id"].to_numpy(dtype=np.int64)
+        starts = np.unique(cpdf["block"].to_numpy(), return_index=True)[1]
+        s = cpdf[cpdf["rows"].notna()]  # one row a block, in order of blocks
+        summary = s["max_norm"].to_numpy(np.float64), vectors._matrix(s["centre"]), s["radius"].to_numpy(np.float64)
+        qids, Q = qpdf["q_id"].to_numpy(dtype=np.int64), vectors._matrix(qpdf["q_vec"])
+        best_s, best_id, scored = _score_slice(Q, X, cids, starts, summary, k)
+        out = vectors._emit(qids, best_s, best_id)
+        none = pd.array([None], dtype="Int64")
+        count = pd.DataFrame({"q_id": none, "c_id": none, "pairs": pd.array([scored], dtype="Int64")})  # one row a task
+        return pd.concat([out.astype({"q_id": "Int64", "c_id": "Int64"}), count])
+
+    keys = ["qsub", "csub"]
+    n = qs * cs  # given, so that no two of these heavy pieces are put together for being small
+    found = (c.select(*keys, "c_id", "c_vec", "block", "rows", "max_norm", "centre", "radius").repartition(n, *keys).groupBy(*keys)
+             .cogroup(q.select(*keys, "q_id", "q_vec").repartition(n, *keys).groupBy(*keys))
+             .applyInPandas(score, "q_id long, c_id long, score double, pairs long"))
+    found = _written(found, "bound-found")
+    scored = found.agg(F.sum("pairs")).first()[0] or 0
+    return found.where("pairs is null").select("q_id", "c_id", "score"), scored
 
 
 def bounded_topk(queries: DataFrame, corpus: DataFrame, k: int, *, q_id: str, q_vec: str, c_id: str, c_vec: str,

@@ -15,7 +15,7 @@ product:
   emits at most k rows per query; a final ``row_number`` window (Catalyst
   turns it into ``WindowGroupLimit``) keeps the global top-k.
 * **block path** -- beyond that size, queries and corpus are cut into
-  blocks per group (``g``: one group for exact search, a cell for IVF, a
+  blocks of at most ``BLOCK_ROWS`` per group (``g``: one group for exact search, a cell for IVF, a
   band bucket for LSH).  Group sizes come from two small aggregates; a hot
   group is split into ``ceil(n / block)`` sub-blocks on both sides, so a
   cell holding a third of the corpus becomes many bounded tasks instead of
@@ -36,7 +36,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DEFAULT_BROADCAST_MAX_BYTES = 64 << 20
+DEFAULT_BROADCAST_MAX_BYTES = 8 << 20  # every Python worker holds a copy of it
+BLOCK_ROWS = 1 << 16  # rows of a side that a block join holds at once, at most
+SCORE_CELLS = 1 << 21  # scores a kernel call holds at once (16 MB)
+SCORE_MARGIN = 1e-6  # scores rank on six digits
 _SENTINEL = np.iinfo(np.int64).max
 
 
@@ -139,28 +142,43 @@ def _merge_state(best_s, best_id, new_s, new_id, k, dedupe=False):
     return s[:, :k], i[:, :k]
 
 
-def _score_into_state(Q, X, cids, state_rows, best_s, best_id, k, dedupe, q_chunk=512):
-    """Score X (sorted by id) against the queries ``state_rows``; update the state."""
-    for start in range(0, len(state_rows), q_chunk):
-        rows = state_rows[start:start + q_chunk]
-        S = Q[rows] @ X.T
-        r, c = _block_topk(S, cids, k)
-        kk = min(k, X.shape[0])
-        new_s = np.full((len(rows), kk), -np.inf)
-        new_i = np.full((len(rows), kk), _SENTINEL, dtype=np.int64)
-        if len(r):
+def _score_into_state(Q, X, cids, state_rows, best_s, best_id, k, dedupe):
+    """Score X (sorted by id) against the queries ``state_rows``; update the state.
+
+    At most ``SCORE_CELLS`` scores are held at once.  Once a query has k rows, only scores that
+    reach its k-th best (to six digits) are looked at again.
+    """
+    c_step = max(1, min(X.shape[0], 4096))
+    q_step = max(1, SCORE_CELLS // c_step)
+    for start in range(0, len(state_rows), q_step):
+        rows = state_rows[start:start + q_step]
+        Qr = Q[rows]
+        for lo in range(0, X.shape[0], c_step):
+            S, ids = Qr @ X[lo:lo + c_step].T, cids[lo:lo + c_step]
+            tau = best_s[rows, k - 1]
+            if np.isneginf(tau).any():
+                r, c = _block_topk(S, ids, k)
+            else:
+                r, c = np.nonzero(S >= (np.round(tau, 6) - SCORE_MARGIN)[:, None])
+            if not len(r):
+                continue
+            hit, at = np.unique(r, return_inverse=True)
             # cells come row-major and in id order; position within the row
             pos = np.arange(len(r)) - np.searchsorted(r, r, side="left")
-            new_s[r, pos] = S[r, c]
-            new_i[r, pos] = cids[c]
-        bs, bi = _merge_state(best_s[rows], best_id[rows], new_s, new_i, k, dedupe)
-        best_s[rows] = bs
-        best_id[rows] = bi
+            new_s = np.full((len(hit), pos.max() + 1), -np.inf)
+            new_i = np.full(new_s.shape, _SENTINEL, dtype=np.int64)
+            new_s[at, pos], new_i[at, pos] = S[r, c], ids[c]
+            to = rows[hit]
+            best_s[to], best_id[to] = _merge_state(best_s[to], best_id[to], new_s, new_i, k, dedupe)
 
 
 _OUT_SCHEMA = "q_id long, c_id long, score double"
 
 
+def no_hits() -> pd.DataFrame:
+    return pd.DataFrame({"q_id": np.zeros(0, np.int64), "c_id": np.zeros(0, np.int64), "score": np.zeros(0)})
+
+
 def _emit(qids, best_s, best_id) -> pd.DataFrame:
     keep = np.isfinite(best_s) & (best_id != _SENTINEL)
     r, c = np.nonzero(keep)
@@ -175,7 +193,7 @@ def _emit(qids, best_s, best_id) -> pd.DataFrame:
 def grouped_topk(queries: DataFrame, corpus: DataFrame, k: int, *,
                  broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
                  broadcast_max_rows: int = 200_000,
-                 query_block: int = 4096, corpus_block: int = 20000,
+                 query_block: int = BLOCK_ROWS, corpus_block: int = BLOCK_ROWS,
                  dedupe: bool = False, force_blocks: bool = False, one_group: bool = False) -> DataFrame:
     """Top-k corpus rows per query among rows sharing a group.
 
@@ -204,8 +222,7 @@ def grouped_topk(queries: DataFrame, corpus: DataFrame, k: int, *,
         from qaflow.operators import bounds
 
         return bounds.bounded_topk(q, c, k, q_id="q_id", q_vec="q_vec", c_id="c_id", c_vec="c_vec", block_rows=min(corpus_block, bounds.BLOCK_ROWS),
-                                   query_block=query_block, corpus_block=corpus_block,
-                                   broadcast_max_rows=broadcast_max_rows, broadcast_max_bytes=broadcast_max_bytes)
+                                   query_block=query_block, corpus_block=corpus_block)
     else:
         cand = _block_topk_join(q, c, k, query_block, corpus_block, dedupe)
     if dedupe:
@@ -283,6 +300,8 @@ def block_plan(q: DataFrame, c: DataFrame, query_block: int, corpus_block: int)
 
 def _block_topk_join(q: DataFrame, c: DataFrame, k: int, query_block: int,
                      corpus_block: int, dedupe: bool) -> DataFrame:
+    # large tables fill the blocks; smaller ones are cut finer, some blocks for every core
+    query_block = min(query_block, max(BLOCK_ROWS // 4, q.count() // (4 * q.sparkSession.sparkContext.defaultParallelism)))
     # one row per group: bounded by the number of groups, not by the data
     sizes = block_plan(q, c, query_block, corpus_block)
     qx = (q.join(sizes, "g")
@@ -297,8 +316,7 @@ def _block_topk_join(q: DataFrame, c: DataFrame, k: int, query_block: int,
     def score_block(cpdf: pd.DataFrame, qpdf: pd.DataFrame) -> pd.DataFrame:
         cpdf, qpdf = cpdf[cpdf["c_vec"].notna()], qpdf[qpdf["q_vec"].notna()]
         if len(cpdf) == 0 or len(qpdf) == 0:
-            return pd.DataFrame({"q_id": [], "c_id": [], "score": []}).astype(
-                {"q_id": "int64", "c_id": "int64", "score": "float64"})
+            return no_hits()
         qpdf = qpdf.drop_duplicates("q_id")
         cpdf = cpdf.sort_values("c_id", kind="stable")
         qids = qpdf["q_id"].to_numpy(dtype=np.int64)
@@ -311,8 +329,10 @@ def _block_topk_join(q: DataFrame, c: DataFrame, k: int, query_block: int,
         return _emit(qids, best_s, best_id)
 
     keys = ["g", "qsub", "csub"]
-    return (cx.select(*keys, "c_id", "c_vec").groupBy(*keys)
-            .cogroup(qx.select(*keys, "q_id", "q_vec").groupBy(*keys))
+    # the number is given, so that no blocks are put into one task for having few bytes: their work is the product
+    n = int(q.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (cx.select(*keys, "c_id", "c_vec").repartition(n, *keys).groupBy(*keys)
+            .cogroup(qx.select(*keys, "q_id", "q_vec").repartition(n, *keys).groupBy(*keys))
             .applyInPandas(score_block, _OUT_SCHEMA))
 
 
@@ -405,7 +425,6 @@ CENTROID_BROADCAST_MAX_BYTES = 256 << 20
 
 
 CENTROID_MAX_ROWS = 1 << 20
-SCORE_CELLS = 1 << 22  # scores a kernel call holds at once (32 MB)
 
 
 def _centroid_block(centroids: DataFrame, max_bytes: int):

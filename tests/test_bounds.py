@@ -75,3 +75,29 @@ def test_bounds_hold():
     radius = np.linalg.norm(parts - centre[:, None], axis=2).max(axis=1)
     bound = bounds.upper_bounds(Q, np.linalg.norm(parts, axis=2).max(axis=1), centre, radius)
     assert (np.einsum("qd,bnd->qbn", Q, parts).max(axis=2) <= bound + 1e-12).all()
+
+
+def test_vectors_are_shipped_by_parts_not_by_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(400)], "vec_id long, embedding array<double>")
+    want, sizes, write = rows(vectors.exact_topk(df, df, 3, **KW)), [], bounds._written
+
+    def counted(out, name):
+        out = write(out, name)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(bounds, "_written", counted)
+    got = bounds.bounded_topk(df, df, 3, block_rows=4, query_block=150, corpus_block=100, **KW)
+    assert rows(got) == want
+    assert sum(sizes) < 3 * 400 + 4 * 3 * 400 + 100  # rows, blocks, queries; three hits a query and slice; a count a task
+
+
+def test_kernel_holds_few_scores_and_ranks_ties_by_id(monkeypatch):
+    rng = np.random.default_rng(5)
+    Q, X = rng.integers(-2, 3, (50, 3)).astype(float), rng.integers(-2, 3, (300, 3)).astype(float)
+    monkeypatch.setattr(vectors, "SCORE_CELLS", 1 << 10)
+    s, ids = np.full((50, 7), -np.inf), np.full((50, 7), vectors._SENTINEL)
+    for lo in (200, 0, 100):
+        vectors._score_into_state(Q, X[lo:lo + 100], np.arange(lo, lo + 100), np.arange(50), s, ids, 7, False)
+    assert (ids == np.lexsort((np.broadcast_to(np.arange(300), (50, 300)), -(Q @ X.T)), axis=1)[:, :7]).all()
