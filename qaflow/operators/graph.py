@@ -14,13 +14,15 @@ best unopened rows of every beam are opened: one join with the adjacency table g
 neighbours, rows already scored for the query drop out, one join with the vectors scores the rest.
 Rounds end when no beam holds an unopened row.
 
-Data movement: rows are joined by id, never crossed; nothing but counts reaches the driver.  A hub
+Data movement: pairs are made by joins on ids and scored tile by tile (:func:`scored`); nothing but counts reaches the driver.  A hub
 that many queries open at once is one key on the side that AQE splits.  Every table of a round is
 written to the shared folder, so a lost executor costs at most the running round.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -53,17 +55,39 @@ def _rows(df: DataFrame, key: str, vec: str) -> DataFrame:
     return _written(out.mapInPandas(kept, "id long, v array<double>").dropDuplicates(["id"]), "graph-rows")
 
 
-def scored(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
-    """``a, b, score``: the inner products of ``pairs(a, b)`` with ``left(id, v)`` and ``right(id, v)``."""
-    j = pairs.join(left.select(F.col("id").alias("a"), F.col("v").alias("va")), "a")
-    j = j.join(right.select(F.col("id").alias("b"), F.col("v").alias("vb")), "b").select("a", "b", "va", "vb")
-
-    def dot(batches):
-        for p in batches:
-            s = np.einsum("nd,nd->n", vectors._matrix(p["va"]), vectors._matrix(p["vb"])) if len(p) else np.zeros(0)
-            yield pd.DataFrame({"a": p["a"], "b": p["b"], "score": s})
+def scored(pairs: DataFrame, left: DataFrame, right: DataFrame, block: int = vectors.BLOCK_ROWS) -> DataFrame:
+    """``a, b, score``: the inner products of ``pairs(a, b)`` with ``left(id, v)`` and ``right(id, v)``.
 
-    return j.mapInPandas(dot, "a long, b long, score double")
+    Both sides are dealt to parts of at most about ``block`` rows.  Pairs travel as ids to the tile of their two parts,
+    a vector once to every tile of its part, so vectors are not copied once a pair.
+    """
+    spark = pairs.sparkSession
+    cores = math.isqrt(2 * spark.sparkContext.defaultParallelism) + 1
+    parts = lambda n: max(-(-n // block), min(cores, -(-n // 4096)), 1)
+    n_a, n_b = parts(left.count()), parts(right.count())
+    ta, tb = (lambda c: F.pmod(F.xxhash64(c), F.lit(n_a)).cast("int")), (lambda c: F.pmod(F.xxhash64(c), F.lit(n_b)).cast("int"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    sent = left.select("id", "v", F.lit(True).alias("first"), ta("id").alias("ta")).withColumn("tb", every(n_b)).unionByName(
+        right.select("id", "v", F.lit(False).alias("first"), tb("id").alias("tb")).withColumn("ta", every(n_a)))
+
+    def dot(p: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
+        sides = []
+        for first, ids in ((True, p["a"].to_numpy()), (False, p["b"].to_numpy())):
+            own = v[v["first"] == first].sort_values("id")
+            at = np.searchsorted(own["id"].to_numpy(), ids)
+            at = np.minimum(at, max(0, len(own) - 1))
+            sides.append((vectors._matrix(own["v"]), at, own["id"].to_numpy()[at] == ids if len(own) else np.zeros(len(ids), bool)))
+        (A, at, known), (B, bt, known_b) = sides
+        keep = np.flatnonzero(known & known_b)  # as a join: a pair needs both vectors
+        s = np.zeros(len(keep))
+        for lo in range(0, len(keep), 8192):
+            some = keep[lo:lo + 8192]
+            s[lo:lo + 8192] = np.einsum("nd,nd->n", A[at[some]], B[bt[some]])
+        return pd.DataFrame({"a": p["a"].to_numpy()[keep], "b": p["b"].to_numpy()[keep], "score": s})
+
+    keys = ["ta", "tb"]
+    return (pairs.select("a", "b", ta("a").alias("ta"), tb("b").alias("tb")).repartition(n_a * n_b, *keys).groupBy(*keys)
+            .cogroup(sent.repartition(n_a * n_b, *keys).groupBy(*keys)).applyInPandas(dot, "a long, b long, score double"))
 
 
 def best_of(edges: DataFrame, n: int, by: str = "a", other: str = "b") -> DataFrame:

@@ -38,3 +38,14 @@ def test_no_one_and_two_rows(spark):
         got = graph.graph_topk(two, rows, near, 5, **KW).collect()
         want = vectors.exact_topk(two, df, 5, c_id="vec_id", c_vec="embedding", **KW).collect()
         assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
+def test_pairs_meet_vectors_by_tiles(spark):
+    """Scores of pairs equal the products, whatever the parts; vectors travel once a part of the other side."""
+    rng = np.random.default_rng(2)
+    X = rng.normal(size=(60, 5))
+    v = spark.createDataFrame([(i * 7, X[i].tolist()) for i in range(60)], "id long, v array<double>")
+    pairs = spark.createDataFrame([(i * 7, j * 7) for i in range(60) for j in range(i)] + [(7, 999), (999, 7)], "a long, b long")
+    for block in (1 << 16, 13):
+        got = {(r["a"], r["b"]): r["score"] for r in graph.scored(pairs, v, v, block).collect()}
+        assert got == {(i * 7, j * 7): pytest.approx(float(X[i] @ X[j])) for i in range(60) for j in range(i)}
