@@ -188,22 +188,24 @@ def iterative_retrieve(questions: DataFrame, index: DataFrame, passages: DataFra
     """Answer from contexts, append the answer to the growing query, retrieve again.
 
     A fixed number of distributed rounds over the whole question frame; the
-    frame is checkpointed to the shared checkpoint folder each round so the
-    lineage does not grow.  The last retrieval feeds recall only.
+    answers are checkpointed to the shared checkpoint folder each round, so the
+    lineage does not grow and no round is run twice.  The last retrieval feeds recall only.
     Returns ``key, round, query, answer`` for every round plus the final
     ``contexts`` used for recall.  ``first_hits`` (``key, rank, text``) reuses
     a retrieval the caller already has for round 0.
     """
-    hits = first_hits if first_hits is not None else lookup_passages(
-        similarity_join(questions, index, k, key=key, encoder=encoder), passages, ("text",))
+    hits = first_hits
+    if hits is None:
+        hits = lookup_passages(similarity_join(questions, index, k, key=key, encoder=encoder), passages, ("text",))
+        hits = hits.checkpoint() if checkpoint else hits
     state = questions.select(key, F.col("question").alias("query")).join(contexts_by_rank(hits, key), key, "left")
     rounds = []
     for it in range(iterations):
         ans = state.withColumn("answer", generator(F.col("query"), F.col("contexts")))
+        if checkpoint:  # read by the history and by the next query: no retrieval is run again for either
+            ans = ans.select(key, "query", "answer").checkpoint()
         rounds.append(ans.select(key, F.lit(it).alias("round"), "query", "answer"))
         nxt = ans.select(key, prep.expand_query("query", "answer").alias("query"), "answer")
-        if checkpoint:
-            nxt = nxt.checkpoint()
         hits = lookup_passages(
             similarity_join(nxt.select(key, F.col("query").alias("question")), index, k,
                             key=key, encoder=encoder), passages, ("text",))

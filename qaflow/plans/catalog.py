@@ -37,6 +37,14 @@ def _stored_passages(spark, sf_dir):
     return store.store_passages(_passages(spark, sf_dir))
 
 
+def _encoded_passages(spark, sf_dir):
+    """Passages with their vectors, cut and encoded once for several retrievals: what they read is stored."""
+    from qaflow.operators import models
+    from qaflow.sources import store
+
+    return store.store_index(_passages(spark, sf_dir).withColumn("embedding", models.hash_encoder()(F.col("text"))))
+
+
 def _questions(spark, sf_dir):
     return retrieve.benchmark_questions(table(spark, sf_dir, "benchmark"))
 
@@ -523,22 +531,33 @@ def q_refresh_swap(spark, sf_dir):
     return _final_state(spark, base)
 
 
+FILE_CHARS = 64 << 20
+
+
+def _files_a_delivery(docs, deliveries, copies=1, file_chars=None):
+    """How many files a delivery has: one while it is small, else as many as hold about ``FILE_CHARS`` characters each."""
+    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    return max(1, -(-chars * copies // (deliveries * (file_chars or FILE_CHARS))))
+
+
 def q_refresh_stream(spark, sf_dir):
-    """E12 + W1: documents arrive as four range files; each micro-batch publishes a version."""
+    """E12 + W1: documents arrive by ranges in four deliveries, of a file each while they are small; each
+    micro-batch publishes a version."""
     from qaflow import scratch_path
     from qaflow.streaming import refresh
 
     docs = table(spark, sf_dir, "documents")
     inbox, base, ckpt = (scratch_path(spark, n) for n in ("inbox", "sindex", "sckpt"))
-    docs.repartitionByRange(4, "doc_id").write.mode("overwrite").parquet(inbox)
+    files = _files_a_delivery(docs, 4)
+    docs.repartitionByRange(4 * files, "doc_id").write.mode("overwrite").parquet(inbox)
     refresh.refresh_stream(spark, inbox, base, ckpt, docs.schema,
-                           max_files_per_trigger=1)
+                           max_files_per_trigger=files)
     return _final_state(spark, base)
 
 
 def q_stream_upserts(spark, sf_dir):
     """E12 / W1 by keyed state: every document arrives three times, its newest version first in half of the
-    cases, in four files; the accepted updates reduced to the latest a document."""
+    cases, in four deliveries (of a file each while they are small); the accepted updates reduced to the latest a document."""
     from qaflow import scratch_path
     from qaflow.streaming import upsert
 
@@ -689,8 +708,8 @@ def q_answers_base(spark, sf_dir):
 
 def q_iterate_2(spark, sf_dir):
     """Two rounds of answer -> expand query -> retrieve."""
-    P, Q = _passages(spark, sf_dir), _questions(spark, sf_dir)
-    hist, _state = retrieve.iterative_retrieve(Q, retrieve.index_passages(P), P, K, 2)
+    P, Q = _encoded_passages(spark, sf_dir), _questions(spark, sf_dir)
+    hist, _state = retrieve.iterative_retrieve(Q, P.select("passage_id", "embedding"), P, K, 2)
     return hist.select("item_id", F.col("round").cast("bigint"), "query", "answer")
 
 

@@ -35,6 +35,14 @@ def store_passages(passages: DataFrame, buckets: int | None = None) -> DataFrame
     return spark.table(write_bucketed(passages, scratch_path(spark, "passages-by-id"), buckets=buckets))
 
 
+def store_index(index: DataFrame) -> DataFrame:
+    """Passage vectors (and what else ``index`` has) written to the shared scratch folder: encoded once, read many times."""
+    spark = index.sparkSession
+    path = scratch_path(spark, "index")
+    index.write.parquet(path)
+    return spark.read.schema(index.schema).parquet(path)
+
+
 def drop_table(spark: SparkSession, table: str) -> None:
     """Forgets the table's name; the files at its path stay."""
     spark.sql(f"DROP TABLE IF EXISTS {table}")

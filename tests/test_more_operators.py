@@ -328,3 +328,34 @@ def test_throughput_reports_every_mode(spark):
 
     got = catalog.q_throughput_modes(spark, "/root/testdata/sf0.001").collect()
     assert [r["mode"] for r in got] == list(modes.MODES) and len({r["answered"] for r in got}) == 1
+
+
+def test_each_retrieval_encodes_once(spark):
+    """Two rounds over an index that is only described: as many encodings of the passages as retrievals that are read."""
+    seen = spark.sparkContext.accumulator(0)
+    plain = models.hash_encoder()
+
+    def counted(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    P = spark.createDataFrame([(i, f"word{i} word{i % 5} other") for i in range(40)], "passage_id long, text string")
+    Q = spark.createDataFrame([(1, "word3 other"), (2, "word7")], "item_id long, question string")
+    index = P.mapInPandas(counted, P.schema).select("passage_id", plain(F.col("text")).alias("embedding"))
+    hist, _ = retrieve.iterative_retrieve(Q, index, P, 3, 2)
+    assert len(hist.collect()) == 4
+    assert seen.value == 2 * 40
+
+
+def test_token_codes_equal_the_long_form(spark):
+    """Vectors of texts, with repeated tokens, none and null, beyond a slice: as the long form has them."""
+    texts = [None, "", "the", "One two  two, two!", "\u00c4rger \u6587\u5b57 x"] + [f"w{i % 37} w{i} w{i}" for i in range(1100)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, t string").coalesce(1)
+    got = {r["i"]: r["e"] for r in df.select("i", models.hash_encoder()(F.col("t")).alias("e")).collect()}
+    want = {i: [0.0] * 64 for i in range(len(texts))}
+    for r in models.hash_encode_long(df, ["i"], "t").collect():
+        want[r["i"]][r["bucket"]] = float(r["weight"])
+    for i, w in want.items():
+        n = sum(x * x for x in w) ** 0.5
+        assert got[i] == pytest.approx([x / n if n else 0.0 for x in w])
