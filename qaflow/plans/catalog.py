@@ -567,8 +567,9 @@ def q_stream_upserts(spark, sf_dir):
     sent = docs.select("doc_id", "source", F.posexplode(versions).alias("copy", "x")).select(
         "doc_id", "source", "x.text", "x.updated_at", F.pmod(F.col("doc_id") * 7 + F.col("copy") * 3, F.lit(4)).alias("file"))
     inbox, out, ckpt = (scratch_path(spark, n) for n in ("uinbox", "updates", "uckpt"))
-    sent.repartitionByRange(4, "file").drop("file").write.parquet(inbox)
-    upsert.upsert_stream(spark, inbox, out, ckpt, "doc_id long, source string, text string, updated_at timestamp", "updated_at", max_files_per_trigger=1)
+    files = _files_a_delivery(docs, 4, 3)
+    sent.repartitionByRange(4 * files, "file", *(["doc_id"] if files > 1 else [])).drop("file").write.parquet(inbox)
+    upsert.upsert_stream(spark, inbox, out, ckpt, "doc_id long, source string, text string, updated_at timestamp", "updated_at", max_files_per_trigger=files)
     now = upsert.current_documents(spark.read.parquet(out), "updated_at")
     return now.select("doc_id", "source", F.unix_seconds("updated_at").alias("at"), F.md5("text").alias("text_md5"))
 

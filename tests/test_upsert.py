@@ -72,3 +72,28 @@ def test_refresh_with_keyed_state_keeps_the_newest(spark, tmp_path):
     _, postings, _ = refresh.read_live(spark, base)
     assert sorted((r["doc_id"], r["text"]) for r in postings.collect()) == [(1, "new words here"), (2, "other"), (3, "third")]
     assert postings.agg(F.count("*")).first()[0] == 3
+
+
+@pytest.mark.parametrize("name, copies", [("stream_upserts", 3), ("refresh_stream", 1)])
+def test_large_deliveries_come_in_several_files(spark, monkeypatch, name, copies):
+    """The same rows in four deliveries, of as many files as their size asks for."""
+    from qaflow.plans import catalog
+    from tests.conftest import SF_SMALL
+
+    class Sent(Exception):
+        pass
+
+    def stop(spark, inbox, *_, max_files_per_trigger):
+        raise Sent(inbox, max_files_per_trigger)
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    chars = docs.agg(F.sum(F.length("text"))).first()[0]
+    monkeypatch.setattr(catalog, "FILE_CHARS", chars // 12)
+    monkeypatch.setattr(upsert, "upsert_stream", stop)
+    monkeypatch.setattr(refresh, "refresh_stream", stop)
+    with pytest.raises(Sent) as e:
+        getattr(catalog, f"q_{name}")(spark, SF_SMALL)
+    inbox, files = e.value.args
+    found = [f for f in os.listdir(inbox.removeprefix("file:")) if f.endswith(".parquet")]
+    assert 3 * files < len(found) <= 4 * files and files >= 3 * copies
+    assert spark.read.parquet(inbox).count() == copies * docs.count()
