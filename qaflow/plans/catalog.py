@@ -798,8 +798,8 @@ def q_throughput_modes(spark, sf_dir):
     from qaflow.plans import modes
     from qaflow.sources import writers
 
-    P, Q = _stored_passages(spark, sf_dir), _questions(spark, sf_dir)
-    index = retrieve.index_passages(P)
+    P, Q = _encoded_passages(spark, sf_dir), _questions(spark, sf_dir)
+    index = P.select("passage_id", "embedding")
     path = scratch_path(spark, "throughput")
     for m in modes.MODES:
         preds = modes.predictions(Q, P, modes=(m,), index=index)
