@@ -739,6 +739,7 @@ def q_provenance_precision(spark, sf_dir):
         .alias("ref"))
     lines = Q.select("item_id").join(per_q, "item_id", "left").select(
         "item_id", F.concat_ws("\t", F.col("hyp.t")).alias("hyp"), F.concat_ws("\t", F.col("ref.t")).alias("ref"))
+    lines = lines.checkpoint()  # each writer reads its rows twice, once for the range sort: the retrieval runs once
     hyp_path, ref_path = scratch_path(spark, "prov_hyp"), scratch_path(spark, "prov_ref")
     writers.write_predictions(lines, hyp_path, col="hyp", order="item_id", recalculate=True)
     writers.write_predictions(lines, ref_path, col="ref", order="item_id", recalculate=True)
