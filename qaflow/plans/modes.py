@@ -58,7 +58,9 @@ def predictions(questions: DataFrame, passages: DataFrame, *, k: int = DEFAULT_K
         # the index is encoded once and shared by every retrieval of every mode (a
         # stored index -- passage_id, embedding -- can be passed in instead)
         if index is None:
-            index = retrieve.index_passages(passages).persist(StorageLevel.MEMORY_AND_DISK)
+            index = retrieve.index_passages(passages)
+            if "iter" in modes:  # every other mode shares the one base retrieval
+                index = index.persist(StorageLevel.MEMORY_AND_DISK)
         # the base retrieval (questions x k rows) is computed once for all modes and
         # written to the shared checkpoint folder: bounded, and lineage is cut
         hits = retrieve.lookup_passages(retrieve.similarity_join(questions, index, k, key=key),
