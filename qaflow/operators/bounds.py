@@ -53,7 +53,7 @@ def norm_blocks(corpus: DataFrame, *, block_rows: int = BLOCK_ROWS, summary_byte
     spark = corpus.sparkSession
     has_cell = "cell" in corpus.columns
     rows = corpus.select(F.col("c_id").cast("long"), F.col("c_vec").cast("array<double>"),
-                         (F.col("cell").cast("long") if has_cell else F.lit(0).cast("long")).alias("cell"))
+                         F.coalesce(F.col("cell").cast("long"), F.lit(-1)).alias("cell") if has_cell else F.lit(0).cast("long").alias("cell"))
 
     def with_norm(batches):
         for b in batches:

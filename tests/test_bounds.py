@@ -101,3 +101,8 @@ def test_kernel_holds_few_scores_and_ranks_ties_by_id(monkeypatch):
     for lo in (200, 0, 100):
         vectors._score_into_state(Q, X[lo:lo + 100], np.arange(lo, lo + 100), np.arange(50), s, ids, 7, False)
     assert (ids == np.lexsort((np.broadcast_to(np.arange(300), (50, 300)), -(Q @ X.T)), axis=1)[:, :7]).all()
+
+
+def test_rows_without_a_cell_are_found_too(spark):
+    df = spark.createDataFrame([(i, [float(i), 1.0], None if i % 2 else 1) for i in range(20)], "vec_id long, embedding array<double>, cell int")
+    assert rows(bounds.bounded_topk(df, df, 3, block_rows=4, cell="cell", **KW)) == rows(vectors.exact_topk(df, df, 3, **KW))
