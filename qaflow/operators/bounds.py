@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -175,27 +176,30 @@ def bounded_candidates(queries: DataFrame, blocks: DataFrame, k: int, *, query_b
     c = blocks.withColumn("csub", F.pmod(F.xxhash64("block"), F.lit(cs)).cast("int")) \
         .withColumn("qsub", F.explode(F.sequence(F.lit(0), F.lit(qs - 1))))
 
-    def score(cpdf: pd.DataFrame, qpdf: pd.DataFrame) -> pd.DataFrame:
-        qpdf = qpdf[qpdf["q_vec"].notna()]
-        if not len(cpdf) or not len(qpdf):
-            return vectors.no_hits().assign(pairs=0)
-        cpdf = cpdf.sort_values(["block", "c_id"], kind="stable")
-        X, cids = vectors._matrix(cpdf["c_vec"]), cpdf["c_id"].to_numpy(dtype=np.int64)
-        starts = np.unique(cpdf["block"].to_numpy(), return_index=True)[1]
-        s = cpdf[cpdf["rows"].notna()]  # one row a block, in order of blocks
-        summary = s["max_norm"].to_numpy(np.float64), vectors._matrix(s["centre"]), s["radius"].to_numpy(np.float64)
-        qids, Q = qpdf["q_id"].to_numpy(dtype=np.int64), vectors._matrix(qpdf["q_vec"])
-        best_s, best_id, scored = _score_slice(Q, X, cids, starts, summary, k)
-        out = vectors._emit(qids, best_s, best_id)
-        none = pd.array([None], dtype="Int64")
-        count = pd.DataFrame({"q_id": none, "c_id": none, "pairs": pd.array([scored], dtype="Int64")})  # one row a task
-        return pd.concat([out.astype({"q_id": "Int64", "c_id": "Int64"}), count])
-
+    def score(ct: pa.Table, qt: pa.Table) -> pa.Table:
+        qids, qat = vectors.arrow_ids(qt["q_id"]), np.flatnonzero(qt["q_vec"].is_valid().to_numpy())
+        if not ct.num_rows or not len(qat):
+            return pa.table({"q_id": [], "c_id": [], "score": [], "pairs": []}, schema=found_schema)
+        block, cids = vectors.arrow_ids(ct["block"]), vectors.arrow_ids(ct["c_id"])
+        order = np.lexsort((cids, block))
+        starts = np.unique(block[order], return_index=True)[1]
+        first = order[ct["rows"].is_valid().to_numpy()[order]]  # one row a block, in order of blocks
+        summary = (ct["max_norm"].take(pa.array(first)).to_numpy(), vectors.arrow_matrix(ct["centre"], first),
+                   ct["radius"].take(pa.array(first)).to_numpy())
+        qids = qids[qat]
+        best_s, best_id, scored = _score_slice(vectors.arrow_matrix(qt["q_vec"], qat), vectors.arrow_matrix(ct["c_vec"], order),
+                                               cids[order], starts, summary, k)
+        found = pa.table(vectors._hits(qids, best_s, best_id))
+        found = found.append_column("pairs", pa.nulls(found.num_rows, pa.int64()))
+        count = pa.table({"q_id": [None], "c_id": [None], "score": [None], "pairs": [scored]}, schema=found_schema)  # one row a task
+        return pa.concat_tables([found.cast(found_schema), count])
+
+    found_schema = pa.schema([("q_id", pa.int64()), ("c_id", pa.int64()), ("score", pa.float64()), ("pairs", pa.int64())])
     keys = ["qsub", "csub"]
     n = qs * cs  # given, so that no two of these heavy pieces are put together for being small
     found = (c.select(*keys, "c_id", "c_vec", "block", "rows", "max_norm", "centre", "radius").repartition(n, *keys).groupBy(*keys)
              .cogroup(q.select(*keys, "q_id", "q_vec").repartition(n, *keys).groupBy(*keys))
-             .applyInPandas(score, "q_id long, c_id long, score double, pairs long"))
+             .applyInArrow(score, "q_id long, c_id long, score double, pairs long"))
     found = _written(found, "bound-found")
     scored = found.agg(F.sum("pairs")).first()[0] or 0
     return found.where("pairs is null").select("q_id", "c_id", "score"), scored

@@ -19,8 +19,8 @@ product:
   band bucket for LSH).  Group sizes come from two small aggregates; a hot
   group is split into ``ceil(n / block)`` sub-blocks on both sides, so a
   cell holding a third of the corpus becomes many bounded tasks instead of
-  one huge one.  ``cogroup(...).applyInPandas`` scores one (group, query
-  block, corpus block) per call.
+  one huge one.  ``cogroup(...).applyInArrow`` scores one (group, query
+  block, corpus block) per call; vectors go from the Arrow batches into one matrix a side.
 
 Scores are computed in double and ranked on ``round(score, 6)`` desc, then
 the corpus id asc: a total order, so results are deterministic.
@@ -31,6 +31,8 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,7 +40,7 @@ from pyspark.sql import types as T
 
 DEFAULT_BROADCAST_MAX_BYTES = 8 << 20  # every Python worker holds a copy of it
 BLOCK_ROWS = 1 << 16  # rows of a side that a block join holds at once, at most
-SCORE_CELLS = 1 << 21  # scores a kernel call holds at once (16 MB)
+SCORE_CELLS = 1 << 20  # scores a kernel call holds at once (8 MB)
 SCORE_MARGIN = 1e-6  # scores rank on six digits
 _SENTINEL = np.iinfo(np.int64).max
 
@@ -102,6 +104,33 @@ def _matrix(series: pd.Series, dim: int | None = None) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in series.to_numpy()])
 
 
+def arrow_ids(col: pa.ChunkedArray) -> np.ndarray:
+    return col.to_numpy().astype(np.int64)
+
+
+def arrow_matrix(col: pa.ChunkedArray, rows: np.ndarray) -> np.ndarray:
+    """The vectors of ``rows`` (none of them null), in that order.
+
+    They are put into the matrix batch by batch: beside the batches only the matrix is held, no object a row.
+    """
+    at = np.full(len(col), -1, dtype=np.int64)
+    at[rows] = np.arange(len(rows))
+    X, lo = np.zeros((len(rows), 0)), 0
+    for chunk in col.chunks:
+        to, lo = at[lo:lo + len(chunk)], lo + len(chunk)
+        kept = to >= 0
+        if not kept.any():
+            continue
+        chunk = chunk if kept.all() else chunk.filter(pa.array(kept))
+        size = pc.min_max(pc.list_value_length(chunk)).as_py()
+        if X.shape[1] == 0:
+            X = np.empty((len(rows), size["min"]))
+        if size["min"] != size["max"] or size["min"] != X.shape[1]:
+            raise ValueError("vectors of different lengths")
+        X[to[kept]] = chunk.flatten().to_numpy(zero_copy_only=False).reshape(len(chunk), X.shape[1])
+    return X
+
+
 def _block_topk(S: np.ndarray, ids: np.ndarray, k: int):
     """Exact top-k per row of S by (round(S,6) desc, id asc).
 
@@ -175,15 +204,13 @@ def _score_into_state(Q, X, cids, state_rows, best_s, best_id, k, dedupe):
 _OUT_SCHEMA = "q_id long, c_id long, score double"
 
 
-def no_hits() -> pd.DataFrame:
-    return pd.DataFrame({"q_id": np.zeros(0, np.int64), "c_id": np.zeros(0, np.int64), "score": np.zeros(0)})
+def _hits(qids, best_s, best_id) -> dict[str, np.ndarray]:
+    keep = np.isfinite(best_s) & (best_id != _SENTINEL)
+    return {"q_id": np.repeat(qids, keep.sum(axis=1)), "c_id": best_id[keep], "score": best_s[keep]}
 
 
 def _emit(qids, best_s, best_id) -> pd.DataFrame:
-    keep = np.isfinite(best_s) & (best_id != _SENTINEL)
-    r, c = np.nonzero(keep)
-    return pd.DataFrame({"q_id": qids[r].astype(np.int64), "c_id": best_id[r, c].astype(np.int64),
-                         "score": best_s[r, c].astype(np.float64)})
+    return pd.DataFrame(_hits(qids, best_s, best_id))
 
 
 # ---------------------------------------------------------------------------
@@ -313,27 +340,26 @@ def _block_topk_join(q: DataFrame, c: DataFrame, k: int, query_block: int,
           .withColumn("qsub", F.explode(F.sequence(F.lit(0), F.col("qs") - 1)))
           .drop("qs", "cs"))
 
-    def score_block(cpdf: pd.DataFrame, qpdf: pd.DataFrame) -> pd.DataFrame:
-        cpdf, qpdf = cpdf[cpdf["c_vec"].notna()], qpdf[qpdf["q_vec"].notna()]
-        if len(cpdf) == 0 or len(qpdf) == 0:
-            return no_hits()
-        qpdf = qpdf.drop_duplicates("q_id")
-        cpdf = cpdf.sort_values("c_id", kind="stable")
-        qids = qpdf["q_id"].to_numpy(dtype=np.int64)
-        Q = _matrix(qpdf["q_vec"])
-        X = _matrix(cpdf["c_vec"], Q.shape[1])
+    def score_block(ct: pa.Table, qt: pa.Table) -> pa.Table:
+        cids, qids = arrow_ids(ct["c_id"]), arrow_ids(qt["q_id"])
+        cat = np.flatnonzero(ct["c_vec"].is_valid().to_numpy())
+        cat = cat[np.argsort(cids[cat], kind="stable")]
+        qat = np.flatnonzero(qt["q_vec"].is_valid().to_numpy())
+        qat = qat[np.unique(qids[qat], return_index=True)[1]]
+        cids, qids = cids[cat], qids[qat]
         best_s = np.full((len(qids), k), -np.inf)
         best_id = np.full((len(qids), k), _SENTINEL, dtype=np.int64)
-        _score_into_state(Q, X, cpdf["c_id"].to_numpy(dtype=np.int64), np.arange(len(qids)),
-                          best_s, best_id, k, dedupe)
-        return _emit(qids, best_s, best_id)
+        if len(cids) and len(qids):
+            _score_into_state(arrow_matrix(qt["q_vec"], qat), arrow_matrix(ct["c_vec"], cat), cids, np.arange(len(qids)),
+                              best_s, best_id, k, dedupe)
+        return pa.table(_hits(qids, best_s, best_id))
 
     keys = ["g", "qsub", "csub"]
     # the number is given, so that no blocks are put into one task for having few bytes: their work is the product
     n = int(q.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (cx.select(*keys, "c_id", "c_vec").repartition(n, *keys).groupBy(*keys)
             .cogroup(qx.select(*keys, "q_id", "q_vec").repartition(n, *keys).groupBy(*keys))
-            .applyInPandas(score_block, _OUT_SCHEMA))
+            .applyInArrow(score_block, _OUT_SCHEMA))
 
 
 # ---------------------------------------------------------------------------
