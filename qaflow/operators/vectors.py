@@ -423,18 +423,19 @@ def train_centroids(df: DataFrame, vec: str, nlist: int, *, seed: int = 42, max_
         total = np.zeros(C_.shape, dtype=np.int64)
         step = max(1, SCORE_CELLS // len(C_))
         for b in batches:
-            for lo in range(0, len(b), step):
-                X = np.rint(_matrix(b["v"].iloc[lo:lo + step], C_.shape[1]) * UNIT)
+            for lo in range(0, b.num_rows, step):
+                v = b.column(0).slice(lo, step)
+                X = np.rint(arrow_matrix(pa.chunked_array([v]), np.arange(len(v))) * UNIT)
                 cell = (X @ C_.T).argmax(axis=1)
                 order = np.argsort(cell, kind="stable")
                 found, at = np.unique(cell[order], return_index=True)
                 total[found] += np.add.reduceat(X[order], at, axis=0).astype(np.int64)
         cell, pos = np.nonzero(total)
-        yield pd.DataFrame({"cell": cell, "pos": pos, "s": total[cell, pos]})
+        yield pa.RecordBatch.from_pydict({"cell": pa.array(cell, pa.int32()), "pos": pa.array(pos, pa.int32()), "s": total[cell, pos]})
 
     for _ in range(max_iter if len(C) else 0):
         bc = spark.sparkContext.broadcast(np.rint(C * UNIT))
-        got = data.mapInPandas(sums, "cell int, pos int, s long").groupBy("cell", "pos").agg(F.sum("s").alias("s")).toPandas()
+        got = data.mapInArrow(sums, "cell int, pos int, s long").groupBy("cell", "pos").agg(F.sum("s").alias("s")).toPandas()
         bc.unpersist()
         S = np.zeros(C.shape)
         S[got["cell"].to_numpy(), got["pos"].to_numpy()] = got["s"].to_numpy()
@@ -473,7 +474,7 @@ def nearest_cells(df: DataFrame, centroids: DataFrame, vec: str, n: int = 1, *,
     ``n = 1`` is E6 (``out`` is an int column); ``n > 1`` gives the probe list
     of E7 (``out`` is an ``array<int>`` ordered best first).  A centroid
     matrix within ``max_bytes`` is broadcast and rows are scored in
-    ``mapInPandas``; a larger one (e.g. 32768 cells x 768 dims) is joined in
+    ``mapInArrow``; a larger one (e.g. 32768 cells x 768 dims) is joined in
     blocks instead (:func:`grouped_topk`), which needs a unique ``key``.
     """
     spark = df.sparkSession
@@ -492,29 +493,32 @@ def nearest_cells(df: DataFrame, centroids: DataFrame, vec: str, n: int = 1, *,
         cells_, C_ = bc.value
         step = max(1, SCORE_CELLS // len(cells_)) if len(cells_) else 1
         for b in batches:
-            found = np.full(len(b), None, dtype=object)  # a null vector has no cell
-            scored = np.flatnonzero(b[vec].notna().to_numpy()) if len(cells_) else []
+            v = b.column(b.schema.get_field_index(vec))
+            has = v.is_valid().to_numpy(zero_copy_only=False) if len(cells_) else np.zeros(b.num_rows, dtype=bool)  # a null vector has no cell
+            scored, found = np.flatnonzero(has), [np.zeros((0, 1), dtype=np.int64)]
             for lo in range(0, len(scored), step):
                 rows = scored[lo:lo + step]
-                X = _matrix(b[vec].iloc[rows], C_.shape[1])
+                X = arrow_matrix(pa.chunked_array([v]), rows)
                 if normalize:
                     nr = np.linalg.norm(X, axis=1, keepdims=True)
                     X = np.divide(X, nr, out=np.zeros_like(X), where=nr > 0)
                 S = X @ C_.T
                 if not as_list:  # cells ascend, so the first of equal scores is the lowest cell
-                    found[rows] = cells_[np.round(S, 6).argmax(axis=1)].tolist()
+                    found.append(cells_[np.round(S, 6).argmax(axis=1)][:, None])
                     continue
                 r, c = _block_topk(S, cells_, n)
                 c = c.reshape(len(rows), -1)
                 best = np.round(S[np.arange(len(rows))[:, None], c], 6)
-                c = np.take_along_axis(c, np.argsort(-best, axis=1, kind="stable"), axis=1)
-                for row, ids in zip(rows, cells_[c].tolist()):
-                    found[row] = ids
-            b = b.copy()
-            b[out] = found if as_list else pd.array(found, dtype="Int32")
-            yield b
+                found.append(cells_[np.take_along_axis(c, np.argsort(-best, axis=1, kind="stable"), axis=1)])
+            flat = pa.array(np.concatenate([f.ravel() for f in found])).cast(pa.int32())
+            at = np.append(0, np.cumsum(has * found[-1].shape[1]))
+            if as_list:
+                col = pa.ListArray.from_arrays(pa.array(at, pa.int32()), flat, mask=pa.array(~has))
+            else:
+                col = flat.take(pa.array(at[:-1], mask=~has))
+            yield pa.RecordBatch.from_arrays([*b.columns, col], names=[*b.schema.names, out])
 
-    return df.mapInPandas(assign, schema)
+    return df.mapInArrow(assign, schema)
 
 
 def _nearest_cells_blocked(df, centroids, vec, n, normalize, out, as_list, key):
