@@ -10,7 +10,8 @@ of recurring templates are dropped, from every document that keeps at least half
 document made mostly of them is a copy, not boilerplate, and is left whole to the near-duplicate operators.
 
 Data movement: lines are shuffled as hashes of 64 bits, never as text, but for those in leaves that hold
-several lines and enough documents; texts are shuffled once, to meet the line numbers to drop. Counts
+several lines and enough documents (found by one place of each, which is broadcast up to ``BROADCAST_ROWS``; with more,
+the lines are shuffled once to meet their places); texts are shuffled once, to meet the line numbers to drop. Counts
 are pre-aggregated, joins on a line that a third of the documents hold are split by AQE.
 
 Defined cases: a null text stays null; an empty or blank line, and a line without a constant token, is
@@ -28,7 +29,7 @@ from qaflow.llm.common import materialise, read, unused
 DEPTH = 3
 MIN_DOCS = 5
 SIMILAR = (3, 5)
-BROADCAST_LEAVES = 500_000
+BROADCAST_ROWS = 500_000
 FIELD = "<*>"
 _SPACE = r"[ \t\r\f\x0b]+"
 
@@ -38,23 +39,36 @@ def _tokens(line: Column) -> Column:
     return F.array_remove(F.split(masked, _SPACE), "")
 
 
-def _lines(docs: DataFrame, text: str) -> DataFrame:
-    """``copy, line_no, tokens`` of every line with a constant token; ``copy`` stands for equal texts."""
-    each = docs.where(F.col(text).isNotNull()).select(F.xxhash64(text).alias("copy"), F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
-    each = each.select("copy", "line_no", _tokens(F.col("line")).alias("tokens")).where("size(tokens) > 0")
+def _raw_lines(docs: DataFrame, text: str) -> DataFrame:
+    """``copy, line_no, raw`` of every line; ``copy`` stands for equal texts."""
+    return docs.where(F.col(text).isNotNull()).select(F.xxhash64(text).alias("copy"), F.posexplode(F.split(text, "\n")).alias("line_no", "raw"))
+
+
+def _with_tokens(raw: DataFrame) -> DataFrame:
+    """``copy, line_no, tokens`` of every line that has tokens."""
+    each = raw.select("copy", "line_no", _tokens(F.col("raw")).alias("tokens")).where("size(tokens) > 0")
     return each.select("copy", "line_no", "tokens", F.size("tokens").alias("n"), F.xxhash64("tokens").alias("line"),
                        F.xxhash64(F.size("tokens"), F.slice("tokens", 1, DEPTH)).alias("leaf"), (F.size(F.array_remove("tokens", FIELD)) > 0).alias("constant"))
 
 
-def recurring_lines(lines: DataFrame, written: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+def _lines(docs: DataFrame, text: str) -> DataFrame:
+    return _with_tokens(_raw_lines(docs, text))
+
+
+def _small(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
+def recurring_lines(raw: DataFrame, written: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """The hashes ``line`` of the lines whose template recurs."""
     held = materialise(written.where("constant").select("line", "leaf", "n", "copy").distinct(), "template-lines")
     per_line = held.groupBy("line", "leaf", "n").agg(F.count("*").alias("docs"))
     leaves = per_line.groupBy("leaf").agg(F.count("*").alias("kinds"), F.sum("docs").alias("docs"))
-    wide = materialise(leaves.where((F.col("kinds") > 1) & (F.col("docs") >= min_docs)).select("leaf"), "template-leaves")
-    if wide.limit(BROADCAST_LEAVES + 1).count() <= BROADCAST_LEAVES:
-        wide = F.broadcast(wide)
-    spelled = lines.where("constant").join(wide, "leaf", "left_semi").groupBy("leaf", "line").agg(F.first("tokens").alias("tokens"))
+    wide = _small(materialise(leaves.where((F.col("kinds") > 1) & (F.col("docs") >= min_docs)).select("leaf"), "template-leaves"))
+    # a line is spelled out where it stands in one place, so that the texts are not cut into tokens once more
+    place = written.where("constant").join(wide, "leaf", "left_semi").groupBy("leaf", "line").agg(F.min(F.struct("copy", "line_no")).alias("at"))
+    place = _small(materialise(place.select("at.copy", "at.line_no").distinct(), "template-places"))
+    spelled = _with_tokens(raw.join(place, ["copy", "line_no"], "left_semi")).groupBy("leaf", "line").agg(F.first("tokens").alias("tokens"))
     voters = materialise(spelled.join(per_line.select("line", "leaf", "docs"), ["line", "leaf"]), "template-voters")
     votes = voters.select("leaf", "docs", F.posexplode("tokens").alias("at", "token")).groupBy("leaf", "at", "token").agg(F.sum("docs").alias("votes"))
     top = votes.groupBy("leaf", "at").agg(F.max(F.struct("votes", "token")).alias("top"), F.sum("votes").alias("all"))
@@ -69,9 +83,9 @@ def recurring_lines(lines: DataFrame, written: DataFrame, min_docs: int = MIN_DO
 
 def drop_templates(docs: DataFrame, text: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
     """``docs`` with the text of the kept lines and with ``n_lines`` and ``n_dropped``."""
-    lines = _lines(docs, text)
-    written = materialise(lines.drop("tokens"), "template-all")
-    gone = recurring_lines(lines, written, min_docs).withColumn("gone", F.lit(True))
+    raw = _raw_lines(docs, text)
+    written = materialise(_with_tokens(raw).drop("tokens"), "template-all")
+    gone = recurring_lines(raw, written, min_docs).withColumn("gone", F.lit(True))
     marked = written.join(gone, "line", "left")
     per_copy = marked.groupBy("copy").agg(F.collect_set(F.when(F.col("gone"), F.col("line_no"))).alias("drop"), F.sum("n").alias("tokens"),
                                           F.sum(F.when(F.col("gone"), F.col("n"))).alias("dropped"))

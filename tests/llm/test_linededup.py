@@ -47,3 +47,16 @@ def test_columns_of_the_names_used_inside(spark):
     df = spark.createDataFrame([(i, f"{own(i)}\nRead more here", i, "x", 2) for i in range(6)], "doc_id long, text string, copy int, drop string, Copy_ int")
     got = sorted(tuple(r) for r in l.drop_templates(df).collect())
     assert got == [(i, own(i), i, "x", 2, 5, 1) for i in range(6)]
+
+
+def test_lines_are_spelled_out_in_one_place(spark, tmp_path, monkeypatch):
+    """A line that stands in many documents is cut into tokens again in one of them, with places sent or shuffled."""
+    docs = spark.createDataFrame([(i, f"{own(i)}\nUser {i % 2}x of {'a' if i % 3 else 'b'} logged in at noon today\n{own(i + 40)}", "k") for i in range(12)], "doc_id long, text string, source string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spelled, cut = [], l._with_tokens
+    monkeypatch.setattr(l, "_with_tokens", lambda raw: spelled.append(raw) or cut(raw))
+    for most in (l.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(l, "BROADCAST_ROWS", most)
+        assert same(spark, l.query, l.SQL, str(tmp_path), ["documents"]) == 12
+    every, again = (x.count() for x in spelled[:2])
+    assert (every, again) == (12 * 9, 2)
