@@ -27,6 +27,22 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+MAYBE_BITS = 1 << 23
+
+
+def may_match(df: DataFrame, key: str, wanted: DataFrame, column: str) -> DataFrame:
+    """The rows of ``df`` whose ``key`` may be in ``column`` of ``wanted``: none that is gets lost, and a join
+    with ``wanted`` moves few others. A bitmap of fixed size (1 MB) is broadcast; more keys only let more rows pass."""
+    bit = unused(df, "bit")
+    at, bits = unused(df, f"{bit}_at"), unused(df, f"{bit}_map")
+    cell = lambda c: F.pmod(F.xxhash64(c), F.lit(MAYBE_BITS))
+    inner = lambda c: F.col(c).bitwiseAND(32767)  # noqa: E731  a row of the map has 4 KB
+    held = wanted.select(cell(column).alias(bit)).groupBy(F.shiftright(bit, 15).alias(at)).agg(F.bitmap_construct_agg(inner(bit)).alias(bits))
+    byte = F.conv(F.hex(F.substring(F.col(bits), F.shiftright(inner(bit), 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = df.withColumn(bit, cell(key)).withColumn(at, F.shiftright(bit, 15)).join(F.broadcast(held), at)
+    return marked.where(F.getbit(byte, inner(bit).bitwiseAND(7).cast("int")) == 1).select(*df.columns)
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name that starts with ``name`` and that ``df`` does not have, whatever the case of its letters."""
     have = {c.lower() for c in df.columns}

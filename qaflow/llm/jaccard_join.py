@@ -2,7 +2,8 @@
 
 A document's set: the distinct hashes of its ``k``-word shingles (A-Z folded, white space separated).
 Equal sets collapse to one vertex at once. The other links are found exactly: two sets with Jaccard of
-at least num / den share one of their first ``n - ceil(n * num / den) + 1`` shingles in any common order;
+at least num / den share ``s`` of their first ``n - ceil(n * num / den) + s`` shingles in any common order,
+``s`` being 1 and one more for every SHARED shingles of the smaller set;
 the order puts shingles of rarely used cells first (counts over all documents in a table of fixed size),
 so that passages which many documents share come last. Sharers with fitting sizes go to tiles; see
 :mod:`qaflow.llm.simjoin`. Shingles are compared by 64-bit hashes.
@@ -27,6 +28,7 @@ from qaflow.llm.simjoin import ENTRY, bitmap, candidate_edges, linked_components
 
 CELL_BITS = 20
 CELL_BLOCK = 1 << 16
+SHARED = 40
 _SETS = "doc_id long, n_shingles long, vertex long, sketch binary, block int, counts binary"
 
 
@@ -112,6 +114,9 @@ def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 10
     sets = made.where("block is null").select("doc_id", "n_shingles", "vertex")
     maps = made.where("vertex is not null").groupBy("vertex").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch"))
 
+    def shared(n):
+        return np.maximum(1, np.minimum(1 + n // SHARED, -(-n * num // den)))
+
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         rank, seen = ranks.value, set()
         for batch in batches:
@@ -122,8 +127,8 @@ def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 10
                 if len(seen) < 1_000_000:
                     seen.add(v)
                 order = np.sort((rank[(s >> np.uint64(64 - CELL_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (s >> np.uint64(8)))
-                e = np.zeros(n - (n * num + den - 1) // den + 1, ENTRY)
-                e["key"], e["vertex"], e["lo"], e["hi"] = order[:len(e)], v, n, n
+                e = np.zeros(n - (n * num + den - 1) // den + int(shared(n)), ENTRY)
+                e["key"], e["vertex"], e["lo"], e["hi"] = order[:len(e)], v, n, np.arange(len(e)) - n
                 yield e
 
     def extract(texts: pa.Array, spots: list) -> Iterator[dict]:
@@ -131,7 +136,7 @@ def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 10
             v = set_id(s)
             yield {v: s} if v in want else {}
 
-    edges = candidate_edges(docs.where("doc_id is not null").select("text"), prefixes, num, den, "jaccard-edges")
+    edges = candidate_edges(docs.where("doc_id is not null").select("text"), prefixes, num, den, "jaccard-edges", shared)
     where = materialise(maps, "jaccard-where")
     coarse_spots = where.where("doc_id is not null").select("vertex", "size", "doc_id", F.col("vertex").alias("spot"), "sketch")
     linked = linked_components(edges, coarse_spots, docs, extract, num, den, "jaccard")

@@ -4,7 +4,12 @@ Candidates: every task sends ``(key, vertex, size)`` entries; two vertices that
 sizes allow the similarity are candidates. Entries of a key are chained, by size, into runs already in
 the task that makes them, and only one entry a run (its smallest vertex, its size range) is shuffled, as
 arrays in binary rows. So a key that a third of all rows hold costs a task at most one entry a run, and
-no group is ever expanded into pairs: a run gives a star of edges to its smallest vertex.
+no large group is ever expanded into pairs: a run gives a star of edges to its smallest vertex.
+
+Where the entries are the first keys of sets in a common order, keys that at most ``SHORT`` vertices hold
+give pairs instead, and a pair is a candidate only with as many such keys in common as its sizes ask for
+(``shared``). So documents that share a few rare keys by chance never join up to components. A pair that
+has a key in common which more vertices hold is joined by that key's star.
 
 Verification: the stars' components hold every true link. Where bitmaps of the sets are at hand, the same
 tiles as below first split the components by the bitmaps' bound alone. A component's vertices are dealt into tiles in
@@ -26,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qaflow.llm.common import connected_components, materialise, mix, partitions
+from qaflow.llm.common import connected_components, materialise, may_match, mix, partitions
 
 FLUSH = 500_000
 SENT_BYTES = 4 << 20
@@ -36,6 +41,7 @@ SKETCH_BLOCK = 1024
 PAIR_SIZE = 1 << 19
 LEAST_SIZE = 128
 LEADERS = 6
+SHORT = 8
 ENTRY = np.dtype([("key", "<u8"), ("vertex", "<i8"), ("lo", "<i4"), ("hi", "<i4")])
 EDGE = np.dtype([("a", "<i8"), ("b", "<i8")])
 _ROW = "part int, edges boolean, data binary"
@@ -64,6 +70,44 @@ def runs(e: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
     return out, np.unique(edges)
 
 
+def single_keys(e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Entries without repeats, in order of key, and which of them have a key that at most SHORT vertices
+    hold, each by one entry (``hi`` < 0: as many keys of its set come from this one on)."""
+    e = e[np.lexsort((e["vertex"], e["key"]))]
+    e = e[np.append(True, (e["key"][1:] != e["key"][:-1]) | (e["vertex"][1:] != e["vertex"][:-1]) | (e["hi"][1:] != e["hi"][:-1]) | (e["lo"][1:] != e["lo"][:-1]))[:len(e)]]
+    if not len(e):
+        return e, np.zeros(0, bool)
+    at = np.flatnonzero(np.append(True, e["key"][1:] != e["key"][:-1]))
+    size = np.diff(np.append(at, len(e)))
+    return e, np.repeat((size <= SHORT) & (np.maximum.reduceat(e["hi"], at) < 0), size)
+
+
+def as_runs(e: np.ndarray) -> np.ndarray:
+    """Single entries as runs of one size."""
+    e = e.copy()
+    e["hi"] = np.where(e["hi"] < 0, e["lo"], e["hi"])
+    return e
+
+
+def single_pairs(e: np.ndarray, num: int, den: int, shared: Callable[[np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of entries with one key that may be among the first ``shared(smaller size)`` common keys of
+    sets with ``den * overlap >= num * union``, and how many such keys each pair needs."""
+    pairs, needs = [np.zeros(0, EDGE)], [np.zeros(0, np.int32)]
+    size, rest = e["lo"].astype(np.int64), -e["hi"].astype(np.int64)
+    for d in range(1, SHORT):
+        i = np.flatnonzero(e["key"][d:] == e["key"][:-d])
+        small, large = np.minimum(size[i], size[i + d]), np.maximum(size[i], size[i + d])
+        need = shared(small)
+        overlap = -(-num * (small + large) // (num + den))
+        ok = (den * small >= num * large) & (np.minimum(rest[i], rest[i + d]) >= overlap - need + 1) & (e["vertex"][i] != e["vertex"][i + d])
+        out = np.zeros(int(ok.sum()), EDGE)
+        u, v = e["vertex"][i[ok]], e["vertex"][i[ok] + d]
+        out["a"], out["b"] = np.maximum(u, v), np.minimum(u, v)
+        pairs.append(out)
+        needs.append(need[ok].astype(np.int32))
+    return np.concatenate(pairs), np.concatenate(needs)
+
+
 def _blobs(parts: np.ndarray, rows: np.ndarray, n_parts: int) -> Iterator[tuple[int, bytes]]:
     order = np.argsort(parts, kind="stable")
     rows, cut = rows[order], np.searchsorted(parts[order], np.arange(n_parts + 1))
@@ -90,14 +134,20 @@ def _packed(rows: Iterable[tuple[int, bool, bytes]]) -> Iterator[pa.RecordBatch]
         yield _pack(held)
 
 
-def candidate_edges(df: DataFrame, entries: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]], num: int, den: int, name: str) -> DataFrame:
+def candidate_edges(df: DataFrame, entries: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]], num: int, den: int, name: str, shared: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
     """``edges(a, b)`` whose components hold every pair of vertices that shares a key of ``entries`` and
-    has sizes within ``num / den``. ``entries`` maps the batches of ``df`` to ENTRY arrays."""
+    has sizes within ``num / den``. ``entries`` maps the batches of ``df`` to ENTRY arrays.
+
+    With ``shared``, entries are single (``hi`` = -(size - place in the common order)), similar sets have at
+    least ``shared(smaller size)`` of them in common, and the pairs that have are held."""
     n_parts = 2 * partitions(df.sparkSession)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(held):
-            got, edges = runs(np.concatenate(held), num, den)
+            e, single = single_keys(np.concatenate(held)) if shared else (np.concatenate(held), np.zeros(1, bool))
+            got, edges = runs(as_runs(e[~single]) if shared else e, num, den)
+            if shared:
+                got = np.concatenate([got, e[single]])
             part = (mix(got["key"]) % np.uint64(n_parts)).astype(np.int64)
             rows = ((p, False, b) for p, b in _blobs(part, got, n_parts))
             more = ((int((int(got["key"][0]) + k) % n_parts), True, edges[a:a + (1 << 14)].tobytes()) for k, a in enumerate(range(0, len(edges), 1 << 14)))
@@ -114,7 +164,7 @@ def candidate_edges(df: DataFrame, entries: Callable[[Iterator[pa.RecordBatch]],
             yield from flush(held)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = lambda e: pa.RecordBatch.from_arrays([pa.array(e["a"]), pa.array(e["b"])], names=["a", "b"])
+        out = lambda e, need=None: pa.RecordBatch.from_arrays([pa.array(e["a"]), pa.array(e["b"]), pa.array(np.zeros(len(e), np.int32) if need is None else need)], names=["a", "b", "need"])
         held = [np.zeros(0, ENTRY)]
         for batch in batches:
             for edges, data in zip(batch.column("edges").to_pylist(), batch.column("data")):
@@ -122,10 +172,18 @@ def candidate_edges(df: DataFrame, entries: Callable[[Iterator[pa.RecordBatch]],
                     yield out(np.frombuffer(data.as_buffer(), EDGE))
                 else:
                     held.append(np.frombuffer(data.as_buffer(), ENTRY))
-        yield out(runs(np.concatenate(held), num, den)[1])
+        e = np.concatenate(held)
+        if shared:
+            e, single = single_keys(e)
+            yield out(*single_pairs(e[single], num, den, shared))
+            e = as_runs(e[~single])
+        yield out(runs(e, num, den)[1])
 
     sent = df.mapInArrow(send, _ROW).repartition(n_parts, "part")
-    return materialise(sent.mapInArrow(meet, "a long, b long"), name)
+    found = materialise(sent.mapInArrow(meet, "a long, b long, need int"), name)
+    if shared:
+        found = found.groupBy("a", "b").agg(F.count("*").alias("n"), F.min("need").alias("need")).where("n >= need")
+    return found.select("a", "b")
 
 
 # --- tiles ---------------------------------------------------------------------------------------
@@ -216,8 +274,8 @@ def verified_links(dealt: DataFrame, docs: DataFrame, extract: Callable, num: in
 
     ``docs(doc_id, text)`` gives the texts; ``extract(texts, spots)`` maps a batch of texts and, for each,
     the spots asked for, to sorted hash arrays. Only documents with candidates leave their task."""
-    asked = dealt.groupBy("doc_id").agg(F.collect_list(F.struct("tile", "side", "vertex", "part", "spot")).alias("asked"))
-    rows = docs.where("doc_id is not null").select("doc_id", "text").join(asked, "doc_id").select("text", "asked")
+    asked = materialise(dealt.groupBy("doc_id").agg(F.collect_list(F.struct("tile", "side", "vertex", "part", "spot")).alias("asked")), f"{name}-asked")
+    rows = may_match(docs.where("doc_id is not null").select("doc_id", "text"), "doc_id", asked, "doc_id").join(asked, "doc_id").select("text", "asked")
 
     names = ["tile", "side", "vertex", "part", "data"]
 
@@ -317,7 +375,7 @@ def linked_components(edges: DataFrame, vertices: DataFrame, docs: DataFrame, ex
     by the bitmaps' bound, so that only sets which pass it are read and moved."""
     found = connected_components(edges, f"{name}-coarse")
     if "sketch" in vertices.columns:
-        coarse = materialise(vertices.select("vertex", "size", "sketch").join(found, F.col("vertex") == F.col("v")).drop("v"), f"{name}-coarse-members")
+        coarse = materialise(may_match(vertices.select("vertex", "size", "sketch"), "vertex", found, "v").join(found, F.col("vertex") == F.col("v")).drop("v"), f"{name}-coarse-members")
         found = _two_rounds(coarse, lambda dealt, at: sketch_links(dealt, num, den, at), num, den, f"{name}-sketch", SKETCH_BLOCK, F.lit(1), SKETCH_BLOCK)
     members = materialise(vertices.drop("sketch").join(found, F.col("vertex") == F.col("v")).drop("v"), f"{name}-members")
     return _two_rounds(members, lambda dealt, at: verified_links(dealt, docs, extract, num, den, at), num, den, name, block, F.greatest("size", F.lit(LEAST_SIZE)), PAIR_SIZE)

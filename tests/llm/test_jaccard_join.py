@@ -98,3 +98,31 @@ def test_defined_cases(spark):
     assert got == sorted([(None, 5), (5, 5), (7, 5), (7, 5), (None, None), (None, None), (9, 5)], key=str)
     assert j.jaccard_components(df.limit(0)).count() == 0
     assert sorted(str(r["doc_id"]) for r in j.one_of_each(df).collect()) == ["5", "None", "None", "None"]
+
+
+def test_documents_that_share_rare_shingles_by_chance_are_no_candidates(spark, monkeypatch):
+    import random
+
+    rng, texts = random.Random(5), []
+    for i in range(120):
+        texts.append([f"w{i}_{n}" for n in range(200)])
+    for i in range(119):  # a passage of 20 words that two documents share, in a chain through all of them
+        texts[i + 1][:20] = texts[i][180:]
+    near = [w if n % 60 else f"new{n}" for n, w in enumerate(texts[7])]
+    rows = [(i, " ".join(t)) for i, t in enumerate([*texts, near, rng.sample(near, len(near))])]
+    seen = []
+    linked = j.linked_components
+    monkeypatch.setattr(j, "linked_components", lambda edges, *a, **b: seen.append(edges.collect()) or linked(edges, *a, **b))
+    monkeypatch.setattr(j, "cell_ranks", lambda sets: np.zeros(1 << j.CELL_BITS, np.uint8))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in j.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 4).collect()}
+    assert got == brute(rows, 4, 85, 100)
+    assert got[120][1] == 7
+    assert len(seen[0]) < 30
+
+
+def test_may_match_loses_no_row_that_is_asked_for(spark):
+    df = spark.range(5000).selectExpr("if(id % 50 = 0, null, id * 7919 - 9000000) as k", "id as bit")
+    asked = spark.range(0, 5000, 77).selectExpr("id * 7919 - 9000000 as v")
+    got = [(r.k, r.bit) for r in common.may_match(df, "k", asked, "v").collect()]
+    assert len(got) == len(set(got)) < 200
+    assert {n for _, n in got} >= {n for n in range(0, 5000, 77) if n % 50}
