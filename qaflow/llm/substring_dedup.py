@@ -31,7 +31,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from qaflow.llm.common import _ODD, materialise, mix, partitions, read, shingle_hashes, text_bytes, word_hashes
 from qaflow.llm.simjoin import ENTRY, _blobs, _packed, candidate_edges, linked_components
@@ -47,6 +46,7 @@ SPOT = np.dtype([("key", "<u8"), ("doc", "<i8"), ("start", "<i4"), ("words", "<i
                  ("before", "<u8"), ("after", "<u8"), ("n_before", "<i4"), ("n_after", "<i4")])
 SENT = ("start", "words", "before", "after", "n_before", "n_after")
 LEAST = 50
+KINDS = ("line", "anchor", "beside")
 FLUSH = 500_000
 
 
@@ -275,14 +275,51 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     return spans.union(edges.select("cluster", "doc_id", "start", "words", F.lit("beside").alias("kind")))
 
 
+def _heads(*cols: np.ndarray) -> np.ndarray:
+    """Which rows differ from the row before in one of the columns."""
+    return np.append(True, np.any([c[1:] != c[:-1] for c in cols], axis=0))[:len(cols[0])]
+
+
+def _stretches(new: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Where the stretches of spans that overlap or touch begin; the spans are in order of start between the ``new`` ones."""
+    new = new.copy()
+    top = np.maximum.accumulate((np.cumsum(new) << 32) | end)
+    new[1:] |= start[1:] > (top[:-1] & 0xFFFFFFFF)
+    return np.flatnonzero(new)
+
+
+def _partition(batches: Iterator[pa.RecordBatch]) -> list[np.ndarray]:
+    """The columns of a partition's rows."""
+    held = list(batches)
+    return [np.concatenate([c.to_numpy(zero_copy_only=False) for c in cols]) for cols in zip(*(b.columns for b in held))] if held else []
+
+
 def in_long_stretches(spots: DataFrame, least: int) -> DataFrame:
-    """Those of ``spots(doc_id, start, words, ...)`` that, merged with what they touch, cover ``least`` words."""
-    in_order = W.partitionBy("doc_id").orderBy("start", "end")
-    s = spots.withColumn("end", F.col("start") + F.col("words"))
-    s = s.withColumn("new", F.when(F.col("start") <= F.max("end").over(in_order.rowsBetween(W.unboundedPreceding, -1)), 0).otherwise(1))
-    s = s.withColumn("no", F.sum("new").over(in_order.rowsBetween(W.unboundedPreceding, 0)))
-    whole = W.partitionBy("doc_id", "no")
-    return s.withColumn("covered", F.max("end").over(whole) - F.min("start").over(whole)).where(F.col("covered") >= least).select(*spots.columns)
+    """The distinct ones of ``spots(doc_id, start, words, cluster, kind)`` that, merged with what they touch, cover
+    ``least`` words; ``lead``: none of its cluster begins before it in its document. ``kind`` is its place in KINDS."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cols = _partition(batches)
+        if not cols or not len(cols[0]):
+            return
+        doc, start, words, cluster, kind = cols
+        order = np.lexsort((kind, cluster, words, start, doc))
+        doc, start, words, cluster, kind = (c[order] for c in cols)
+        new = _heads(doc, start, words, cluster, kind)
+        doc, start, words, cluster, kind = (c[new] for c in (doc, start, words, cluster, kind))
+        end = start.astype(np.int64) + words
+        at = _stretches(_heads(doc), start, end)
+        long = np.repeat(np.maximum.reduceat(end, at) - start[at] >= least, np.diff(np.append(at, len(doc))))
+        doc, start, words, cluster, kind = (c[long] for c in (doc, start, words, cluster, kind))
+        order = np.lexsort((start, kind, cluster, doc))
+        doc, start, words, cluster, kind = (c[order] for c in (doc, start, words, cluster, kind))
+        head = _heads(doc, cluster, kind)
+        lead = start == np.repeat(start[head], np.diff(np.append(np.flatnonzero(head), len(doc))))
+        for lo in range(0, len(doc), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(c[lo:lo + (1 << 16)]) for c in (doc, start, words, cluster, kind, lead)], names=["doc_id", "start", "words", "cluster", "kind", "lead"])
+
+    kind = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int") - 1
+    dealt = spots.select("doc_id", "start", "words", "cluster", kind.alias("kind")).repartition(2 * partitions(spots.sparkSession), "doc_id")
+    return dealt.mapInArrow(rows, "doc_id long, start int, words int, cluster long, kind int, lead boolean")
 
 
 def repeated_spans(docs: DataFrame, least: int = 1) -> DataFrame:
@@ -293,22 +330,41 @@ def repeated_spans(docs: DataFrame, least: int = 1) -> DataFrame:
     of_line = lines.join(linked, F.col("vertex") == F.col("v"), "left").select(F.coalesce("component", "vertex").alias("cluster"), "doc_id", "start", "words", F.lit("line").alias("kind"))
     again = of_line.groupBy("cluster").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("cluster")
     spots = of_line.join(again, "cluster", "left_semi").union(repeated_passages(docs))
-    spots = materialise((in_long_stretches(spots, least) if least > 1 else spots).distinct(), "substring-spots")
-    place = F.struct("doc_id", "start")
-    many = spots.groupBy("cluster", "kind").agg(F.min(place).alias("first"), F.max("doc_id").alias("last")).where("first.doc_id < last").select("cluster", "kind", "first")
-    return spots.join(many, ["cluster", "kind"]).select("doc_id", "start", "words", "cluster", "kind", (place > F.col("first")).alias("removed"))
+    spots = materialise(in_long_stretches(spots, least), "substring-spots")
+    many = spots.groupBy("cluster", "kind").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("cluster", "kind", "first")
+    kind = F.element_at(F.array(*map(F.lit, KINDS)), F.col("kind") + 1)
+    removed = (F.col("doc_id") > F.col("first")) | ~F.col("lead")
+    return spots.join(many.hint("shuffle_hash"), ["cluster", "kind"]).select("doc_id", "start", "words", "cluster", kind.alias("kind"), removed.alias("removed"))
 
 
 def document_removals(spans: DataFrame, least: int = 1) -> DataFrame:
     """Per document: its smallest cluster id, its merged repeated spans of ``least`` words (word ordinals) and which of them go."""
-    w = W.partitionBy("doc_id", "removed").orderBy("start", "end").rowsBetween(W.unboundedPreceding, -1)
-    s = spans.select("doc_id", "removed", "start", (F.col("start") + F.col("words")).alias("end"), "cluster").distinct()
-    s = s.withColumn("new", F.when(F.col("start") <= F.max("end").over(w), 0).otherwise(1))
-    s = s.withColumn("no", F.sum("new").over(W.partitionBy("doc_id", "removed").orderBy("start", "end").rowsBetween(W.unboundedPreceding, 0)))
-    merged = s.groupBy("doc_id", "removed", "no").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("cluster").alias("cluster"))
-    return merged.where(F.col("end") - F.col("start") >= least).groupBy("doc_id").agg(
-        F.min("cluster").alias("cluster"), F.sort_array(F.collect_list(F.struct("start", "end", "removed"))).alias("spans"),
-        F.coalesce(F.sum(F.when(F.col("removed"), F.col("end") - F.col("start"))), F.lit(0)).cast("long").alias("removed_words"))
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cols = _partition(batches)
+        if not cols or not len(cols[0]):
+            return
+        order = np.lexsort((cols[1], cols[4], cols[0]))
+        doc, start, words, cluster, removed = (c[order] for c in cols)
+        end = start.astype(np.int64) + words
+        at = _stretches(_heads(doc, removed), start, end)
+        doc, removed, start, end, cluster = doc[at], removed[at], start[at], np.maximum.reduceat(end, at).astype(np.int32), np.minimum.reduceat(cluster, at)
+        long = end - start >= least
+        order = np.lexsort((removed[long], end[long], start[long], doc[long]))
+        doc, removed, start, end, cluster = (c[long][order] for c in (doc, removed, start, end, cluster))
+        if not len(doc):
+            return
+        at = np.flatnonzero(_heads(doc))
+        gone = np.add.reduceat((end.astype(np.int64) - start) * removed, at)
+        for lo in range(0, len(at), 1 << 12):
+            own = at[lo:lo + (1 << 12)]
+            upto = int(at[lo + len(own)]) if lo + len(own) < len(at) else len(doc)
+            part = pa.StructArray.from_arrays([pa.array(c[own[0]:upto]) for c in (start, end, removed)], names=["start", "end", "removed"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(doc[own]), pa.array(np.minimum.reduceat(cluster[:upto], own)), pa.ListArray.from_arrays(pa.array(np.append(own, upto) - own[0], pa.int32()), part), pa.array(gone[lo:lo + len(own)])],
+                names=["doc_id", "cluster", "spans", "removed_words"])
+
+    dealt = spans.select("doc_id", "start", "words", "cluster", "removed").repartition(2 * partitions(spans.sparkSession), "doc_id")
+    return dealt.mapInArrow(rows, "doc_id long, cluster long, spans array<struct<start: int, end: int, removed: boolean>>, removed_words long")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -88,3 +88,36 @@ def test_short_chance_repeats_stay_where_a_least_length_is_asked(spark):
     assert set(got) == {0, 2, 4, 6, 8, 10}
     assert all([(x.start, x.end) for x in r.spans] == [(113, 164)] and r.removed_words == (51 if d else 0) for d, r in got.items())
     assert set(run(spark, rows)) == {0, 2, 3, 4, 6, 8, 9, 10}
+
+
+def test_stretches_and_removals_equal_plain_python(spark):
+    import random
+
+    rng = random.Random(3)
+    rows = [(rng.choice([-(1 << 63), -5, 0, 3, (1 << 63) - 1]), rng.randrange(300), rng.randrange(1, 12), rng.randrange(-4, 4), rng.choice(s.KINDS)) for _ in range(400)]
+    spots = spark.createDataFrame(rows + rows[:50], "doc_id long, start int, words int, cluster long, kind string")
+
+    def merged(spans):
+        out = []
+        for r in sorted(spans, key=lambda r: (r[1], r[1] + r[2])):
+            if out and r[1] <= max(x[1] + x[2] for x in out[-1]):
+                out[-1].append(r)
+            else:
+                out.append([r])
+        return [(g, min(x[1] for x in g), max(x[1] + x[2] for x in g)) for g in out]
+
+    want = {r for d in {r[0] for r in rows} for g, a, b in merged({r for r in rows if r[0] == d}) if b - a >= 20 for r in g}
+    got = s.in_long_stretches(spots, 20).collect()
+    assert sorted((r.doc_id, r.start, r.words, r.cluster, s.KINDS[r.kind]) for r in got) == sorted(want)
+    least = {}
+    for d, a, _, c, k in sorted(want):
+        least.setdefault((d, c, k), a)
+    assert all(r.lead == (r.start == least[r.doc_id, r.cluster, s.KINDS[r.kind]]) for r in got)
+
+    flagged = [(*r[:4], rng.random() < 0.5) for r in rows]
+    out = {r.doc_id: r for r in s.document_removals(spark.createDataFrame(flagged, "doc_id long, start int, words int, cluster long, removed boolean"), 15).collect()}
+    for d in {r[0] for r in rows}:
+        parts = [(a, b, gone, min(x[3] for x in g)) for gone in (False, True) for g, a, b in merged([r for r in flagged if r[0] == d and r[4] == gone]) if b - a >= 15]
+        assert ([tuple(x) for x in out[d].spans] if parts else d not in out) == (sorted(p[:3] for p in parts) or True)
+        if parts:
+            assert (out[d].cluster, out[d].removed_words) == (min(p[3] for p in parts), sum(b - a for a, b, gone, _ in parts if gone))
