@@ -11,8 +11,8 @@ give pairs instead, and a pair is a candidate only with as many such keys in com
 (``shared``). So documents that share a few rare keys by chance never join up to components. A pair that
 has a key in common which more vertices hold is joined by that key's star.
 
-Verification: the stars' components hold every true link. Where bitmaps of the sets are at hand, the same
-tiles as below first split the components by the bitmaps' bound alone. A component's vertices are dealt into tiles in
+Verification: the stars' components hold every true link. Where bitmaps of the sets are asked for, they are made
+of the components' sets, and the same tiles as below first split the components by the bitmaps' bound alone. A component's vertices are dealt into tiles in
 two rounds: blocks of about ``block`` vertices with a few leaders in each, which joins up a group of
 copies while every set moves once; then, only for what is still apart in a large component, pairs of
 blocks of size bands. In a tile, hashed parity bitmaps bound the overlap of two sets from above, and what
@@ -369,13 +369,32 @@ def _two_rounds(members: DataFrame, links: Callable[[DataFrame, str], DataFrame]
     return connected_components(first.where("v <> component").select(F.col("v").alias("a"), F.col("component").alias("b")).union(links(dealt, f"{name}-links-2")), f"{name}-fine")
 
 
-def linked_components(edges: DataFrame, vertices: DataFrame, docs: DataFrame, extract: Callable, num: int, den: int, name: str, block: int = BLOCK) -> DataFrame:
+def _sketches(members: DataFrame, docs: DataFrame, extract: Callable, name: str) -> DataFrame:
+    """``vertex, sketch`` (:func:`bitmap` as bytes) of ``members(vertex, doc_id, spot)``."""
+    asked = materialise(members.groupBy("doc_id").agg(F.collect_list(F.struct("vertex", "spot")).alias("asked")), f"{name}-sketched")
+    rows = may_match(docs.where("doc_id is not null").select("doc_id", "text"), "doc_id", asked, "doc_id").join(asked, "doc_id").select("text", "asked")
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 512):
+                part = batch.slice(lo, 512)
+                wanted, out = part.column(1).to_pylist(), []
+                for want, got in zip(wanted, extract(part.column(0), [sorted({w["spot"] for w in a}) for a in wanted])):
+                    out += [(w["vertex"], bitmap(got[w["spot"]]).tobytes()) for w in want if w["spot"] in got]
+                cols = list(zip(*out)) or [(), ()]
+                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary())], names=["vertex", "sketch"])
+
+    return rows.mapInArrow(made, "vertex long, sketch binary").groupBy("vertex").agg(F.first("sketch").alias("sketch"))
+
+
+def linked_components(edges: DataFrame, vertices: DataFrame, docs: DataFrame, extract: Callable, num: int, den: int, name: str, block: int = BLOCK, *, sketches: bool = False) -> DataFrame:
     """``(v, component)`` of the true links; ``vertices(vertex, size, doc_id, spot)`` says where each set is
-    read. With a column ``sketch`` (:func:`bitmap` as bytes) the candidates' components are first split
-    by the bitmaps' bound, so that only sets which pass it are read and moved."""
+    read. With ``sketches`` the candidates' components are first split by the bound of their bitmaps, so that only
+    sets which pass it are moved."""
     found = connected_components(edges, f"{name}-coarse")
-    if "sketch" in vertices.columns:
-        coarse = materialise(may_match(vertices.select("vertex", "size", "sketch"), "vertex", found, "v").join(found, F.col("vertex") == F.col("v")).drop("v"), f"{name}-coarse-members")
+    if sketches:
+        coarse = materialise(vertices.join(found, F.col("vertex") == F.col("v")).drop("v"), f"{name}-coarse-members")
+        coarse = materialise(coarse.select("vertex", "size", "component").join(_sketches(coarse, docs, extract, name), "vertex"), f"{name}-coarse-sketches")
         found = _two_rounds(coarse, lambda dealt, at: sketch_links(dealt, num, den, at), num, den, f"{name}-sketch", SKETCH_BLOCK, F.lit(1), SKETCH_BLOCK)
-    members = materialise(vertices.drop("sketch").join(found, F.col("vertex") == F.col("v")).drop("v"), f"{name}-members")
+    members = materialise(vertices.join(found, F.col("vertex") == F.col("v")).drop("v"), f"{name}-members")
     return _two_rounds(members, lambda dealt, at: verified_links(dealt, docs, extract, num, den, at), num, den, name, block, F.greatest("size", F.lit(LEAST_SIZE)), PAIR_SIZE)

@@ -126,3 +126,30 @@ def test_may_match_loses_no_row_that_is_asked_for(spark):
     got = [(r.k, r.bit) for r in common.may_match(df, "k", asked, "v").collect()]
     assert len(got) == len(set(got)) < 200
     assert {n for _, n in got} >= {n for n in range(0, 5000, 77) if n % 50}
+
+
+def test_passages_of_a_few_dozen_documents_join_nothing_up(spark, monkeypatch):
+    # 120 unlike documents; passages of 30 words that 15 documents share; cells as full as they are with millions of documents
+    texts = [[f"w{i}_{n}" for n in range(200)] for i in range(120)]
+    for i in range(120):
+        for at, group in ((20, i // 15), (100, 8 + i % 8)):
+            texts[i][at:at + 30] = [f"p{group}_{n}" for n in range(30)]
+    near = [w if n % 60 else f"new{n}" for n, w in enumerate(texts[7])]
+    rows = [(i, " ".join(t)) for i, t in enumerate([*texts, near])] + [(121 + i, " ".join(near)) for i in range(12)]
+    seen = []
+    linked = j.linked_components
+    monkeypatch.setattr(j, "linked_components", lambda edges, *a, **b: seen.append(edges.collect()) or linked(edges, *a, **b))
+    monkeypatch.setattr(j, "cell_ranks", lambda sets: np.full(1 << j.CELL_BITS, 60, np.uint8))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in j.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 4).collect()}
+    assert got == brute(rows, 4, 85, 100)
+    assert got[130][1] == 7
+    assert len(seen[0]) < 10
+
+
+def test_shared_shingles_ranks_every_one_of_more_than_eight_documents_last(spark):
+    rows = [(" ".join([f"u{i}_{n}" for n in range(30)] + ["every one has these words"] + (["nine have these words too"] if i < 9 else ["eight of these words"] if i < 17 else [])),) for i in range(40)]
+    ranks = j.shared_shingles(spark.createDataFrame([*rows, *rows[:3], (None,)], "text string").repartition(3), 4)
+    rank = lambda text: ranks.rank(next(j.shingle_sets(pa.array([text]), 4)), np.zeros(len(text.split()) - 3, np.uint8)).tolist()
+    assert min(rank("every one has these words")) > max(rank("nine have these words too")) >= min(rank("nine have these words too")) > 127
+    assert rank("eight of these words") == [0]
+    assert sum(r == 0 for r in rank(rows[20][0])) >= 30
