@@ -9,6 +9,7 @@ sides, so the value hash is engine-independent.
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -508,12 +509,19 @@ def q_vector_shards_roundtrip(spark, sf_dir):
 
 # --- index refresh: batch swap and stream ------------------------------------------
 
+def _checksum(col):
+    """The sum as BIGINT; beyond its range (some millions of documents' passage ids) modulo 2**64, where a sum of longs fails."""
+    two = lambda n: F.lit(Decimal(2 ** n))
+    low = F.pmod(F.sum(F.col(col).cast("decimal(19,0)")), two(64))
+    return F.when(low >= two(63), low - two(64)).otherwise(low).cast("bigint")
+
+
 def _final_state(spark, base):
     from qaflow.streaming import refresh
 
     v, postings, _ = refresh.read_live(spark, base)
     return postings.agg(F.lit(v).cast("bigint").alias("version"), F.count("*").alias("n"),
-                        F.sum("passage_id").cast("bigint").alias("checksum"),
+                        _checksum("passage_id").alias("checksum"),
                         F.countDistinct("doc_id").alias("n_docs"))
 
 

@@ -359,3 +359,19 @@ def test_token_codes_equal_the_long_form(spark):
     for i, w in want.items():
         n = sum(x * x for x in w) ** 0.5
         assert got[i] == pytest.approx([x / n if n else 0.0 for x in w])
+
+
+def test_checksum_of_passage_ids_goes_on_beyond_the_range_of_a_long(spark, tmp_path):
+    """As with millions of documents: the ids' sum has no BIGINT, the checksum is that sum modulo 2**64."""
+    from qaflow.plans import catalog
+    from qaflow.streaming import refresh
+
+    for n, (first, count) in enumerate([(5_000_000_000_000, 2), (5_000_000_000_000, 4), (3, 2)]):
+        ids, base = [first + i for i in range(count)], str(tmp_path / f"index{n}")
+        docs = spark.createDataFrame([(i, "s", f"some words {i}") for i in ids], "doc_id long, source string, text string")
+        refresh.refresh_index(spark, base, docs, nlist=2)
+        got = catalog._final_state(spark, base)
+        total = sum(i * 1_000_000 for i in ids)
+        assert dict(got.dtypes)["checksum"] == "bigint"
+        assert got.collect() == [(1, count, (total + 2 ** 63) % 2 ** 64 - 2 ** 63, count)]
+    assert spark.range(0).transform(lambda d: d.agg(catalog._checksum("id").alias("c"))).first()["c"] is None
