@@ -1,10 +1,12 @@
 """Keyed upserts: any order and cut into batches, replays and deletions equal the batch result."""
 
 import datetime as dt
+import hashlib
 import os
 import random
 import shutil
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,3 +99,76 @@ def test_large_deliveries_come_in_several_files(spark, monkeypatch, name, copies
     found = [f for f in os.listdir(inbox.removeprefix("file:")) if f.endswith(".parquet")]
     assert 3 * files < len(found) <= 4 * files and files >= 3 * copies
     assert spark.read.parquet(inbox).count() == copies * docs.count()
+
+
+class Held:
+    """A state value that counts how often it is asked."""
+
+    def __init__(self):
+        self.value, self.calls, self.now = None, 0, 0
+
+    def getValueState(self, name, schema, ttl_ms=None):
+        return self
+
+    def exists(self):
+        self.calls += 1
+        return self.value is not None
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls += 1
+        self.value = value
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.now
+
+
+def test_the_state_is_asked_once_a_bucket_whatever_its_documents(monkeypatch):
+    rng = random.Random(9)
+    rows = [(d, f"text {rng.randint(0, 3)}", pd.Timestamp(2024, 1, 1, rng.randint(0, 5)) if rng.random() < 0.9 else pd.NaT) for d in range(300) for _ in range(6)]
+    rng.shuffle(rows)
+    held, got = Held(), {}
+    monkeypatch.setattr(upsert, "MOST_HELD", 50)
+    state_of = upsert.LatestUpdate("doc_id", "updated_at", "text", ["doc_id", "text", "updated_at"])
+    state_of.init(held)
+    for batch in (rows[:900], rows[900:]):
+        held.calls = 0
+        out = list(state_of.handleInputRows((0,), (pd.DataFrame(batch[i:i + 40], columns=["doc_id", "text", "updated_at"]).assign(bucket=0) for i in range(0, 900, 40)), held))
+        assert held.calls <= 3 and len(out) == 1 and list(out[0].columns) == ["doc_id", "text", "updated_at"]
+        assert out[0]["doc_id"].is_unique
+        for doc, text, at in out[0].itertuples(index=False):
+            new = (-1 if pd.isna(at) else at.value // 1000, hashlib.md5(text.encode()).hexdigest(), text)
+            assert doc not in got or new > got[doc]
+            got[doc] = new
+    order = lambda r: (-1 if pd.isna(r[2]) else r[2].value // 1000, hashlib.md5(r[1].encode()).hexdigest(), r[1])
+    assert got == {d: max(order(r) for r in rows if r[0] == d) for d in range(300)}
+
+
+def test_a_document_of_a_bucket_is_forgotten_by_itself():
+    held = Held()
+    state_of = upsert.LatestUpdate("doc_id", "updated_at", "text", ["doc_id", "text", "updated_at"], ttl_ms=100)
+    state_of.init(held)
+
+    def put(now, *docs, hour=2):
+        held.now = now
+        pdf = pd.DataFrame([(d, "t", pd.Timestamp(2024, 1, 1, hour)) for d in docs], columns=["doc_id", "text", "updated_at"])
+        return [d for out in state_of.handleInputRows((0,), iter([pdf]), held) for d in out["doc_id"]]
+
+    assert put(0, 1, 2) == [1, 2]
+    assert put(60, 2, 3, hour=3) == [2, 3]
+    assert put(120, 1, 2, 3, hour=1) == [1]  # 1 is forgotten, the later ones are not
+    assert put(130, 1, 2, 3, hour=1) == []
+
+
+def test_documents_of_one_bucket_stay_apart(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(upsert, "BUCKETS", 2)
+    rows = [r for r in deliveries() if r[0] is not None]
+    want = state(upsert.current_documents(spark.createDataFrame(rows, SCHEMA), "updated_at"))
+    inbox, out, ckpt = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
+    for lo in range(0, len(rows), 45):
+        put(spark, rows[lo:lo + 45], inbox)
+    upsert.upsert_stream(spark, inbox, out, ckpt, SCHEMA, "updated_at", max_files_per_trigger=1)
+    assert state(upsert.current_documents(spark.read.parquet(out), "updated_at")) == want
