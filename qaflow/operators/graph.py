@@ -12,6 +12,8 @@ graph can be reached.
 *Search.*  All queries go at once.  A query's state is its ``beam`` best rows so far.  In each round the
 best unopened rows of every beam are opened: one join with the adjacency table gives their
 neighbours, rows already scored for the query drop out, one join with the vectors scores the rest.
+A query whose beam holds no unopened row has found its rows; when most of the queries have, they leave the
+tables of the rounds, so that a round costs what the queries cost that still search.
 Rounds end when no beam holds an unopened row.
 
 Data movement: pairs are made by joins on ids and scored tile by tile (:func:`scored`); nothing but counts reaches the driver.  A hub
@@ -25,6 +27,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +39,7 @@ DEGREE = 18
 DIRECTIONS = 6
 SETTLED = 0.01  # a build ends when fewer than this share of the edges changes in a round
 MAX_ROUNDS = 12
+_SCORED = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("score", pa.float64())])
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:
@@ -70,24 +74,26 @@ def scored(pairs: DataFrame, left: DataFrame, right: DataFrame, block: int = vec
     sent = left.select("id", "v", F.lit(True).alias("first"), ta("id").alias("ta")).withColumn("tb", every(n_b)).unionByName(
         right.select("id", "v", F.lit(False).alias("first"), tb("id").alias("tb")).withColumn("ta", every(n_a)))
 
-    def dot(p: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
-        sides = []
-        for first, ids in ((True, p["a"].to_numpy()), (False, p["b"].to_numpy())):
-            own = v[v["first"] == first].sort_values("id")
-            at = np.searchsorted(own["id"].to_numpy(), ids)
-            at = np.minimum(at, max(0, len(own) - 1))
-            sides.append((vectors._matrix(own["v"]), at, own["id"].to_numpy()[at] == ids if len(own) else np.zeros(len(ids), bool)))
+    def dot(p: pa.Table, v: pa.Table) -> pa.Table:
+        a, b, first = p.column("a").to_numpy(), p.column("b").to_numpy(), v.column("first").to_numpy()
+        all_ids, sides = v.column("id").to_numpy(), []
+        for mask, ids in ((first, a), (~first, b)):
+            own = np.flatnonzero(mask)
+            own = own[np.argsort(all_ids[own], kind="stable")]
+            have = all_ids[own]
+            at = np.minimum(np.searchsorted(have, ids), max(0, len(own) - 1))
+            sides.append((vectors.arrow_matrix(v.column("v"), own), at, have[at] == ids if len(own) else np.zeros(len(ids), bool)))
         (A, at, known), (B, bt, known_b) = sides
         keep = np.flatnonzero(known & known_b)  # as a join: a pair needs both vectors
         s = np.zeros(len(keep))
         for lo in range(0, len(keep), 8192):
             some = keep[lo:lo + 8192]
             s[lo:lo + 8192] = np.einsum("nd,nd->n", A[at[some]], B[bt[some]])
-        return pd.DataFrame({"a": p["a"].to_numpy()[keep], "b": p["b"].to_numpy()[keep], "score": s})
+        return pa.table({"a": a[keep], "b": b[keep], "score": s}, schema=_SCORED)
 
     keys = ["ta", "tb"]
     return (pairs.select("a", "b", ta("a").alias("ta"), tb("b").alias("tb")).repartition(n_a * n_b, *keys).groupBy(*keys)
-            .cogroup(sent.repartition(n_a * n_b, *keys).groupBy(*keys)).applyInPandas(dot, "a long, b long, score double"))
+            .cogroup(sent.repartition(n_a * n_b, *keys).groupBy(*keys)).applyInArrow(dot, "a long, b long, score double"))
 
 
 def best_of(edges: DataFrame, n: int, by: str = "a", other: str = "b") -> DataFrame:
@@ -167,21 +173,36 @@ def graph_topk(queries: DataFrame, rows: DataFrame, graph: DataFrame, k: int, *,
     first = vectors.exact_topk(q, _written(begin, "graph-entries"), min(beam, entries), q_id="id", q_vec="v", c_id="id", c_vec="v")
     state = _written(first.select(F.col("q_id").alias("a"), F.col("c_id").alias("b"), "score", F.lit(False).alias("opened")), "graph-beam")
     n_q = q.count()
-    done = n_q * min(entries, rows.count())
-    seen = state.select("a", "b")
+    n_rows = rows.count()
+    done = n_q * min(entries, n_rows)
+    seen, searching, found = state.select("a", "b"), n_q, None
     while True:
         closed = state.where("not opened")
         w = Window.partitionBy("a").orderBy(F.round("score", 6).desc(), "b")
         opening = _written(closed.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= width).select("a", "b"), "graph-open")
-        if opening.isEmpty():
+        still = opening.select("a").distinct()
+        n = still.count()
+        if not n:
             break
+        if 8 * n <= searching:
+            still, searching = _written(still, "graph-still"), n
+            ended = _written(state.join(still, "a", "left_anti"), "graph-found")
+            found = ended if found is None else found.union(ended)
+            state = _written(state.join(still, "a", "left_semi"), "graph-beam")
+            seen = _written(seen.join(still, "a", "left_semi"), "graph-seen")
+            q = _written(q.join(still.select(F.col("a").alias("id")), "id", "left_semi"), "graph-queries")
         near = opening.join(graph.select(F.col("a").alias("b"), "near"), "b").select("a", F.explode("near").alias("b")).distinct()
-        fresh = _written(scored(near.join(seen, ["a", "b"], "left_anti"), q, rows), "graph-scored")
+        pairs = _written(near.join(seen, ["a", "b"], "left_anti"), "graph-pairs")
+        met = rows
+        if 4 * pairs.count() <= n_rows:
+            met = _written(rows.join(pairs.select(F.col("b").alias("id")).distinct(), "id", "left_semi"), "graph-met")
+        fresh = _written(scored(pairs, q, met), "graph-scored")
         done += fresh.count()
         seen = seen.union(fresh.select("a", "b"))
         now = state.join(opening.withColumn("now", F.lit(True)), ["a", "b"], "left") \
             .select("a", "b", "score", (F.col("opened") | F.coalesce("now", F.lit(False))).alias("opened"))
         state = _written(best_of(now.union(fresh.select("a", "b", "score", F.lit(False).alias("opened"))), beam), "graph-beam")
+    state = state if found is None else state.union(found)
     hits = state.select(F.col("a").alias("q_id"), F.col("b").alias("c_id"), "score")
     out = vectors.topk_per_query(hits, k).select("q_id", "rank", "c_id", "score")
     out._qaflow_scored = done

@@ -49,3 +49,37 @@ def test_pairs_meet_vectors_by_tiles(spark):
     for block in (1 << 16, 13):
         got = {(r["a"], r["b"]): r["score"] for r in graph.scored(pairs, v, v, block).collect()}
         assert got == {(i * 7, j * 7): pytest.approx(float(X[i] @ X[j])) for i in range(60) for j in range(i)}
+
+
+def test_queries_that_have_found_their_rows_leave_the_rounds(spark, monkeypatch):
+    """The last rounds hold few queries, and the hits are those of a plain beam search on the same graph."""
+    rng = np.random.default_rng(3)
+    X = rng.normal(size=(240, 6))
+    df = spark.createDataFrame([(i, X[i].tolist()) for i in range(240)], SCHEMA).persist()
+    rows, near, _ = graph.build_graph(df, "vec_id", "embedding", degree=4)
+    sizes, written = [], graph._written
+
+    def spy(t, name):
+        out = written(t, name)
+        if name == "graph-beam":
+            sizes.append(out.select("a").distinct().count())
+        return out
+
+    monkeypatch.setattr(graph, "_written", spy)
+    hits = graph.graph_topk(df, rows, near, 5, beam=8, width=2, entries=8, **KW)
+    got = {(r["q_id"], r["rank"]): r["c_id"] for r in hits.collect()}
+    assert sizes[0] == 240 and 8 * sizes[-1] <= 240
+    links = {r["a"]: list(r["near"]) for r in near.collect()}
+    begin = [r["id"] for r in rows.orderBy(F.xxhash64("id"), "id").limit(8).collect()]
+    scored = 0
+    for q in range(240):
+        order = lambda i: (-round(float(X[q] @ X[i]), 6), i)
+        beam, seen, opened = sorted(begin, key=order)[:8], set(begin), set()
+        scored += len(begin)
+        while new := [i for i in beam if i not in opened][:2]:
+            opened |= set(new)
+            fresh = {j for i in new for j in links.get(i, [])} - seen
+            seen, scored = seen | fresh, scored + len(fresh)
+            beam = sorted([*beam, *fresh], key=order)[:8]
+        assert [got[q, k] for k in sorted(k for x, k in got if x == q)] == beam[:5]
+    assert hits._qaflow_scored == scored
