@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qaflow.session import scratch_path
@@ -30,17 +30,30 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 MAYBE_BITS = 1 << 23
 
 
-def may_match(df: DataFrame, key: str, wanted: DataFrame, column: str) -> DataFrame:
-    """The rows of ``df`` whose ``key`` may be in ``column`` of ``wanted``: none that is gets lost, and a join
-    with ``wanted`` moves few others. A bitmap of fixed size (1 MB) is broadcast; more keys only let more rows pass."""
+def _marked(df: DataFrame, key: str, wanted: DataFrame, column: str, how: str) -> tuple[DataFrame, Column]:
+    """``df`` joined with a bitmap of fixed size (1 MB, broadcast) of ``column``, and whether ``key`` may be in it."""
     bit = unused(df, "bit")
     at, bits = unused(df, f"{bit}_at"), unused(df, f"{bit}_map")
     cell = lambda c: F.pmod(F.xxhash64(c), F.lit(MAYBE_BITS))
     inner = lambda c: F.col(c).bitwiseAND(32767)  # noqa: E731  a row of the map has 4 KB
     held = wanted.select(cell(column).alias(bit)).groupBy(F.shiftright(bit, 15).alias(at)).agg(F.bitmap_construct_agg(inner(bit)).alias(bits))
     byte = F.conv(F.hex(F.substring(F.col(bits), F.shiftright(inner(bit), 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    marked = df.withColumn(bit, cell(key)).withColumn(at, F.shiftright(bit, 15)).join(F.broadcast(held), at)
-    return marked.where(F.getbit(byte, inner(bit).bitwiseAND(7).cast("int")) == 1).select(*df.columns)
+    marked = df.withColumn(bit, cell(key)).withColumn(at, F.shiftright(bit, 15)).join(F.broadcast(held), at, how)
+    return marked, F.coalesce(F.getbit(byte, inner(bit).bitwiseAND(7).cast("int")) == 1, F.lit(False))
+
+
+def may_match(df: DataFrame, key: str, wanted: DataFrame, column: str) -> DataFrame:
+    """The rows of ``df`` whose ``key`` may be in ``column`` of ``wanted``: none that is gets lost, and a join
+    with ``wanted`` moves few others. More keys only let more rows pass."""
+    marked, may = _marked(df, key, wanted, column, "inner")
+    return marked.where(may).select(*df.columns)
+
+
+def unmatched(df: DataFrame, key: str, gone: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose ``key`` is not in ``gone(key)`` or is null; only rows that may be in it are moved."""
+    marked, may = _marked(df, key, gone, key, "left")
+    rest = marked.where(may).select(*df.columns).join(gone, key, "left_anti").select(*df.columns)
+    return marked.where(~may).select(*df.columns).union(rest)
 
 
 def unused(df: DataFrame, name: str) -> str:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qaflow.llm.common import materialise, may_match, partitions, read, set_id, shingle_hashes, text_bytes, word_hashes
+from qaflow.llm.common import materialise, may_match, partitions, read, set_id, shingle_hashes, text_bytes, unmatched, word_hashes
 from qaflow.llm.simjoin import ENTRY, SHORT, _blobs, candidate_edges, linked_components
 
 CELL_BITS = 20
@@ -249,7 +249,7 @@ def one_of_each(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> D
     """The rows of ``docs`` that are the smallest ``doc_id`` of their component, once each; rows with a
     null ``doc_id`` stay (nothing tells them apart from others)."""
     gone = jaccard_components(docs, k, num, den).where("component_id < doc_id").select("doc_id")
-    return docs.join(gone.distinct(), "doc_id", "left_anti").select(*docs.columns)
+    return unmatched(docs, "doc_id", materialise(gone.distinct(), "jaccard-gone"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

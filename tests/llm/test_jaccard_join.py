@@ -153,3 +153,11 @@ def test_shared_shingles_ranks_every_one_of_more_than_eight_documents_last(spark
     assert min(rank("every one has these words")) > max(rank("nine have these words too")) >= min(rank("nine have these words too")) > 127
     assert rank("eight of these words") == [0]
     assert sum(r == 0 for r in rank(rows[20][0])) >= 30
+
+
+def test_unmatched_keeps_null_keys_and_copies(spark):
+    df = spark.range(3000).selectExpr("if(id % 50 = 0, null, id % 1000) as k", "id as bit")
+    gone = spark.range(0, 1000, 3).selectExpr("id as k")
+    want = sorted(str((r.k, r.bit)) for r in df.collect() if r.k is None or r.k % 3)
+    assert sorted(str((r.k, r.bit)) for r in common.unmatched(df, "k", gone).collect()) == want
+    assert common.unmatched(df, "k", gone.limit(0)).count() == 3000
